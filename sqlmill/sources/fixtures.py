@@ -298,3 +298,30 @@ def info_schema(spark: SparkSession, sf_dir: str):
            .unionByName(fk.select(schema, fk_name, F.col("ref_table").alias("table_name"),
                                   F.col("ref_column").alias("column_name"))))
     return tc, kcu, ccu
+
+
+# --- plan responses: D4 topics serialised as model output ---------------------
+
+def _topic_json() -> Column:
+    tables = F.array_join(F.transform("tables", lambda t: F.concat(F.lit('"'), t, F.lit('"'))), ",")
+    return F.concat(F.lit('{"name":"'), F.col("name"), F.lit('","tables":['), tables,
+                    F.lit('],"reason":"r'), _s("ord"), F.lit('","count":'), _s("cnt"),
+                    F.lit(',"dialect":"mysql"}'))
+
+
+def plan_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(plan_id, db_id, total, response): one model answer per plan, in five wrappings
+    by ``plan_id % 5``: bare object, ```json fence, object inside prose, bare list in a
+    plain fence, and broken (truncated fence when % 10 = 4, no ``topics`` when % 10 = 9)."""
+    t = topics(spark, sf_dir).select("plan_id", "db_id", "total", "ord", _topic_json().alias("o"))
+    g = t.groupBy("plan_id", "db_id", "total").agg(F.sort_array(F.collect_list(F.struct("ord", "o"))).alias("l"))
+    body = F.array_join(F.transform("l", lambda x: x["o"]), ",")
+    obj = F.concat(F.lit('{"topics":['), body, F.lit("]}"))
+    p = F.col("plan_id")
+    resp = (F.when(p % 5 == 0, obj)
+            .when(p % 5 == 1, F.concat(F.lit("Plan below." + NL + "```json" + NL), obj, F.lit(NL + "```")))
+            .when(p % 5 == 2, F.concat(F.lit("Here you go: "), obj, F.lit(" hope it helps")))
+            .when(p % 5 == 3, F.concat(F.lit("```" + NL + "["), body, F.lit("]" + NL + "```")))
+            .when(p % 10 == 4, F.concat(F.lit("```json" + NL + '{"topics":['), body, F.lit(NL + "```")))
+            .otherwise(F.concat(F.lit('{"plan":['), body, F.lit("]}"))))
+    return g.select("plan_id", "db_id", "total", resp.alias("response"))
