@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import parse, stats
 from ..sources import fixtures
 from ..sources.tables import table
-from .oracle_base import D1, blank, strip
+from .oracle_base import D1, blank, strip  # noqa: F401
 from .registry import register
 
 # ---------------------------------------------------------------- parse_sharegpt
@@ -83,3 +83,62 @@ def _pct_sql() -> str:
 def q_dataset_stats_pct(spark, sf_dir):
     s = stats.dataset_stats(fixtures.samples(spark, sf_dir), group=("db_id",))
     return stats.dataset_stats_pct(s, group=("db_id",))
+
+
+# ---------------------------------------------------------------- N1 / N3 / S4 / S5
+
+ALPACA_CTE = """alp as (select doc_id, concat('Write SQL for document ', cast(doc_id as varchar), ' (', lang, ')  ') as instruction,
+  case when lang in ('en', 'fr') then text else '' end as input,
+  concat(' SELECT ', cast(n_chars as varchar), ' FROM documents;', chr(10)) as output, lang from documents)"""
+MIXED_CTE = ALPACA_CTE + """,
+conv as (select conv_id, list(struct_pack(role := role, content := text) order by turn) as c from conversations group by conv_id),
+mixed as (
+ select concat('docs-', lang) as dataset_id, doc_id as ord, instruction, input, output, null::struct(role varchar, content varchar)[] as c from alp
+ union all select 'chats', conv_id, null, null, null, c from conv)"""
+
+
+def _alpaca_q(i="instruction", x="input"):
+    return (f"case when coalesce({x}, '') <> '' then {strip(f'concat(coalesce({i}, chr(0)), chr(10), {x})')} "
+            f"else {strip(f'coalesce({i}, chr(0))')} end").replace("chr(0)", "''")
+
+
+@register("parse_alpaca", f"""with {ALPACA_CTE}
+select doc_id as ord, {_alpaca_q()} as question, {strip("coalesce(output, '')")} as sql from alp""")
+def q_parse_alpaca(spark, sf_dir):
+    a = fixtures.alpaca_rows(spark, sf_dir).withColumnRenamed("doc_id", "ord")
+    return parse.parse_alpaca(a)
+
+
+def _last_role(roles):
+    r = ", ".join(f"'{x}'" for x in roles)
+    return f"list_filter(c, lambda x: x.role in ({r}))[-1].content"
+
+
+@register("parse_any", f"""with {MIXED_CTE},
+f as (select *, case when c is not null then 'sharegpt' when instruction is not null then 'alpaca' end as format,
+  {strip(f"coalesce({_last_role(parse.USER_ROLES)}, '')")} as sq, {strip(f"coalesce({_last_role(parse.ASSISTANT_ROLES)}, '')")} as sa
+  from mixed)
+select dataset_id, ord, format, case when format = 'sharegpt' then sq else {_alpaca_q()} end as question,
+ case when format = 'sharegpt' then sa else {strip("coalesce(output, '')")} end as sql
+from f where format is not null and (format <> 'sharegpt' or (coalesce(len(c), 0) >= 2 and sq <> '' and sa <> ''))""")
+def q_parse_any(spark, sf_dir):
+    return parse.parse_any(fixtures.mixed_corpus(spark, sf_dir), keys=("dataset_id", "ord"))
+
+
+@register("bench_view", f"""with {MIXED_CTE},
+f as (select *, case when c is not null then 'sharegpt' when instruction is not null then 'alpaca' end as format from mixed)
+select dataset_id, ord, format,
+ case when format = 'alpaca' then {strip("concat(coalesce(instruction, ''), ' ', coalesce(input, ''))")}
+      else {strip("case when coalesce(len(c), 0) > 0 then coalesce(c[1].content, '') else '' end")} end as question,
+ case when format = 'alpaca' then {strip("coalesce(output, '')")}
+      else {strip("case when coalesce(len(c), 0) > 1 then coalesce(c[-1].content, '') else '' end")} end as reference
+from f where format is not null""")
+def q_bench_view(spark, sf_dir):
+    return parse.bench_view(fixtures.mixed_corpus(spark, sf_dir), keys=("dataset_id", "ord"))
+
+
+@register("detect_format", f"""with {MIXED_CTE}
+select dataset_id, case when arg_min(c is not null, ord) then 'sharegpt' when arg_min(instruction is not null, ord)
+ then 'alpaca' else 'unknown' end as format from mixed group by dataset_id""")
+def q_detect_format(spark, sf_dir):
+    return parse.detect_format(fixtures.mixed_corpus(spark, sf_dir))

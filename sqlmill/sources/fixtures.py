@@ -325,3 +325,32 @@ def plan_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(p % 10 == 4, F.concat(F.lit("```json" + NL + '{"topics":['), body, F.lit(NL + "```")))
             .otherwise(F.concat(F.lit('{"plan":['), body, F.lit("]}"))))
     return g.select("plan_id", "db_id", "total", resp.alias("response"))
+
+
+# --- corpora in both instruction formats ----------------------------------------
+
+def alpaca_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, instruction, input, output): one instruction row per document;
+    ``input`` is the whole text for en/fr documents and empty otherwise."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
+    return d.select(
+        "doc_id",
+        F.concat(F.lit("Write SQL for document "), _s("doc_id"), F.lit(" ("), F.col("lang"), F.lit(")  ")).alias("instruction"),
+        F.when(F.col("lang").isin("en", "fr"), F.col("text")).otherwise(F.lit("")).alias("input"),
+        F.concat(F.lit(" SELECT "), _s("n_chars"), F.lit(" FROM documents;" + NL)).alias("output"))
+
+
+def mixed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dataset_id, ord, instruction, input, output, conversations): alpaca rows
+    (one dataset per language) and ShareGPT rows (dataset 'chats')."""
+    from ..operators.parse import nest_conversations
+    a = alpaca_rows(spark, sf_dir).join(table(spark, sf_dir, "documents", "doc_id", "lang"), "doc_id")
+    a = a.select(F.concat(F.lit("docs-"), F.col("lang")).alias("dataset_id"), F.col("doc_id").alias("ord"),
+                 "instruction", "input", "output",
+                 F.lit(None).cast("array<struct<role:string,content:string>>").alias("conversations"))
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    c = nest_conversations(turns).select(
+        F.lit("chats").alias("dataset_id"), F.col("conv_id").alias("ord"),
+        F.lit(None).cast("string").alias("instruction"), F.lit(None).cast("string").alias("input"),
+        F.lit(None).cast("string").alias("output"), "conversations")
+    return a.unionByName(c)
