@@ -354,3 +354,36 @@ def mixed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("instruction"), F.lit(None).cast("string").alias("input"),
         F.lit(None).cast("string").alias("output"), "conversations")
     return a.unionByName(c)
+
+
+# --- uploads and caption requests, from web pages --------------------------------
+
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, name, mime, content): one upload per page; the name is the last
+    URL path segment plus '.png' ('.txt', text/plain, when page_id % 10 = 9)."""
+    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    txt = F.col("page_id") % 10 == 9
+    name = F.concat(F.regexp_extract("url", r"/([^/?#]*)(?:[?#].*)?$", 1),
+                    F.when(txt, F.lit(".txt")).otherwise(F.lit(".png")))
+    return p.select("page_id", name.alias("name"),
+                    F.when(txt, F.lit("text/plain")).otherwise(F.lit("image/png")).alias("mime"),
+                    F.encode("html", "UTF-8").alias("content"))
+
+
+def stored_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, original_name, saved_name, size) for image uploads; the unique id
+    is md5(page_id) so that tests are repeatable."""
+    from .files import upload_manifest
+    u = uploads(spark, sf_dir).where(F.col("mime").startswith("image/"))
+    return upload_manifest(u, F.md5(_s("page_id")), keep=("page_id",))
+
+
+def caption_requests(spark: SparkSession, sf_dir: str):
+    """(requested, mapping): every stored image name plus a missing name for
+    page_id % 17 = 0; the client's name mapping covers page_id % 3 <> 0."""
+    st = stored_uploads(spark, sf_dir)
+    req = st.select(F.col("saved_name").alias("file")).unionByName(
+        st.where(F.col("page_id") % 17 == 0).select(
+            F.concat(F.lit("missing-"), _s("page_id"), F.lit(".png")).alias("file")))
+    mapping = st.where(F.col("page_id") % 3 != 0).select("saved_name", "original_name")
+    return req, mapping
