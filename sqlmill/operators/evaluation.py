@@ -104,9 +104,10 @@ def avg_token_f1(pairs: DataFrame, group=("run_id",)) -> DataFrame:
 # ------------------------------------------------------------------ result comparison
 
 def renumber(rows: DataFrame, keys=("query_id", "side"), order="row_idx") -> DataFrame:
-    """Dense 1-based row positions per (query, side) in ``order``."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return rows.withColumn(order, F.row_number().over(w).cast("bigint"))
+    """Dense 1-based row positions per (query, side) in ``order``.  Range-partitioned
+    (``ordering.positions_within``), so one huge result set is numbered by many tasks."""
+    from .ordering import positions_within
+    return positions_within(rows, keys, (order,), out="_pos").drop(order).withColumnRenamed("_pos", order)
 
 
 def _canon_cells(cells: Column) -> Column:

@@ -72,21 +72,21 @@ def early_stopping(history: DataFrame, patience: int = 3, run="run_id", epoch="e
     ends ``patience`` consecutive non-improving epochs.
 
     (run_id, stop_epoch [NULL = never], epochs_run, best_loss, best_epoch).
-    Built from running windows per run (a run's history is its epochs), not
-    from a sequential fold, so nothing is collected into an array."""
-    w = Window.partitionBy(run).orderBy(epoch)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = history.withColumn("_best_before", F.min(loss).over(before))
+    Running minimum and "last improvement" are skew-safe running aggregates
+    (``ordering.running``); the result is one aggregate per run — no array of
+    a run's history is ever built and no join on the run key is needed."""
+    from .ordering import running
+    h = running(history, [run], [epoch], loss, "min", "_best_before", inclusive=False)
     h = h.withColumn("_impr", F.col(loss) < F.coalesce(F.col("_best_before"), F.lit(float("inf"))))
-    h = h.withColumn("_last", F.coalesce(F.max(F.when(F.col("_impr"), F.col(epoch))).over(upto), F.lit(0)))
-    h = h.withColumn("_counter", F.col(epoch) - F.col("_last"))
-    stop = h.groupBy(run).agg(F.min(F.when(F.col("_counter") >= patience, F.col(epoch))).alias("stop_epoch"),
-                              F.max(epoch).alias("_max"))
-    j = h.join(stop, run).where(F.col(epoch) <= F.coalesce("stop_epoch", "_max"))
-    return j.groupBy(run).agg(
-        F.first("stop_epoch").alias("stop_epoch"),
-        F.max(epoch).alias("epochs_run"),
-        F.min_by(F.struct(F.col(loss).alias("l"), F.col(epoch).alias("e")),
-                 F.struct(F.col(loss), F.col(epoch))).alias("_b")).select(
-        run, "stop_epoch", "epochs_run", F.col("_b.l").alias("best_loss"), F.col("_b.e").alias("best_epoch"))
+    h = h.withColumn("_ie", F.when(F.col("_impr"), F.col(epoch)))
+    h = running(h, [run], [epoch], "_ie", "max", "_last")
+    h = h.withColumn("_best", F.least(F.col(loss), F.col("_best_before")))
+    h = h.withColumn("_counter", F.col(epoch) - F.coalesce(F.col("_last"), F.lit(0)))
+    stopping = F.when(F.col("_counter") >= patience, F.col(epoch))
+    state = F.struct(F.col("_best").alias("b"), F.col("_last").alias("e"))
+    g = h.groupBy(run).agg(
+        F.min(stopping).alias("stop_epoch"), F.max(epoch).alias("_max"),
+        F.min_by(state, stopping).alias("_at_stop"), F.max_by(state, F.col(epoch)).alias("_at_end"))
+    best = F.coalesce(F.col("_at_stop"), F.col("_at_end"))
+    return g.select(run, "stop_epoch", F.coalesce("stop_epoch", "_max").alias("epochs_run"),
+                    best["b"].alias("best_loss"), best["e"].alias("best_epoch"))
