@@ -29,7 +29,12 @@ def _c(col) -> Column:
 
 
 def is_json(col) -> Column:
-    return F.try_parse_json(_c(col)).isNotNull()
+    """Exactly one JSON value.  Spark's parser stops after the first value and
+    ignores what follows, so the text is also checked as the only element of a
+    one-element array (``'{..} and {..}'`` then fails, as in Python)."""
+    c = _c(col)
+    one = F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1
+    return F.try_parse_json(c).isNotNull() & F.coalesce(one, F.lit(False))
 
 
 def _fence_body(t: Column, marker: str) -> tuple[Column, Column]:

@@ -124,7 +124,7 @@ def compare_results(rows: DataFrame, ordered: bool = True, query="query_id") ->
     queries with at least one row; queries with no rows at all are equal.
     """
     cells = _canon_cells(F.col("cells"))
-    has_nan = F.exists(F.col("cells"), lambda x: x == F.lit(NAN_MARK))
+    has_nan = F.coalesce(F.exists(cells, lambda x: x == F.lit(NAN_MARK)), F.lit(False))
     base = rows.select(query, "side", "row_idx", cells.alias("cells"), has_nan.alias("nan"))
     if ordered:
         base = renumber(base, keys=(query, "side"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.jsontext import is_json
 from ..functions.text import py_strip
 
 ModelFn = Callable[[list], list]
@@ -86,7 +87,7 @@ def parse_samples(responses: DataFrame, keys=("topic_id",), response="response")
     keys = list(keys)
     lines = responses.select(*keys, F.posexplode(F.split(py_strip(response), "\n", -1)).alias("line_no", "raw"))
     lines = lines.select(*keys, "line_no", py_strip("raw").alias("line"))
-    lines = lines.withColumn("v", F.try_parse_json("line"))
+    lines = lines.withColumn("v", F.when(is_json("line"), F.try_parse_json("line")))
     typ = lambda path: F.schema_of_variant(F.try_variant_get("v", path, "variant"))
     ok = F.col("v").isNotNull() & (typ("$.input") == "STRING") & (typ("$.output") == "STRING")
     skip = (F.col("line") == "") | F.col("line").startswith("#") | F.col("line").startswith("//")
