@@ -79,11 +79,29 @@ def text_match_details(pairs: DataFrame, keys=("run_id", "ord")) -> DataFrame:
                         exact_match_col().alias("exact_match"))
 
 
+def with_token_f1(pairs: DataFrame, pred="prediction", ref="reference", out="f1") -> DataFrame:
+    """Token F1 as a column, with each side's token set computed once in its own
+    projection (the F1 formula uses every set several times; the optimizer keeps
+    non-cheap expressions from being inlined into all of those uses)."""
+    d = pairs.withColumns({"_pt": token_set(_c(pred)), "_rt": token_set(_c(ref))})
+    d = d.withColumns({"_np": F.size("_pt").cast("double"), "_nr": F.size("_rt").cast("double"),
+                       "_cm": F.size(F.array_intersect("_pt", "_rt")).cast("double")})
+    prec, rec = F.try_divide(F.col("_cm"), F.col("_np")), F.try_divide(F.col("_cm"), F.col("_nr"))
+    f1 = F.when((F.col("_np") == 0) | (F.col("_nr") == 0) | (F.col("_cm") == 0), F.lit(0.0)).otherwise(
+        F.lit(2.0) * prec * rec / (prec + rec))
+    return d.withColumn(out, f1).drop("_pt", "_rt", "_np", "_nr", "_cm")
+
+
+def with_exact_match(pairs: DataFrame, pred="prediction", ref="reference", out="exact_match") -> DataFrame:
+    return pairs.withColumn(out, exact_match_col(pred, ref))
+
+
 def text_metrics(pairs: DataFrame, group=("run_id",)) -> DataFrame:
     """E1 + E3 in one pass: exact-match rate, mean token F1, sample count (0 on empty)."""
-    return pairs.groupBy(*group).agg(
-        F.coalesce(F.avg(exact_match_col().cast("double")), F.lit(0.0)).alias("exact_match"),
-        F.coalesce(F.avg(token_f1_col()), F.lit(0.0)).alias("token_f1"),
+    d = with_token_f1(with_exact_match(pairs, out="_em"), out="_f1")
+    return d.groupBy(*group).agg(
+        F.coalesce(F.avg(F.col("_em").cast("double")), F.lit(0.0)).alias("exact_match"),
+        F.coalesce(F.avg("_f1"), F.lit(0.0)).alias("token_f1"),
         F.count(F.lit(1)).alias("total_samples"))
 
 
@@ -96,8 +114,8 @@ def exact_match(pairs: DataFrame, group=("run_id",)) -> DataFrame:
 
 def avg_token_f1(pairs: DataFrame, group=("run_id",)) -> DataFrame:
     """E3."""
-    return pairs.groupBy(*group).agg(
-        F.coalesce(F.avg(token_f1_col()), F.lit(0.0)).alias("token_f1"),
+    return with_token_f1(pairs, out="_f1").groupBy(*group).agg(
+        F.coalesce(F.avg("_f1"), F.lit(0.0)).alias("token_f1"),
         F.count(F.lit(1)).alias("total_samples"))
 
 

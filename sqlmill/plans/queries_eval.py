@@ -87,7 +87,7 @@ TOKEN_F1 = f"with {PAIRS} select run_id, ord, {f1_sql('prediction', 'reference')
 @register("token_f1", TOKEN_F1)
 def q_token_f1(spark, sf_dir):
     p = fixtures.prediction_pairs(spark, sf_dir)
-    return p.select("run_id", "ord", ev.token_f1_col().alias("f1"))
+    return ev.with_token_f1(p).select("run_id", "ord", "f1")
 
 
 TEXT_METRICS = f"""with {PAIRS}
