@@ -41,15 +41,40 @@ _MYSQL_FK = """(SELECT TABLE_SCHEMA AS db_name, TABLE_NAME AS table_name, COLUMN
  FROM information_schema.KEY_COLUMN_USAGE WHERE REFERENCED_TABLE_NAME IS NOT NULL) q"""
 
 
-def read_catalog_jdbc(spark: SparkSession, url: str, databases: list[str], properties: dict):
-    """S6–S8 for MySQL: one JDBC partition per schema (``predicates``), so many
-    databases are read in parallel and the schema filter runs in the source.
-    Returns (columns, pk, fk) with ``db_name`` as the database key."""
-    preds = [f"db_name = '{d}'" for d in databases]
-    cols = spark.read.jdbc(url, _MYSQL_COLUMNS, predicates=preds, properties=properties)
-    pk = spark.read.jdbc(url, _MYSQL_PK, predicates=preds, properties=properties)
-    fk = spark.read.jdbc(url, _MYSQL_FK, predicates=preds, properties=properties)
-    return cols, pk, fk
+_PG_COLUMNS = """(SELECT c.table_schema AS db_name, c.table_name AS table_name, c.column_name AS column_name,
+ c.data_type AS data_type, c.udt_name AS column_type, c.is_nullable AS is_nullable, '' AS column_key,
+ '' AS column_comment, c.ordinal_position AS ordinal_position FROM information_schema.columns c) q"""
+_PG_TC = "(SELECT constraint_schema, constraint_name, table_name, constraint_type FROM information_schema.table_constraints) q"
+_PG_KCU = """(SELECT constraint_schema, constraint_name, table_name, column_name, ordinal_position
+ FROM information_schema.key_column_usage) q"""
+_PG_CCU = """(SELECT constraint_schema, constraint_name, table_name, column_name
+ FROM information_schema.constraint_column_usage) q"""
+
+
+def read_catalog_jdbc(spark: SparkSession, url: str, databases: list[str], properties: dict,
+                      db_type: str = "mysql"):
+    """One JDBC partition per schema (``predicates``), so many databases
+    are read in parallel and the schema filter runs in the source.  Returns
+    (columns, pk, fk) keyed by ``db_name``.  Postgres keys come from the
+    constraint tables through J2/J3.  Other database types are not supported
+    (the reference declares SQL Server but raises)."""
+    if db_type == "mysql":
+        preds = [f"db_name = '{d}'" for d in databases]
+        cols = spark.read.jdbc(url, _MYSQL_COLUMNS, predicates=preds, properties=properties)
+        pk = spark.read.jdbc(url, _MYSQL_PK, predicates=preds, properties=properties)
+        fk = spark.read.jdbc(url, _MYSQL_FK, predicates=preds, properties=properties)
+        return cols, pk, fk
+    if db_type == "postgres":
+        preds = [f"db_name = '{d}'" for d in databases]
+        cpreds = [f"constraint_schema = '{d}'" for d in databases]
+        cols = spark.read.jdbc(url, _PG_COLUMNS, predicates=preds, properties=properties)
+        tc = spark.read.jdbc(url, _PG_TC, predicates=cpreds, properties=properties)
+        kcu = spark.read.jdbc(url, _PG_KCU, predicates=cpreds, properties=properties)
+        ccu = spark.read.jdbc(url, _PG_CCU, predicates=cpreds, properties=properties)
+        pk = catalog_pk_join(tc, kcu).withColumnRenamed("constraint_schema", "db_name")
+        fk = catalog_fk_join(tc, kcu, ccu).withColumnRenamed("constraint_schema", "db_name")
+        return cols, pk, fk
+    raise ValueError(f"unsupported database type: {db_type}")
 
 
 def table_count(columns: DataFrame, db="db_id") -> DataFrame:

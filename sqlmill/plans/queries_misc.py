@@ -294,3 +294,41 @@ def q_batch_throughput(spark, sf_dir):
  case when sum(value) = 0 then null else sum(8) / sum(value) end as throughput from events group by user_id""")
 def q_throughput_stats(spark, sf_dir):
     return R.throughput_stats(fixtures.batch_timings(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- K8: benchmark samples report
+
+def _bench_samples(spark, sf_dir):
+    """Benchmark rows (N3) with a stand-in model that answers each question with
+    its reference in a SQL fence; generated = extracted SQL (N8), stripped."""
+    from ..functions.sqltext import extract_sql
+    from ..functions.text import py_strip
+    v = parse.bench_view(fixtures.mixed_corpus(spark, sf_dir), keys=("dataset_id", "ord"))
+    out = F.concat(F.lit("```sql\n"), F.col("reference"), F.lit("\n```"))
+    return v.select("dataset_id", F.col("ord").alias("id"), "question", "reference",
+                    py_strip(extract_sql(out)).alias("generated"))
+
+
+def _bench_samples_sql() -> str:
+    from .queries_eval import extract_sql_sql
+    from .queries_text import MIXED_CTE
+    x = "concat('```sql', chr(10), reference, chr(10), '```')"
+    return f"""with {MIXED_CTE},
+f as (select *, case when c is not null then 'sharegpt' when instruction is not null then 'alpaca' end as format from mixed),
+v as (select dataset_id, ord as id,
+ case when format = 'alpaca' then {strip("concat(coalesce(instruction, ''), ' ', coalesce(input, ''))")}
+      else {strip("case when coalesce(len(c), 0) > 0 then coalesce(c[1].content, '') else '' end")} end as question,
+ case when format = 'alpaca' then {strip("coalesce(output, '')")}
+      else {strip("case when coalesce(len(c), 0) > 1 then coalesce(c[-1].content, '') else '' end")} end as reference
+ from f where format is not null)
+select dataset_id, id, question, reference, {strip(f"coalesce({extract_sql_sql(x)}, {strip(x)})")} as generated from v"""
+
+
+@register("bench_samples", _bench_samples_sql())
+def q_bench_samples(spark, sf_dir):
+    """K8: throughput stats and sample rows written as two outputs; the samples read back."""
+    folder = scratch_path(spark, "bench-report")
+    W.write_report(R.throughput_stats(fixtures.batch_timings(spark, sf_dir), batch_size=8),
+                   _bench_samples(spark, sf_dir), folder)
+    return spark.read.schema("dataset_id string, id bigint, question string, reference string, generated string") \
+        .json(f"{folder}/details")
