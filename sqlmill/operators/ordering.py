@@ -29,11 +29,15 @@ def positions_within(df: DataFrame, keys, order, out: str = "pos", width: int =
     r, keys, order = _sliced(df, keys, order, width)
     part = keys + ["_pid"]
     local = r.withColumn("_lp", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-    counts = r.groupBy(*part).agg(F.count(F.lit(1)).alias("_c"))
+    # slice sizes from the numbered rows (same partitioning, no new shuffle)
+    counts = local.groupBy(*part).agg(F.max("_lp").alias("_c"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
-    j = local.join(offs, part)
-    return j.withColumn(out, (F.col("_lp") + F.col("_off")).cast("bigint")).drop("_lp", "_off", "_pid")
+    offs = (counts.withColumn("_off", F.sum("_c").over(before)).where(F.col("_off") > 0)
+                  .select(*part, "_off"))
+    # only slices after a group's first carry an offset: a small side, which
+    # AQE broadcasts once its runtime size is known to be under the threshold
+    j = local.join(offs, part, "left")
+    return j.withColumn(out, (F.col("_lp") + F.coalesce("_off", F.lit(0))).cast("bigint")).drop("_lp", "_off", "_pid")
 
 
 def running(df: DataFrame, keys, order, value: str, agg: str, out: str, inclusive: bool = True,
@@ -47,10 +51,10 @@ def running(df: DataFrame, keys, order, value: str, agg: str, out: str, inclusiv
     w = Window.partitionBy(*part).orderBy(*order)
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     local = r.withColumn("_loc", f(value).over(frame))
-    summ = r.groupBy(*part).agg(f(value).alias("_s"))
+    summ = local.groupBy(*part).agg(f(value).alias("_s"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    prev = summ.withColumn("_prev", f("_s").over(before)).drop("_s")
-    j = local.join(prev, part)
+    prev = summ.withColumn("_prev", f("_s").over(before)).where(F.col("_prev").isNotNull()).select(*part, "_prev")
+    j = local.join(prev, part, "left")
     if agg == "sum":
         combined = F.when(F.col("_prev").isNull() & F.col("_loc").isNull(), F.lit(None)).otherwise(
             F.coalesce("_prev", F.lit(0)) + F.coalesce("_loc", F.lit(0)))

@@ -79,19 +79,16 @@ def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",
 
 
 def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
-    """Adds depth, bracket scope, neighbours, clause and 'SELECT seen' flags."""
+    """Adds depth, bracket scope, neighbours, clause and 'SELECT seen' flags.
+
+    Three window passes (one sort each): running depth plus all neighbour
+    columns by position; the bracket scope; clause and 'SELECT seen' per scope.
+    Tokens at depth d inside the n-th bracket that opened level d share scope
+    (d, n).  A '(' is placed in the scope it opens; its own clause/scope values
+    are never read and it is never a clause word, so this changes nothing else."""
     w = Window.partitionBy(key).orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = tokens.withColumn("cum", F.sum("delta").over(run))
-    t = t.withColumn("depth", F.col("cum") - F.when(F.col("tok") == "(", 1).otherwise(0))
-    # Bracket scope: tokens at depth d inside the n-th bracket that opened level
-    # d share scope n.  A '(' belongs to the level outside it, i.e. to the
-    # scope of the token before it (or, after another '(', to the one that opened).
-    t = t.withColumn("_k", F.when(F.col("tok") == "(", F.col("depth") + 1).otherwise(F.col("depth")))
-    wk = Window.partitionBy(key, "_k").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("_cnt", F.count(F.when(F.col("tok") == "(", F.lit(1))).over(wk))
-    t = t.withColumn("scope", F.when(F.col("tok") == "(", F.coalesce(F.lag("_cnt").over(w), F.lit(0)))
-                     .otherwise(F.col("_cnt")))
     for i in (1, 2):
         t = t.withColumn(f"p{i}", F.lag("up", i).over(w))
     for i in (1, 2, 3, 4):
@@ -99,7 +96,11 @@ def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
               .withColumn(f"n{i}_up", F.lead("up", i).over(w))
               .withColumn(f"n{i}_id", F.coalesce(F.lead("is_id", i).over(w), F.lit(False)))
               .withColumn(f"n{i}_name", F.lead("name", i).over(w)))
-    wc = Window.partitionBy(key, "depth", "scope").orderBy("pos")
+    t = t.withColumn("depth", F.col("cum") - F.when(F.col("tok") == "(", 1).otherwise(0))
+    t = t.withColumn("_k", F.when(F.col("tok") == "(", F.col("depth") + 1).otherwise(F.col("depth")))
+    wk = Window.partitionBy(key, "_k").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.withColumn("scope", F.count(F.when(F.col("tok") == "(", F.lit(1))).over(wk))
+    wc = Window.partitionBy(key, "_k", "scope").orderBy("pos")
     upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("clause", F.last(F.when(F.col("up").isin(*CLAUSES), F.col("up")), ignorenulls=True).over(upto))

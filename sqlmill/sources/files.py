@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # fixed values: file extension -> MIME type for the binary image scan
 IMAGE_MIME = {".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".gif": "image/gif",
@@ -34,14 +33,18 @@ def ensure_not_empty(df: DataFrame, what: str = "dataset") -> DataFrame:
 
 
 def with_file_order(df: DataFrame, ord_col: str = "ord") -> DataFrame:
-    """Dense 0-based row positions in file order (path, split, row), for
-    sources whose order matters.  A distributed sort plus ``zipWithIndex``."""
+    """Dense 0-based row positions in file order (path, split start, row), for
+    sources whose order matters.  A distributed sort, then
+    ``ordering.positions_within`` over the sorted ids — JVM only, no row goes
+    through Python or the driver."""
+    from ..operators.ordering import positions_within
     keyed = (df.withColumn("_f", F.col("_metadata.file_path"))
                .withColumn("_b", F.col("_metadata.file_block_start"))
                .withColumn("_m", F.monotonically_increasing_id())
-               .orderBy("_f", "_b", "_m").drop("_f", "_b", "_m"))
-    schema = T.StructType(keyed.schema.fields + [T.StructField(ord_col, T.LongType(), False)])
-    return keyed.rdd.zipWithIndex().map(lambda p: tuple(p[0]) + (p[1],)).toDF(schema)
+               .orderBy("_f", "_b", "_m")
+               .withColumn("_o", F.monotonically_increasing_id()))
+    out = positions_within(keyed, [], ["_o"], out=ord_col)
+    return out.withColumn(ord_col, F.col(ord_col) - 1).drop("_f", "_b", "_m", "_o")
 
 
 def write_json_arrays(df: DataFrame, path: str) -> None:

@@ -171,11 +171,15 @@ def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- D6: epoch losses, batch timings, run logs --------------------------------
 
 def epoch_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, epoch, loss): a user's events in (ts, event_id) order are one
+    run's epochs.  Numbered with the skew-safe ``positions_within``."""
+    from ..operators.ordering import positions_within
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return ev.select(F.col("user_id").alias("run_id"),
-                     F.row_number().over(w).cast("int").alias("epoch"),
-                     F.col("value").alias("loss"))
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    ev = ev.withColumn("_us", us)
+    p = positions_within(ev, ["user_id"], ["_us", "event_id"], out="_e")
+    return p.select(F.col("user_id").alias("run_id"), F.col("_e").cast("int").alias("epoch"),
+                    F.col("value").alias("loss"))
 
 
 def batch_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
