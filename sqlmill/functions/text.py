@@ -44,24 +44,27 @@ SQL_KEYWORDS = (
 # possessive quantifiers: the backtracking form overflows the JVM thread stack
 # on long literals and kills the executor.  RE2 has no backtracking stack and
 # no possessive syntax, so the oracle uses the plain form.
+# Words and whitespace come first (the common cases); no two alternatives can
+# start with the same character except the single-character fallback, which
+# is last, so the order does not change the tokens.
 SQL_LEXER = (
-    r"'(?:[^'\\]++|''|\\[\s\S])*+'"
+    r"[\p{L}\p{N}_]++"
+    r"|" + WS_CLASS + r"++"
+    r"|'(?:[^'\\]++|''|\\[\s\S])*+'"
     r'|"(?:[^"\\]++|""|\\[\s\S])*+"'
     r"|`[^`]*+`"
     r"|--[^\n]*+"
     r"|/\*[\s\S]*?\*/"
-    r"|[\p{L}\p{N}_]++"
-    r"|" + WS_CLASS + r"++"
     r"|[\s\S]"
 )
 SQL_LEXER_RE2 = (
-    r"'(?:[^'\\]|''|\\[\s\S])*'"
+    r"[\p{L}\p{N}_]+"
+    r"|" + WS_CLASS + r"+"
+    r"|'(?:[^'\\]|''|\\[\s\S])*'"
     r'|"(?:[^"\\]|""|\\[\s\S])*"'
     r"|`[^`]*`"
     r"|--[^\n]*"
     r"|/\*[\s\S]*?\*/"
-    r"|[\p{L}\p{N}_]+"
-    r"|" + WS_CLASS + r"+"
     r"|[\s\S]"
 )
 
