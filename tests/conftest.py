@@ -4,7 +4,11 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(HERE))
+# Python workers import functions defined in test modules (stand-in models)
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [HERE, os.path.dirname(HERE)] + [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p])
 
 SF = "/root/testdata/sf0.001"
 
