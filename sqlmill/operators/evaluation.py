@@ -224,10 +224,10 @@ def error_preview(details: DataFrame, run="run_id", order="query_id", k: int = 3
     zero = sides.groupBy(run, "side").agg(F.count_if("ok").alias("n_ok")).where(F.col("n_ok") == 0)
     fails = sides.join(zero.select(run, "side"), [run, "side"], "left_semi")
     w = Window.partitionBy(run, "side").orderBy(order)
-    fail_rows = (fails.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    fail_rows = (fails.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
                  .select(run, F.concat(F.lit("error:"), F.col("side")).alias("kind"), order, "rank", "error"))
     w2 = Window.partitionBy(run).orderBy(order)
-    sample_rows = (details.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
+    sample_rows = (details.withColumn("rank", F.row_number().over(w2).cast("bigint")).where(F.col("rank") <= k)
                    .select(run, F.lit("sample").alias("kind"), order, "rank",
                            F.lit(None).cast("string").alias("error")))
     return fail_rows.unionByName(sample_rows)

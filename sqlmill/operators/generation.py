@@ -86,7 +86,7 @@ def parse_samples(responses: DataFrame, keys=("topic_id",), response="response")
     instead loses the whole topic on a non-string value (deliberate divergence)."""
     keys = list(keys)
     lines = responses.select(*keys, F.posexplode(F.split(py_strip(response), "\n", -1)).alias("line_no", "raw"))
-    lines = lines.select(*keys, "line_no", py_strip("raw").alias("line"))
+    lines = lines.select(*keys, F.col("line_no").cast("bigint").alias("line_no"), py_strip("raw").alias("line"))
     lines = lines.withColumn("v", F.when(is_json("line"), F.try_parse_json("line")))
     typ = lambda path: F.schema_of_variant(F.try_variant_get("v", path, "variant"))
     ok = F.col("v").isNotNull() & (typ("$.input") == "STRING") & (typ("$.output") == "STRING")

@@ -22,7 +22,7 @@ def latest_logs(logs: DataFrame, n: int = 100, run="run_id", order=("ts", "seq")
     ``row_number() <= n`` with a literal ``n`` is planned with a per-task group
     limit before the shuffle, so a run with billions of lines ships ``n`` per task."""
     w = Window.partitionBy(run).orderBy(*[F.col(c).desc() for c in order])
-    return logs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return logs.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
 
 
 def run_status(log: DataFrame, run="run_id", total_steps: int = TOTAL_STEPS) -> DataFrame:

@@ -74,7 +74,7 @@ def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",
     is_id = (is_word & ~is_kw & ~t.rlike("^[0-9]")) | quoted_id
     name = F.when(quoted_id, F.expr("substring(lower(tok), 2, length(tok) - 2)")).otherwise(F.lower(t))
     delta = F.when(t == "(", 1).when(t == ")", -1).otherwise(0)
-    return toks.select(key, *keep, "pos", "tok", up.alias("up"), is_id.alias("is_id"), name.alias("name"),
+    return toks.select(key, *keep, F.col("pos").cast("bigint").alias("pos"), "tok", up.alias("up"), is_id.alias("is_id"), name.alias("name"),
                        delta.alias("delta"))
 
 
@@ -123,7 +123,7 @@ def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
                .when(F.col("sf_pos").isNotNull(), F.lit("empty SELECT list"))
                .when(F.col("last").isin(*DANGLING), F.concat(F.lit("statement ends with "), F.col("last"))))
     return g.where(problem.isNotNull()).select(
-        key, F.lit(STAGE_SYNTAX).alias("stage"), F.lit(0).cast("int").alias("pos"),
+        key, F.lit(STAGE_SYNTAX).alias("stage"), F.lit(0).cast("bigint").alias("pos"),
         F.lit("syntax").alias("kind"), F.concat(F.lit(MSG_SYNTAX), problem).alias("message"))
 
 
@@ -194,7 +194,7 @@ def validate_tables(trefs: DataFrame, catalog_columns: DataFrame, sample_db: Dat
     if bound is not None:
         r = r.join(bound.withColumnRenamed("bound", "table_name"), [key, "table_name"], "left_anti")
     miss = r.join(tables, [db, "table_name"], "left_anti")
-    return miss.select(key, F.lit(STAGE_TABLE).alias("stage"), F.col("pos").cast("int").alias("pos"),
+    return miss.select(key, F.lit(STAGE_TABLE).alias("stage"), F.col("pos").alias("pos"),
                        F.lit("missing_table").alias("kind"), _msg(MSG_TABLE, t=F.col("table_name")).alias("message"))
 
 
@@ -206,11 +206,11 @@ def validate_columns(resolved: DataFrame, catalog_columns: DataFrame, sample_db:
     if bound is not None:
         r = r.join(bound.withColumnRenamed("bound", "table_name"), [key, "table_name"], "left_anti")
     no_table = r.join(tables, [db, "table_name"], "left_anti").select(
-        key, F.lit(STAGE_COLUMN).alias("stage"), F.col("pos").cast("int").alias("pos"),
+        key, F.lit(STAGE_COLUMN).alias("stage"), F.col("pos").alias("pos"),
         F.lit("missing_table").alias("kind"), _msg(MSG_TABLE, t=F.col("table_name")).alias("message"))
     has_table = r.join(tables, [db, "table_name"], "left_semi").where(F.col("column_name") != "*")
     no_col = has_table.join(cols, [db, "table_name", "column_name"], "left_anti").select(
-        key, F.lit(STAGE_COLUMN).alias("stage"), F.col("pos").cast("int").alias("pos"),
+        key, F.lit(STAGE_COLUMN).alias("stage"), F.col("pos").alias("pos"),
         F.lit("missing_column").alias("kind"),
         _msg(MSG_COLUMN, t=F.col("table_name"), c=F.col("column_name")).alias("message"))
     return no_table.unionByName(no_col)
@@ -225,11 +225,11 @@ def validation_errors(samples: DataFrame, catalog_columns: DataFrame, strict: bo
     bound = None if strict else bound_names(frame, key)
     resolved = resolve_aliases(trefs, column_refs(frame, key), key)
     blank = samples.where(is_blank(sql)).select(
-        key, F.lit(0).alias("stage"), F.lit(0).alias("pos"), F.lit("blank").alias("kind"),
+        key, F.lit(0).alias("stage"), F.lit(0).cast("bigint").alias("pos"), F.lit("blank").alias("kind"),
         F.lit("empty SQL").alias("message"))
     # non-blank text with no statement tokens (only comments)
     empty = samples.where(~is_blank(sql)).select(key).join(frame.select(key), key, "left_anti").select(
-        key, F.lit(STAGE_SYNTAX).alias("stage"), F.lit(0).alias("pos"), F.lit("syntax").alias("kind"),
+        key, F.lit(STAGE_SYNTAX).alias("stage"), F.lit(0).cast("bigint").alias("pos"), F.lit("syntax").alias("kind"),
         F.lit(MSG_SYNTAX + "no SQL statement").alias("message"))
     return (blank.unionByName(empty).unionByName(check_syntax(frame, key))
             .unionByName(validate_tables(trefs, catalog_columns, sample_db, bound, key, db))

@@ -62,7 +62,7 @@ blocks as (select *, concat(chr(10), '### 表: ', table_name, chr(10), '说明:
 @register("columns_by_table", BASE + " select db_id, table_name, n_columns, column_names from cat")
 def q_columns_by_table(spark, sf_dir):
     c = cat.columns_by_table(fixtures.catalog_columns(spark, sf_dir))
-    return c.select("db_id", "table_name", F.size("columns").alias("n_columns"), _names().alias("column_names"))
+    return c.select("db_id", "table_name", F.size("columns").cast("bigint").alias("n_columns"), _names().alias("column_names"))
 
 
 @register("pk_by_table", BASE + " select db_id, table_name, array_to_string(pkl, ',') as primary_keys from pks")
@@ -81,7 +81,7 @@ def q_fk_map(spark, sf_dir):
  array_to_string(pkl, ',') as primary_keys, fk_text as foreign_keys from cat""")
 def q_catalog_assemble(spark, sf_dir):
     a = assembled(spark, sf_dir)
-    return a.select("db_id", "table_name", F.size("columns").alias("n_columns"), _names().alias("column_names"),
+    return a.select("db_id", "table_name", F.size("columns").cast("bigint").alias("n_columns"), _names().alias("column_names"),
                     F.array_join("primary_keys", ",").alias("primary_keys"), _fk_text().alias("foreign_keys"))
 
 

@@ -204,9 +204,10 @@ r as (select conv_id, len(ids) as full_length, ids[1:{MAX_LENGTH}] as input_ids
  array_to_string(input_ids, ',') as input_ids, len(input_ids) as mask_sum, true as labels_equal from r""")
 def q_training_rows(spark, sf_dir):
     r = _train_rows(spark, sf_dir)
-    return r.select("conv_id", F.size("token_ids").alias("full_length"), F.size("input_ids").alias("n_tokens"),
+    return r.select("conv_id", F.size("token_ids").cast("bigint").alias("full_length"),
+                    F.size("input_ids").cast("bigint").alias("n_tokens"),
                     F.array_join("input_ids", ",").alias("input_ids"),
-                    F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
+                    F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("mask_sum"),
                     (F.col("labels") == F.col("input_ids")).alias("labels_equal"))
 
 
@@ -224,7 +225,8 @@ select conv_id, batch, n_pad, len(input_ids) + n_pad as padded_length,
  array_to_string(list_concat(input_ids, list_transform(range(n_pad), lambda x: -100)), ',') as labels from m""")
 def q_pad_batches(spark, sf_dir):
     p = TR.pad_batches(TR.batch_ids(_train_rows(spark, sf_dir), BATCH, "conv_id"))
-    return p.select("conv_id", "batch", "n_pad", F.size("input_ids").alias("padded_length"),
+    return p.select("conv_id", "batch", F.col("n_pad").cast("bigint").alias("n_pad"),
+                    F.size("input_ids").cast("bigint").alias("padded_length"),
                     F.array_join("input_ids", ",").alias("input_ids"),
                     F.array_join("attention_mask", ",").alias("attention_mask"),
                     F.array_join("labels", ",").alias("labels"))

@@ -90,7 +90,7 @@ def scan_images(spark: SparkSession, path: str) -> DataFrame:
 def image_payload(uploads: DataFrame) -> DataFrame:
     """S10 over uploaded rows (name, mime, content): keep ``image/*``, base64 the bytes."""
     return uploads.where(F.col("mime").startswith("image/")).select(
-        "name", "mime", F.octet_length("content").alias("size"), b64("content").alias("payload"))
+        "name", "mime", F.octet_length("content").cast("bigint").alias("size"), b64("content").alias("payload"))
 
 
 def upload_manifest(uploads: DataFrame, id_col, keep=()) -> DataFrame:
@@ -98,4 +98,4 @@ def upload_manifest(uploads: DataFrame, id_col, keep=()) -> DataFrame:
     uid = F.col(id_col) if isinstance(id_col, str) else id_col
     return uploads.select(*keep, F.col("name").alias("original_name"),
                           F.concat(uid, file_extension("name")).alias("saved_name"),
-                          F.octet_length("content").alias("size"))
+                          F.octet_length("content").cast("bigint").alias("size"))
