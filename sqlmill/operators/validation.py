@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SQL_KEYWORDS, WS_CLASS, is_blank, py_strip, sql_lex
+from ..session import persist_once
 
 # --- fixed values ------------------------------------------------------------
 VERBS = ("SELECT", "WITH", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTER", "REPLACE",
@@ -108,15 +109,16 @@ def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
     return t
 
 
-def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
-    """V2: (sample_id, stage, pos, kind, message) for the first syntax problem found per rule."""
-    g = frame.groupBy(key).agg(
-        F.min_by("up", "pos").alias("first"),
-        F.min("cum").alias("min_cum"),
-        F.max_by("cum", "pos").alias("final_cum"),
-        F.max_by("up", F.when(F.col("tok") != ";", F.col("pos"))).alias("last"),
-        F.min(F.when(F.col("tok").isin("'", '"', "`"), F.col("pos"))).alias("quote_pos"),
-        F.min(F.when((F.col("up") == "SELECT") & (F.col("n1_up") == "FROM"), F.col("pos"))).alias("sf_pos"))
+def _syntax_aggs():
+    return [F.min_by("up", "pos").alias("first"),
+            F.min("cum").alias("min_cum"),
+            F.max_by("cum", "pos").alias("final_cum"),
+            F.max_by("up", F.when(F.col("tok") != ";", F.col("pos"))).alias("last"),
+            F.min(F.when(F.col("tok").isin("'", '"', "`"), F.col("pos"))).alias("quote_pos"),
+            F.min(F.when((F.col("up") == "SELECT") & (F.col("n1_up") == "FROM"), F.col("pos"))).alias("sf_pos")]
+
+
+def _syntax_errors(g: DataFrame, key) -> DataFrame:
     problem = (F.when(~F.col("first").isin(*VERBS), F.concat(F.lit("unknown statement start "), F.col("first")))
                .when((F.col("min_cum") < 0) | (F.col("final_cum") != 0), F.lit("unbalanced parentheses"))
                .when(F.col("quote_pos").isNotNull(), F.lit("unterminated quoted text"))
@@ -127,12 +129,18 @@ def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
         F.lit("syntax").alias("kind"), F.concat(F.lit(MSG_SYNTAX), problem).alias("message"))
 
 
-def table_refs(frame: DataFrame, key="sample_id") -> DataFrame:
-    """V3: (sample_id, pos, table_name, alias) — names lower-cased, quotes removed."""
-    f = frame
+def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
+    """V2: (sample_id, stage, pos, kind, message) for the first syntax problem found per rule."""
+    return _syntax_errors(frame.groupBy(key).agg(*_syntax_aggs()), key)
+
+
+def _tref_start() -> Column:
     prev_ok = F.col("p1").isin(*TABLE_PREV) | ((F.col("p1") == ",") & F.col("clause").isin("FROM", "JOIN", "USING"))
     need_sel = ~F.col("p1").isin("INTO", "UPDATE")
-    start = F.col("is_id") & prev_ok & (~need_sel | F.col("sel_seen"))
+    return F.col("is_id") & prev_ok & (~need_sel | F.col("sel_seen"))
+
+
+def _tref_fields():
     qualified = (F.col("n1") == ".") & F.col("n2_id")
     table = F.when(qualified, F.col("n2_name")).otherwise(F.col("name"))
     # token after the name, then the one after that (for AS)
@@ -142,31 +150,46 @@ def table_refs(frame: DataFrame, key="sample_id") -> DataFrame:
     a2_id = F.when(qualified, F.col("n4_id")).otherwise(F.col("n2_id"))
     a2_name = F.when(qualified, F.col("n4_name")).otherwise(F.col("n2_name"))
     alias = F.when(a1_up == "AS", F.when(a2_id, a2_name)).when(a1_id, a1_name)
-    return f.where(start).select(key, "pos", table.alias("table_name"), alias.alias("alias"))
+    return table.alias("table_name"), alias.alias("alias")
 
 
-def bound_names(frame: DataFrame, key="sample_id") -> DataFrame:
-    """Names bound inside the statement: WITH names and derived-table aliases."""
+def table_refs(frame: DataFrame, key="sample_id") -> DataFrame:
+    """V3: (sample_id, pos, table_name, alias) — names lower-cased, quotes removed."""
+    return frame.where(_tref_start()).select(key, "pos", *_tref_fields())
+
+
+def _bound_cond() -> Column:
     cte = (F.col("is_id") & (F.col("n1_up") == "AS") & (F.col("n2") == "(")
            & ((F.col("p1").isin("WITH", "RECURSIVE"))
               | ((F.col("p1") == ",") & (F.col("depth") == 0) & ~F.col("sel_seen"))))
     derived = (F.col("is_id") & F.col("clause").isin("FROM", "JOIN")
                & ((F.col("p1") == ")") | ((F.col("p1") == "AS") & (F.col("p2") == ")"))))
-    return frame.where(cte | derived).select(key, F.col("name").alias("bound")).distinct()
+    return cte | derived
 
 
-def column_refs(frame: DataFrame, key="sample_id") -> DataFrame:
-    """V4: (sample_id, pos, qualifier, column_name) for ``q.c`` and ``q.*``;
-    ``db.t.c`` uses ``t`` as the qualifier."""
-    trefs = table_refs(frame, key).select(key, "pos", F.lit(True).alias("_t"))
-    f = frame.join(trefs, [key, "pos"], "left")
-    three = (F.col("n3") == ".") & (F.col("n4_id") | (F.col("n4") == "*"))
+def bound_names(frame: DataFrame, key="sample_id") -> DataFrame:
+    """Names bound inside the statement: WITH names and derived-table aliases."""
+    return frame.where(_bound_cond()).select(key, F.col("name").alias("bound")).distinct()
+
+
+def _cref_start() -> Column:
     two = (F.col("n1") == ".") & (F.col("n2_id") | (F.col("n2") == "*"))
-    start = F.col("is_id") & two & (F.coalesce(F.col("p1"), F.lit("")) != ".") & F.col("_t").isNull()
+    return (F.col("is_id") & two & (F.coalesce(F.col("p1"), F.lit("")) != ".")
+            & ~F.coalesce(_tref_start(), F.lit(False)))
+
+
+def _cref_fields():
+    three = (F.col("n3") == ".") & (F.col("n4_id") | (F.col("n4") == "*"))
     qual = F.when(three & F.col("n2_id"), F.col("n2_name")).otherwise(F.col("name"))
     col = F.when(three & F.col("n2_id"), F.when(F.col("n4") == "*", F.lit("*")).otherwise(F.col("n4_name"))) \
         .otherwise(F.when(F.col("n2") == "*", F.lit("*")).otherwise(F.col("n2_name")))
-    return f.where(start).select(key, "pos", qual.alias("qualifier"), col.alias("column_name"))
+    return qual.alias("qualifier"), col.alias("column_name")
+
+
+def column_refs(frame: DataFrame, key="sample_id") -> DataFrame:
+    """V4: (sample_id, pos, qualifier, column_name) for ``q.c`` and ``q.*``
+    outside table references; ``db.t.c`` uses ``t`` as the qualifier."""
+    return frame.where(_cref_start()).select(key, "pos", *_cref_fields())
 
 
 def resolve_aliases(trefs: DataFrame, crefs: DataFrame, key="sample_id") -> DataFrame:
@@ -216,22 +239,41 @@ def validate_columns(resolved: DataFrame, catalog_columns: DataFrame, sample_db:
     return no_table.unionByName(no_col)
 
 
+def statement_summary(frame: DataFrame, key="sample_id") -> DataFrame:
+    """One row per statement: syntax figures, its table references, column
+    references and bound names.  The arrays are bounded by the statement's own
+    token count."""
+    t_ref = F.when(_tref_start(), F.struct(F.col("pos"), *_tref_fields()))
+    c_ref = F.when(_cref_start(), F.struct(F.col("pos"), *_cref_fields()))
+    return frame.groupBy(key).agg(
+        *_syntax_aggs(),
+        F.collect_list(t_ref).alias("trefs"), F.collect_list(c_ref).alias("crefs"),
+        F.collect_set(F.when(_bound_cond(), F.col("name"))).alias("bound"))
+
+
 def validation_errors(samples: DataFrame, catalog_columns: DataFrame, strict: bool = False,
                       key="sample_id", db="db_id", sql="output") -> DataFrame:
-    """All errors of all stages: (sample_id, stage, pos, kind, message)."""
-    frame = token_frame(sql_tokens(samples, key, sql, keep=(db,)), key)
+    """All errors of all stages: (sample_id, stage, pos, kind, message).
+
+    The token frame (lexing + three window sorts) is computed once and folded
+    into a narrow per-statement summary, which is written to the shared folder;
+    every check then starts from that small table instead of recomputing the
+    frame per branch."""
+    frame = token_frame(sql_tokens(samples, key, sql, keep=()), key)
+    summary = persist_once(statement_summary(frame, key), samples.sparkSession, "statements")
     sample_db = samples.select(key, db)
-    trefs = table_refs(frame, key)
-    bound = None if strict else bound_names(frame, key)
-    resolved = resolve_aliases(trefs, column_refs(frame, key), key)
+    trefs = summary.select(key, F.inline("trefs"))
+    crefs = summary.select(key, F.inline("crefs"))
+    bound = None if strict else summary.select(key, F.explode("bound").alias("bound"))
+    resolved = resolve_aliases(trefs, crefs, key)
     blank = samples.where(is_blank(sql)).select(
         key, F.lit(0).alias("stage"), F.lit(0).cast("bigint").alias("pos"), F.lit("blank").alias("kind"),
         F.lit("empty SQL").alias("message"))
     # non-blank text with no statement tokens (only comments)
-    empty = samples.where(~is_blank(sql)).select(key).join(frame.select(key), key, "left_anti").select(
+    empty = samples.where(~is_blank(sql)).select(key).join(summary.select(key), key, "left_anti").select(
         key, F.lit(STAGE_SYNTAX).alias("stage"), F.lit(0).cast("bigint").alias("pos"), F.lit("syntax").alias("kind"),
         F.lit(MSG_SYNTAX + "no SQL statement").alias("message"))
-    return (blank.unionByName(empty).unionByName(check_syntax(frame, key))
+    return (blank.unionByName(empty).unionByName(_syntax_errors(summary, key))
             .unionByName(validate_tables(trefs, catalog_columns, sample_db, bound, key, db))
             .unionByName(validate_columns(resolved, catalog_columns, sample_db, bound, key, db)))
 
