@@ -74,7 +74,7 @@ def test_execute_distinct(spark):
 
 def test_streaming_run_status_equals_batch(spark):
     from sqlmill.operators import runs as R
-    from sqlmill.streaming import pipeline as P
+    from sqlmill.streaming import stream_ops as P
     d = tempfile.mkdtemp(prefix="evstream-")
     shutil.copy("/root/testdata/sf0.001/events.parquet", d + "/events.parquet")
     q = P.start(P.stream_run_status(P.read_events(spark, d)), "run_status_test", mode="complete")
