@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.jsontext import is_json
 from ..functions.text import py_strip
+from ..session import persist_once
 
 ModelFn = Callable[[list], list]
 
@@ -122,3 +123,34 @@ def union_topics(first: DataFrame, topup: DataFrame, targets: DataFrame, keys=("
     """G5 + G3: first-pass samples, then top-up samples, capped per topic."""
     both = first.withColumn("pass", F.lit(1)).unionByName(topup.withColumn("pass", F.lit(2)))
     return cap_per_topic(both, targets, keys)
+
+
+def cached_inference(df: DataFrame, fn: ModelFn, cache_path: str, prompt="prompt", keys=("id",),
+                     **kwargs) -> DataFrame:
+    """G1 with answers stored by prompt hash under ``cache_path`` (a table in the
+    shared folder).  Only prompts without a stored successful answer reach the
+    model; new successful answers are appended, so a rerun or a resumed job
+    never pays for the same prompt twice.  Returns (keys…, response, error).
+
+    Calls happen in the one write job; the returned frame reads the stored
+    answers (and the failures of this call), it does not call the model."""
+    spark = df.sparkSession
+    keys = list(keys)
+    h = F.sha2(F.col(prompt), 256)
+    d = df.select(*keys, prompt).withColumn("prompt_hash", h)
+    try:
+        done = spark.read.parquet(cache_path)
+    except Exception:  # noqa: BLE001 - no cache yet
+        done = spark.createDataFrame([], "prompt_hash string, response string")
+    todo = d.join(done.select("prompt_hash"), "prompt_hash", "left_anti").dropDuplicates(["prompt_hash"])
+    # the call result is written once; both the cache append and the error
+    # rows read that copy, so no prompt is sent to the model twice
+    fresh = persist_once(batch_inference(todo.select("prompt_hash", prompt), fn, prompt=prompt,
+                                         keys=("prompt_hash",), **kwargs), spark, "answers")
+    fresh.where(F.col("error").isNull()).select("prompt_hash", "response").write.mode("append").parquet(cache_path)
+    stored = spark.read.parquet(cache_path).dropDuplicates(["prompt_hash"])
+    # prompts whose call failed this time keep the model's error text
+    errs = fresh.where(F.col("error").isNotNull()).select("prompt_hash", F.col("error").alias("_err"))
+    return (d.join(stored, "prompt_hash", "left").join(errs, "prompt_hash", "left")
+             .select(*keys, "response", F.when(F.col("response").isNull(), F.coalesce("_err", F.lit("no answer")))
+                     .alias("error")))

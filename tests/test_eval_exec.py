@@ -85,3 +85,25 @@ def test_streaming_run_status_equals_batch(spark):
                                            "event_id % 6 + 1 as step")
     batch = R.run_status(ev_)
     assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
+
+
+def counting_model(prompts):
+    if any("bad" in p for p in prompts):
+        raise RuntimeError("boom")
+    return [f"answer to {p}" for p in prompts]
+
+
+def test_cached_inference_calls_each_prompt_once(spark):
+    from sqlmill.operators import generation as G
+    from sqlmill.session import scratch_path
+    cache = scratch_path(spark, "t-cache")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "bad")], "id long, prompt string")
+    out = {r["id"]: (r["response"], r["error"]) for r in
+           G.cached_inference(df, counting_model, cache, keys=("id",), base_wait=0.0, max_retries=1).collect()}
+    assert out[1] == ("answer to a", None) and out[3] == ("answer to a", None)
+    assert out[4][0] is None and "boom" in out[4][1]
+    stored = spark.read.parquet(cache)
+    assert stored.count() == 2                       # 'a' once, 'b' once; the failure is not stored
+    df2 = spark.createDataFrame([(5, "a"), (6, "c")], "id long, prompt string")
+    G.cached_inference(df2, counting_model, cache, keys=("id",), base_wait=0.0).collect()
+    assert spark.read.parquet(cache).count() == 3    # only 'c' was new
