@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.jsontext import is_json
 from ..functions.text import py_strip
-from ..session import persist_once
+from ..session import persist_once, ship_package
 
 ModelFn = Callable[[list], list]
 
@@ -74,6 +74,7 @@ def batch_inference(df: DataFrame, fn: ModelFn, prompt="prompt", keys=("id",), c
                 out["attempts"] = att
                 yield out
 
+    ship_package(df.sparkSession)
     return df.select(*keys, prompt).repartition(concurrency).mapInPandas(run, schema)
 
 

@@ -31,6 +31,8 @@ def tokenize_with(df: DataFrame, fn: Callable[[list], list], text="prompt", out=
             b = b.copy()
             b[out] = [list(map(int, ids)) for ids in fn(b[text].tolist())]
             yield b
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     return df.mapInPandas(run, schema)
 
 

@@ -73,3 +73,30 @@ def persist_once(df, spark: SparkSession, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sqlmill`` importable on executors (once per application).
+
+    Python functions that run in tasks (model stand-ins, tokenizers, writers)
+    are pickled by reference to their module, so executors must be able to
+    import the package.  It is zipped on the driver and distributed with
+    ``addPyFile``."""
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="sqlmill-pkg-"), "sqlmill.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)

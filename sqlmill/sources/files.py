@@ -59,6 +59,8 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
         if parts:
             yield pd.DataFrame({"value": ["[" + ",\n".join(parts) + "]"]})
 
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     js.mapInPandas(to_array, "value string").write.mode("overwrite").text(path)
 
 
