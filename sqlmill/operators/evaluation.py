@@ -105,6 +105,26 @@ def text_metrics(pairs: DataFrame, group=("run_id",)) -> DataFrame:
         F.count(F.lit(1)).alias("total_samples"))
 
 
+def scored_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs with both per-row scores (``exact_match`` flag, token ``f1``), so a
+    report can write details and metrics from one scoring pass."""
+    return with_token_f1(with_exact_match(pairs))
+
+
+def metrics_from_scored(scored: DataFrame, group=("run_id",)) -> DataFrame:
+    """E1 + E3 over already scored pairs."""
+    return scored.groupBy(*group).agg(
+        F.coalesce(F.avg(F.col("exact_match").cast("double")), F.lit(0.0)).alias("exact_match"),
+        F.coalesce(F.avg("f1"), F.lit(0.0)).alias("token_f1"),
+        F.count(F.lit(1)).alias("total_samples"))
+
+
+def details_from_scored(scored: DataFrame, keys=("run_id", "ord")) -> DataFrame:
+    from ..functions.text import py_strip
+    return scored.select(*keys, py_strip("question").alias("question"), py_strip("reference").alias("reference"),
+                         py_strip("prediction").alias("prediction"), "exact_match")
+
+
 def exact_match(pairs: DataFrame, group=("run_id",)) -> DataFrame:
     """E1."""
     return pairs.groupBy(*group).agg(

@@ -100,8 +100,9 @@ def evaluation(spark: SparkSession, pairs: DataFrame, model, executed: tuple | N
     answers = persist_once(gen.batch_inference(prompts, model, keys=("id", "run_id", "ord")), spark, "eval-answers")
     preds = answers.select("run_id", "ord", extract_sql(F.coalesce("response", F.lit(""))).alias("prediction"))
     aligned = ev.align_pairs(preds, pairs.select("run_id", "ord", "question", "reference"))
-    metrics = ev.text_metrics(aligned)
-    details = ev.text_match_details(aligned)
+    scored = persist_once(ev.scored_pairs(aligned), spark, "scored")
+    metrics = ev.metrics_from_scored(scored)
+    details = ev.details_from_scored(scored)
     if executed is not None:
         from ..operators.execution import execution_rows
         status, results = executed

@@ -76,9 +76,11 @@ def q_write_samples(spark, sf_dir):
 @register("eval_report", TEXT_METRICS)
 def q_eval_report(spark, sf_dir):
     """K7: metrics and detail rows written as two outputs; the metrics read back."""
+    from ..session import persist_once
     pairs = fixtures.prediction_pairs(spark, sf_dir)
     folder = scratch_path(spark, "report")
-    W.write_report(ev.text_metrics(pairs), ev.text_match_details(pairs), folder)
+    scored = persist_once(ev.scored_pairs(pairs), spark, "scored")   # score once, write twice
+    W.write_report(ev.metrics_from_scored(scored), ev.details_from_scored(scored), folder)
     return spark.read.schema("run_id bigint, exact_match double, token_f1 double, total_samples bigint").json(
         f"{folder}/metrics")
 

@@ -127,8 +127,9 @@ def q_column_refs(spark, sf_dir):
 
 @register("resolve_aliases", validation_sql("select sample_id, pos, qualifier, table_name, column_name from rs"))
 def q_resolve_aliases(spark, sf_dir):
-    f = _frame(spark, sf_dir)
-    return V.resolve_aliases(V.table_refs(f), V.column_refs(f))
+    from ..session import persist_once
+    s = persist_once(V.statement_summary(_frame(spark, sf_dir)), spark, "statements")
+    return V.resolve_aliases(s.select("sample_id", F.inline("trefs")), s.select("sample_id", F.inline("crefs")))
 
 
 def _errors(spark, sf_dir, strict=False):
