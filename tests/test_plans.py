@@ -40,3 +40,15 @@ def test_text_paths_have_no_python_udf(spark):
     for key in ("avg_token_f1", "normalize_sql", "validate_samples", "extract_sql", "extract_json"):
         p = plan(Q[key](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p, key
+
+
+def test_no_cross_joins_or_row_udfs_anywhere(spark):
+    """No registered query plans a cartesian product, a nested-loop join or a
+    row-at-a-time Python UDF."""
+    bad = {}
+    for key, fn in Q.items():
+        p = plan(fn(spark, SF))
+        hits = [op for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython") if op in p]
+        if hits:
+            bad[key] = hits
+    assert bad == {}
