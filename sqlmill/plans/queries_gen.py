@@ -96,9 +96,15 @@ def stand_in_model(prompts):
     return out
 
 
-@register("batch_inference")
+STAND_IN_SQL = GEN_PROMPT_SQL.rsplit("select plan_id, ord,", 1)[0] + """select plan_id, ord,
+ array_to_string(list_transform(range(round_even(cnt, 0)::bigint), lambda i: concat('{"input":"', name, ' question ',
+   cast(i as varchar), '","output":"SELECT ', cast(i as varchar), ';"}')), chr(10)) as response,
+ null::varchar as error, 1 as attempts from x"""
+
+
+@register("batch_inference", STAND_IN_SQL)
 def q_batch_inference(spark, sf_dir):
-    """G1 with the stand-in model over every topic's generation prompt (rows-only check)."""
+    """G1 with the deterministic stand-in model over every topic's generation prompt."""
     p = generation_prompts(spark, sf_dir)
     return G.batch_inference(p, stand_in_model, keys=("plan_id", "ord"), base_wait=0.0)
 

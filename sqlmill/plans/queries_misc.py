@@ -166,11 +166,15 @@ def stand_in_vision(prompts):
     return out
 
 
-@register("caption_inference")
+@register("caption_inference", f"""with {UPLOADS}, p as (select name, length(to_base64(content)) as n from up
+ where starts_with(mime, 'image/'))
+select name, case when n % 7 <> 0 then concat('An image payload of ', cast(n as varchar), ' base64 characters') end as response,
+ case when n % 7 = 0 then 'RuntimeError: vision call failed' end as error from p""")
 def q_caption_inference(spark, sf_dir):
-    """Caption calls over the image payloads; failures are isolated per row (rows-only check)."""
+    """Caption calls over the image payloads; a failing call fails only its own row."""
     p = S.image_payload(fixtures.uploads(spark, sf_dir))
-    return G.batch_inference(p, stand_in_vision, prompt="payload", keys=("name",), base_wait=0.0, max_retries=2)
+    r = G.batch_inference(p, stand_in_vision, prompt="payload", keys=("name",), base_wait=0.0, max_retries=2)
+    return r.select("name", "response", "error")
 
 
 @register("export_multimodal", f"""with {UPLOADS} select original_name as image, '{W.IMAGE_QUESTION}' as user_content,
