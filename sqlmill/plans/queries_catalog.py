@@ -143,6 +143,18 @@ def q_topic_ddl(spark, sf_dir):
     return cat.topic_ddl(fixtures.topics(spark, sf_dir), ddl)
 
 
-@register("cards_json")
+CARDS_JSON_SQL = BASE + """,
+cols as (select db_id, table_name, list(struct_pack(name := column_name, type := type, "desc" := "desc")
+  order by ordinal_position) as columns from cd2 group by all),
+fkm as (select db_id, table_name, map_from_entries(list(struct_pack(k := column_name, v := ref) order by column_name)) as fks
+  from fk1 group by all),
+card as (select c.db_id, c.table_name, struct_pack(summary := cat.summary, columns := c.columns,
+  foreign_keys := coalesce(fkm.fks, map_from_entries([]::struct(k varchar, v varchar)[]))) as card
+  from cols c join cat using (db_id, table_name) left join fkm using (db_id, table_name))
+select db_id, to_json(map_from_entries(list(struct_pack(k := table_name, v := card) order by table_name)))::varchar as cards_json
+from card group by db_id"""
+
+
+@register("cards_json", CARDS_JSON_SQL)
 def q_cards_json(spark, sf_dir):
     return cat.cards_json(cat.table_cards(assembled(spark, sf_dir)))
