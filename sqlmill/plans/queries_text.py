@@ -98,8 +98,10 @@ mixed as (
 
 
 def _alpaca_q(i="instruction", x="input"):
-    return (f"case when coalesce({x}, '') <> '' then {strip(f'concat(coalesce({i}, chr(0)), chr(10), {x})')} "
-            f"else {strip(f'coalesce({i}, chr(0))')} end").replace("chr(0)", "''")
+    """N1 question in SQL: strip(instruction + newline + input) when input is non-empty."""
+    joined = strip(f"concat(coalesce({i}, ''), chr(10), {x})")
+    alone = strip(f"coalesce({i}, '')")
+    return f"case when coalesce({x}, '') <> '' then {joined} else {alone} end"
 
 
 @register("parse_alpaca", f"""with {ALPACA_CTE}
