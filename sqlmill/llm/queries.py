@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, sharding
+from . import bpe, exact_dedup, langid, line_dedup, packing, sharding, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -40,6 +40,11 @@ def op1_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "n_spans", "text")
 
 
+@register("op2_packing")
+def op2_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op3_exact_dedup", oracle="""
 with d as (select doc_id, length(coalesce(text, '')) as n,
                   regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as norm from documents),
@@ -51,9 +56,38 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup_rows(table(spark, sf_dir, "documents"))
 
 
+def by_id(remainder: int, of: int):
+    """Documents whose crc32 of the id as text leaves ``remainder``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder
+
+
+@register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~by_id(2, 4))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(by_id(2, 4), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op5_bpe")
+def op5_bpe(spark, sf_dir):
+    coded = bpe.encode(table(spark, sf_dir, "documents"), decoded=True)
+    return coded.select("doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register("op6_sharding")
 def op6_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("bytes"))
     rows = docs.select("doc_id", (F.octet_length("bytes") + 1).cast("long").alias("size"), F.crc32("bytes").alias("text_crc32"))
     return sharding.shuffle_to_shards(rows).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op7_language_id")
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~by_id(1, 3))
+    return langid.predict(docs, model).select(
+        "doc_id", F.coalesce(by_id(1, 3), F.lit(False)).alias("held_out"), "lang_pred", "score")
