@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, line_dedup, packing, sharding, toxicity
+from . import bpe, exact_dedup, jaccard, langid, line_dedup, packing, sharding, topk, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -91,3 +91,34 @@ def op7_language_id(spark, sf_dir):
     model = langid.train(docs, ~by_id(1, 3))
     return langid.predict(docs, model).select(
         "doc_id", F.coalesce(by_id(1, 3), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@register("op8_topk_search", oracle="""
+with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+      from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+""")
+def op8_topk_search(spark, sf_dir):
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+@register("op9_ngram_jaccard", oracle="""
+with recursive d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+e as materialized (select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i:i + 4], ' ') end as s
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+n as materialized (select doc_id, count(*) as n from e group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from e a join e b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+l as materialized (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+r as (select doc_id as id, doc_id as c from documents union select l.b, r.c from r join l on l.a = r.id),
+m as (select id, min(c) as component_id from r group by id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id
+from documents d left join n on n.doc_id = d.doc_id join m on m.id = d.doc_id
+""")
+def op9_ngram_jaccard(spark, sf_dir):
+    return jaccard.linked(table(spark, sf_dir, "documents"))
