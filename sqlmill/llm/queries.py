@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard, langid, line_dedup, packing, sharding, topk, toxicity
+from . import bpe, exact_dedup, jaccard, langid, line_dedup, packing, sharding, suffix, topk, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -122,3 +122,24 @@ from documents d left join n on n.doc_id = d.doc_id join m on m.id = d.doc_id
 """)
 def op9_ngram_jaccard(spark, sf_dir):
     return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
+@register("op10_suffix_array", oracle="""
+with d as materialized (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as materialized (select doc_id, i, substr(h, 2 * i + 1, 100) as s from (select doc_id, h, unnest(range(0, len(h) // 2 - 49)) as i from d)),
+f as (select s, min(doc_id) as least from w group by s having count(*) > 1),
+g as (select w.doc_id, w.i from w join f on f.s = w.s and f.least < w.doc_id),
+b as (select *, i > coalesce(lag(i) over (partition by doc_id order by i), -1000) + 50 as opens from g),
+k as (select *, sum(opens::int) over (partition by doc_id order by i rows unbounded preceding) as run from b),
+r as (select doc_id, run, min(i) as a, max(i) + 50 as e from k group by all),
+p as (select *, coalesce(lag(e) over (partition by doc_id order by a), 0) as before from r),
+x as (select p.doc_id, count(*) as n_spans, cast(sum(e - a) as bigint) as n_removed,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) || substr(any_value(h), 2 * max(e) + 1) as kept
+      from p join d using (doc_id) group by p.doc_id)
+select d.doc_id, cast(len(h) // 2 as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept, h))) as kept_sha256
+from d left join x using (doc_id)
+""")
+def op10_suffix_array(spark, sf_dir):
+    done = suffix.dedup_bytes(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
