@@ -13,7 +13,7 @@ are read again for the byte comparison, and they are pre-aggregated by
 
 Edge cases: a null text counts as empty, empty texts form one group, rows that
 repeat an id with the same text are copies of each other (all of them carry
-``kept`` of that id), an empty table gives an empty result, further columns
+``kept`` of that id; ``drop_copies`` leaves one), an empty table gives an empty result, further columns
 are ignored here.
 """
 
@@ -74,6 +74,7 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, one row per group of equal texts."""
-    kept = dedup_rows(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    same = docs[id_col].eqNullSafe(kept["_keep"])
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
+    kept = dedup_rows(docs, id_col, text_col).filter("kept").select("doc_id", "text_sha256").distinct()
+    marked = docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
+    same = marked[id_col].eqNullSafe(kept["doc_id"]) & (marked["_sha"] == kept["text_sha256"])
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, "_sha"]).drop("_sha")

@@ -30,10 +30,10 @@ transform(sequence(0, size(lines) - 3), i -> struct(
 """
 #: Lines before the first covered span, between spans, and after the last one.
 _KEPT = """
-flatten(transform(sequence(0, size(first)), i ->
-    slice(lines,
-          if(i = 0, 0, last[i - 1] + 1) + 1,
-          if(i = size(first), size(lines), first[i]) - if(i = 0, 0, last[i - 1] + 1))))
+flatten(transform(sequence(0, size(_first)), i ->
+    slice(_lines,
+          if(i = 0, 0, _last[i - 1] + 1) + 1,
+          if(i = size(_first), size(_lines), _first[i]) - if(i = 0, 0, _last[i - 1] + 1))))
 """
 
 
@@ -56,15 +56,15 @@ def covered_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` reduced to the kept lines, plus ``n_lines,
-    n_removed, n_spans``."""
-    cov = covered_lines(docs.select("doc_id", "text")).withColumnRenamed("doc_id", "_cov_id")
-    out = docs.join(cov, F.col("doc_id") == F.col("_cov_id"), "left").drop("_cov_id")
-    out = out.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    out = out.withColumn("cov", F.coalesce("cov", F.array().cast("array<int>")))
-    out = (out.withColumn("first", F.expr("filter(cov, (x, i) -> i = 0 or cov[i - 1] < x - 1)"))
-           .withColumn("last", F.expr("filter(cov, (x, i) -> i = size(cov) - 1 or cov[i + 1] > x + 1)")))
-    return (out.withColumn("n_lines", F.size("lines").cast("long"))
-            .withColumn("n_removed", F.size("cov").cast("long"))
-            .withColumn("n_spans", F.size("first").cast("long"))
-            .withColumn("text", F.when(F.size("cov") == 0, F.col("text")).otherwise(F.array_join(F.expr(_KEPT), "\n")))
-            .drop("lines", "cov", "first", "last"))
+    n_removed, n_spans`` (which replace columns of these names)."""
+    cov = covered_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_cov_id"), F.col("cov").alias("_cov"))
+    out = docs.join(cov, docs["doc_id"] == cov["_cov_id"], "left").drop("_cov_id")
+    out = out.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
+    out = out.withColumn("_cov", F.coalesce("_cov", F.array().cast("array<int>")))
+    out = (out.withColumn("_first", F.expr("filter(_cov, (x, i) -> i = 0 or _cov[i - 1] < x - 1)"))
+           .withColumn("_last", F.expr("filter(_cov, (x, i) -> i = size(_cov) - 1 or _cov[i + 1] > x + 1)")))
+    return (out.withColumn("n_lines", F.size("_lines").cast("long"))
+            .withColumn("n_removed", F.size("_cov").cast("long"))
+            .withColumn("n_spans", F.size("_first").cast("long"))
+            .withColumn("text", F.when(F.size("_cov") == 0, F.col("text")).otherwise(F.array_join(F.expr(_KEPT), "\n")))
+            .drop("_lines", "_cov", "_first", "_last"))

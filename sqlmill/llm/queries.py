@@ -56,18 +56,12 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup_rows(table(spark, sf_dir, "documents"))
 
 
-def by_id(remainder: int, of: int):
-    """Documents whose crc32 of the id as text leaves ``remainder``."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder
-
-
 @register("op4_toxicity")
 def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~by_id(2, 4))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.teaches())
     return toxicity.score(docs, model).select(
-        "doc_id", F.coalesce(by_id(2, 4), F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 @register("op5_bpe")
@@ -88,9 +82,9 @@ def op6_sharding(spark, sf_dir):
 @register("op7_language_id")
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    model = langid.train(docs, ~by_id(1, 3))
-    return langid.predict(docs, model).select(
-        "doc_id", F.coalesce(by_id(1, 3), F.lit(False)).alias("held_out"), "lang_pred", "score")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = langid.train(docs, ~held_out)
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 @register("op8_topk_search", oracle="""

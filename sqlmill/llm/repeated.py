@@ -47,13 +47,13 @@ def part_of(docs: np.ndarray, parts: int) -> np.ndarray:
     return (mixed(docs.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) % np.uint64(parts)).astype(np.int64)
 
 
-def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Ids and texts of at most ``BATCH`` documents at a time."""
+def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Ids, texts and further columns of at most ``BATCH`` documents at a time."""
     for batch in batches:
         for k in range(0, batch.num_rows, BATCH):
             part = batch.slice(k, BATCH)
             if part.num_rows:
-                yield part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), part.column(1).to_pylist()
+                yield part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), *(c.to_pylist() for c in part.columns[1:])
 
 
 def row(kind: int, key: int, docs=b"", tokens=b"", numbers=b"") -> tuple:

@@ -36,8 +36,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import repeated as R
 from .common import python_ready, stored
@@ -204,30 +205,28 @@ def _texts(parts: int):
     """Texts packed and compressed by document part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(1).compress
-        for docs, texts in R.batches_of(batches):
+        for docs, texts, rest in R.batches_of(batches):
             part = R.part_of(docs, parts)
             rows = []
             for p in np.unique(part):
                 own = np.flatnonzero(part == p)
-                data = [(texts[i] or "").encode() for i in own]
+                data = [(x or "").encode() for i in own for x in (texts[i], rest[i])]
                 rows.append(R.row(TEXT, p, docs[own].tobytes(), pack(b"".join(data)),
                                   np.array([len(d) for d in data], np.int64).tobytes()))
             yield R.record(rows)
     return run
 
 
-def _unpacked(rows: pd.DataFrame) -> tuple[list[int], list[bytes]]:
-    """Ids and texts of a part, in one order whatever order the rows come in."""
-    docs, data = [], []
+def _unpacked(rows: pd.DataFrame) -> list[tuple[int, bytes, bytes]]:
+    """Ids, texts and what else their rows hold, in one order whatever order the rows come in."""
+    out = []
     unpack = zstandard.ZstdDecompressor().decompress
     for r in rows[rows["kind"] == TEXT].itertuples():
         whole, at = unpack(r.tokens), 0
-        for d, n in zip(np.frombuffer(r.docs, np.int64).tolist(), np.frombuffer(r.numbers, np.int64).tolist()):
-            docs.append(d)
-            data.append(whole[at:at + n])
-            at += n
-    order = sorted(range(len(docs)), key=lambda i: (docs[i], data[i]))
-    return [docs[i] for i in order], [data[i] for i in order]
+        for d, (n, m) in zip(np.frombuffer(r.docs, np.int64).tolist(), np.frombuffer(r.numbers, np.int64).reshape(-1, 2).tolist()):
+            out.append((d, whole[at:at + n], whole[at + n:at + n + m]))
+            at += n + m
+    return sorted(out)
 
 
 def _hash(data: bytes) -> int:
@@ -258,7 +257,7 @@ def _pieces(heavy, buckets: int):
             else:
                 sent.setdefault(gram % buckets, []).append((gram, back, piece, doc, start))
 
-        for doc, data in zip(*_unpacked(texts)):
+        for doc, data, _ in _unpacked(texts):
             at, grams, first, last = anchors(data)
             hot, _ = R.is_heavy(grams, known)
             use = hot | np.isin(grams, shared.get(doc, known[:0]))
@@ -395,42 +394,59 @@ def spans(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, e) for a, e in out]
 
 
-def _removed(key, texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+def _removed(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
     gone: dict[int, list[tuple[int, int]]] = {}
     for b in found["docs"] if len(found) else ():
         for d, a, e in np.frombuffer(b, np.int64).reshape(-1, 3).tolist():
             gone.setdefault(d, []).append((a, e))
     out = []
-    for doc, data in zip(*_unpacked(texts)):
+    for doc, data, rest in _unpacked(texts):
         cut = spans([(a, min(e, len(data))) for a, e in gone.get(doc, []) if a < len(data)])
         kept, at = [], 0
         for a, e in cut:
             kept.append(data[at:a])
             at = e
         kept.append(data[at:])
-        out.append((doc, len(data), sum(e - a for a, e in cut), len(cut), b"".join(kept)))
-    return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        out.append((doc, len(data), sum(e - a for a, e in cut), len(cut), b"".join(kept), rest.decode()))
+    return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "rest"])
 
 
-def dedup_bytes(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row."""
+def dedup_bytes(docs: DataFrame, rest: Column | None = None) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row, and ``rest``: a
+    string of each row that comes along."""
     spark = docs.sparkSession
     python_ready(spark)
-    every = docs.select(F.col("doc_id").cast("long"), "text")
-    texts = every.filter("doc_id is not null")
+    every = docs.select(F.col("doc_id").cast("long"), "text", (F.lit("") if rest is None else rest).alias("rest"))
+    rows = every.filter("doc_id is not null")
+    texts = rows.select("doc_id", "text")
     size = texts.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     parts = max(1, -(-size["bytes"] // PART_BYTES))
     buckets = max(1, -(-size["bytes"] * 2 // (LENGTH - GRAM) // R.BUCKET_TOKENS), parts)
     heavy = R.heavy_tokens(texts, anchor_grams, size["rows"])
     shared = spark.sparkContext.broadcast(heavy)
-    packed = texts.mapInArrow(_texts(parts), R.SCHEMA)
+    packed = texts.withColumn("rest", F.lit("")).mapInArrow(_texts(parts), R.SCHEMA)
     found = R.repeated(texts, anchor_grams, heavy, buckets, parts)
     pieces = packed.groupBy("key").cogroup(found.groupBy("key")).applyInPandas(_pieces(shared, buckets), "bucket int, " + R.SCHEMA)
     ranges = stored(pieces.groupBy("bucket").applyInPandas(_resolved, R.SCHEMA), "suffix-ranges")
-    again = texts.mapInArrow(_texts(parts), R.SCHEMA)
+    again = rows.mapInArrow(_texts(parts), R.SCHEMA)
     done = again.groupBy("key").cogroup(ranges.groupBy("key")).applyInPandas(
-        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, rest string")
     whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    loose = every.filter("doc_id is null").select("doc_id", F.octet_length(whole).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-                                                  F.lit(0).cast("long").alias("n_spans"), whole.alias("kept"))
+    none = F.lit(0).cast("long")
+    loose = every.filter("doc_id is null").select("doc_id", F.octet_length(whole).cast("long").alias("n_bytes"), none.alias("n_removed"),
+                                                  none.alias("n_spans"), whole.alias("kept"), "rest")
     return done.unionByName(loose)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``text`` reduced to the bytes that stay; a character of which a byte went, goes."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    names = [f"c{i}" for i in range(len(others))]  # any names, even equal in other cases, come through
+    rest = F.to_json(F.struct(*[docs[c].alias(n) for c, n in zip(others, names)])) if others else None
+    kept = dedup_bytes(docs, rest)
+    text = F.expr("regexp_replace(make_valid_utf8(cast(kept as string)), '\ufffd', '')")
+    shape = T.StructType([T.StructField(n, docs.schema[c].dataType) for c, n in zip(others, names)])
+    kept = kept.withColumn("_rest", F.from_json("rest", shape)) if others else kept
+    columns = {"doc_id": F.col("doc_id"), "text": F.when(F.col("n_removed") == 0, F.expr("cast(kept as string)")).otherwise(text)}
+    columns |= {c: F.col(f"_rest.{n}") for c, n in zip(others, names)}
+    return kept.select(*[columns[c].alias(c) for c in docs.columns])

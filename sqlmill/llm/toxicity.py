@@ -272,6 +272,15 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     return model
 
 
+def held_out() -> Column:
+    """Rows whose labels only measure: a quarter, by a hash of the id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def teaches() -> Column:
+    return ~held_out()
+
+
 def train(docs: DataFrame, labels: DataFrame, teaches: Column, sample: int = SAMPLE) -> Model:
     """A model from rows of ``docs`` that have a label and where ``teaches`` holds."""
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(teaches)
@@ -297,3 +306,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 found = shared.value.score(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``, with all columns and without a shuffle."""
+    python_ready(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                yield part.filter(pa.array(shared.value.score(part.column(at).to_pylist()) < threshold))
+    return docs.mapInArrow(run, docs.schema)
