@@ -1,11 +1,13 @@
 """Validation of generated SQL against database catalogs.
 
 Re-aim of a per-row grammar parser as a token table: each statement is lexed
-once (a built-in regex), exploded into ``(sample_id, pos, tok)`` and every
-rule becomes a window over ``sample_id`` or an anti join against the catalog.
-Samples are hash-partitioned by ``sample_id`` once, before the explode; all
-windows (partitioned by ``sample_id`` plus finer keys) and the final join then
-reuse that partitioning instead of shuffling tokens again.
+once (a built-in regex), its token array gets the neighbours by shifting, and
+is exploded into one row per token.  Depth, bracket scope and clause are
+windows over ``sample_id``; samples are hash-partitioned by it once, before
+the explode, and everything up to the per-statement summary reuses that
+partitioning.  The summary holds the sample's row, syntax figures and
+references, so that verdicts need no second look at samples or tokens: only
+distinct names meet the catalog, and the few missing ones join back.
 
 Rules (weaker than a grammar — documented limits):
 
@@ -13,11 +15,15 @@ Rules (weaker than a grammar — documented limits):
   no unterminated quote, no clause keyword dangling at the end, no SELECT
   directly followed by FROM;
 * table reference (V3): an identifier after FROM/JOIN/INTO/UPDATE, or after a
-  comma while the clause at the same bracket scope is FROM/JOIN/USING; for
+  comma while the clause at the same bracket scope is FROM/JOIN/USING, unless
+  a bracket follows (a table function; INTO t (columns) is a table); FROM in
+  IS [NOT] DISTINCT FROM and UPDATE in ON DUPLICATE KEY UPDATE, FOR UPDATE or
+  ON UPDATE do not count; for
   FROM/JOIN/comma a SELECT or DELETE must occur earlier in the same bracket
   scope (so ``EXTRACT(YEAR FROM x)`` is not a table).  ``db.t`` names ``t``.
   Alias = next identifier, skipping AS;
-* column reference (V4): ``q.c`` / ``q.*`` outside table references;
+* column reference (V4): ``q.c`` / ``q.*`` outside table references, not
+  followed by a bracket (a function);
 * alias resolution (J7): last alias wins; a bare table name resolves to itself;
 * names bound by WITH and derived-table aliases are accepted unless
   ``strict=True`` (the reference rejects them as unknown tables).
@@ -29,7 +35,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SQL_KEYWORDS, WS_CLASS, is_blank, py_strip, sql_lex
-from ..session import persist_once
 
 # --- fixed values ------------------------------------------------------------
 VERBS = ("SELECT", "WITH", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTER", "REPLACE",
@@ -45,8 +50,9 @@ MSG_SYNTAX = "语法错误: "                 # syntax error:
 MSG_TABLE = "Schema错误: 表 '{t}' 不存在"   # schema error: table 't' does not exist
 MSG_COLUMN = "Schema错误: 字段 '{t}.{c}' 不存在"  # schema error: column 't.c' does not exist
 # --- end of fixed values ------------------------------------------------------
+MSG_EXECUTION = "execution failed: "
 
-STAGE_SYNTAX, STAGE_TABLE, STAGE_COLUMN = 1, 2, 3
+STAGE_SYNTAX, STAGE_TABLE, STAGE_COLUMN, STAGE_EXECUTION = 1, 2, 3, 4
 
 
 def _msg(template: str, **cols: Column) -> Column:
@@ -59,44 +65,83 @@ def _msg(template: str, **cols: Column) -> Column:
     return F.concat(*parts)
 
 
-def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",)) -> DataFrame:
-    """V1: significant tokens (no whitespace, no comments) with positions and
-    per-token features.  Blank statements produce no tokens."""
-    s = samples.where(~is_blank(sql)).repartition(key)
-    toks = s.select(key, *keep, F.posexplode(sql_lex(py_strip(sql))).alias("pos", "tok"))
+_WORD = r"^[\p{L}\p{N}_]+$"
+
+
+def _statement_tokens(samples: DataFrame, key, sql, keep=()) -> DataFrame:
+    """(key, keep…, blank, toks): the significant tokens of each statement as one
+    array of (pos, tok, up, is_id, name, delta); empty for blank statements.
+    Every array has its own projection, so nothing is computed twice."""
+    s = samples.select(key, *keep, is_blank(sql).alias("blank"),
+                       F.coalesce(sql_lex(py_strip(sql)), F.array().cast("array<string>")).alias("toks"))
+    s = s.withColumn("toks", F.transform("toks", lambda x, i: F.struct(i.cast("bigint").alias("pos"), x.alias("tok"))))
     # drop whitespace runs and comments (no other token starts with whitespace)
-    toks = toks.where(~F.col("tok").rlike("^" + WS_CLASS) & ~F.col("tok").startswith("--")
-                      & ~F.col("tok").startswith("/*"))
-    t = F.col("tok")
-    up = F.upper(t)
-    is_word = t.rlike(r"^[\p{L}\p{N}_]+$")
-    is_kw = is_word & up.isin(*SQL_KEYWORDS)
-    quoted_id = (t.startswith('"') | t.startswith("`")) & (F.length(t) >= 2)
-    is_id = (is_word & ~is_kw & ~t.rlike("^[0-9]")) | quoted_id
-    name = F.when(quoted_id, F.expr("substring(lower(tok), 2, length(tok) - 2)")).otherwise(F.lower(t))
-    delta = F.when(t == "(", 1).when(t == ")", -1).otherwise(0)
-    return toks.select(key, *keep, F.col("pos").cast("bigint").alias("pos"), "tok", up.alias("up"), is_id.alias("is_id"), name.alias("name"),
-                       delta.alias("delta"))
+    s = s.withColumn("toks", F.filter("toks", lambda x: ~(x["tok"].rlike("^" + WS_CLASS) | x["tok"].startswith("--")
+                                                          | x["tok"].startswith("/*"))))
+
+    def features(x: Column) -> Column:
+        t = x["tok"]
+        up = F.upper(t)
+        is_word = t.rlike(_WORD)
+        quoted = (t.startswith('"') | t.startswith("`")) & (F.length(t) >= 2)
+        is_id = (is_word & ~up.isin(*SQL_KEYWORDS) & ~t.rlike("^[0-9]")) | quoted
+        name = F.when(quoted, F.lower(F.substr(t, F.lit(2), F.length(t) - 2))).otherwise(F.lower(t))
+        delta = F.when(t == "(", 1).when(t == ")", -1).otherwise(0)
+        return F.struct(x["pos"].alias("pos"), t.alias("tok"), up.alias("up"), is_id.alias("is_id"), name.alias("name"),
+                        delta.alias("delta"))
+
+    return s.withColumn("toks", F.transform("toks", features))
+
+
+def _shifted(array: str, by: int) -> Column:
+    """The array moved by ``by`` places: element i is element i + by (NULL outside)."""
+    if by > 0:
+        return F.slice(array, by + 1, F.greatest(F.size(array) - by, F.lit(0)))
+    return F.slice(F.concat(F.array_repeat(F.lit(None), -by), F.col(array)), 1, F.size(array))
+
+
+def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",), outer: bool = False) -> DataFrame:
+    """V1: one row per significant token (no whitespace, no comments) with its
+    position, features and neighbours.  Neighbours come from shifting the token
+    array before it is exploded, so no window is needed for them.  Blank
+    statements produce no tokens (one empty row with ``outer``).
+
+    ``kw`` is the upper-cased token, except where a clause word is none: FROM in
+    IS [NOT] DISTINCT FROM, and UPDATE other than a statement's verb (after
+    nothing, a bracket, a semicolon or EXPLAIN)."""
+    s = _statement_tokens(samples.repartition(key), key, sql, keep)
+    s = s.withColumn("_ups", F.transform("toks", lambda x: x["up"]))
+    s = s.withColumn("_kw", F.arrays_zip(F.col("_ups").alias("up"), _shifted("_ups", -1).alias("p1"), _shifted("_ups", -2).alias("p2")))
+    s = s.withColumn("_kw", F.transform("_kw", lambda x: F
+                     .when((x["up"] == "FROM") & (x["p1"] == "DISTINCT") & x["p2"].isin("IS", "NOT"), F.lit("IS DISTINCT FROM"))
+                     .when((x["up"] == "UPDATE") & x["p1"].isNotNull() & ~x["p1"].isin(")", ";", "EXPLAIN"), F.lit("UPDATE OPTION"))
+                     .otherwise(x["up"])))
+    s = s.withColumn("_p1", _shifted("_kw", -1)).withColumn("_p2", _shifted("_kw", -2))
+    cols = [F.col("toks").alias("t"), F.col("_kw").alias("kw"), F.col("_p1").alias("p1"), F.col("_p2").alias("p2")]
+    for i in (1, 2, 3, 4):
+        cols += [_shifted("toks", i).alias(f"a{i}"), _shifted("_kw", i).alias(f"k{i}")]
+    s = s.withColumn("_z", F.arrays_zip(*cols))
+    explode = F.posexplode_outer if outer else F.posexplode
+    t = s.select(key, *keep, "blank", explode("_z").alias("_i", "_z"))
+    near = [F.col("_z.kw").alias("kw"), F.col("_z.p1").alias("p1"), F.col("_z.p2").alias("p2")]
+    for i in (1, 2, 3, 4):
+        near += [F.col(f"_z.a{i}.tok").alias(f"n{i}"), F.col(f"_z.k{i}").alias(f"n{i}_up"),
+                 F.coalesce(F.col(f"_z.a{i}.is_id"), F.lit(False)).alias(f"n{i}_id"), F.col(f"_z.a{i}.name").alias(f"n{i}_name")]
+    return t.select(key, *keep, "blank", "_i", *[F.col(f"_z.t.{c}").alias(c) for c in ("pos", "tok", "up", "is_id", "name", "delta")],
+                    *near)
 
 
 def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
-    """Adds depth, bracket scope, neighbours, clause and 'SELECT seen' flags.
+    """Adds depth, bracket scope, clause and 'SELECT seen' flags.
 
-    Three window passes (one sort each): running depth plus all neighbour
-    columns by position; the bracket scope; clause and 'SELECT seen' per scope.
-    Tokens at depth d inside the n-th bracket that opened level d share scope
-    (d, n).  A '(' is placed in the scope it opens; its own clause/scope values
-    are never read and it is never a clause word, so this changes nothing else."""
+    Three window passes: running depth; the bracket scope; clause and 'SELECT
+    seen' per scope.  Tokens at depth d inside the n-th bracket that opened
+    level d share scope (d, n).  A '(' is placed in the scope it opens; its own
+    clause/scope values are never read and it is never a clause word, so this
+    changes nothing else."""
     w = Window.partitionBy(key).orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = tokens.withColumn("cum", F.sum("delta").over(run))
-    for i in (1, 2):
-        t = t.withColumn(f"p{i}", F.lag("up", i).over(w))
-    for i in (1, 2, 3, 4):
-        t = (t.withColumn(f"n{i}", F.lead("tok", i).over(w))
-              .withColumn(f"n{i}_up", F.lead("up", i).over(w))
-              .withColumn(f"n{i}_id", F.coalesce(F.lead("is_id", i).over(w), F.lit(False)))
-              .withColumn(f"n{i}_name", F.lead("name", i).over(w)))
     t = t.withColumn("depth", F.col("cum") - F.when(F.col("tok") == "(", 1).otherwise(0))
     t = t.withColumn("_k", F.when(F.col("tok") == "(", F.col("depth") + 1).otherwise(F.col("depth")))
     wk = Window.partitionBy(key, "_k").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,8 +149,8 @@ def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
     wc = Window.partitionBy(key, "_k", "scope").orderBy("pos")
     upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("clause", F.last(F.when(F.col("up").isin(*CLAUSES), F.col("up")), ignorenulls=True).over(upto))
-    t = t.withColumn("sel_seen", F.coalesce(F.max(F.col("up").isin("SELECT", "DELETE")).over(before), F.lit(False)))
+    t = t.withColumn("clause", F.last(F.when(F.col("kw").isin(*CLAUSES), F.col("kw")), ignorenulls=True).over(upto))
+    t = t.withColumn("sel_seen", F.coalesce(F.max(F.col("kw").isin("SELECT", "DELETE")).over(before), F.lit(False)))
     return t
 
 
@@ -115,18 +160,21 @@ def _syntax_aggs():
             F.max_by("cum", "pos").alias("final_cum"),
             F.max_by("up", F.when(F.col("tok") != ";", F.col("pos"))).alias("last"),
             F.min(F.when(F.col("tok").isin("'", '"', "`"), F.col("pos"))).alias("quote_pos"),
-            F.min(F.when((F.col("up") == "SELECT") & (F.col("n1_up") == "FROM"), F.col("pos"))).alias("sf_pos")]
+            F.min(F.when((F.col("kw") == "SELECT") & (F.col("n1_up") == "FROM"), F.col("pos"))).alias("sf_pos")]
+
+
+def _problem() -> Column:
+    return (F.when(~F.col("first").isin(*VERBS), F.concat(F.lit("unknown statement start "), F.col("first")))
+            .when((F.col("min_cum") < 0) | (F.col("final_cum") != 0), F.lit("unbalanced parentheses"))
+            .when(F.col("quote_pos").isNotNull(), F.lit("unterminated quoted text"))
+            .when(F.col("sf_pos").isNotNull(), F.lit("empty SELECT list"))
+            .when(F.col("last").isin(*DANGLING), F.concat(F.lit("statement ends with "), F.col("last"))))
 
 
 def _syntax_errors(g: DataFrame, key) -> DataFrame:
-    problem = (F.when(~F.col("first").isin(*VERBS), F.concat(F.lit("unknown statement start "), F.col("first")))
-               .when((F.col("min_cum") < 0) | (F.col("final_cum") != 0), F.lit("unbalanced parentheses"))
-               .when(F.col("quote_pos").isNotNull(), F.lit("unterminated quoted text"))
-               .when(F.col("sf_pos").isNotNull(), F.lit("empty SELECT list"))
-               .when(F.col("last").isin(*DANGLING), F.concat(F.lit("statement ends with "), F.col("last"))))
-    return g.where(problem.isNotNull()).select(
+    return g.where(_problem().isNotNull()).select(
         key, F.lit(STAGE_SYNTAX).alias("stage"), F.lit(0).cast("bigint").alias("pos"),
-        F.lit("syntax").alias("kind"), F.concat(F.lit(MSG_SYNTAX), problem).alias("message"))
+        F.lit("syntax").alias("kind"), F.concat(F.lit(MSG_SYNTAX), _problem()).alias("message"))
 
 
 def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
@@ -137,7 +185,9 @@ def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
 def _tref_start() -> Column:
     prev_ok = F.col("p1").isin(*TABLE_PREV) | ((F.col("p1") == ",") & F.col("clause").isin("FROM", "JOIN", "USING"))
     need_sel = ~F.col("p1").isin("INTO", "UPDATE")
-    return F.col("is_id") & prev_ok & (~need_sel | F.col("sel_seen"))
+    after = F.when((F.col("n1") == ".") & F.col("n2_id"), F.col("n3")).otherwise(F.col("n1"))
+    call = F.coalesce(after == "(", F.lit(False)) & (F.col("p1") != "INTO")  # a table function; INTO t (columns) is none
+    return F.col("is_id") & prev_ok & (~need_sel | F.col("sel_seen")) & ~call
 
 
 def _tref_fields():
@@ -174,7 +224,8 @@ def bound_names(frame: DataFrame, key="sample_id") -> DataFrame:
 
 def _cref_start() -> Column:
     two = (F.col("n1") == ".") & (F.col("n2_id") | (F.col("n2") == "*"))
-    return (F.col("is_id") & two & (F.coalesce(F.col("p1"), F.lit("")) != ".")
+    call = F.coalesce(F.col("n3") == "(", F.lit(False))  # q.f(…) is a function
+    return (F.col("is_id") & two & ~call & (F.coalesce(F.col("p1"), F.lit("")) != ".")
             & ~F.coalesce(_tref_start(), F.lit(False)))
 
 
@@ -192,100 +243,104 @@ def column_refs(frame: DataFrame, key="sample_id") -> DataFrame:
     return frame.where(_cref_start()).select(key, "pos", *_cref_fields())
 
 
-def resolve_aliases(trefs: DataFrame, crefs: DataFrame, key="sample_id") -> DataFrame:
-    """Qualifier → table: the last alias (or bare table name) bound to it,
-    else the qualifier itself."""
-    binds = trefs.select(key, "pos", F.coalesce("alias", "table_name").alias("qualifier"), "table_name")
-    amap = binds.groupBy(key, "qualifier").agg(F.max_by("table_name", "pos").alias("resolved"))
-    j = crefs.join(amap, [key, "qualifier"], "left")
-    return j.select(key, "pos", "qualifier", F.coalesce("resolved", "qualifier").alias("table_name"),
-                    "column_name")
-
-
-def _catalog_keys(catalog_columns: DataFrame, db="db_id"):
-    cols = catalog_columns.select(db, F.lower("table_name").alias("table_name"),
-                                  F.lower("column_name").alias("column_name"))
-    tables = cols.select(db, "table_name").distinct()
-    return tables, cols.distinct()
-
-
-def validate_tables(trefs: DataFrame, catalog_columns: DataFrame, sample_db: DataFrame, bound: DataFrame | None,
-                    key="sample_id", db="db_id") -> DataFrame:
-    """Table references missing from the sample's database catalog."""
-    tables, _ = _catalog_keys(catalog_columns, db)
-    r = trefs.join(sample_db, key)
-    if bound is not None:
-        r = r.join(bound.withColumnRenamed("bound", "table_name"), [key, "table_name"], "left_anti")
-    miss = r.join(tables, [db, "table_name"], "left_anti")
-    return miss.select(key, F.lit(STAGE_TABLE).alias("stage"), F.col("pos").alias("pos"),
-                       F.lit("missing_table").alias("kind"), _msg(MSG_TABLE, t=F.col("table_name")).alias("message"))
-
-
-def validate_columns(resolved: DataFrame, catalog_columns: DataFrame, sample_db: DataFrame,
-                     bound: DataFrame | None, key="sample_id", db="db_id") -> DataFrame:
-    """Resolved table must exist; the column must exist in it ('*' exempt)."""
-    tables, cols = _catalog_keys(catalog_columns, db)
-    r = resolved.join(sample_db, key)
-    if bound is not None:
-        r = r.join(bound.withColumnRenamed("bound", "table_name"), [key, "table_name"], "left_anti")
-    no_table = r.join(tables, [db, "table_name"], "left_anti").select(
-        key, F.lit(STAGE_COLUMN).alias("stage"), F.col("pos").alias("pos"),
-        F.lit("missing_table").alias("kind"), _msg(MSG_TABLE, t=F.col("table_name")).alias("message"))
-    has_table = r.join(tables, [db, "table_name"], "left_semi").where(F.col("column_name") != "*")
-    no_col = has_table.join(cols, [db, "table_name", "column_name"], "left_anti").select(
-        key, F.lit(STAGE_COLUMN).alias("stage"), F.col("pos").alias("pos"),
-        F.lit("missing_column").alias("kind"),
-        _msg(MSG_COLUMN, t=F.col("table_name"), c=F.col("column_name")).alias("message"))
-    return no_table.unionByName(no_col)
-
-
-def statement_summary(frame: DataFrame, key="sample_id") -> DataFrame:
-    """One row per statement: syntax figures, its table references, column
-    references and bound names.  The arrays are bounded by the statement's own
-    token count."""
+def statement_summary(samples: DataFrame, key="sample_id", sql="output") -> DataFrame:
+    """One row per statement: its sample row, whether it is blank, syntax figures,
+    table references, resolved column references (J7) and bound names.  The
+    arrays are bounded by the statement's own token count.
+
+    Store it (``session.persist_once``) before using it twice: lexing and the
+    windows are behind it."""
+    row = F.struct(*[F.col(c) for c in samples.columns]).alias("_row")
+    kept = samples.select(key, F.col(sql).alias("_sql"), row)
+    # the sample's row rides on its first token only
+    tokens = sql_tokens(kept, key, "_sql", keep=("_row",), outer=True)
+    tokens = tokens.withColumn("_row", F.when(F.coalesce(F.col("_i"), F.lit(0)) == 0, F.col("_row")))
     t_ref = F.when(_tref_start(), F.struct(F.col("pos"), *_tref_fields()))
     c_ref = F.when(_cref_start(), F.struct(F.col("pos"), *_cref_fields()))
-    return frame.groupBy(key).agg(
-        *_syntax_aggs(),
-        F.collect_list(t_ref).alias("trefs"), F.collect_list(c_ref).alias("crefs"),
+    g = token_frame(tokens, key).groupBy(key).agg(
+        F.first("_row", ignorenulls=True).alias("_row"), F.max("blank").alias("blank"), F.count("tok").alias("n_tokens"),
+        *_syntax_aggs(), F.sort_array(F.collect_list(t_ref)).alias("trefs"), F.sort_array(F.collect_list(c_ref)).alias("crefs"),
         F.collect_set(F.when(_bound_cond(), F.col("name"))).alias("bound"))
+    return g.withColumn("crefs", F.expr(_RESOLVED))
+
+
+#: J7 inside a statement: the last alias (or bare table name) that a qualifier
+#: is bound to, else the qualifier itself.
+_RESOLVED = """
+transform(crefs, c -> struct(
+    c.pos as pos, c.qualifier as qualifier,
+    coalesce(try_element_at(filter(trefs, t -> coalesce(t.alias, t.table_name) = c.qualifier), -1).table_name, c.qualifier) as table_name,
+    c.column_name as column_name))
+"""
+
+
+def resolve_aliases(summary: DataFrame, key="sample_id") -> DataFrame:
+    """(sample_id, pos, qualifier, table_name, column_name) of every column reference."""
+    return summary.select(key, F.inline("crefs"))
+
+
+def _references(summary: DataFrame, strict: bool, key, db) -> DataFrame:
+    """(key, db, stage, pos, table_name, column_name) of all references to the catalog."""
+    free = "true" if strict else "not array_contains(bound, r.table_name)"
+    refs = F.expr(f"""filter(concat(
+        transform(trefs, t -> struct({STAGE_TABLE} as stage, t.pos as pos, t.table_name as table_name, cast(null as string) as column_name)),
+        transform(crefs, c -> struct({STAGE_COLUMN} as stage, c.pos as pos, c.table_name as table_name, c.column_name as column_name))),
+        r -> {free})""")
+    return summary.select(key, F.col(f"_row.{db}").alias(db), F.inline(refs))
+
+
+def missing_references(summary: DataFrame, catalog_columns: DataFrame, strict: bool = False, key="sample_id",
+                       db="db_id") -> DataFrame:
+    """(sample_id, stage, pos, kind, message) of tables and columns that
+    the sample's database lacks ('*' needs its table only).
+
+    Only distinct names meet the catalog; the few that are missing join back."""
+    cols = catalog_columns.select(db, F.lower("table_name").alias("table_name"), F.lower("column_name").alias("column_name")).distinct()
+    tables = cols.select(db, "table_name").distinct().withColumn("_t", F.lit(True))
+    refs = _references(summary, strict, key, db)
+    names = refs.select(db, "table_name", "column_name").distinct()
+    kind = (F.when(F.col("_t").isNull(), F.lit("missing_table"))
+            .when(F.col("column_name").isNotNull() & (F.col("column_name") != "*") & F.col("_c").isNull(), F.lit("missing_column")))
+    known = (names.join(tables, [db, "table_name"], "left")
+             .join(cols.withColumn("_c", F.lit(True)), [db, "table_name", "column_name"], "left").withColumn("kind", kind))
+    bad = known.where(F.col("kind").isNotNull()).select(
+        F.col(db).alias("_db"), F.col("table_name").alias("_table"), F.col("column_name").alias("_column"), "kind")
+    same = (refs[db].eqNullSafe(bad["_db"]) & (refs["table_name"] == bad["_table"]) & refs["column_name"].eqNullSafe(bad["_column"]))
+    message = F.when(F.col("kind") == "missing_table", _msg(MSG_TABLE, t=F.col("table_name"))).otherwise(
+        _msg(MSG_COLUMN, t=F.col("table_name"), c=F.col("column_name")))
+    return refs.join(bad, same).select(key, "stage", "pos", "kind", message.alias("message"))
 
 
-def validation_errors(samples: DataFrame, catalog_columns: DataFrame, strict: bool = False,
-                      key="sample_id", db="db_id", sql="output") -> DataFrame:
-    """All errors of all stages: (sample_id, stage, pos, kind, message).
-
-    The token frame (lexing + three window sorts) is computed once and folded
-    into a narrow per-statement summary, which is written to the shared folder;
-    every check then starts from that small table instead of recomputing the
-    frame per branch."""
-    frame = token_frame(sql_tokens(samples, key, sql, keep=()), key)
-    summary = persist_once(statement_summary(frame, key), samples.sparkSession, "statements")
-    sample_db = samples.select(key, db)
-    trefs = summary.select(key, F.inline("trefs"))
-    crefs = summary.select(key, F.inline("crefs"))
-    bound = None if strict else summary.select(key, F.explode("bound").alias("bound"))
-    resolved = resolve_aliases(trefs, crefs, key)
-    blank = samples.where(is_blank(sql)).select(
-        key, F.lit(0).alias("stage"), F.lit(0).cast("bigint").alias("pos"), F.lit("blank").alias("kind"),
-        F.lit("empty SQL").alias("message"))
-    # non-blank text with no statement tokens (only comments)
-    empty = samples.where(~is_blank(sql)).select(key).join(summary.select(key), key, "left_anti").select(
-        key, F.lit(STAGE_SYNTAX).alias("stage"), F.lit(0).cast("bigint").alias("pos"), F.lit("syntax").alias("kind"),
-        F.lit(MSG_SYNTAX + "no SQL statement").alias("message"))
-    return (blank.unionByName(empty).unionByName(_syntax_errors(summary, key))
-            .unionByName(validate_tables(trefs, catalog_columns, sample_db, bound, key, db))
-            .unionByName(validate_columns(resolved, catalog_columns, sample_db, bound, key, db)))
+def _own_error() -> Column:
+    """The error a statement has without the catalog (blank, no statement, syntax), or NULL."""
+    text = F.when(F.col("n_tokens") == 0, F.lit("no SQL statement")).otherwise(_problem())
+    return (F.when(F.col("blank"), F.struct(F.lit("blank").alias("kind"), F.lit("empty SQL").alias("message")))
+            .when(text.isNotNull(), F.struct(F.lit("syntax").alias("kind"), F.concat(F.lit(MSG_SYNTAX), text).alias("message"))))
 
 
 def validate_samples(samples: DataFrame, catalog_columns: DataFrame, strict: bool = False,
-                     key="sample_id", db="db_id", sql="output") -> DataFrame:
-    """V9: every sample with its verdict — the first error by (stage, position)."""
-    errs = validation_errors(samples, catalog_columns, strict, key, db, sql)
-    first = errs.groupBy(key).agg(F.min_by(F.struct("kind", "message"), F.struct("stage", "pos")).alias("e"))
-    j = samples.join(first, key, "left")
-    return j.select(*samples.columns, F.col("e").isNull().alias("valid"),
-                    F.col("e.kind").alias("error_kind"), F.col("e.message").alias("error"))
+                     key="sample_id", db="db_id", sql="output", summary: DataFrame | None = None,
+                     executed: DataFrame | None = None, rules=()) -> DataFrame:
+    """V9: every sample with its verdict — the first error by (stage, position).
+
+    ``summary``: the stored :func:`statement_summary` of ``samples`` (computed
+    here per use when left out).  ``executed``: (key, exec_ok, error) of probe
+    runs; a failed run of a SELECT is an error of the last stage (V8), other
+    statements pass.  ``rules``: functions from the summary to further errors
+    (key, stage, pos, kind, message)."""
+    summary = statement_summary(samples, key, sql) if summary is None else summary
+    errs = missing_references(summary, catalog_columns, strict, key, db)
+    for rule in rules:
+        errs = errs.unionByName(rule(summary))
+    if executed is not None:
+        failed = executed.where(~F.col("exec_ok")).select(F.col(key).alias("_key"), F.col("error").alias("_error"))
+        select_only = summary.where(F.col("first") == "SELECT").join(failed, F.col(key) == F.col("_key"))
+        errs = errs.unionByName(select_only.select(
+            key, F.lit(STAGE_EXECUTION).alias("stage"), F.lit(0).cast("bigint").alias("pos"), F.lit("execution").alias("kind"),
+            F.concat(F.lit(MSG_EXECUTION), F.coalesce("_error", F.lit(""))).alias("message")))
+    first = errs.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct("kind", "message"), F.struct("stage", "pos", "kind")).alias("_e"))
+    j = summary.join(first, F.col(key) == F.col("_key"), "left").withColumn("e", F.coalesce(_own_error(), F.col("_e")))
+    return j.select("_row.*", F.col("e").isNull().alias("valid"), F.col("e.kind").alias("error_kind"), F.col("e.message").alias("error"))
 
 
 def valid_samples(verdicts: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ D1 = f"""
 d1 as (
  select o_orderkey as sample_id, o_custkey % 20 as db_id, o_custkey % 7 as topic_id, o_orderkey as ord,
   concat('How many orders with priority ', o_orderpriority, ' for customer ', cast(o_custkey as varchar), '?') as input,
-  case o_orderkey % 12
+  case o_orderkey % 16
    when 0 then concat('SELECT COUNT(*) FROM orders WHERE o_custkey = ', cast(o_custkey as varchar), ';')
    when 1 then concat('SELECT c.c_name, SUM(o.o_totalprice) AS total FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE c.c_custkey = ', cast(o_custkey as varchar), ' GROUP BY c.c_name ORDER BY total DESC LIMIT 5;')
    when 2 then concat('SELECT o.o_missing FROM orders o WHERE o.o_orderkey = ', cast(o_orderkey as varchar))
@@ -49,7 +49,11 @@ d1 as (
    when 8 then concat('SELECT MAX(l.l_quantity FROM lineitem l WHERE l.l_orderkey = ', cast(o_orderkey as varchar))
    when 9 then concat('WITH big AS (SELECT o_custkey FROM orders WHERE o_orderkey > ', cast(o_orderkey as varchar), ') SELECT COUNT(*) FROM big')
    when 10 then concat('SELECT /* pick */ n.n_name FROM nation AS n, region AS r WHERE n.n_regionkey = r.r_regionkey AND r.r_name = ''it''''s ', o_orderstatus, '''')
-   else concat('INSERT INTO orders SELECT * FROM orders WHERE o_orderkey = ', cast(o_orderkey as varchar)) end as output
+   when 11 then concat('INSERT INTO orders SELECT * FROM orders WHERE o_orderkey = ', cast(o_orderkey as varchar))
+   when 12 then concat('SELECT o_orderkey FROM orders WHERE o_custkey IS NOT DISTINCT FROM o_totalprice + ', cast(o_orderkey as varchar))
+   when 13 then concat('INSERT INTO orders (o_orderkey, o_custkey) VALUES (', cast(o_orderkey as varchar), ', 1) ON DUPLICATE KEY UPDATE o_custkey = 2, o_totalprice = 3')
+   when 14 then concat('SELECT o.o_orderkey FROM orders o WHERE o.o_custkey = ', cast(o_custkey as varchar), ' FOR UPDATE NOWAIT')
+   else concat('SELECT o.o_orderkey, g.value FROM orders o, generate_series(1, 3) g WHERE o.o_orderkey = ', cast(o_orderkey as varchar)) end as output
  from orders)"""
 
 PAIRS = D1 + """,
@@ -74,10 +78,10 @@ d3 as (
  select doc_id, case doc_id % 6
   when 0 then concat('Sure.', chr(10), '```SQL', chr(10), ' SELECT ', cast(doc_id as varchar), ' ', chr(10), '```', chr(10), 'done')
   when 1 then concat('```mysql', chr(10), 'SELECT ', cast(doc_id as varchar), chr(10), '```')
-  when 2 then concat('Answer:', chr(10), '  select a', chr(10), '  from t;', chr(10), 'because ', substring(text,1,20))
-  when 3 then concat('SELECT a', chr(10), 'FROM t', chr(10), substring(text,1,20))
+  when 2 then concat('Answer:', chr(10), '  select a', chr(10), '  from t;', chr(10), 'because ', text)
+  when 3 then concat('SELECT a', chr(10), 'FROM t', chr(10), text)
   when 4 then concat('```sql', chr(10), 'SELECT unclosed ', cast(doc_id as varchar))
-  else substring(text,1,40) end as model_text
+  else text end as model_text
  from documents)"""
 
 _NAMES = "[" + ", ".join(q(n) for n in PLAN_TABLE_NAMES) + "]"

@@ -190,7 +190,7 @@ def q_export_multimodal(spark, sf_dir):
 
 # ---------------------------------------------------------------- R1-R3 / A9 / A10
 
-MAX_LENGTH, BATCH = 512, 8
+MAX_LENGTH, BATCH = TR.MAX_LENGTH, 8
 
 
 def _train_rows(spark, sf_dir):
@@ -217,13 +217,13 @@ def q_training_rows(spark, sf_dir):
                     (F.col("labels") == F.col("input_ids")).alias("labels_equal"))
 
 
-@register("batch_ids", TRAIN_SQL + f" select conv_id, floor(conv_id / {BATCH})::bigint as batch from r")
+@register("batch_ids", TRAIN_SQL + f" select conv_id, floor((row_number() over (order by conv_id) - 1) / {BATCH})::bigint as batch from r")
 def q_batch_ids(spark, sf_dir):
     return TR.batch_ids(conversation_pairs(spark, sf_dir).select("conv_id"), BATCH, "conv_id")
 
 
 @register("pad_batches", TRAIN_SQL + f""",
-b as (select *, floor(conv_id / {BATCH})::bigint as batch from r),
+b as (select *, floor((row_number() over (order by conv_id) - 1) / {BATCH})::bigint as batch from r),
 m as (select *, max(len(input_ids)) over (partition by batch) - len(input_ids) as n_pad from b)
 select conv_id, batch, n_pad, len(input_ids) + n_pad as padded_length,
  array_to_string(list_concat(input_ids, list_transform(range(n_pad), lambda x: 0)), ',') as input_ids,
@@ -265,9 +265,7 @@ LOG = """lg as (select user_id as run_id, ts, event_id as seq, event_type,
 
 
 def _log(spark, sf_dir):
-    ev_ = fixtures.run_log(spark, sf_dir)
-    typ = fixtures.table(spark, sf_dir, "events", "event_id", "event_type").withColumnRenamed("event_id", "seq")
-    return ev_.join(typ, "seq")
+    return fixtures.run_log(spark, sf_dir, keep=("event_type",))
 
 
 @register("log_level", f"""with {LOG} select run_id, seq, case lower(level_name) when 'debug' then 'debug' when 'info' then 'info'

@@ -87,9 +87,10 @@ def q_dataset_stats_pct(spark, sf_dir):
 
 # ---------------------------------------------------------------- N1 / N3 / S4 / S5
 
-ALPACA_CTE = """alp as (select doc_id, concat('Write SQL for document ', cast(doc_id as varchar), ' (', lang, ')  ') as instruction,
-  case when lang in ('en', 'fr') then text else '' end as input,
-  concat(' SELECT ', cast(n_chars as varchar), ' FROM documents;', chr(10)) as output, lang from documents)"""
+ALPACA_CTE = """alp as (select 2 * d.doc_id + e.e as doc_id, concat('Write SQL for document ', cast(2 * d.doc_id + e.e as varchar), ' (', lang, ')  ') as instruction,
+  case when e.e = 0 then text else '' end as input,
+  concat(' SELECT ', cast(n_chars as varchar), ' FROM documents;', chr(10)) as output, lang
+  from documents d cross join (values (0), (1)) e(e))"""
 MIXED_CTE = ALPACA_CTE + """,
 conv as (select conv_id, list(struct_pack(role := role, content := text) order by turn) as c from conversations group by conv_id),
 mixed as (

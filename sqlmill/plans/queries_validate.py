@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import SQL_KEYWORDS, WORD_RE
 from ..operators import validation as V
+from ..session import persist_once
 from ..sources import fixtures
 from .oracle_base import CATALOG, D1, LEX_LIT, WS_RE, blank, q, strip
 from .registry import register
@@ -18,7 +19,7 @@ def _lst(xs) -> str:
 def validation_sql(final: str, strict: bool = False) -> str:
     """The validator as DuckDB SQL; ``final`` selects from the CTEs."""
     leads = ",\n  ".join(
-        f"lead(tok, {i}) over w as n{i}, lead(up, {i}) over w as n{i}_up, "
+        f"lead(tok, {i}) over w as n{i}, lead(kw, {i}) over w as n{i}_up, "
         f"coalesce(lead(is_id, {i}) over w, false) as n{i}_id, lead(name, {i}) over w as n{i}_name"
         for i in (1, 2, 3, 4))
     not_bound = "" if strict else " and not exists (select 1 from bn where bn.sample_id = {t}.sample_id and bn.bound = {t}.table_name)"
@@ -32,49 +33,53 @@ tk as (select sample_id, db_id, pos, tok, upper(tok) as up, regexp_full_match(to
 tk2 as (select *, (is_word and not list_contains({_lst(SQL_KEYWORDS)}, up) and not regexp_matches(tok, '^[0-9]')) or qid as is_id,
   case when qid then substring(lower(tok), 2, length(tok) - 2) else lower(tok) end as name,
   case when tok = '(' then 1 when tok = ')' then -1 else 0 end as delta from tk),
-f1 as (select *, sum(delta) over (partition by sample_id order by pos rows between unbounded preceding and current row) as cum from tk2),
+tk3 as (select *, lag(up, 1) over w as u1, lag(up, 2) over w as u2 from tk2 window w as (partition by sample_id order by pos)),
+tk4 as (select * exclude (u1, u2), case when up = 'FROM' and u1 = 'DISTINCT' and u2 in ('IS', 'NOT') then 'IS DISTINCT FROM'
+  when up = 'UPDATE' and u1 is not null and u1 not in (')', ';', 'EXPLAIN') then 'UPDATE OPTION' else up end as kw from tk3),
+f1 as (select *, sum(delta) over (partition by sample_id order by pos rows between unbounded preceding and current row) as cum from tk4),
 f2 as (select *, cum - case when tok = '(' then 1 else 0 end as depth from f1),
 f3 as (select *, case when tok = '(' then depth + 1 else depth end as k from f2),
 f4 as (select *, count(case when tok = '(' then 1 end) over (partition by sample_id, k order by pos
   rows between unbounded preceding and current row) as cnt from f3),
 f5 as (select *, case when tok = '(' then coalesce(lag(cnt) over (partition by sample_id order by pos), 0) else cnt end as scope from f4),
-f6 as (select *, lag(up, 1) over w as p1, lag(up, 2) over w as p2,
+f6 as (select *, lag(kw, 1) over w as p1, lag(kw, 2) over w as p2,
   {leads}
   from f5 window w as (partition by sample_id order by pos)),
-fr as (select *,
-  last_value(case when list_contains({_lst(V.CLAUSES)}, up) then up end ignore nulls) over (partition by sample_id, depth, scope
+fr0 as (select *,
+  last_value(case when list_contains({_lst(V.CLAUSES)}, kw) then kw end ignore nulls) over (partition by sample_id, depth, scope
     order by pos rows between unbounded preceding and current row) as clause,
-  coalesce(bool_or(up in ('SELECT', 'DELETE')) over (partition by sample_id, depth, scope order by pos
+  coalesce(bool_or(kw in ('SELECT', 'DELETE')) over (partition by sample_id, depth, scope order by pos
     rows between unbounded preceding and 1 preceding), false) as sel_seen
   from f6),
+fr as materialized (select *, coalesce(is_id and (p1 in ('FROM', 'JOIN', 'INTO', 'UPDATE') or (p1 = ',' and clause in ('FROM', 'JOIN', 'USING')))
+   and (p1 in ('INTO', 'UPDATE') or sel_seen)
+   and not (coalesce(case when n1 = '.' and n2_id then n3 else n1 end = '(', false) and p1 <> 'INTO'), false) as is_tref from fr0),
 syn as (select sample_id, arg_min(up, pos) as first, min(cum) as min_cum, arg_max(cum, pos) as final_cum,
   arg_max(up, pos) filter (where tok <> ';') as last,
   min(case when tok in ('''', '"', '`') then pos end) as quote_pos,
-  min(case when up = 'SELECT' and n1_up = 'FROM' then pos end) as sf_pos
+  min(case when kw = 'SELECT' and n1_up = 'FROM' then pos end) as sf_pos
   from fr group by sample_id),
 synp as (select sample_id, case when not list_contains({_lst(V.VERBS)}, first) then concat('unknown statement start ', first)
   when min_cum < 0 or final_cum <> 0 then 'unbalanced parentheses'
   when quote_pos is not null then 'unterminated quoted text'
   when sf_pos is not null then 'empty SELECT list'
   when list_contains({_lst(V.DANGLING)}, last) then concat('statement ends with ', last) end as problem from syn),
-tr as (select sample_id, db_id, pos,
+tr as materialized (select sample_id, db_id, pos,
   case when n1 = '.' and n2_id then n2_name else name end as table_name,
   case when (case when n1 = '.' and n2_id then n3_up else n1_up end) = 'AS'
        then (case when (case when n1 = '.' and n2_id then n4_id else n2_id end)
                   then (case when n1 = '.' and n2_id then n4_name else n2_name end) end)
        when (case when n1 = '.' and n2_id then n3_id else n1_id end)
        then (case when n1 = '.' and n2_id then n3_name else n1_name end) end as alias
-  from fr where is_id and (p1 in ('FROM', 'JOIN', 'INTO', 'UPDATE') or (p1 = ',' and clause in ('FROM', 'JOIN', 'USING')))
-   and (p1 in ('INTO', 'UPDATE') or sel_seen)),
-bn as (select distinct sample_id, name as bound from fr where is_id and (
+  from fr where is_tref),
+bn as materialized (select distinct sample_id, name as bound from fr where is_id and (
   (n1_up = 'AS' and n2 = '(' and (p1 in ('WITH', 'RECURSIVE') or (p1 = ',' and depth = 0 and not sel_seen)))
   or (clause in ('FROM', 'JOIN') and (p1 = ')' or (p1 = 'AS' and p2 = ')'))))),
-cr as (select fr.sample_id, fr.db_id, fr.pos,
+cr as materialized (select fr.sample_id, fr.db_id, fr.pos,
   case when fr.n3 = '.' and (fr.n4_id or fr.n4 = '*') and fr.n2_id then fr.n2_name else fr.name end as qualifier,
   case when fr.n3 = '.' and (fr.n4_id or fr.n4 = '*') and fr.n2_id then (case when fr.n4 = '*' then '*' else fr.n4_name end)
        else (case when fr.n2 = '*' then '*' else fr.n2_name end) end as column_name
-  from fr left join tr on fr.sample_id = tr.sample_id and fr.pos = tr.pos
-  where fr.is_id and fr.n1 = '.' and (fr.n2_id or fr.n2 = '*') and coalesce(fr.p1, '') <> '.' and tr.pos is null),
+  from fr where fr.is_id and fr.n1 = '.' and (fr.n2_id or fr.n2 = '*') and coalesce(fr.n3, '') <> '(' and coalesce(fr.p1, '') <> '.' and not is_tref),
 amap as (select sample_id, coalesce(alias, table_name) as qualifier, arg_max(table_name, pos) as resolved from tr group by all),
 rs as (select cr.sample_id, cr.db_id, cr.pos, cr.qualifier, coalesce(amap.resolved, cr.qualifier) as table_name, cr.column_name
   from cr left join amap on cr.sample_id = amap.sample_id and cr.qualifier = amap.qualifier),
@@ -125,15 +130,17 @@ def q_column_refs(spark, sf_dir):
     return V.column_refs(_frame(spark, sf_dir))
 
 
+def _summary(spark, sf_dir):
+    return persist_once(V.statement_summary(fixtures.samples(spark, sf_dir)), spark, "statements")
+
+
 @register("resolve_aliases", validation_sql("select sample_id, pos, qualifier, table_name, column_name from rs"))
 def q_resolve_aliases(spark, sf_dir):
-    from ..session import persist_once
-    s = persist_once(V.statement_summary(_frame(spark, sf_dir)), spark, "statements")
-    return V.resolve_aliases(s.select("sample_id", F.inline("trefs")), s.select("sample_id", F.inline("crefs")))
+    return V.resolve_aliases(V.statement_summary(fixtures.samples(spark, sf_dir)))
 
 
 def _errors(spark, sf_dir, strict=False):
-    return V.validation_errors(fixtures.samples(spark, sf_dir), fixtures.catalog_columns(spark, sf_dir), strict)
+    return V.missing_references(_summary(spark, sf_dir), fixtures.catalog_columns(spark, sf_dir), strict)
 
 
 @register("validate_tables", validation_sql("select sample_id, pos, message from te"))
@@ -147,7 +154,8 @@ def q_validate_columns(spark, sf_dir):
 
 
 def verdicts(spark, sf_dir, strict=False):
-    return V.validate_samples(fixtures.samples(spark, sf_dir), fixtures.catalog_columns(spark, sf_dir), strict)
+    return V.validate_samples(fixtures.samples(spark, sf_dir), fixtures.catalog_columns(spark, sf_dir), strict,
+                              summary=_summary(spark, sf_dir))
 
 
 @register("validate_samples", validation_sql("select * from verdict"))

@@ -23,12 +23,12 @@ def _s(c) -> Column:
 # --- D1: one SQL sample per order --------------------------------------------
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample_id, db_id, topic_id, ord, input, output) — twelve SQL shapes."""
+    """(sample_id, db_id, topic_id, ord, input, output) — sixteen SQL shapes."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
               "o_orderpriority")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     ks, cs = _s(k), _s(c)
-    case = k % 12
+    case = k % 16
     out = (
         F.when(case == 0, F.concat(F.lit("SELECT COUNT(*) FROM orders WHERE o_custkey = "), cs, F.lit(";")))
         .when(case == 1, F.concat(
@@ -50,7 +50,12 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 10, F.concat(
             F.lit("SELECT /* pick */ n.n_name FROM nation AS n, region AS r WHERE n.n_regionkey = "
                   "r.r_regionkey AND r.r_name = 'it''s "), F.col("o_orderstatus"), F.lit("'")))
-        .otherwise(F.concat(F.lit("INSERT INTO orders SELECT * FROM orders WHERE o_orderkey = "), ks))
+        .when(case == 11, F.concat(F.lit("INSERT INTO orders SELECT * FROM orders WHERE o_orderkey = "), ks))
+        .when(case == 12, F.concat(F.lit("SELECT o_orderkey FROM orders WHERE o_custkey IS NOT DISTINCT FROM o_totalprice + "), ks))
+        .when(case == 13, F.concat(F.lit("INSERT INTO orders (o_orderkey, o_custkey) VALUES ("), ks,
+                                   F.lit(", 1) ON DUPLICATE KEY UPDATE o_custkey = 2, o_totalprice = 3")))
+        .when(case == 14, F.concat(F.lit("SELECT o.o_orderkey FROM orders o WHERE o.o_custkey = "), cs, F.lit(" FOR UPDATE NOWAIT")))
+        .otherwise(F.concat(F.lit("SELECT o.o_orderkey, g.value FROM orders o, generate_series(1, 3) g WHERE o.o_orderkey = "), ks))
     )
     return o.select(
         k.alias("sample_id"), (c % 20).alias("db_id"), (c % 7).alias("topic_id"), k.alias("ord"),
@@ -93,15 +98,15 @@ def model_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "doc_id", "text")
     k = F.col("doc_id")
     ks = _s(k)
-    t20 = F.substring("text", 1, 20)
+    t = F.col("text")
     txt = (
         F.when(k % 6 == 0, F.concat(F.lit("Sure." + NL + "```SQL" + NL + " SELECT "), ks,
                                     F.lit(" " + NL + "```" + NL + "done")))
         .when(k % 6 == 1, F.concat(F.lit("```mysql" + NL + "SELECT "), ks, F.lit(NL + "```")))
-        .when(k % 6 == 2, F.concat(F.lit("Answer:" + NL + "  select a" + NL + "  from t;" + NL + "because "), t20))
-        .when(k % 6 == 3, F.concat(F.lit("SELECT a" + NL + "FROM t" + NL), t20))
+        .when(k % 6 == 2, F.concat(F.lit("Answer:" + NL + "  select a" + NL + "  from t;" + NL + "because "), t))
+        .when(k % 6 == 3, F.concat(F.lit("SELECT a" + NL + "FROM t" + NL), t))
         .when(k % 6 == 4, F.concat(F.lit("```sql" + NL + "SELECT unclosed "), ks))
-        .otherwise(F.substring("text", 1, 40))
+        .otherwise(t)
     )
     return d.select(k.alias("doc_id"), txt.alias("model_text"))
 
@@ -188,7 +193,7 @@ def batch_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit(8).cast("bigint").alias("n"), F.col("value").alias("seconds"))
 
 
-def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_log(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     """(run_id, ts, seq, level_name, step, message) from events."""
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     # fixed values: event type -> logging level name
@@ -197,7 +202,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("event_type") == "purchase", F.lit("WARNING"))
              .when(F.col("event_type") == "click", F.lit("DEBUG"))
              .otherwise(F.lit("INFO")))
-    return ev.select(F.col("user_id").alias("run_id"), F.col("ts"), F.col("event_id").alias("seq"),
+    return ev.select(*keep, F.col("user_id").alias("run_id"), F.col("ts"), F.col("event_id").alias("seq"),
                      level.alias("level_name"), (F.col("event_id") % 6 + 1).alias("step"),
                      F.concat(F.col("event_type"), F.lit(" event "), _s("event_id")).alias("message"))
 
@@ -334,13 +339,17 @@ def plan_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- corpora in both instruction formats ----------------------------------------
 
 def alpaca_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, instruction, input, output): one instruction row per document;
-    ``input`` is the whole text for en/fr documents and empty otherwise."""
+    """(doc_id, lang, instruction, input, output): two instruction rows per document,
+    ``input`` being its whole text in one (doc_id doubled) and empty in the other
+    (doubled plus one)."""
     d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
+    d = d.select("lang", "n_chars", F.inline(F.array(
+        F.struct((2 * F.col("doc_id")).alias("doc_id"), F.col("text").alias("input")),
+        F.struct((2 * F.col("doc_id") + 1).alias("doc_id"), F.lit("").alias("input")))))
     return d.select(
-        "doc_id",
+        "doc_id", "lang",
         F.concat(F.lit("Write SQL for document "), _s("doc_id"), F.lit(" ("), F.col("lang"), F.lit(")  ")).alias("instruction"),
-        F.when(F.col("lang").isin("en", "fr"), F.col("text")).otherwise(F.lit("")).alias("input"),
+        "input",
         F.concat(F.lit(" SELECT "), _s("n_chars"), F.lit(" FROM documents;" + NL)).alias("output"))
 
 
@@ -348,7 +357,7 @@ def mixed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(dataset_id, ord, instruction, input, output, conversations): alpaca rows
     (one dataset per language) and ShareGPT rows (dataset 'chats')."""
     from ..operators.parse import nest_conversations
-    a = alpaca_rows(spark, sf_dir).join(table(spark, sf_dir, "documents", "doc_id", "lang"), "doc_id")
+    a = alpaca_rows(spark, sf_dir)
     a = a.select(F.concat(F.lit("docs-"), F.col("lang")).alias("dataset_id"), F.col("doc_id").alias("ord"),
                  "instruction", "input", "output",
                  F.lit(None).cast("array<struct<role:string,content:string>>").alias("conversations"))

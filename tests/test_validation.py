@@ -44,3 +44,43 @@ def test_awkward_statements(spark):
     assert verdicts[9] == (False, "syntax")
     strict, _ = run(spark, sqls[:3], strict=True)
     assert strict == [(True, None), (True, None), (False, "missing_table")]
+
+
+def test_words_that_are_no_clauses(spark):
+    sqls = [
+        "SELECT * FROM orders o WHERE o.o_orderkey IS DISTINCT FROM o_custkey",                 # 0
+        "SELECT * FROM orders WHERE o_orderkey IS NOT DISTINCT FROM o_custkey, 1",              # 1
+        "INSERT INTO orders (o_orderkey) VALUES (1) ON DUPLICATE KEY UPDATE o_custkey = 2",     # 2
+        "SELECT * FROM orders FOR UPDATE NOWAIT",                                               # 3
+        "SELECT g.x FROM orders o, generate_series(1, 3) g WHERE my.fn(o.o_orderkey) > 1",      # 4
+        "WITH x AS (SELECT 1) UPDATE orders SET o_custkey = 1",                                 # 5
+        "UPDATE nowhere SET a = 1",                                                             # 6
+        "SELECT * FROM orders JOIN LATERAL_VIEW(1) v ON v.a = o_orderkey",                      # 7
+        "INSERT INTO nowhere(a) VALUES (1)",                                                    # 8
+        "SELECT DISTINCT FROM orders",                                                          # 9
+    ]
+    verdicts, refs = run(spark, sqls)
+    assert [v for v, _ in verdicts] == [True] * 6 + [False, True, False, True]
+    assert refs[4] == [("orders", "o")] and refs[2] == [("orders", None)] and refs[5] == [("orders", None)]
+    assert verdicts[6][1] == verdicts[8][1] == "missing_table"
+
+
+def test_word_lists_hold_what_the_rules_say():
+    assert {"SELECT", "WITH", "INSERT", "UPDATE", "DELETE", "("} <= set(V.VERBS)
+    assert V.TABLE_PREV == ("FROM", "JOIN", "INTO", "UPDATE")
+    assert {"FROM", "WHERE", "ON", "AND", ",", "="} <= set(V.DANGLING) and ";" not in V.DANGLING
+
+
+def test_execution_stage_and_own_rules(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, 0, "SELECT o_custkey FROM orders"), (2, 0, "DELETE FROM orders"), (3, 0, "SELECT * FROM nope"), (4, 0, "SELECT 1")]
+    samples = spark.createDataFrame(rows, "sample_id long, db_id long, output string")
+    cat = spark.createDataFrame([(0, t, c) for t, c in CATALOG], "db_id long, table_name string, column_name string")
+    executed = spark.createDataFrame([(1, False, "boom"), (2, False, "x"), (3, False, "x")], "sample_id long, exec_ok boolean, error string")
+
+    def no_constants(summary):
+        return summary.where(F.size("trefs") == 0).select("sample_id", F.lit(9).alias("stage"), F.lit(0).cast("long").alias("pos"),
+                                                          F.lit("constant").alias("kind"), F.lit("no table").alias("message"))
+    out = {r["sample_id"]: (r["valid"], r["error_kind"]) for r in
+           V.validate_samples(samples, cat, executed=executed, rules=(no_constants,)).collect()}
+    assert out == {1: (False, "execution"), 2: (True, None), 3: (False, "missing_table"), 4: (False, "constant")}
