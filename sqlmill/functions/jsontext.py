@@ -29,12 +29,17 @@ def _c(col) -> Column:
 
 
 def is_json(col) -> Column:
-    """Exactly one JSON value.  Spark's parser stops after the first value and
-    ignores what follows, so the text is also checked as the only element of a
-    one-element array (``'{..} and {..}'`` then fails, as in Python)."""
+    """Exactly one JSON value, as Python's parser accepts it.
+
+    Spark's parser stops after the first value and ignores what follows, so the
+    text must also be the only element of a one-element array, and a field that
+    follows it inside an object must be found.  A key may occur twice (the last
+    value counts)."""
     c = _c(col)
     one = F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1
-    return F.try_parse_json(c).isNotNull() & F.coalesce(one, F.lit(False))
+    framed = F.from_json(F.concat(F.lit('{"v":'), c, F.lit(',"end":0}')), "end int",
+                         {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    return F.coalesce(one & (framed["end"] == 0), F.lit(False))
 
 
 def _fence_body(t: Column, marker: str) -> tuple[Column, Column]:
@@ -53,32 +58,9 @@ def _last(t: Column, ch: str) -> Column:
     return F.when(r > 0, F.length(t) - r + 1).otherwise(0)
 
 
-def extract_json(col) -> Column:
-    t = _c(col)
-    f1, b1 = _fence_body(t, "```json")
-    f2, b2 = _fence_body(t, "```")
-    ob, ok = F.instr(t, "{"), F.instr(t, "[")
-    brace_first = (ob > 0) & ((ok == 0) | (ob < ok))
-    close = F.when(brace_first, _last(t, "}")).otherwise(_last(t, "]"))
-    open_ = F.when(brace_first, ob).otherwise(ok)
-    span = F.substr(t, open_, close - open_ + 1)
-    has_span = ((ob > 0) | (ok > 0)) & (close > 0)
-    js = (F.when(is_json(t), t)
-          .when(f1, F.when(is_json(b1), b1))
-          .when(f2, F.when(is_json(b2), b2))
-          .when(has_span, F.when(is_json(span), span)))
-    err = (F.when(is_json(t), F.lit(None))
-           .when(f1, F.when(~is_json(b1), F.lit(E_FENCE)))
-           .when(f2, F.when(~is_json(b2), F.lit(E_FENCE)))
-           .when(has_span, F.when(~is_json(span), F.lit(E_BRACES)))
-           .otherwise(F.lit(E_NONE)))
-    return F.struct(js.alias("json"), err.cast("string").alias("error"))
-
-
 def with_extracted_json(df, text: str, out: str = "x"):
-    """DataFrame form of :func:`extract_json` that computes each intermediate
-    once (positions, candidate bodies, one parse check each) in its own
-    projection, instead of one deeply nested expression."""
+    """Adds ``out`` = struct<json, error>; each intermediate (positions, candidate
+    bodies, one parse check each) is computed once in its own projection."""
     t = F.col(text)
     p1 = F.instr(t, "```json")
     p2 = F.instr(t, "```")

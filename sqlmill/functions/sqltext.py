@@ -41,14 +41,12 @@ def extract_sql(col) -> Column:
     has2 = t.contains("```") & t.rlike(FENCE_ANY)
     r2 = py_strip(F.regexp_extract(t, FENCE_ANY, 1))
     lines = F.transform(F.split(t, "\n", -1), lambda x: py_strip(x))
-    n = F.size(lines)
-    starts = F.filter(F.sequence(F.lit(1), n),
-                      lambda i: F.upper(F.element_at(lines, i)).startswith("SELECT"))
-    s = F.try_element_at(starts, F.lit(1))
-    ends = F.filter(F.sequence(s, n), lambda i: F.element_at(lines, i).endswith(";"))
-    e = F.coalesce(F.try_element_at(ends, F.lit(1)), n)
-    r3 = F.array_join(F.slice(lines, s, e - s + 1), " ")
-    return (F.when(has1, r1).when(has2, r2).when(s.isNotNull(), r3).otherwise(py_strip(t)))
+    # positions come from scanning the array itself, so the work is linear in the lines
+    start = F.array_position(F.transform(lines, lambda x: F.upper(x).startswith("SELECT")), True)
+    rest = F.slice(lines, F.greatest(start, F.lit(1)).cast("int"), F.size(lines))
+    end = F.array_position(F.transform(rest, lambda x: x.endswith(";")), True).cast("int")
+    r3 = F.array_join(F.when(end > 0, F.slice(rest, F.lit(1), end)).otherwise(rest), " ")
+    return (F.when(has1, r1).when(has2, r2).when(start > 0, r3).otherwise(py_strip(t)))
 
 
 def normalize_sql(col) -> Column:

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import one_col
-from sqlmill.functions.jsontext import extract_json
+from sqlmill.functions.jsontext import is_json, with_extracted_json
 from sqlmill.operators import parse as P
 from sqlmill.operators import planning as PL
 
@@ -43,11 +43,38 @@ JSON_CASES = [
     ('```\n[3]\n```', '[3]', None),
     ('nothing', None, "no JSON found"),
     ('{"a": {"b": 1}} and {"c": 2}', None, "invalid JSON between brackets"),
+    ('{"input":"a","output":"b"}] junk', '{"input":"a","output":"b"}', None),
+    ('[{"a":1}] junk}', '[{"a":1}]', None),
+    ('{"a":1}] junk}', None, "invalid JSON between brackets"),
+    ('{"a":1,"a":2}', '{"a":1,"a":2}', None),
 ]
 
 
+def test_json_validity_is_pythons(spark):
+    import json
+    texts = ['{"a":1,"a":2}', '{"a":1}] junk', '{"a":1}]', '1, 2', '1', '"x"', "{'a':1}", '[1,]', '', ' ', 'null', '{"a":1} ', '01', '{"a":"\t"}',
+             '1,"end":0', '[]', '{}', '{"a":{"b":[1,2,{"c":null}]}}', 'tru', '{"a" 1}', '"\\x"', '{"a":1}{"b":2}', '[1][2]', '-', '1e5', '{"a":"\\u00e9"}']
+
+    def valid(t):
+        try:
+            json.loads(t)
+            return True
+        except ValueError:
+            return False
+    assert dict(zip(texts, one_col(spark, texts, is_json("v")))) == {t: valid(t) for t in texts}
+
+
+def test_sample_lines_take_the_last_of_equal_keys(spark):
+    from sqlmill.operators import generation as G
+    text = '{"input":"a","input":"b","output":"c"}\n{"input":"a","output":"b"}] junk\n[{"input":"a","output":"b"}]'
+    good, bad = G.parse_samples(spark.createDataFrame([(1, text)], "topic_id long, response string"))
+    assert [(r["line_no"], r["input"], r["output"]) for r in good.collect()] == [(0, "b", "c")]
+    assert sorted(r["line_no"] for r in bad.collect()) == [1, 2]
+
+
 def test_extract_json_rules(spark):
-    got = one_col(spark, [c for c, _, _ in JSON_CASES], extract_json("v"))
+    df = spark.createDataFrame([(i, c) for i, (c, _, _) in enumerate(JSON_CASES)], "i long, v string")
+    got = [r["x"] for r in with_extracted_json(df, "v").orderBy("i").collect()]
     assert [(g["json"], g["error"]) for g in got] == [(j, e) for _, j, e in JSON_CASES]
 
 
