@@ -2,13 +2,13 @@
 
 The model is a plain Python function ``fn(list[str]) -> list[str]`` injected by
 the caller; ``batch_inference`` runs it inside ``mapInPandas`` on Arrow
-batches, with the reference's concurrency limit expressed as the number of
-partitions of the inference stage.  Everything around the call is DataFrame
+batches.  Everything around the call is DataFrame
 code.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Iterator
 
@@ -19,44 +19,113 @@ from pyspark.sql import types as T
 
 from ..functions.jsontext import is_json
 from ..functions.text import py_strip
-from ..session import persist_once, ship_package
+from ..session import path_exists, persist_once, ship_package
 
 ModelFn = Callable[[list], list]
 
 
-def _call_with_retries(fn: ModelFn, prompts: list, max_retries: int, base_wait: float):
-    """One batch: returns (responses, errors, attempts).  A failing batch is
-    retried whole, then row by row so one bad prompt cannot sink the others.
-    Waits grow as ``base_wait * 2**k`` (``3**k`` after a timeout)."""
-    last = None
-    for k in range(max_retries):
+def _is_timeout(e: Exception) -> bool:
+    """A timeout by type or, as clients wrap them, by its text."""
+    return isinstance(e, TimeoutError) or any(w in str(e).lower() for w in ("timeout", "timed out"))
+
+
+def _limited(fn: ModelFn, prompts: list, limit_s: float | None) -> list:
+    """``fn(prompts)`` with an optional time limit."""
+    if not limit_s:
+        return list(fn(prompts))
+    box: dict = {}
+
+    def run():
+        try:
+            box["out"] = list(fn(prompts))
+        except Exception as e:  # noqa: BLE001 - handed to the caller
+            box["error"] = e
+    thread = threading.Thread(target=run, daemon=True)
+    thread.start()
+    thread.join(limit_s)
+    if thread.is_alive():
+        raise TimeoutError(f"model call timed out after {limit_s} s")
+    if "error" in box:
+        raise box["error"]
+    return box["out"]
+
+
+def _call_with_retries(fn: ModelFn, prompts: list, max_retries: int, base_wait: float, accept=None,
+                       limit_s: float | None = None):
+    """One batch: (responses, errors, attempts), one of each per prompt.
+
+    Every prompt has ``max_retries`` tries.  The batch is sent whole once; rows
+    that fail then, with the batch or by ``accept`` (a check that raises on an
+    answer that does not parse), go on one by one with the tries they have
+    left (one at least), so healthy rows are not sent again for a bad one.  Waits grow as
+    ``base_wait * 2**k`` (``3**k`` after a timeout)."""
+    n = len(prompts)
+    answers, errors, tries = [None] * n, [None] * n, [0] * n
+
+    def attempt(rows: list) -> Exception | None:
+        """Sends the rows; the last error, if any row still has none of its tries succeeded."""
+        last = None
+        for i in rows:
+            tries[i] += 1
         try:
-            out = list(fn(prompts))
-            if len(out) != len(prompts):
-                raise ValueError(f"model returned {len(out)} answers for {len(prompts)} prompts")
-            return out, [None] * len(prompts), k + 1
+            out = _limited(fn, [prompts[i] for i in rows], limit_s)
+            if len(out) != len(rows):
+                raise ValueError(f"model returned {len(out)} answers for {len(rows)} prompts")
         except Exception as e:  # noqa: BLE001 - the model is user code
-            last = e
-            if k + 1 < max_retries and base_wait > 0:
-                time.sleep(base_wait * ((3 if isinstance(e, TimeoutError) else 2) ** k))
-    if len(prompts) == 1:
-        return [None], [f"{type(last).__name__}: {last}"], max_retries
-    res, errs, att = [], [], 0
-    for p in prompts:
-        r, e, a = _call_with_retries(fn, [p], max_retries, base_wait)
-        res += r
-        errs += e
-        att = max(att, a)
-    return res, errs, att
-
-
-def batch_inference(df: DataFrame, fn: ModelFn, prompt="prompt", keys=("id",), concurrency: int = 3,
-                    batch_size: int = 8, max_retries: int = 3, base_wait: float = 1.0) -> DataFrame:
+            for i in rows:
+                errors[i] = f"{type(e).__name__}: {e}"
+            return e
+        for i, answer in zip(rows, out):
+            try:
+                if accept is not None:
+                    accept(answer)
+                answers[i], errors[i] = answer, None
+            except Exception as e:  # noqa: BLE001 - an answer that does not parse is a failed try
+                errors[i], last = f"{type(e).__name__}: {e}", e
+        return last
+
+    def pause(k: int, e: Exception) -> None:
+        if base_wait > 0:
+            time.sleep(base_wait * (3 if _is_timeout(e) else 2) ** k)
+
+    e = attempt(list(range(n))) if n else None
+    most = max(max_retries, 2) if n > 1 else max_retries  # a try of its own for each row of a failed batch
+    if e is not None and most > 1:
+        pause(0, e)
+    for i in range(n):
+        while errors[i] is not None and tries[i] < most:
+            e = attempt([i])
+            if e is not None and tries[i] < most:
+                pause(tries[i] - 1, e)
+    return answers, errors, tries
+
+
+def must_be_json(answer) -> None:
+    """``accept`` for prompts that ask for JSON: some text of the answer must parse."""
+    import json
+    text = str(answer).strip()
+    for mark in ("```json", "```"):
+        if mark in text and "```" in text.split(mark, 1)[1]:
+            json.loads(text.split(mark, 1)[1].split("```", 1)[0])
+            return
+    starts = [k for k in (text.find("{"), text.find("[")) if k >= 0]
+    if starts:
+        end = text.rfind("}" if text[min(starts)] == "{" else "]")
+        text = text[min(starts):end + 1]
+    json.loads(text)
+
+
+def batch_inference(df: DataFrame, fn: ModelFn, prompt="prompt", keys=("id",), concurrency: int | None = None,
+                    batch_size: int = 8, max_retries: int = 3, base_wait: float = 1.0, accept=None,
+                    limit_s: float | None = None) -> DataFrame:
     """G1: (keys…, response, error, attempts) for every prompt row.
 
-    ``concurrency`` partitions run the model at once.  Model output is not
-    repeatable, so persist the result (``sqlmill.session.persist_once``)
-    before using it twice."""
+    Tasks call the model one batch at a time, so at most as many calls run at
+    once as tasks do.  ``concurrency`` bounds them further by gathering the
+    prompts into that many partitions; left out, the input's partitioning
+    stays.  ``accept(answer)`` may raise to have an answer tried again;
+    ``limit_s`` bounds one call.  Model output is not repeatable, so persist
+    the result (``sqlmill.session.persist_once``) before using it twice."""
     keys = list(keys)
     schema = T.StructType(
         [f for f in df.select(*keys).schema.fields]
@@ -67,7 +136,7 @@ def batch_inference(df: DataFrame, fn: ModelFn, prompt="prompt", keys=("id",), c
         for pdf in batches:
             for s in range(0, len(pdf), batch_size):
                 chunk = pdf.iloc[s:s + batch_size]
-                res, errs, att = _call_with_retries(fn, chunk[prompt].tolist(), max_retries, base_wait)
+                res, errs, att = _call_with_retries(fn, chunk[prompt].tolist(), max_retries, base_wait, accept, limit_s)
                 out = chunk[keys].copy()
                 out["response"] = res
                 out["error"] = errs
@@ -75,7 +144,8 @@ def batch_inference(df: DataFrame, fn: ModelFn, prompt="prompt", keys=("id",), c
                 yield out
 
     ship_package(df.sparkSession)
-    return df.select(*keys, prompt).repartition(concurrency).mapInPandas(run, schema)
+    rows = df.select(*keys, prompt)
+    return (rows.repartition(concurrency) if concurrency else rows).mapInPandas(run, schema)
 
 
 def parse_samples(responses: DataFrame, keys=("topic_id",), response="response"):
@@ -89,13 +159,14 @@ def parse_samples(responses: DataFrame, keys=("topic_id",), response="response")
     keys = list(keys)
     lines = responses.select(*keys, F.posexplode(F.split(py_strip(response), "\n", -1)).alias("line_no", "raw"))
     lines = lines.select(*keys, F.col("line_no").cast("bigint").alias("line_no"), py_strip("raw").alias("line"))
-    lines = lines.withColumn("v", F.when(is_json("line"), F.try_parse_json("line")))
-    typ = lambda path: F.schema_of_variant(F.try_variant_get("v", path, "variant"))
-    ok = F.col("v").isNotNull() & (typ("$.input") == "STRING") & (typ("$.output") == "STRING")
+    fields = F.from_json("line", "input variant, output variant", {"allowSingleQuotes": "false"})
+    lines = lines.withColumn("v", F.when(is_json("line") & F.col("line").startswith("{"), fields))
+    typ = lambda name: F.schema_of_variant(F.col(f"v.{name}"))
+    ok = F.col("v").isNotNull() & (typ("input") == "STRING") & (typ("output") == "STRING")
     skip = (F.col("line") == "") | F.col("line").startswith("#") | F.col("line").startswith("//")
     sample = F.struct(*[F.col(k) for k in keys], F.col("line_no"),
-                      py_strip(F.try_variant_get("v", "$.input", "string")).alias("input"),
-                      py_strip(F.try_variant_get("v", "$.output", "string")).alias("output"))
+                      py_strip(F.try_variant_get("v.input", "$", "string")).alias("input"),
+                      py_strip(F.try_variant_get("v.output", "$", "string")).alias("output"))
     # generators instead of filters keep the parse from being inlined twice
     samples = lines.select(F.inline(F.when(~skip & F.coalesce(ok, F.lit(False)), F.array(sample))))
     rejected = lines.select(F.inline(F.when(~skip & ~F.coalesce(ok, F.lit(False)),
@@ -139,9 +210,9 @@ def cached_inference(df: DataFrame, fn: ModelFn, cache_path: str, prompt="prompt
     keys = list(keys)
     h = F.sha2(F.col(prompt), 256)
     d = df.select(*keys, prompt).withColumn("prompt_hash", h)
-    try:
+    if path_exists(spark, cache_path):
         done = spark.read.parquet(cache_path)
-    except Exception:  # noqa: BLE001 - no cache yet
+    else:
         done = spark.createDataFrame([], "prompt_hash string, response string")
     todo = d.join(done.select("prompt_hash"), "prompt_hash", "left_anti").dropDuplicates(["prompt_hash"])
     # the call result is written once; both the cache append and the error

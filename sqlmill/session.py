@@ -7,6 +7,7 @@ settings from it.  ``get_spark`` is for local runs and tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,23 +46,47 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a private one created and
-    registered, so later calls and ``DataFrame.checkpoint`` use the same place.
-    """
-    path = spark.conf.get(CHECKPOINT_KEY, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="sqlmill-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, path)
-        spark.sparkContext.setCheckpointDir(path)
+    Only a local session (tests, one machine) without one gets a folder of its
+    own, registered as its checkpoint folder; on a cluster executors would write
+    to their own disks, so a missing setting is an error."""
+    path = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share (master {master})")
+    path = tempfile.mkdtemp(prefix="sqlmill-ckpt-")
+    spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def drop_scratch(spark: SparkSession, keep: tuple = ()) -> None:
+    """Deletes the stored intermediate tables of this application, but for the
+    paths in ``keep``.  Call it when their readers are done."""
+    left = []
+    for path in _SCRATCH.get(spark.sparkContext.applicationId, []):
+        if path in keep:
+            left.append(path)
+            continue
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _SCRATCH[spark.sparkContext.applicationId] = left
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder for one output."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def persist_once(df, spark: SparkSession, name: str):
