@@ -2,12 +2,14 @@
 
 ``Window.partitionBy(group).orderBy(x)`` sends a whole group to one task; if a
 single run or query holds a third of the rows, that task does a third of the
-work.  Here each group is cut into slices of consecutive order values
-(``floor(order / width)``, a pure function of the data, so every task retry and
-every branch of the plan agrees on it); windows run per (group, slice), which
-spreads a hot group over many tasks.  A small table with one row per
-(group, slice) carries the prefix from earlier slices; joining it back on
-(group, slice) keeps that join balanced too.  ``order`` must be numeric.
+work.  Here the order values are cut into slices of about ``rows`` rows of the
+whole table (boundaries are sampled quantiles, taken once on the driver, so
+every task retry and every branch of the plan agrees on them); windows run per
+(group, slice), which spreads a hot group over many tasks.  A table with one
+row per (group, slice) carries the prefix from earlier slices; joining it back
+on (group, slice) keeps that join balanced too.  The first ``order`` column
+must be numeric, and the rows must come out the same when they are read again
+(store them first where they do not).
 """
 
 from __future__ import annotations
@@ -18,15 +20,40 @@ from pyspark.sql import functions as F
 _AGG = {"min": F.min, "max": F.max, "sum": F.sum}
 
 
-def _sliced(df: DataFrame, keys, order, width: int):
+#: Rows of the whole table in one slice, and the most slices.
+SLICE_ROWS = 1 << 16
+MOST_SLICES = 4096
+_BLOCK = 64
+
+
+def _slice_of(value, bounds: list):
+    """Number of ascending ``bounds`` up to ``value``, looked up in blocks."""
+    blocks = [bounds[i:i + _BLOCK] for i in range(0, len(bounds), _BLOCK)]
+    upto = lambda xs: F.size(F.filter(xs, lambda b: b <= value))
+    block = F.greatest(upto(F.array(*[F.lit(b[0]) for b in blocks])), F.lit(1))
+    inside = F.element_at(F.array(*[F.array(*[F.lit(x) for x in b]) for b in blocks]), block)
+    return (block - 1) * _BLOCK + upto(inside)
+
+
+def _sliced(df: DataFrame, keys, order, rows: int):
     keys, order = list(keys), list(order)
-    return df.withColumn("_pid", F.floor(F.col(order[0]) / width)), keys, order
+    slices = min(MOST_SLICES, -(-df.count() // rows))
+    bounds = []
+    if slices > 1:
+        shares = [i / slices for i in range(1, slices)]
+        bounds = sorted(set(df.approxQuantile(order[0], shares, 0.25 / slices)))
+    if not bounds:
+        return None, keys, order
+    return df.withColumn("_pid", F.coalesce(_slice_of(F.col(order[0]).cast("double"), bounds), F.lit(-1))), keys, order
 
 
-def positions_within(df: DataFrame, keys, order, out: str = "pos", width: int = 1 << 16) -> DataFrame:
+def positions_within(df: DataFrame, keys, order, out: str = "pos", rows: int = SLICE_ROWS) -> DataFrame:
     """Dense 1-based position of each row within its group, in ``order``
     (ties broken arbitrarily but consistently)."""
-    r, keys, order = _sliced(df, keys, order, width)
+    r, keys, order = _sliced(df, keys, order, rows)
+    if r is None:  # one slice holds the whole table
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     part = keys + ["_pid"]
     local = r.withColumn("_lp", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
     # slice sizes from the numbered rows (same partitioning, no new shuffle)
@@ -41,14 +68,16 @@ def positions_within(df: DataFrame, keys, order, out: str = "pos", width: int =
 
 
 def running(df: DataFrame, keys, order, value: str, agg: str, out: str, inclusive: bool = True,
-            width: int = 1 << 16) -> DataFrame:
+            rows: int = SLICE_ROWS) -> DataFrame:
     """Running ``agg`` (min, max or sum) of ``value`` within each group in
     ``order``: over earlier rows and the current one (``inclusive``) or over
     earlier rows only (NULL when there are none)."""
     f = _AGG[agg]
-    r, keys, order = _sliced(df, keys, order, width)
-    part = keys + ["_pid"]
+    r, keys, order = _sliced(df, keys, order, rows)
+    part = keys + ["_pid"] if r is not None else keys
     w = Window.partitionBy(*part).orderBy(*order)
+    if r is None:
+        return df.withColumn(out, f(value).over(w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)))
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     local = r.withColumn("_loc", f(value).over(frame))
     summ = local.groupBy(*part).agg(f(value).alias("_s"))

@@ -36,7 +36,11 @@ def tokenize_with(df: DataFrame, fn: Callable[[list], list], text="prompt", out=
     return df.mapInPandas(run, schema)
 
 
-def training_rows(df: DataFrame, max_length: int, ids="token_ids") -> DataFrame:
+#: fixed value: longest training row, in tokens
+MAX_LENGTH = 2048
+
+
+def training_rows(df: DataFrame, max_length: int = MAX_LENGTH, ids="token_ids") -> DataFrame:
     """Truncate to ``max_length``; attention mask of ones; labels = a copy
     of the ids (the prompt is not masked)."""
     t = F.slice(ids, 1, max_length)
@@ -46,8 +50,11 @@ def training_rows(df: DataFrame, max_length: int, ids="token_ids") -> DataFrame:
 
 
 def batch_ids(df: DataFrame, batch_size: int, ord_col="ord") -> DataFrame:
-    """Fixed-size batches in order."""
-    return df.withColumn("batch", F.floor(F.col(ord_col) / batch_size).cast("bigint"))
+    """Batches of exactly ``batch_size`` rows in order (the last may be
+    shorter): by dense position, as gaps in ``ord_col`` are no rows."""
+    from .ordering import positions_within
+    dense = positions_within(df, [], [ord_col], out="_pos")
+    return dense.withColumn("batch", F.floor((F.col("_pos") - 1) / batch_size).cast("bigint")).drop("_pos")
 
 
 def pad_batches(df: DataFrame, pad_id: int = 0, batch="batch") -> DataFrame:
@@ -68,15 +75,21 @@ def mean_loss(losses: DataFrame, group=("run_id",), loss="loss") -> DataFrame:
                                       F.count(loss).alias("n_samples"))
 
 
-def early_stopping(history: DataFrame, patience: int = 3, run="run_id", epoch="epoch", loss="loss") -> DataFrame:
-    """A10 with the training loop's ``min_delta = 0``: an epoch improves when its
-    loss is below every earlier loss; training stops at the first epoch that
-    ends ``patience`` consecutive non-improving epochs.
+def early_stopping(history: DataFrame, patience: int = 3, run="run_id", epoch="epoch", loss="loss",
+                   min_delta: float = 0.0) -> DataFrame:
+    """A10: an epoch improves when its loss is below the best one so far by more
+    than ``min_delta``; training stops at the first epoch that ends ``patience``
+    consecutive non-improving epochs.  With ``min_delta`` above 0 the best loss
+    is that of the last improving epoch, which depends on the order of all
+    earlier ones: those runs' histories are folded one by one in order, in
+    Python, one run per group (a run's epochs, not the table, bound it).
 
     (run_id, stop_epoch [NULL = never], epochs_run, best_loss, best_epoch).
     Running minimum and "last improvement" are skew-safe running aggregates
     (``ordering.running``); the result is one aggregate per run — no array of
     a run's history is ever built and no join on the run key is needed."""
+    if min_delta:
+        return _early_stopping_delta(history, patience, run, epoch, loss, min_delta)
     from .ordering import running
     h = running(history, [run], [epoch], loss, "min", "_best_before", inclusive=False)
     h = h.withColumn("_impr", F.col(loss) < F.coalesce(F.col("_best_before"), F.lit(float("inf"))))
@@ -92,3 +105,23 @@ def early_stopping(history: DataFrame, patience: int = 3, run="run_id", epoch="e
     best = F.coalesce(F.col("_at_stop"), F.col("_at_end"))
     return g.select(run, "stop_epoch", F.coalesce("stop_epoch", "_max").alias("epochs_run"),
                     best["b"].alias("best_loss"), best["e"].alias("best_epoch"))
+
+
+def _early_stopping_delta(history: DataFrame, patience: int, run: str, epoch: str, loss: str, min_delta: float) -> DataFrame:
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        best, best_epoch, waited, stop, last = None, None, 0, None, None
+        for e, x in rows.sort_values(epoch)[[epoch, loss]].itertuples(index=False):
+            last = e
+            if best is None or x < best - min_delta:
+                best, best_epoch, waited = x, e, 0
+                continue
+            waited += 1
+            if waited >= patience:
+                stop = e
+                break
+        return pd.DataFrame({run: [rows[run].iloc[0]], "stop_epoch": pd.array([stop], "Int64"), "epochs_run": [last],
+                             "best_loss": [best], "best_epoch": [best_epoch]})
+    kinds = {f.name: f.dataType.simpleString() for f in history.schema.fields}
+    schema = (f"{run} {kinds[run]}, stop_epoch {kinds[epoch]}, epochs_run {kinds[epoch]}, best_loss {kinds[loss]}, "
+              f"best_epoch {kinds[epoch]}")
+    return history.select(run, epoch, loss).groupBy(run).applyInPandas(fold, schema)

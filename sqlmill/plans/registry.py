@@ -26,10 +26,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_eval, queries_text  # noqa: F401
-    for mod in ("queries_catalog", "queries_validate", "queries_plan", "queries_gen", "queries_misc"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"{__package__}.{mod}":
-                raise
+    from . import (queries_catalog, queries_eval, queries_gen, queries_misc, queries_plan, queries_text,  # noqa: F401
+                   queries_validate)

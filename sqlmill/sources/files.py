@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import mimetypes
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# fixed values: file extension -> MIME type for the binary image scan
-IMAGE_MIME = {".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".gif": "image/gif",
-              ".webp": "image/webp", ".bmp": "image/bmp"}
+from ..session import persist_once
+
+# fixed values: image types that Python's table may lack
+MORE_IMAGE_TYPES = {".webp": "image/webp", ".avif": "image/avif", ".heic": "image/heic", ".heif": "image/heif",
+                    ".svg": "image/svg+xml", ".jxl": "image/jxl"}
+
+
+def image_types() -> dict[str, str]:
+    """Extension -> MIME type of every known ``image/*`` type, in both cases."""
+    known = {e: m for e, m in mimetypes.MimeTypes().types_map[True].items() if m.startswith("image/")}
+    known = {**MORE_IMAGE_TYPES, **known}
+    return known | {e.upper(): m for e, m in known.items()}
 
 
 def scan_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -20,9 +28,10 @@ def scan_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def scan_json_array(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Every file holds one JSON array; files are read in parallel (a single
-    file is not splittable)."""
-    return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+    """Every file holds one JSON array; files (in folders below, too) are read
+    in parallel (a single file is not splittable)."""
+    return (spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST")
+            .option("recursiveFileLookup", "true").json(path))
 
 
 def ensure_not_empty(df: DataFrame, what: str = "dataset") -> DataFrame:
@@ -34,34 +43,37 @@ def ensure_not_empty(df: DataFrame, what: str = "dataset") -> DataFrame:
 
 def with_file_order(df: DataFrame, ord_col: str = "ord") -> DataFrame:
     """Dense 0-based row positions in file order (path, split start, row), for
-    sources whose order matters.  A distributed sort, then
-    ``ordering.positions_within`` over the sorted ids — JVM only, no row goes
-    through Python or the driver."""
-    from ..operators.ordering import positions_within
-    keyed = (df.withColumn("_f", F.col("_metadata.file_path"))
-               .withColumn("_b", F.col("_metadata.file_block_start"))
-               .withColumn("_m", F.monotonically_increasing_id())
-               .orderBy("_f", "_b", "_m")
-               .withColumn("_o", F.monotonically_increasing_id()))
-    out = positions_within(keyed, [], ["_o"], out=ord_col)
-    return out.withColumn(ord_col, F.col(ord_col) - 1).drop("_f", "_b", "_m", "_o")
-
-
-def write_json_arrays(df: DataFrame, path: str) -> None:
-    """Write each partition as one file holding one JSON array (the shape S2
-    reads).  Only one partition's rows are joined in a task."""
-    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
-
-    def to_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = []
-        for b in batches:
-            parts.extend(b["j"].tolist())
-        if parts:
-            yield pd.DataFrame({"value": ["[" + ",\n".join(parts) + "]"]})
-
-    from ..session import ship_package
-    ship_package(df.sparkSession)
-    js.mapInPandas(to_array, "value string").write.mode("overwrite").text(path)
+    sources whose order matters.
+
+    The rows are stored once with their split and place in it, so both readers
+    below see the same numbers.  Rows are numbered per split, the offsets of the
+    splits are running sums over one row per split."""
+    keyed = persist_once(df.withColumn("_f", F.col("_metadata.file_path")).withColumn("_b", F.col("_metadata.file_block_start"))
+                         .withColumn("_m", F.monotonically_increasing_id()), df.sparkSession, "file-order")
+    sizes = keyed.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_f", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("_f", "_b").orderBy("_m")))
+    return (local.join(offsets, ["_f", "_b"]).withColumn(ord_col, (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
+            .drop("_f", "_b", "_m", "_rn", "_off"))
+
+
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """Write files that hold one JSON array each (the shape S2 reads), of at most
+    ``rows_per_file`` rows.  A file's first line opens its array, so rows stay
+    rows of text and no task joins them."""
+    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"), F.monotonically_increasing_id().alias("_m"))
+    js = persist_once(js, df.sparkSession, "json-rows")
+    place = F.row_number().over(Window.partitionBy("_p").orderBy("_m"))
+    numbered = js.withColumn("_p", F.shiftright("_m", 33)).withColumn("_n", place)
+    numbered = numbered.withColumn("_file", F.concat_ws("-", "_p", F.floor((F.col("_n") - 1) / rows_per_file)))
+    last = numbered.groupBy("_file").agg(F.max("_n").alias("_last"))
+    lines = numbered.join(last, "_file").select(
+        "_file", "_n", F.concat(F.when((F.col("_n") - 1) % rows_per_file == 0, F.lit("[")).otherwise(F.lit("")), "j",
+                                F.when(F.col("_n") == F.col("_last"), F.lit("]")).otherwise(F.lit(","))).alias("value"))
+    parts = max(1, last.count())
+    (lines.repartition(parts, "_file").sortWithinPartitions("_file", "_n").select("value", "_file")
+     .write.mode("overwrite").partitionBy("_file").text(path))
 
 
 def b64(col) -> F.Column:
@@ -79,11 +91,14 @@ def file_extension(name) -> F.Column:
 
 
 def scan_images(spark: SparkSession, path: str) -> DataFrame:
-    """S10 over a folder: image files only (by extension), content base64-encoded."""
-    df = spark.read.format("binaryFile").load(path)
+    """S10 over a folder: files whose extension names an ``image/*`` type, content
+    base64-encoded.  Names are listed first without reading content; of other
+    files not a byte is read."""
+    named = "*{" + ",".join(sorted(image_types(), key=len)) + "}"
+    df = spark.read.format("binaryFile").option("pathGlobFilter", named).load(path)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     ext = F.lower(file_extension(name))
-    mime = F.try_element_at(F.create_map(*[F.lit(x) for kv in IMAGE_MIME.items() for x in kv]), ext)
+    mime = F.try_element_at(F.create_map(*[F.lit(x) for kv in image_types().items() for x in kv]), ext)
     return (df.select(name.alias("name"), mime.alias("mime"), F.col("length").alias("size"), "content")
               .where(F.col("mime").isNotNull())
               .select("name", "mime", "size", b64("content").alias("payload")))
