@@ -51,6 +51,11 @@ _PG_CCU = """(SELECT constraint_schema, constraint_name, table_name, column_name
  FROM information_schema.constraint_column_usage) q"""
 
 
+def _literal(name: str) -> str:
+    """A database name as SQL text, quotes and (for MySQL) backslashes escaped."""
+    return "'" + name.replace("\\", "\\\\").replace("'", "''") + "'"
+
+
 def read_catalog_jdbc(spark: SparkSession, url: str, databases: list[str], properties: dict,
                       db_type: str = "mysql"):
     """One JDBC partition per schema (``predicates``), so many databases
@@ -59,14 +64,14 @@ def read_catalog_jdbc(spark: SparkSession, url: str, databases: list[str], prope
     constraint tables through J2/J3.  Other database types are not supported
     (the reference declares SQL Server but raises)."""
     if db_type == "mysql":
-        preds = [f"db_name = '{d}'" for d in databases]
+        preds = [f"db_name = {_literal(d)}" for d in databases]
         cols = spark.read.jdbc(url, _MYSQL_COLUMNS, predicates=preds, properties=properties)
         pk = spark.read.jdbc(url, _MYSQL_PK, predicates=preds, properties=properties)
         fk = spark.read.jdbc(url, _MYSQL_FK, predicates=preds, properties=properties)
         return cols, pk, fk
     if db_type == "postgres":
-        preds = [f"db_name = '{d}'" for d in databases]
-        cpreds = [f"constraint_schema = '{d}'" for d in databases]
+        preds = [f"db_name = {_literal(d)}" for d in databases]
+        cpreds = [f"constraint_schema = {_literal(d)}" for d in databases]
         cols = spark.read.jdbc(url, _PG_COLUMNS, predicates=preds, properties=properties)
         tc = spark.read.jdbc(url, _PG_TC, predicates=cpreds, properties=properties)
         kcu = spark.read.jdbc(url, _PG_KCU, predicates=cpreds, properties=properties)

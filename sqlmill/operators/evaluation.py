@@ -48,6 +48,13 @@ def require_aligned(report: DataFrame) -> None:
         raise ValueError(f"predictions and references do not align: {bad[0].asDict()}")
 
 
+def require_unique(refs: DataFrame, keys=("run_id", "ord")) -> None:
+    """Action: raise if a key occurs twice, as the pairs would multiply."""
+    twice = refs.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"rows share a key: {twice[0].asDict()}")
+
+
 def first_n(df: DataFrame, n: int, order="ord") -> DataFrame:
     """the first ``n`` rows in key order (distributed top-k, not a sort)."""
     return df.orderBy(order).limit(n)

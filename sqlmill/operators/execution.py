@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,21 +27,44 @@ from .evaluation import NAN_MARK
 E_GATE = "只允许执行 SELECT 查询"   # fixed value: only SELECT statements may run
 
 
+def _double_text(d):
+    whole = (d == F.floor(d)) & (F.abs(d) < 2.0 ** 53)
+    return F.when(whole, d.cast("bigint").cast("string")).otherwise(d.cast("string"))
+
+
+def canonical_cell(c, kind: T.DataType):
+    """One value as tagged text that is equal exactly where Python's values are:
+    ``n:`` numbers by value (1 = 1.0 = true), ``s:`` strings, ``d:`` dates,
+    ``t:`` timestamps, ``b:`` bytes, ``x:`` the rest; NaN is a mark that equals
+    nothing, NULL stays NULL.
+
+    Whole numbers below 2^53 are written as integers, other doubles by their
+    shortest digits, which are unique per value.  Longs and decimals that some
+    double equals are written as that double, all others as ``n:=`` digits."""
+    if isinstance(kind, T.BooleanType):
+        return F.concat(F.lit("n:"), c.cast("int").cast("string"))
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        c, kind = c.cast("decimal(20,0)"), T.DecimalType(20, 0)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        d = c.cast("double")
+        return F.when(F.isnan(d), F.lit(NAN_MARK)).otherwise(F.concat(F.lit("n:"), _double_text(d)))
+    if isinstance(kind, T.DecimalType):
+        plain = c.cast("string")
+        bare = F.when(plain.contains("."), F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", "")).otherwise(plain)
+        d = c.cast("double")
+        # some double has this very value: multiplied by a power of two it is whole, and it reads back equal
+        whole = (c * F.lit(Decimal(1 << min(kind.scale, 18)))) % 1 == 0
+        exact = F.coalesce(whole & (d.cast(kind) == c), F.lit(False))
+        return F.concat(F.lit("n:"), F.when(exact, _double_text(d)).otherwise(F.concat(F.lit("="), bare)))
+    tag = {T.StringType: "s:", T.DateType: "d:", T.TimestampType: "t:", T.TimestampNTZType: "t:", T.BinaryType: "b:"}.get(type(kind), "x:")
+    text = F.hex(c) if isinstance(kind, T.BinaryType) else c.cast("string")
+    return F.concat(F.lit(tag), text)
+
+
 def canonical_cells(df: DataFrame) -> DataFrame:
-    """One ``array<string>`` per row: numbers in one decimal form (so 1 = 1.0 =
-    1.00), NaN as a marker that equals nothing, NULL kept as NULL."""
-    cells = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            num = F.regexp_replace(F.regexp_replace(c.cast("decimal(38,12)").cast("string"), r"0+$", ""), r"\.$", "")
-            cells.append(F.when(F.isnan(c), F.lit(NAN_MARK)).otherwise(num))
-        elif isinstance(f.dataType, (T.DecimalType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            s = c.cast("decimal(38,12)").cast("string")
-            cells.append(F.regexp_replace(F.regexp_replace(s, r"0+$", ""), r"\.$", ""))
-        else:
-            cells.append(c.cast("string"))
-    return df.select(F.array(*cells).alias("cells")) if cells else df.select(F.array().cast("array<string>").alias("cells"))
+    """One ``array<string>`` of canonical cells per row."""
+    cells = [canonical_cell(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    return df.select((F.array(*cells) if cells else F.array().cast("array<string>")).alias("cells"))
 
 
 RAW_SCHEMA = "sql_hash string, _m bigint, cells array<string>"
@@ -59,7 +83,7 @@ def _run_one(spark: SparkSession, sql: str, timeout_s: float, out: str, sql_hash
             .write.mode("append").parquet(out))
         return True, None
     except Exception as e:  # noqa: BLE001 - any SQL or runtime error is a result
-        return False, f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"
+        return False, f"{type(e).__name__}: {e}"
     finally:
         timer.cancel()
         spark.removeTag(tag)

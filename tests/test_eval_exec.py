@@ -107,3 +107,82 @@ def test_cached_inference_calls_each_prompt_once(spark):
     df2 = spark.createDataFrame([(5, "a"), (6, "c")], "id long, prompt string")
     G.cached_inference(df2, counting_model, cache, keys=("id",), base_wait=0.0).collect()
     assert spark.read.parquet(cache).count() == 3    # only 'c' was new
+
+
+def test_typed_cells(spark):
+    rows = spark.sql("""select '1' as s, 1 as i, 1.0D as d, cast(1.00 as decimal(5,2)) as m, true as b, date'2020-01-01' as dt, '2020-01-01' as ds,
+        double('infinity') as inf, 1e30D as big, 1e-13D as small, 0D as zero, double('nan') as nan, cast(null as int) as nul,
+        cast(0.1 as decimal(3,1)) as tenth, 0.1D as dtenth, cast(1.5 as decimal(4,1)) as half, 1.5D as dhalf, X'01' as raw""")
+    c = dict(zip(rows.columns, X.canonical_cells(rows).collect()[0]["cells"]))
+    assert c["i"] == c["d"] == c["m"] == c["b"] and c["s"] != c["i"]
+    assert c["dt"] != c["ds"] and c["nul"] is None
+    assert len({c["inf"], c["big"], c["small"], c["zero"]}) == 4 and c["inf"] is not None
+    assert c["nan"] == X.NAN_MARK
+    assert c["tenth"] != c["dtenth"] and c["half"] == c["dhalf"]
+
+
+def test_tries_are_counted_per_row():
+    from sqlmill.operators import generation as G
+    sent = []
+
+    def model(prompts):
+        sent.extend(prompts)
+        return counting_model(prompts)
+    answers, errors, tries = G._call_with_retries(model, ["a", "bad", "c"], 3, 0.0)
+    assert answers == ["answer to a", None, "answer to c"] and tries == [2, 3, 2]
+    assert errors[0] is None and "boom" in errors[1]
+    assert sent.count("bad") == 3 and sent.count("a") == 2
+
+    flaky = {"n": 0}
+
+    def json_at_last(prompts):
+        flaky["n"] += 1
+        return ["not json"] if flaky["n"] == 1 else ['```json\n{"a": 1}\n```']
+    answers, errors, tries = G._call_with_retries(json_at_last, ["p"], 3, 0.0, accept=G.must_be_json)
+    assert tries == [2] and errors == [None] and "```json" in answers[0]
+    assert G._is_timeout(RuntimeError("Request timed out.")) and not G._is_timeout(ValueError("x"))
+    import time
+    _, errors, _ = G._call_with_retries(lambda p: time.sleep(5), ["p"], 1, 0.0, limit_s=0.1)
+    assert "timed out" in errors[0]
+
+
+def test_batches_are_full(spark):
+    from sqlmill.operators import training as TR
+    df = spark.createDataFrame([(i * 7 + i % 3,) for i in range(1000)], "ord long")
+    sizes = sorted(r["count"] for r in TR.batch_ids(df, 8).groupBy("batch").count().collect())
+    assert sizes == [8] * 125
+
+
+def test_positions_in_many_slices_and_min_delta(spark):
+    import random
+    from sqlmill.operators import ordering, training as TR
+    rng = random.Random(1)
+    rows = [(rng.choice(["hot", "hot", "a", "b"]), rng.randrange(10 ** 6) ** 2, rng.random()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k string, o long, x double")
+    got = ordering.positions_within(df, ["k"], ["o"], rows=100).collect()
+    for k in ("hot", "a", "b"):
+        own = sorted((r["o"], r["pos"]) for r in got if r["k"] == k)
+        assert [p for _, p in own] == list(range(1, len(own) + 1))
+    run = ordering.running(df, ["k"], ["o"], "x", "min", "m", rows=100).collect()
+    own = sorted((r["o"], r["x"], r["m"]) for r in run if r["k"] == "hot")
+    assert all(m == min(x for _, x, _ in own[:i + 1]) for i, (_, _, m) in enumerate(own))
+    losses = [1.0, 0.95, 0.94, 0.93, 0.5, 0.49]
+    h = spark.createDataFrame([(1, i + 1, x) for i, x in enumerate(losses)], "run_id long, epoch int, loss double")
+    r = TR.early_stopping(h, 3, min_delta=0.1).collect()[0]
+    assert (r["stop_epoch"], r["best_loss"], r["best_epoch"]) == (4, 1.0, 1)
+    assert TR.early_stopping(h, 3).collect()[0]["stop_epoch"] is None
+
+
+def test_extract_sql_is_linear_in_lines(spark):
+    import time
+    from pyspark.sql import functions as F
+    from sqlmill.functions.sqltext import extract_sql
+
+    def took(n):
+        text = "\n".join(["prose line"] * n + ["select 1", "from t;"] + ["more"] * n)
+        df = spark.createDataFrame([(text,)], "v string")
+        t0 = time.time()
+        assert df.select(extract_sql("v")).collect()[0][0] == "select 1 from t;"
+        return time.time() - t0
+    took(10)
+    assert took(20_000) < 20 * max(took(2_000), 0.2)
