@@ -34,7 +34,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import python_ready
+from .common import python_ready, stored
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Words compiled into the lexicon: bounds its file and what the driver sees.
@@ -372,10 +372,21 @@ def _spaced(pieces: Counter, words) -> pa.RecordBatch:
 
 
 def frequent_words(docs: DataFrame, words: int = LEXICON_WORDS) -> list[bytes]:
-    """The most frequent words of all texts, ties by bytes."""
+    """The most frequent words of all texts: all from the least count on that
+    at most ``words`` reach, so the driver never sees more than these."""
     counts = docs.select("text").mapInArrow(_count_words, "word binary, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1").orderBy(F.desc("n"), "word").limit(words)
-    return [bytes(r["word"]) for r in top.select("word").collect()]
+    counts = stored(counts.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "bpe-words")
+    level = F.floor(F.log2("n") * 32).cast("long")  # at most 2048 levels of counts
+    levels = sorted((r["level"], r["words"]) for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect())
+    least, taken = None, 0
+    for at, n in reversed(levels):
+        taken += n
+        if taken > words:
+            break
+        least = at
+    if least is None:
+        return []
+    return [bytes(r["word"]) for r in counts.filter(level >= least).select("word").toLocalIterator()]
 
 
 def ship_lexicon(spark: SparkSession, words: list[bytes], vocab_path: str) -> str:
