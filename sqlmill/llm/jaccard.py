@@ -14,12 +14,12 @@ Plan: documents with equal sets are collapsed to the smallest id.  Counts of
 documents per token come from a packed exchange over all documents; tokens of
 one document cannot match, so a document with fewer than 0.75 n shared tokens
 is out, and only near copies go on.  Pairs are never listed within a token's
-documents: each document is verified against the smallest of the list (a
-star).  Most lists then lie in one component.  Only documents that stayed
-outside the component of a list's smallest are compared with the list's other
-components, unless the triangle inequality of the Jaccard distance (with the
-verified distances to the smallest) rules a link out.  So no link between
-components is missed.
+documents: each document is verified against the lead of the list (a star).
+Most lists then lie in one component.  Only documents that stayed outside the
+component of a lead are compared with other components that met the same lead,
+unless the triangle inequality of the Jaccard distance (with the verified
+distances to the lead) rules a link out.  So no link between components is
+missed.
 
 Edge cases: a null text, or one without words, has an empty set and links
 with nothing; rows without an id have no component; rows that repeat an id
@@ -70,6 +70,10 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(h)
 
 
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    return [shingles(t) for t in texts]
+
+
 def least_overlap(n: int) -> int:
     return -(-NUMERATOR * n // DENOMINATOR)
 
@@ -126,16 +130,19 @@ def _survivors(rows: pd.DataFrame) -> pd.DataFrame:
             unique = max(size - len(t), 0)
             m = matches(c, size, unique)
             prefix = t[:size - least_overlap(size) + m - unique]
-            out.append((int(docs[d]), size, m, prefix.view(np.int64), np.sort(t).tobytes()))
-    return pd.DataFrame(out, columns=["doc", "n", "m", "prefix", "tokens"])
+            out.append((int(docs[d]), size, m, unique, prefix.view(np.int64), np.sort(t).tobytes()))
+    return pd.DataFrame(out, columns=["doc", "n", "m", "u", "prefix", "tokens"])
 
 
 def _verified(key, pairs: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-    sets = {r.doc: (np.frombuffer(r.held, np.uint64), r.size) for r in others.itertuples()}
+    sets = {r.doc: (np.frombuffer(r.held, np.uint64), r.size, r.asked, r.front) for r in others.itertuples()}
     out = []
     for p in pairs.itertuples():
+        theirs, n, m, front = sets[p.b]
+        if len(np.intersect1d(p.prefix, front)) < min(p.m, m):  # too few shared prefix tokens for a link
+            out.append((p.a, p.b, None, False))
+            continue
         mine = np.frombuffer(p.tokens, np.uint64)
-        theirs, n = sets[p.b]
         both = len(mine) + len(theirs) - len(np.unique(np.concatenate([mine, theirs])))
         union = p.n + n - both
         out.append((p.a, p.b, 1.0 - both / union, DENOMINATOR * both >= NUMERATOR * union))
@@ -143,13 +150,15 @@ def _verified(key, pairs: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """``a, b, distance, linked`` of stored pairs; a document in many pairs is spread over groups."""
+    """``a, b, distance, linked`` of stored pairs (no distance where the prefixes rule a link out); a document
+    in many pairs is spread over groups."""
     groups = max(1, -(-pairs.count() // GROUP_PAIRS))
     salted = pairs.withColumn("salt", F.expr(f"pmod(xxhash64(a), {groups})"))
     salted = salted.withColumn("at", F.expr(f"cast(pmod(xxhash64(b, salt), {groups}) as int)")).select("a", "b", "at")
-    left = salted.join(sets.select(F.col("doc").alias("a"), "n", "tokens"), "a")
+    left = salted.join(sets.select(F.col("doc").alias("a"), "n", "m", "prefix", "tokens"), "a")
     right = salted.select(F.col("b").alias("doc"), F.col("at").alias("place")).distinct().join(
-        sets.select("doc", F.col("n").alias("size"), F.col("tokens").alias("held")), "doc")
+        sets.select("doc", F.col("n").alias("size"), F.col("m").alias("asked"), F.col("prefix").alias("front"),
+                    F.col("tokens").alias("held")), "doc")
     checked = left.groupBy("at").cogroup(right.groupBy("place")).applyInPandas(_verified, "a long, b long, distance double, linked boolean")
     return stored(checked, name)
 
@@ -171,42 +180,41 @@ def linked(docs: DataFrame) -> DataFrame:
     copies = stored(members.filter("doc_id is not null and (n = 0 or doc_id != rep)").select("doc_id").distinct(), "jaccard-copies")
     reps = texts.filter("doc_id is not null").join(small_side(copies, copies.count(), 16), "doc_id", "left_anti")
     buckets = max(1, -(-total["tokens"] // R.BUCKET_TOKENS))
-    packed = R.repeated(reps, shingles, heavy, buckets, buckets, sizes=True)
+    packed = R.repeated(reps, shingle_sets, heavy, buckets, buckets, sizes=True)
     sets = stored(packed.groupBy("key").applyInPandas(
-        _survivors, "doc long, n long, m int, prefix array<long>, tokens binary"), "jaccard-survivors")
-
-    # stars: every document of a token's list with the smallest of the list
-    lists = sets.select("doc", "n", "m", F.explode("prefix").alias("token"))
-    smallest = lists.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("s"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    smallest = smallest.select("token", F.col("s.doc").alias("lead"), F.col("s.n").alias("lead_n"))
+        _survivors, "doc long, n long, m int, u int, prefix array<long>, tokens binary"), "jaccard-survivors")
+
+    # stars: every document of a token's list with the list's lead, the one with the fewest tokens of its own
+    # (of many copies that is the least edited one, to which most others are near)
+    lists = sets.select("doc", "n", F.explode("prefix").alias("token"), "u")
+    leads = lists.groupBy("token").agg(F.min(F.struct("u", "doc", "n")).alias("s"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    leads = leads.select("token", F.col("s.doc").alias("lead"), F.col("s.n").alias("lead_n"))
+    met = stored(lists.join(leads, "token").groupBy("doc", "lead").agg(F.first("n").alias("n"), F.first("lead_n").alias("lead_n")),
+                 "jaccard-met")
     fits = f"{DENOMINATOR} * least(n, lead_n) >= {NUMERATOR} * greatest(n, lead_n)"
-    lists = stored(lists.join(smallest, "token"), "jaccard-lists")
-    stars = stored(lists.filter("doc != lead").filter(fits).groupBy(F.col("doc").alias("a"), F.col("lead").alias("b"))
-                   .agg(F.lit(1).alias("one")).drop("one"), "jaccard-stars")
-    near = verify(stars, sets, "jaccard-near")
+    stars = met.filter("doc != lead").filter(fits).select(F.greatest("doc", "lead").alias("a"), F.least("doc", "lead").alias("b")).distinct()
+    near = verify(stored(stars, "jaccard-stars"), sets, "jaccard-near")
     labels = components(near.filter("linked").select("a", "b"), "jaccard-first")
 
-    # lists that still hold several components: those outside the smallest's against the others
+    # documents outside their lead's component, against those of other components that met the same lead, unless
+    # the distances to the lead (or what is known of them) rule a link out
+    most = 1 - NUMERATOR / DENOMINATOR
     label = labels.select(F.col("node").alias("doc"), F.col("component").alias("own"))
     lead_label = labels.select(F.col("node").alias("lead"), F.col("component").alias("lead_own"))
-    placed = (lists.join(label, "doc", "left").join(lead_label, "lead", "left")
-              .withColumn("own", F.coalesce("own", "doc")).withColumn("lead_own", F.coalesce("lead_own", "lead")))
-    placed = stored(placed, "jaccard-placed")
-    outside = placed.filter("own != lead_own")
-    open_lists = outside.select("token").distinct()
-    far = near.select(F.col("a").alias("doc"), F.col("b").alias("lead"), "distance")
-    inside = (placed.join(open_lists, "token", "left_semi").join(far, ["doc", "lead"], "left")
-              .withColumn("distance", F.when(F.col("doc") == F.col("lead"), F.lit(0.0)).otherwise(F.col("distance"))))
-    x = inside.filter("own != lead_own").select("token", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "m", "own", "distance")])
-    y = inside.select("token", "lead", *[F.col(c).alias(f"y_{c}") for c in ("doc", "n", "m", "own", "distance")])
-    most = 1 - NUMERATOR / DENOMINATOR + 1e-9
-    pairs = (x.join(y, "token").filter("x_own != y_own and y_doc != lead")
-             # a pair of two outsiders meets from both sides
-             .withColumn("a", F.greatest("x_doc", "y_doc")).withColumn("b", F.least("x_doc", "y_doc"))
-             .filter(f"{DENOMINATOR} * least(x_n, y_n) >= {NUMERATOR} * greatest(x_n, y_n)")
-             .groupBy("a", "b").agg(F.count_distinct("token").alias("shared"), F.least(F.min("x_m"), F.min("y_m")).alias("m"),
-                                    F.max(F.abs(F.col("x_distance") - F.col("y_distance"))).alias("gap"))
-             .filter("shared >= m").filter(F.col("gap").isNull() | (F.col("gap") <= most)).select("a", "b"))
+    far = near.select("a", "b", "distance")
+    low = (F.when(F.col("doc") == F.col("lead"), 0.0).when(F.col("distance").isNotNull(), F.col("distance"))
+           .otherwise(F.greatest(F.lit(most), 1 - F.least("n", "lead_n") / F.greatest("n", "lead_n"))))
+    high = F.when(F.col("doc") == F.col("lead"), 0.0).otherwise(F.coalesce("distance", F.lit(1.0)))
+    placed = stored(met.join(label, "doc", "left").join(lead_label, "lead", "left")
+                    .withColumn("a", F.greatest("doc", "lead")).withColumn("b", F.least("doc", "lead")).join(far, ["a", "b"], "left")
+                    .select("doc", "lead", "n", F.coalesce("own", "doc").alias("own"), F.coalesce("lead_own", "lead").alias("lead_own"),
+                            low.alias("low"), high.alias("high")), "jaccard-placed")
+    x = placed.filter("own != lead_own").select("lead", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "own", "low", "high")])
+    y = placed.filter("doc != lead").select("lead", *[F.col(c).alias(f"y_{c}") for c in ("doc", "n", "own", "low", "high")])
+    may = (f"x_own != y_own and {DENOMINATOR} * least(x_n, y_n) >= {NUMERATOR} * greatest(x_n, y_n) "
+           f"and x_low - y_high <= {most} + 1e-9 and y_low - x_high <= {most} + 1e-9")
+    pairs = (x.join(y, "lead").filter(may).select(F.greatest("x_doc", "y_doc").alias("a"), F.least("x_doc", "y_doc").alias("b"))
+             .distinct().join(near.select("a", "b"), ["a", "b"], "left_anti"))
     more = verify(stored(pairs, "jaccard-more"), sets, "jaccard-rest")
     links = near.unionByName(more).filter("linked").select("a", "b")
     final = components(links, "jaccard-last").select(F.col("node").alias("rep"), F.col("component"))
