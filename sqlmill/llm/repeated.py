@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A token is heavy from this share of documents on: 1 / HEAVY.
-HEAVY = 512
+#: A token is heavy from this share of documents on, 1 / HEAVY, and this number of them.
+HEAVY, FLOOR = 512, 20_000
 #: Documents of one batch.
 BATCH = 2048
 #: Tokens that a bucket holds, about.
@@ -31,7 +31,8 @@ BUCKET_TOKENS = 1_500_000
 ENTRY, SIZE, FOUND = 0, 1, 2
 SCHEMA = "kind int, key int, docs binary, tokens binary, numbers binary"
 _NAMES = ["kind", "key", "docs", "tokens", "numbers"]
-Tokens = Callable[[str], np.ndarray]
+#: Sorted distinct tokens of each text.
+Tokens = Callable[[list[str]], list[np.ndarray]]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -82,9 +83,10 @@ def common_in_batch(tokens: list[np.ndarray], share: int = HEAVY) -> tuple[np.nd
 def heavy_of(counted: DataFrame, documents: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted heavy tokens and their counted documents, of rows ``token, n`` from all batches.
 
-    Batches leave out counts below their share, so half the share is asked for:
-    at most 2 * HEAVY times the tokens of an average document pass."""
-    heavy = counted.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, documents / (2 * HEAVY)))
+    Batches leave out counts below their share, so half of it is asked for: at
+    most 2 * HEAVY times the tokens of an average document pass.  A token of
+    under half of ``FLOOR`` documents fills no bucket."""
+    heavy = counted.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(FLOOR, documents / HEAVY) / 2)
     got = heavy.toArrow()
     tokens = np.asarray(got.column("token"), np.int64).view(np.uint64)
     order = np.argsort(tokens)
@@ -94,7 +96,7 @@ def heavy_of(counted: DataFrame, documents: int) -> tuple[np.ndarray, np.ndarray
 def heavy_tokens(docs: DataFrame, tokens_of: Tokens, documents: int) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in batches_of(batches):
-            token, n = common_in_batch([tokens_of(t) for t in texts])
+            token, n = common_in_batch(tokens_of(texts))
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n, pa.int64())], ["token", "n"])
     return heavy_of(docs.mapInArrow(run, "token long, n long"), documents)
 
@@ -107,11 +109,11 @@ def is_heavy(tokens: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndar
     return heavy[np.minimum(at, len(heavy) - 1)] == tokens, at
 
 
-def _entries(tokens_of: Tokens, heavy, buckets: int, parts: int, sizes: bool):
+def _entries(tokens_of: Tokens, heavy, buckets: int, parts: int, sizes: bool, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = heavy.value
         for docs, texts in batches_of(batches):
-            tokens = [tokens_of(t) for t in texts]
+            tokens = tokens_of(texts)
             own = np.array([len(t) for t in tokens], np.int64)
             who = np.repeat(np.arange(len(docs), dtype=np.uint16), own)
             every = np.concatenate(tokens)
@@ -134,18 +136,29 @@ def _entries(tokens_of: Tokens, heavy, buckets: int, parts: int, sizes: bool):
             table = docs.tobytes()
             for b in np.flatnonzero(np.diff(ends)):
                 at = order[ends[b]:ends[b + 1]]
-                rows.append((b, row(ENTRY, b, table, every[at].tobytes(), who[at].tobytes())))
+                rows.append((b, row(ENTRY, b, table, short(every[at], width), who[at].tobytes())))
             plain = record([r for _, r in rows])
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *plain.columns], ["bucket", *_NAMES])
     return run
 
 
-def _found(parts: int):
+def short(tokens: np.ndarray, width: int) -> bytes:
+    """The lower ``width`` bytes of each token."""
+    return tokens.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def long(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view(np.uint64)[:, 0]
+
+
+def _found(parts: int, width: int, back: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = [row(*r) for r in rows.loc[rows["kind"] != ENTRY, _NAMES].itertuples(index=False)]
         entries = rows[rows["kind"] == ENTRY]
         if len(entries):
-            tokens = np.concatenate([np.frombuffer(t, np.uint64) for t in entries["tokens"]])
+            tokens = np.concatenate([long(t, width) for t in entries["tokens"]])
             docs = np.concatenate([np.frombuffer(d, np.int64)[np.frombuffer(w, np.uint16)]
                                    for d, w in zip(entries["docs"], entries["numbers"])])
             order = np.argsort(tokens, kind="stable")
@@ -160,15 +173,18 @@ def _found(parts: int):
             ends = np.searchsorted(part[order], np.arange(parts + 1))
             for p in np.flatnonzero(np.diff(ends)):
                 at = order[ends[p]:ends[p + 1]]
-                out.append(row(FOUND, p, docs[at].tobytes(), tokens[at].tobytes(), counts[at].tobytes()))
+                out.append(row(FOUND, p, docs[at].tobytes(), short(tokens[at], back), counts[at].tobytes() if back == 8 else b""))
         return frame(out)
     return run
 
 
 def repeated(docs: DataFrame, tokens_of: Tokens, heavy: tuple[np.ndarray, np.ndarray], buckets: int, parts: int,
-             sizes: bool = False) -> DataFrame:
+             sizes: bool = False, width: int = 8, back: int = 8) -> DataFrame:
     """Packed rows by document part (``key``): the tokens that other documents hold too, with their counts of
-    documents; with ``sizes`` also each document's number of tokens and its heavy tokens."""
+    documents; with ``sizes`` also each document's number of tokens and its heavy tokens.
+
+    Where a token more does no harm, tokens may travel by their lower ``width`` bytes, and come back by their
+    lower ``back`` bytes (then without counts)."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
-    sent = docs.mapInArrow(_entries(tokens_of, shared, buckets, parts, sizes), "bucket int, " + SCHEMA)
-    return sent.groupBy("bucket").applyInPandas(_found(parts), SCHEMA)
+    sent = docs.mapInArrow(_entries(tokens_of, shared, buckets, parts, sizes, width), "bucket int, " + SCHEMA)
+    return sent.groupBy("bucket").applyInPandas(_found(parts, width, back), SCHEMA)

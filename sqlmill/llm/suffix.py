@@ -12,9 +12,9 @@ Which strings meet in one suffix array follows from anchors: of the hashed
 anchor, so equal windows share their anchor at the same place.  Grams that
 occur in one document only are dropped after a packed exchange over all texts.
 The windows of the other anchors go, as pieces of text, to the bucket of their
-gram; equal pieces are collapsed first, and the parts of a piece that no other
-piece of the gram repeats are cut off.  The distinct rest is sorted by one
-suffix array per bucket; runs of suffixes that share ``LENGTH`` bytes are the
+gram; equal pieces are collapsed first, and windows whose hash no other piece
+of the gram has are left out, as they occur once.  The distinct rest is sorted
+by one suffix array per bucket; runs of suffixes that share ``LENGTH`` bytes are the
 classes of equal windows, and the smallest document of each class keeps its.
 
 Hot strings: within a part of the documents only the smallest document with a
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -164,41 +165,70 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(part[:m], part[width - size:width - size + m])
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Positions and grams of the anchors, and the first and last window start of each.
+#: Bytes of text whose anchors are searched together.
+CHUNK = 1 << 17
+Anchors = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
-    Of equal smallest grams in a window, the first is the anchor."""
-    b = np.frombuffer(data, np.uint8)
+
+def anchors(texts: list[bytes]) -> list[Anchors]:
+    """For each text the positions and grams of its anchors, and the first and
+    last window start of each.
+
+    Of equal smallest grams in a window, the first is the anchor.  Texts are
+    searched many at a time; windows across two of them are left out."""
+    out: list[Anchors] = []
+    k = 0
+    while k < len(texts):
+        size, j = 0, k
+        while j < len(texts) and (j == k or size + len(texts[j]) <= CHUNK):
+            size += len(texts[j])
+            j += 1
+        out += _anchors(texts[k:j])
+        k = j
+    return out
+
+
+def _anchors(texts: list[bytes]) -> list[Anchors]:
+    b = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    none = np.zeros(0, np.int64)
     if len(b) < LENGTH:
-        none = np.zeros(0, np.int64)
-        return none, np.zeros(0, np.uint64), none, none
+        return [(none, np.zeros(0, np.uint64), none, none)] * len(texts)
     width = LENGTH - GRAM + 1
     grams = R.mixed(_grams(_BYTE[b], GRAM))
     low = _slide(grams, width, np.minimum)
     edge = np.zeros(width - 1, np.uint64)
     chosen = np.flatnonzero(_slide(np.concatenate([edge, low, edge]), width, np.maximum) == grams)
-    starts = np.arange(len(low))
+    inside = np.zeros(len(low), bool)
+    for start, end in zip(ends - [len(t) for t in texts], ends):
+        inside[start:max(end - LENGTH + 1, start)] = True
+    starts = np.flatnonzero(inside)
+    low = low[starts]
     # the anchor of a window is its first chosen gram that equals the window's least
     k = np.searchsorted(chosen, starts)
-    while True:
-        wrong = grams[chosen[k]] != low
-        if not wrong.any():
-            break
+    wrong = np.flatnonzero(grams[chosen[k]] != low)
+    while len(wrong):
         k[wrong] += 1
-    owned, first = np.unique(k, return_index=True)
-    last = np.r_[first[1:], len(k)] - 1
-    at = chosen[owned]
-    return at, grams[at], first, last
+        wrong = wrong[grams[chosen[k[wrong]]] != low[wrong]]
+    heads = np.flatnonzero(np.diff(k, prepend=-1))
+    at = chosen[k[heads]]
+    first, last = (starts[heads], starts[np.r_[heads[1:], len(k)] - 1]) if len(k) else (none, none)
+    bounds = np.searchsorted(at, np.r_[0, ends])
+    return [(at[x:y] - base, grams[at[x:y]], first[x:y] - base, last[x:y] - base)
+            for x, y, base in zip(bounds, bounds[1:], np.r_[0, ends])]
 
 
-def anchor_grams(text: str | None) -> np.ndarray:
-    return np.unique(anchors((text or "").encode())[1])
+def anchor_grams(texts: list[str]) -> list[np.ndarray]:
+    return [np.unique(grams) for _, grams, _, _ in anchors([(t or "").encode() for t in texts])]
 
 
 # --- pieces ----------------------------------------------------------------
 
 #: Columns of packed pieces, after the row's kind and key.
 PIECE, RANGE, TEXT = 3, 4, 5
+SENT = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("back", "u1"), ("size", "u1")])
+#: Bytes by which grams travel to the buckets and back; a gram more is only work.
+WIDTH, BACK = 6, 4
 
 
 def _texts(parts: int):
@@ -238,14 +268,16 @@ def _pieces(heavy, buckets: int):
     def run(key, texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         part = int(key[0])
         known = heavy.value[0]
+        pack = zstandard.ZstdCompressor(1).compress
         shared: dict[int, list[np.ndarray]] = {}
         if len(found):
             who = np.concatenate([np.frombuffer(b, np.int64) for b in found["docs"]])
-            grams = np.concatenate([np.frombuffer(b, np.uint64) for b in found["tokens"]])
+            grams = np.concatenate([R.long(b, BACK) for b in found["tokens"]])
             order = np.argsort(who, kind="stable")
             who, grams = who[order], grams[order]
             heads = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
             shared = {int(who[h]): grams[h:e] for h, e in zip(heads, np.r_[heads[1:], len(who)])}
+        nothing = np.zeros(0, np.uint64)
         owner: dict[tuple[int, bytes], int] = {}
         sent: dict[int, list[tuple]] = {}
         ranges: list[tuple[int, int, int]] = []
@@ -257,23 +289,27 @@ def _pieces(heavy, buckets: int):
             else:
                 sent.setdefault(gram % buckets, []).append((gram, back, piece, doc, start))
 
-        for doc, data, _ in _unpacked(texts):
-            at, grams, first, last = anchors(data)
+        rows_of = _unpacked(texts)
+        for (doc, data, _), (at, grams, first, last) in zip(rows_of, anchors([r[1] for r in rows_of])):
             hot, _ = R.is_heavy(grams, known)
-            use = hot | np.isin(grams, shared.get(doc, known[:0]))
-            for k in np.flatnonzero(use).tolist():
-                p, s, e = int(at[k]), int(first[k]), int(last[k])
-                if hot[k]:
+            use = hot | np.isin(grams & np.uint64((1 << 8 * BACK) - 1), shared.get(doc, nothing))
+            use = np.flatnonzero(use)
+            for p, s, e, gram, is_hot in zip(at[use].tolist(), first[use].tolist(), last[use].tolist(), grams[use].tolist(),
+                                             hot[use].tolist()):
+                if is_hot:
                     for w in range(s, e + 1):
                         piece = data[w:w + LENGTH]
                         offer(_hash(piece), 0, piece, doc, w)
                 else:
-                    offer(int(grams[k]), p - s, data[s:e + LENGTH], doc, s)
+                    offer(gram, p - s, data[s:e + LENGTH], doc, s)
         rows = []
         for b, own in sent.items():
-            rows.append((b, R.row(PIECE, part, np.array([o[3] for o in own], np.int64).tobytes(),
-                                  zstandard.ZstdCompressor(1).compress(b"".join(o[2] for o in own)),
-                                  np.array([[o[0] & (1 << 63) - 1, o[1], len(o[2]), o[4]] for o in own], np.int64).tobytes())))
+            own.sort(key=itemgetter(2))  # pieces that begin alike lie together
+            table = np.empty(len(own), SENT)
+            for c, i in (("gram", 0), ("back", 1), ("doc", 3), ("start", 4)):
+                table[c] = [o[i] for o in own]
+            table["size"] = [len(o[2]) for o in own]
+            rows.append((b, R.row(PIECE, part, b"", pack(b"".join(o[2] for o in own)), table.tobytes())))
         if ranges:
             rows.append((part % buckets, R.row(RANGE, part, np.array(ranges, np.int64).tobytes())))
         out = R.frame([r for _, r in rows])
@@ -282,28 +318,13 @@ def _pieces(heavy, buckets: int):
     return run
 
 
-def common_reach(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For rows of bytes under a key: how many first bytes each shares with another row of its key."""
-    n, width = rows.shape
-    if not n:
-        return np.zeros(0, np.int64)
-    whole = np.concatenate([keys.astype(">u8").view(np.uint8).reshape(n, 8), rows], axis=1)
-    order = np.argsort(np.ascontiguousarray(whole).view(f"V{width + 8}")[:, 0])
-    keys, rows = keys[order], rows[order]
-    same = np.cumprod(rows[1:] == rows[:-1], axis=1, dtype=np.uint8).sum(1) * (keys[1:] == keys[:-1])
-    reach = np.maximum(np.r_[same, 0], np.r_[0, same])
-    out = np.empty(n, np.int64)
-    out[order] = reach
-    return out
-
-
-def equal_windows(strings: list[bytes]) -> list[np.ndarray]:
-    """For each window start of each string the number of its class of equal windows."""
+def equal_windows(strings: list[bytes]) -> np.ndarray:
+    """For each window start of each string, one after the other, the number of its class of equal windows."""
     text = b"\0".join(strings)
-    starts = np.cumsum([0] + [len(s) + 1 for s in strings])[:-1]
+    lengths = np.array([len(x) for x in strings], np.int64)
+    starts = _ranges(np.cumsum(lengths + 1) - lengths - 1, lengths - LENGTH + 1)
     inside = np.zeros(len(text) + 1, bool)
-    for a, s in zip(starts, strings):
-        inside[a:a + len(s) - LENGTH + 1] = True
+    inside[starts] = True
     order = np.array(suffix_array(text), np.int64)
     order = order[inside[order]]
     b = np.frombuffer(text, np.uint8)
@@ -313,51 +334,85 @@ def equal_windows(strings: list[bytes]) -> list[np.ndarray]:
         new[k + 1:k + len(own)] = (own[1:] != own[:-1]).any(1)
     number = np.empty(len(text) + 1, np.int64)
     number[order] = np.cumsum(new) - 1
-    return [number[a:a + len(s) - LENGTH + 1] for a, s in zip(starts, strings)]
-
-
-def repeated_ranges(grams: np.ndarray, back: np.ndarray, pieces: list[bytes], docs: np.ndarray) -> list[tuple[int, int, int]]:
-    """``(piece, start, end)`` of what to remove from each piece: windows that a smaller document holds."""
-    n = len(pieces)
-    # bytes after and before the gram's start, each followed by bytes that match in no other row
-    after, before = np.zeros((n, LENGTH), np.uint8), np.zeros((n, BEFORE), np.uint8)
-    lengths = np.array([len(p) for p in pieces], np.int64)
-    for k, (p, j) in enumerate(zip(pieces, back.tolist())):
-        tail, lead = p[j:j + LENGTH], p[max(0, j - BEFORE):j][::-1]
-        after[k, :len(tail)] = np.frombuffer(tail, np.uint8)
-        before[k, :len(lead)] = np.frombuffer(lead, np.uint8)
-    right = np.minimum(common_reach(grams, after), lengths - back)
-    left = np.minimum(common_reach(grams, before), back)
-    low, high = back - left, back + right - LENGTH  # first and last window start that another piece may hold
-    out: list[tuple[int, int, int]] = []
-    live = np.flatnonzero(high >= low)
+    return number[starts]
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``lengths`` many, one range after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
+
+def _runs(mask: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, first place and place after the last of each run of true places, of owners that lie one after the other."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    opens = np.diff(owner, prepend=-1) != 0
+    heads = np.flatnonzero(mask & (opens | ~np.r_[False, mask[:-1]]))
+    tails = np.flatnonzero(mask & (np.r_[opens[1:], True] | ~np.r_[mask[1:], False]))
+    base = np.cumsum(lengths) - lengths
+    return owner[heads], heads - base[owner[heads]], tails + 1 - base[owner[heads]]
+
+
+def _repeated_windows(grams: np.ndarray, back: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+    """Whether some other piece of its gram may hold a window, by hash (one that occurs once stands for a
+    window that occurs once), for each window of each distinct piece, one piece after the other."""
+    parts = []
+    for k in range(0, len(pieces), 1 << 13):
+        own = pieces[k:k + (1 << 13)]
+        lengths = np.array([len(p) for p in own], np.int64)
+        flat = np.frombuffer(b"".join(own), np.uint8)
+        base = np.cumsum(lengths) - lengths
+        hashes = np.zeros((len(own), BEFORE + AFTER + 1), np.uint64)
+        byte = np.zeros((len(own), BEFORE + AFTER), np.uint64)  # bytes from each piece's own start on
+        there = np.arange(BEFORE + AFTER)[None, :] < lengths[:, None]
+        byte[there] = _BYTE[flat[_ranges(base, lengths)]]
+        for j in range(BEFORE + AFTER):
+            hashes[:, j + 1] = hashes[:, j] * np.uint64(_MULT) + byte[:, j]
+        most = BEFORE + 1
+        window = hashes[:, LENGTH:LENGTH + most] - hashes[:, :most] * _power(LENGTH)
+        place = np.arange(most)[None, :] - back[k:k + len(own), None] + BEFORE  # in line with the gram's start
+        window = R.mixed(window + grams[k:k + len(own), None] * _BYTE[np.clip(place, 0, 255)])
+        parts.append(window[np.arange(most)[None, :] <= lengths[:, None] - LENGTH])
+    keys = np.concatenate(parts)
+    order = np.argsort(keys)
+    new = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+    counts = np.diff(np.r_[new, len(keys)])
+    several = np.zeros(len(keys), bool)
+    several[order] = np.repeat(counts > 1, counts)
+    return several
+
+
+def repeated_ranges(grams: np.ndarray, back: np.ndarray, pieces: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Piece, start and end of what to remove from each piece: windows that a smaller document holds."""
     number: dict[tuple[int, int, bytes], int] = {}
-    keys, which = [], np.zeros(n, np.int64)
-    for k in live.tolist():
-        cut = (int(grams[k]), int(back[k] - low[k]), pieces[k][low[k]:high[k] + LENGTH])
-        which[k] = number.setdefault(cut, len(number))
-        if which[k] == len(keys):
-            keys.append(cut)
+    which = np.array([number.setdefault(k, len(number)) for k in zip(grams.tolist(), back.tolist(), pieces)], np.int64)
+    keys = list(number)
+    windows = np.array([len(k[2]) for k in keys], np.int64) - LENGTH + 1
+    base = np.cumsum(windows) - windows
     least = np.full(len(keys), np.iinfo(np.int64).max)
-    np.minimum.at(least, which[live], docs[live])
-    per_gram: dict[int, int] = {}
-    for g, _, _ in keys:
-        per_gram[g] = per_gram.get(g, 0) + 1
-    several = [k for k, (g, _, _) in enumerate(keys) if per_gram[g] > 1]
-    smallest: dict[int, np.ndarray] = {}
-    if several:
-        numbers = equal_windows([keys[k][2] for k in several])
-        best = np.full(max(int(x.max()) for x in numbers) + 1, np.iinfo(np.int64).max)
-        for k, x in zip(several, numbers):
-            np.minimum.at(best, x, least[k])
-        smallest = {k: best[x] for k, x in zip(several, numbers)}
-    for k in live.tolist():
-        w = int(which[k])
-        gone = (smallest[w] < docs[k]) if w in smallest else np.full(int(high[k] - low[k]) + 1, least[w] < docs[k])
-        edges = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
-        for a, e in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            out.append((k, int(low[k]) + a, int(low[k]) + e - 1 + LENGTH))
-    return out
+    np.minimum.at(least, which, docs)
+    smallest = np.repeat(least, windows)  # document of each window of each distinct piece, at first the piece's own
+    own = np.array([k[0] for k in keys], np.uint64)
+    _, group, size = np.unique(own, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(size[group] > 1)
+    if len(several):
+        marks = _repeated_windows(own[several], np.array([keys[k][1] for k in several], np.int64), [keys[k][2] for k in several])
+        at, first, end = _runs(marks, windows[several])
+        at = several[at]
+        strings: dict[bytes, int] = {}
+        text = np.array([strings.setdefault(keys[k][2][a:e - 1 + LENGTH], len(strings))
+                         for k, a, e in zip(at.tolist(), first.tolist(), end.tolist())], np.int64)
+        if strings:
+            classes = equal_windows(list(strings))
+            sizes = np.array([len(x) for x in strings], np.int64) - LENGTH + 1
+            its = classes[_ranges((np.cumsum(sizes) - sizes)[text], end - first)]
+            places = _ranges(base[at] + first, end - first)
+            best = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(best, its, smallest[places])
+            smallest[places] = best[its]
+    gone = smallest[_ranges(base[which], windows[which])] < np.repeat(docs, windows[which])
+    piece, first, end = _runs(gone, windows[which])
+    return piece, first, end - 1 + LENGTH
 
 
 def _resolved(rows: pd.DataFrame) -> pd.DataFrame:
@@ -365,21 +420,20 @@ def _resolved(rows: pd.DataFrame) -> pd.DataFrame:
     out = [R.row(*r) for r in rows.loc[rows["kind"] == RANGE, R._NAMES].itertuples(index=False)]
     sent = rows[rows["kind"] == PIECE]
     if len(sent):
-        docs, parts, numbers, pieces = [], [], [], []
+        tables, parts, pieces = [], [], []
         unpack = zstandard.ZstdDecompressor().decompress
         for r in sent.itertuples():
-            d, x = np.frombuffer(r.docs, np.int64), np.frombuffer(r.numbers, np.int64).reshape(-1, 4)
-            whole, ends = unpack(r.tokens), np.cumsum(x[:, 2])
-            pieces += [whole[e - n:e] for e, n in zip(ends.tolist(), x[:, 2].tolist())]
-            docs.append(d)
-            numbers.append(x)
-            parts.append(np.full(len(d), r.key))
-        docs, parts, numbers = np.concatenate(docs), np.concatenate(parts), np.concatenate(numbers)
-        by_part: dict[int, list] = {}
-        for k, a, e in repeated_ranges(numbers[:, 0], numbers[:, 1], pieces, docs):
-            s = int(numbers[k, 3])
-            by_part.setdefault(int(parts[k]), []).append((int(docs[k]), s + a, s + e))
-        out += [R.row(RANGE, p, np.array(x, np.int64).tobytes()) for p, x in by_part.items()]
+            t = np.frombuffer(r.numbers, SENT)
+            whole, ends = unpack(r.tokens), np.cumsum(t["size"], dtype=np.int64)
+            pieces += [whole[e - n:e] for e, n in zip(ends.tolist(), t["size"].tolist())]
+            tables.append(t)
+            parts.append(np.full(len(t), r.key))
+        t, parts = np.concatenate(tables), np.concatenate(parts)
+        piece, first, end = repeated_ranges(t["gram"], t["back"].astype(np.int64), pieces, t["doc"])
+        start = t["start"].astype(np.int64)[piece]
+        found = np.stack([t["doc"][piece], start + first, start + end], 1)
+        for p in np.unique(parts[piece]):
+            out.append(R.row(RANGE, p, np.ascontiguousarray(found[parts[piece] == p]).tobytes()))
     return R.frame(out)
 
 
@@ -425,7 +479,7 @@ def dedup_bytes(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     heavy = R.heavy_tokens(texts, anchor_grams, size["rows"])
     shared = spark.sparkContext.broadcast(heavy)
     packed = texts.withColumn("rest", F.lit("")).mapInArrow(_texts(parts), R.SCHEMA)
-    found = R.repeated(texts, anchor_grams, heavy, buckets, parts)
+    found = R.repeated(texts, anchor_grams, heavy, buckets, parts, width=WIDTH, back=BACK)
     pieces = packed.groupBy("key").cogroup(found.groupBy("key")).applyInPandas(_pieces(shared, buckets), "bucket int, " + R.SCHEMA)
     ranges = stored(pieces.groupBy("bucket").applyInPandas(_resolved, R.SCHEMA), "suffix-ranges")
     again = rows.mapInArrow(_texts(parts), R.SCHEMA)
