@@ -136,7 +136,11 @@ def _entries(tokens_of: Tokens, heavy, buckets: int, parts: int, sizes: bool, wi
             table = docs.tobytes()
             for b in np.flatnonzero(np.diff(ends)):
                 at = order[ends[b]:ends[b + 1]]
-                rows.append((b, row(ENTRY, b, table, short(every[at], width), who[at].tobytes())))
+                ids, named = table, who[at]
+                if len(at) < len(docs):  # only ids in use, so that their share doesn't grow with the buckets
+                    used, place = np.unique(named, return_inverse=True)
+                    ids, named = docs[used].tobytes(), place.astype(np.uint16)
+                rows.append((b, row(ENTRY, b, ids, short(every[at], width), named.tobytes())))
             plain = record([r for _, r in rows])
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *plain.columns], ["bucket", *_NAMES])
     return run
