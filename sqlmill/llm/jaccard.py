@@ -23,7 +23,8 @@ missed.
 
 Edge cases: a null text, or one without words, has an empty set and links
 with nothing; rows without an id have no component; rows that repeat an id
-count as one document; an empty table gives no rows.
+count as one document, which holds the shingles of all its texts; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -70,8 +71,9 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(h)
 
 
-def shingle_sets(texts: list[str]) -> list[np.ndarray]:
-    return [shingles(t) for t in texts]
+def shingle_sets(documents: list[list[str | None]]) -> list[np.ndarray]:
+    """The set of each document, from all its texts."""
+    return [shingles(d[0]) if len(d) == 1 else np.unique(np.concatenate([shingles(None), *map(shingles, d)])) for d in documents]
 
 
 def least_overlap(n: int) -> int:
@@ -84,7 +86,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_pylist()
         texts = batch.column(1).to_pylist()
         for k in range(0, len(ids), R.BATCH):
-            tokens = [shingles(t) for t in texts[k:k + R.BATCH]]
+            tokens = shingle_sets(texts[k:k + R.BATCH])
             keys = [xxhash.xxh3_128_digest(t.tobytes()) for t in tokens]
             common, n = R.common_in_batch([t for t, i in zip(tokens, ids[k:k + R.BATCH]) if i is not None])
             rows = len(tokens)
@@ -167,7 +169,15 @@ def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
     spark = docs.sparkSession
     python_ready(spark)
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    every = docs.select(F.col("doc_id").cast("long"), "text")
+    ids = every.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    again = stored(ids.filter("n > 1").select("doc_id"), "jaccard-again")
+    n_again = again.count()
+    texts = every.select("doc_id", F.array("text").alias("texts"))
+    if n_again:  # one row of each id, with its distinct texts
+        again = small_side(again, n_again, 16)
+        merged = every.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_set("text").alias("texts"))
+        texts = texts.join(again, "doc_id", "left_anti").unionByName(merged)
     seen = stored(texts.mapInArrow(_sets, "doc_id long, n long, key binary, token long"), "jaccard-sets")
     rows = seen.filter("key is not null").drop("token")
     usable = rows.filter("doc_id is not null and n > 0")
@@ -218,8 +228,12 @@ def linked(docs: DataFrame) -> DataFrame:
     more = verify(stored(pairs, "jaccard-more"), sets, "jaccard-rest")
     links = near.unionByName(more).filter("linked").select("a", "b")
     final = components(links, "jaccard-last").select(F.col("node").alias("rep"), F.col("component"))
-    return (members.join(final, "rep", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")))
+    out = (members.join(final, "rep", "left")
+           .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")))
+    if n_again:  # back to every row
+        rows_again = every.select("doc_id").join(again, "doc_id", "left_semi")
+        out = out.join(again, "doc_id", "left_anti").unionByName(rows_again.join(out, "doc_id"))
+    return out
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

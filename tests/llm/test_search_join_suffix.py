@@ -80,6 +80,19 @@ def brute_components(rows):
     return {i: (len(sets[i]), top(i)) for i in sets}
 
 
+def brute_of_sets(sets):
+    left, label = set(sets), {}
+    while left:
+        i = min(left)
+        todo, left = [i], left - {i}
+        while todo:
+            a = todo.pop()
+            label[a] = (len(sets[a]), i)
+            near = {b for b in left if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+            todo, left = todo + list(near), left - near
+    return label
+
+
 def near_copies(seed, n=120):
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(300)]
@@ -113,6 +126,25 @@ def test_jaccard_keeps_one_of_each_group(make):
     assert jaccard.linked(docs.limit(0)).count() == 0
 
 
+def test_jaccard_of_repeated_rows_equals_brute_force(make):
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(84)]  # 80 shingles that both long texts hold
+    first, second = (" ".join(common + [f"{x}{i}" for i in range(20)]) for x in "ab")
+    rows = [(1, first), (1, first), (2, second)]  # 80 of 120 shared: no link
+    rows += [(i + 10, t) for i, t in near_copies(3, 60)]
+    rows += [rng.choice(rows[3:]) for _ in range(40)]  # equal rows
+    rows += [(rows[3 + k][0], rows[60 - k][1]) for k in range(5)] + [(rows[3][0], None), (5, None), (5, ""), (5, None)]  # other texts
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(i, set()).update(sets_of(t))
+    want = brute_of_sets(sets)
+    out = jaccard.linked(make(rows).repartition(3))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect()) == sorted((i, *want[i]) for i, _ in rows)
+    assert want[1][1] == 1 and want[2][1] == 2
+    kept = jaccard.keep_one(make(rows))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _ in rows if want[i][1] == i)
+
+
 def test_prefix_grows_only_when_cheaper():
     assert jaccard.matches(np.array([2] * 200), 200, 0) > 1  # one more cheap list saves many candidates
     assert jaccard.matches(np.array([2] * 51 + [10 ** 6] * 149), 200, 0) == 1
