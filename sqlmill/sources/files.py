@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import mimetypes
+import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,10 +16,16 @@ MORE_IMAGE_TYPES = {".webp": "image/webp", ".avif": "image/avif", ".heic": "imag
 
 
 def image_types() -> dict[str, str]:
-    """Extension -> MIME type of every known ``image/*`` type, in both cases."""
-    known = {e: m for e, m in mimetypes.MimeTypes().types_map[True].items() if m.startswith("image/")}
-    known = {**MORE_IMAGE_TYPES, **known}
-    return known | {e.upper(): m for e, m in known.items()}
+    """Lower-case extension -> MIME type of every known ``image/*`` type: Python's own table, its common
+    non-standard types, the machine's ``mime.types`` files where there are any, and the additions."""
+    table = mimetypes.MimeTypes(filter(os.path.isfile, mimetypes.knownfiles)).types_map
+    known = {e.lower(): m for strict in (False, True) for e, m in table[strict].items() if m.startswith("image/")}
+    return {**MORE_IMAGE_TYPES, **known}
+
+
+def _any_case(extension: str) -> str:
+    """A glob for an extension in any mix of cases; every character stands for itself."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else f"[{c}]" for c in extension)
 
 
 def scan_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -94,11 +101,12 @@ def scan_images(spark: SparkSession, path: str) -> DataFrame:
     """S10 over a folder: files whose extension names an ``image/*`` type, content
     base64-encoded.  Names are listed first without reading content; of other
     files not a byte is read."""
-    named = "*{" + ",".join(sorted(image_types(), key=len)) + "}"
+    types = image_types()
+    named = "*{" + ",".join(map(_any_case, sorted(types))) + "}"
     df = spark.read.format("binaryFile").option("pathGlobFilter", named).load(path)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     ext = F.lower(file_extension(name))
-    mime = F.try_element_at(F.create_map(*[F.lit(x) for kv in image_types().items() for x in kv]), ext)
+    mime = F.try_element_at(F.create_map(*[F.lit(x) for kv in types.items() for x in kv]), ext)
     return (df.select(name.alias("name"), mime.alias("mime"), F.col("length").alias("size"), "content")
               .where(F.col("mime").isNotNull())
               .select("name", "mime", "size", b64("content").alias("payload")))

@@ -1,4 +1,5 @@
 """File sources and sinks: round trips, JSON arrays, file order, cards JSON."""
+import base64
 import json
 
 from pyspark.sql import functions as F
@@ -52,3 +53,12 @@ def test_cards_json_document(spark):
     d = json.loads(doc)
     assert list(d) == sorted(d) and d["orders"]["foreign_keys"] == {"o_custkey": "customer.c_custkey"}
     assert d["orders"]["columns"][0] == {"name": "o_orderkey", "type": "BIGINT(20)", "desc": "主键"}
+
+
+def test_scan_images_takes_every_case_and_type(spark, tmp_path):
+    named = {"a.jpg": "image/jpeg", "photo.Jpg": "image/jpeg", "scan.Png": "image/png", "B.GIF": "image/gif", "c.weBP": "image/webp",
+             "d.pict": "image/pict", "two.dots.tIf": "image/tiff"}
+    for name in [*named, "note.txt", "png", "e.jpgx", "f.xjpg"]:
+        (tmp_path / name).write_bytes(name.encode())
+    got = {r["name"]: (r["mime"], r["size"], r["payload"]) for r in S.scan_images(spark, str(tmp_path)).collect()}
+    assert got == {n: (m, len(n), base64.b64encode(n.encode()).decode()) for n, m in named.items()}
