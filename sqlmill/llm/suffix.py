@@ -448,7 +448,7 @@ def spans(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, e) for a, e in out]
 
 
-def _removed(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+def _removed(texts: pd.DataFrame, found: pd.DataFrame, characters: bool) -> pd.DataFrame:
     gone: dict[int, list[tuple[int, int]]] = {}
     for b in found["docs"] if len(found) else ():
         for d, a, e in np.frombuffer(b, np.int64).reshape(-1, 3).tolist():
@@ -461,13 +461,15 @@ def _removed(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
             kept.append(data[at:a])
             at = e
         kept.append(data[at:])
+        if characters:  # a run begins or ends inside a character only where a cut went through it
+            kept = [k.decode(errors="ignore").encode() for k in kept]
         out.append((doc, len(data), sum(e - a for a, e in cut), len(cut), b"".join(kept), rest.decode()))
     return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "rest"])
 
 
-def dedup_bytes(docs: DataFrame, rest: Column | None = None) -> DataFrame:
+def dedup_bytes(docs: DataFrame, rest: Column | None = None, characters: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row, and ``rest``: a
-    string of each row that comes along."""
+    string of each row that comes along.  With ``characters`` a character of which a byte went is not kept."""
     spark = docs.sparkSession
     python_ready(spark)
     every = docs.select(F.col("doc_id").cast("long"), "text", (F.lit("") if rest is None else rest).alias("rest"))
@@ -484,7 +486,7 @@ def dedup_bytes(docs: DataFrame, rest: Column | None = None) -> DataFrame:
     ranges = stored(pieces.groupBy("bucket").applyInPandas(_resolved, R.SCHEMA), "suffix-ranges")
     again = rows.mapInArrow(_texts(parts), R.SCHEMA)
     done = again.groupBy("key").cogroup(ranges.groupBy("key")).applyInPandas(
-        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, rest string")
+        lambda texts, found: _removed(texts, found, characters), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, rest string")
     whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     none = F.lit(0).cast("long")
     loose = every.filter("doc_id is null").select("doc_id", F.octet_length(whole).cast("long").alias("n_bytes"), none.alias("n_removed"),
@@ -497,10 +499,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     names = [f"c{i}" for i in range(len(others))]  # any names, even equal in other cases, come through
     rest = F.to_json(F.struct(*[docs[c].alias(n) for c, n in zip(others, names)])) if others else None
-    kept = dedup_bytes(docs, rest)
-    text = F.expr("regexp_replace(make_valid_utf8(cast(kept as string)), '\ufffd', '')")
+    kept = dedup_bytes(docs, rest, characters=True)
     shape = T.StructType([T.StructField(n, docs.schema[c].dataType) for c, n in zip(others, names)])
     kept = kept.withColumn("_rest", F.from_json("rest", shape)) if others else kept
-    columns = {"doc_id": F.col("doc_id"), "text": F.when(F.col("n_removed") == 0, F.expr("cast(kept as string)")).otherwise(text)}
+    columns = {"doc_id": F.col("doc_id"), "text": F.expr("cast(kept as string)")}
     columns |= {c: F.col(f"_rest.{n}") for c, n in zip(others, names)}
     return kept.select(*[columns[c].alias(c) for c in docs.columns])

@@ -221,3 +221,13 @@ def test_suffix_rows_keep_their_columns(make, spark):
     assert rows == [(-1, long, "s", [1, None]), (1, long, "s", [1, None]), (2, "xy", "s", [1, None]), (3, "", "s", [1, None]),
                     (5, "short", "s", [1, None]), (5, "short", "s", [1, None])]
     assert suffix.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_suffix_keeps_replacement_characters_of_the_text(make):
+    passage = "ö".join(f"passage {i} " for i in range(12))
+    rows = [(1, "ä" + passage + "ü"), (2, "old \ufffd mark ö" + passage + "ä and \ufffd\ufffd"), (3, "é\ufffd" + passage + "ý")]
+    # the first bytes of ö and ä are those of é and ü, so cuts go through characters too
+    out = by_id(suffix.without_repeats(make(rows)), "text")
+    assert out[1] == rows[0][1]
+    assert out[2].startswith("old \ufffd mark ") and out[2].endswith(" and \ufffd\ufffd") and out[2].count("\ufffd") == 3
+    assert out[3].startswith("é\ufffd") and out[3].count("\ufffd") == 1 and len(out[3]) <= 3
