@@ -11,7 +11,8 @@ task; a shuffled join (split by AQE where skewed) marks later occurrences.
 
 Edge cases: a null text counts as empty (one empty line); texts under three
 lines have no window; rows without an id stay whole and remove nothing; rows
-that repeat an id count as one document; further columns are left alone.
+that repeat an id count as one document, and each loses lines of its own text
+only; further columns are left alone.
 """
 
 from __future__ import annotations
@@ -38,27 +39,28 @@ flatten(transform(sequence(0, size(_first)), i ->
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """``doc_id, pos, h1, h2`` of each window."""
-    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.split("text", "\n").alias("lines"))
+    """``doc_id, key, pos, h1, h2`` of each window; ``key`` tells the texts of an id apart."""
+    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("key"), F.split("text", "\n").alias("lines"))
     lines = lines.filter(F.size("lines") >= 3)
-    return lines.select("doc_id", F.inline(F.expr(_HASHED))).filter("not blank").drop("blank")
+    return lines.select("doc_id", "key", F.inline(F.expr(_HASHED))).filter("not blank").drop("blank")
 
 
 def covered_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, cov``: the sorted line numbers to remove."""
+    """``doc_id, key, cov``: the sorted line numbers to remove from a text."""
     win = stored(windows(docs), "line-windows")
-    firsts = (win.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
+    firsts = (win.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos", "key")).alias("first"))
               .filter("n > 1").drop("n"))
-    later = win.join(firsts, ["h1", "h2"]).filter("struct(doc_id, pos) != first")
-    return (later.groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
-            .select("doc_id", F.expr("array_sort(array_distinct(flatten(transform(pos, p -> array(p, p + 1, p + 2)))))").alias("cov")))
+    later = win.join(firsts, ["h1", "h2"]).filter("struct(doc_id, pos, key) != first")
+    return (later.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("pos"))
+            .select("doc_id", "key", F.expr("array_sort(array_distinct(flatten(transform(pos, p -> array(p, p + 1, p + 2)))))").alias("cov")))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` reduced to the kept lines, plus ``n_lines,
     n_removed, n_spans`` (which replace columns of these names)."""
-    cov = covered_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_cov_id"), F.col("cov").alias("_cov"))
-    out = docs.join(cov, docs["doc_id"] == cov["_cov_id"], "left").drop("_cov_id")
+    cov = covered_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_cov_id"), F.col("key").alias("_cov_key"), F.col("cov").alias("_cov"))
+    same = (docs["doc_id"] == cov["_cov_id"]) & (F.xxhash64(docs["text"]) == cov["_cov_key"])
+    out = docs.join(cov, same, "left").drop("_cov_id", "_cov_key")
     out = out.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     out = out.withColumn("_cov", F.coalesce("_cov", F.array().cast("array<int>")))
     out = (out.withColumn("_first", F.expr("filter(_cov, (x, i) -> i = 0 or _cov[i - 1] < x - 1)"))

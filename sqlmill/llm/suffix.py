@@ -24,12 +24,14 @@ by their own bytes instead, one by one, so no gram fills a bucket.
 
 Edge cases: a null text counts as empty; texts under ``LENGTH`` bytes stay
 whole; rows without an id stay whole and remove nothing; rows that repeat an id
-are one document in two pieces; an empty table gives no rows.
+are one document in two pieces, each judged by its own text; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from operator import itemgetter
 
@@ -259,6 +261,18 @@ def _unpacked(rows: pd.DataFrame) -> list[tuple[int, bytes, bytes]]:
     return sorted(out)
 
 
+def _placed(rows: list[tuple[int, bytes, bytes]]) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Rows after the place where their text begins when the distinct texts of a document lie one after the other."""
+    at, doc, text = 0, None, b""
+    for d, data, rest in rows:
+        if d != doc:
+            at = 0
+        elif data != text:
+            at += len(text)
+        doc, text = d, data
+        yield at, d, data, rest
+
+
 def _hash(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
 
@@ -283,14 +297,15 @@ def _pieces(heavy, buckets: int):
         ranges: list[tuple[int, int, int]] = []
 
         def offer(gram: int, back: int, piece: bytes, doc: int, start: int) -> None:
-            """A piece of windows, ``back`` bytes before its gram; documents come in order of their ids."""
+            """A piece of windows, ``back`` bytes before its gram; documents come in order of their ids.
+            ``start`` counts from the begin of the document's first text."""
             if owner.setdefault((gram, back, piece), doc) < doc:
                 ranges.append((doc, start, start + len(piece)))
             else:
                 sent.setdefault(gram % buckets, []).append((gram, back, piece, doc, start))
 
         rows_of = _unpacked(texts)
-        for (doc, data, _), (at, grams, first, last) in zip(rows_of, anchors([r[1] for r in rows_of])):
+        for (base, doc, data, _), (at, grams, first, last) in zip(_placed(rows_of), anchors([r[1] for r in rows_of])):
             hot, _ = R.is_heavy(grams, known)
             use = hot | np.isin(grams & np.uint64((1 << 8 * BACK) - 1), shared.get(doc, nothing))
             use = np.flatnonzero(use)
@@ -299,9 +314,9 @@ def _pieces(heavy, buckets: int):
                 if is_hot:
                     for w in range(s, e + 1):
                         piece = data[w:w + LENGTH]
-                        offer(_hash(piece), 0, piece, doc, w)
+                        offer(_hash(piece), 0, piece, doc, base + w)
                 else:
-                    offer(gram, p - s, data[s:e + LENGTH], doc, s)
+                    offer(gram, p - s, data[s:e + LENGTH], doc, base + s)
         rows = []
         for b, own in sent.items():
             own.sort(key=itemgetter(2))  # pieces that begin alike lie together
@@ -453,9 +468,13 @@ def _removed(texts: pd.DataFrame, found: pd.DataFrame, characters: bool) -> pd.D
     for b in found["docs"] if len(found) else ():
         for d, a, e in np.frombuffer(b, np.int64).reshape(-1, 3).tolist():
             gone.setdefault(d, []).append((a, e))
+    for own in gone.values():
+        own.sort()
     out = []
-    for doc, data, rest in _unpacked(texts):
-        cut = spans([(a, min(e, len(data))) for a, e in gone.get(doc, []) if a < len(data)])
+    for base, doc, data, rest in _placed(_unpacked(texts)):
+        own = gone.get(doc, [])
+        low, high = bisect_left(own, (base,)), bisect_left(own, (base + len(data),))
+        cut = spans([(a - base, e - base) for a, e in own[low:high]])
         kept, at = [], 0
         for a, e in cut:
             kept.append(data[at:a])

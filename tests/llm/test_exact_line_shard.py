@@ -50,6 +50,12 @@ def test_lines_merge_overlapping_windows_and_long_texts(make):
     assert line_dedup.dedup_lines(make([(1, "x")]).limit(0)).count() == 0
 
 
+def test_lines_of_each_text_of_an_id_go_by_themselves(make):
+    docs = make([(1, "a\nb\nc"), (2, "a\nb\nc\nd"), (2, "p\nq\nr\ns"), (2, "p\nq\nr\ns"), (2, "z\na\nb\nc")])
+    out = line_dedup.dedup_lines(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == [(1, "a\nb\nc"), (2, "d"), (2, "p\nq\nr\ns"), (2, "p\nq\nr\ns"), (2, "z")]
+
+
 def test_shards_have_exact_sizes_and_gapless_slots(make):
     docs = make([(i % 90, f"t{i % 7}") for i in range(1003)] + [(None, None)])
     rows = sharding.shuffle_to_shards(docs.repartition(5)).collect()

@@ -231,3 +231,12 @@ def test_suffix_keeps_replacement_characters_of_the_text(make):
     assert out[1] == rows[0][1]
     assert out[2].startswith("old \ufffd mark ") and out[2].endswith(" and \ufffd\ufffd") and out[2].count("\ufffd") == 3
     assert out[3].startswith("é\ufffd") and out[3].count("\ufffd") == 1 and len(out[3]) <= 3
+
+
+def test_suffix_cuts_each_text_of_an_id_by_itself(make):
+    passage = " ".join(f"passage {i}" for i in range(12))
+    other = "".join(chr(97 + i * i % 23) + str(i) for i in range(90))
+    rows = [(1, passage), (2, "x" + passage + "y"), (2, other), (2, other + passage), (2, other + passage), (2, None)]
+    out = suffix.dedup_bytes(make(rows).repartition(3)).collect()
+    assert sorted((r["doc_id"], r["kept"].decode()) for r in out) == sorted(
+        [(1, passage), (2, "xy"), (2, other), (2, other), (2, other), (2, "")])
