@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard, langid, line_dedup, packing, sharding, suffix, topk, toxicity
+from . import audit, bpe, exact_dedup, jaccard, langid, line_dedup, merkle, packing, quality, sharding, suffix, topk, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -137,3 +137,92 @@ from d left join x using (doc_id)
 def op10_suffix_array(spark, sf_dir):
     done = suffix.dedup_bytes(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op11_merkle_manifest", oracle="""
+with recursive bits as (select i, i as c, 0 as k from range(256) t(i)
+      union all select i, xor(c >> 1, case when c & 1 = 1 then 3988292384 else 0 end), k + 1 from bits where k < 8),
+crc as materialized (select list(c order by i) as t from bits where k = 8),
+d as materialized (select *, coalesce(xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(
+             string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 3 = 0, false) as changed
+      from documents, crc),
+p as materialized (select doc_id, lang, changed, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head,
+         coalesce(strlen(text) || ':' || text, '-') as body,
+         coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') as low from d),
+f as materialized (select doc_id, lang, sha256(head || body) as leaf, sha256(head || case when changed then low else body end) as used from p),
+l as materialized (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n from f),
+u as (select lang, 0 as level, pos, leaf as h, n from l
+      union all
+      select lang, level + 1, pos // 8, sha256(string_agg(h, '' order by pos)), (any_value(n) + 7) // 8 from u where n > 1 group by lang, level, pos // 8),
+u1 as materialized (select * from u),
+s as materialized (select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as groups from u1 where n = 1),
+v as (select 0 as level, place as pos, subroot as h, groups as n from s
+      union all
+      select level + 1, pos // 8, sha256(string_agg(h, '' order by pos)), (any_value(n) + 7) // 8 from v where n > 1 group by level, pos // 8),
+v1 as materialized (select * from v),
+r as (select h as root from v1 where n = 1),
+us as materialized (select a.lang, a.level, a.pos, coalesce(string_agg(b.h, '' order by b.pos) filter (b.pos < a.pos), '') as lft,
+             coalesce(string_agg(b.h, '' order by b.pos) filter (b.pos > a.pos), '') as rgt
+      from u1 a join u1 b on a.lang is not distinct from b.lang and a.level = b.level and a.pos // 8 = b.pos // 8 where a.n > 1 group by all),
+vs as materialized (select a.level, a.pos, coalesce(string_agg(b.h, '' order by b.pos) filter (b.pos < a.pos), '') as lft,
+             coalesce(string_agg(b.h, '' order by b.pos) filter (b.pos > a.pos), '') as rgt
+      from v1 a join v1 b on a.level = b.level and a.pos // 8 = b.pos // 8 where a.n > 1 group by all),
+w as (select lang, pos as leaf_at, pos, 0 as level, used as h, '' as proof from l
+      union all
+      select w.lang, leaf_at, w.pos // 8, w.level + 1, sha256(lft || w.h || rgt), proof || lft || rgt
+      from w join us on w.lang is not distinct from us.lang and w.level = us.level and w.pos = us.pos),
+w1 as materialized (select lang, leaf_at, arg_max(h, level) as h, arg_max(proof, level) as proof from w group by lang, leaf_at),
+x as (select w1.lang, leaf_at, place as pos, 0 as level, h, proof from w1 join s on w1.lang is not distinct from s.lang
+      union all
+      select lang, leaf_at, x.pos // 8, x.level + 1, sha256(lft || x.h || rgt), proof || lft || rgt
+      from x join vs on x.level = vs.level and x.pos = vs.pos),
+x1 as materialized (select lang, leaf_at, arg_max(h, level) as h, arg_max(proof, level) as proof from x group by lang, leaf_at)
+select l.doc_id, l.leaf, subroot, root, sha256(proof) as proof_sha256, x1.h as folded_root, x1.h = root as verified
+from l join x1 on l.lang is not distinct from x1.lang and l.pos = x1.leaf_at join s on l.lang is not distinct from s.lang, r
+""")
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", audit.UPPER, audit.UPPER.lower())
+    tampered = F.when(changed, merkle.leaf_hash([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), lowered]))
+    rows = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], carry={"tampered": tampered})
+    rows = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("proof")).alias("proof_sha256"),
+                       merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register("op12_quality")
+def op12_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~quality.held_out())
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op13_filter_audit", oracle="""
+with d as materialized (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+least as materialized (select t, min(doc_id) as least from d group by t),
+m as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+f as materialized (select part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+             regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > least, false)] as fails, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+      from d join least using (t) left join m using (doc_id)),
+c as materialized (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+x as (select unnest([1, 2, 3, 4, 5]) as i),
+o as materialized (select [a.i, b.i, c.i, d.i, e.i] as way from x a, x b, x c, x d, x e where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s as materialized (select way, i as step, way[i] as me, way[:i - 1] as earlier from o, x),
+g as (select part, way, step, me, n, good, toxic, fails[me] as mine,
+             len(list_filter(earlier, lambda k: fails[k])) > 0 as gone, len(list_filter(fails, lambda k: k)) as many from c, s),
+r as materialized (select part, way, step, me, sum(n) filter (not gone and not mine) as kept, sum(n) filter (not gone and mine) as removed,
+             sum(n) filter (gone and mine) as redundant, sum(n) filter (mine and many = 1) as unique_fails,
+             sum(good) filter (not gone and mine) as good_lost, sum(toxic) filter (not gone and mine) as toxic_lost from g group by all)
+select part, list_aggregate(list_transform(way, lambda k: 'ABCDE'[k]), 'string_agg', '') as filter_order, step::int as step,
+       coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+       coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+       coalesce(sum(removed) over (partition by part, me), 0)::bigint as shapley
+from r
+""")
+def op13_filter_audit(spark, sf_dir):
+    rows = audit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return audit.report(audit.coalitions(rows, len(audit.NAMES)), audit.NAMES)
