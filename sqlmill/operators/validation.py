@@ -14,14 +14,16 @@ Rules (weaker than a grammar — documented limits):
 * syntax (V2): known leading verb, parentheses balanced and never negative,
   no unterminated quote, no clause keyword dangling at the end, no SELECT
   directly followed by FROM;
-* table reference (V3): an identifier after FROM/JOIN/INTO/UPDATE, or after a
-  comma while the clause at the same bracket scope is FROM/JOIN/USING, unless
+* table reference (V3): an identifier after FROM/JOIN/INTO/UPDATE, after
+  USING of a MERGE or DELETE, after [DROP|TRUNCATE|ALTER] TABLE [IF EXISTS] or
+  TRUNCATE, or after a comma while the clause at the same bracket scope is
+  FROM/JOIN/ON/USING/UPDATE or DROP/TRUNCATE TABLE, unless
   a bracket follows (a table function; INTO t (columns) is a table); FROM in
-  IS [NOT] DISTINCT FROM and UPDATE in ON DUPLICATE KEY UPDATE, FOR UPDATE or
-  ON UPDATE do not count; for
-  FROM/JOIN/comma a SELECT or DELETE must occur earlier in the same bracket
-  scope (so ``EXTRACT(YEAR FROM x)`` is not a table).  ``db.t`` names ``t``.
-  Alias = next identifier, skipping AS;
+  IS [NOT] DISTINCT FROM, ON in DISTINCT ON, and UPDATE in ON DUPLICATE KEY
+  UPDATE, FOR UPDATE or ON UPDATE do not count; for
+  FROM/JOIN/USING/comma a SELECT, DELETE, UPDATE or MERGE must occur earlier in
+  the same bracket scope (so ``EXTRACT(YEAR FROM x)`` is not a table).
+  ``db.t`` names ``t``.  Alias = next identifier, skipping AS;
 * column reference (V4): ``q.c`` / ``q.*`` outside table references, not
   followed by a bracket (a function);
 * alias resolution (J7): last alias wins; a bare table name resolves to itself;
@@ -41,7 +43,9 @@ VERBS = ("SELECT", "WITH", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTE
          "MERGE", "SHOW", "DESCRIBE", "DESC", "EXPLAIN", "USE", "SET", "VALUES", "TRUNCATE", "(")
 CLAUSES = ("SELECT", "FROM", "JOIN", "WHERE", "GROUP", "ORDER", "HAVING", "LIMIT", "OFFSET", "ON",
            "USING", "SET", "INTO", "VALUES", "UPDATE", "UNION", "EXCEPT", "INTERSECT", "WITH",
-           "DELETE", "INSERT")
+           "DELETE", "INSERT", "MERGE", "UPDATE OPTION", "TABLE LIST", "TABLE NAME")
+#: Clauses in which a comma leads to a further table.
+LISTS = ("FROM", "JOIN", "ON", "USING", "UPDATE", "TABLE LIST")
 DANGLING = ("SELECT", "FROM", "WHERE", "JOIN", "ON", "BY", "GROUP", "ORDER", "HAVING", "AND", "OR",
             "NOT", "SET", "INTO", "VALUES", "AS", "UNION", "LIMIT", "OFFSET", "IN", "LIKE", "BETWEEN",
             "IS", "CASE", "WHEN", "THEN", "ELSE", "USING", ",", "=", "<", ">", "+", "-", "/")
@@ -100,35 +104,53 @@ def _shifted(array: str, by: int) -> Column:
     return F.slice(F.concat(F.array_repeat(F.lit(None), -by), F.col(array)), 1, F.size(array))
 
 
-def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",), outer: bool = False) -> DataFrame:
+def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",), outer: bool = False,
+               neighbours: bool = True) -> DataFrame:
     """V1: one row per significant token (no whitespace, no comments) with its
-    position, features and neighbours.  Neighbours come from shifting the token
-    array before it is exploded, so no window is needed for them.  Blank
-    statements produce no tokens (one empty row with ``outer``).
-
-    ``kw`` is the upper-cased token, except where a clause word is none: FROM in
-    IS [NOT] DISTINCT FROM, and UPDATE other than a statement's verb (after
-    nothing, a bracket, a semicolon or EXPLAIN)."""
+    position, features and, with ``neighbours``, the tokens around it.
+    Neighbours come from shifting the token array before it is exploded, so no
+    window is needed for them.  Blank statements produce no tokens (one empty
+    row with ``outer``).  The struct array is taken apart by ``inline``: fields
+    read from an exploded struct would be pushed below it, each with a lexer of
+    its own.
+
+    ``kw`` is the upper-cased token, except where a clause word is none (FROM in
+    IS [NOT] DISTINCT FROM, ON in DISTINCT ON, and UPDATE other than a
+    statement's verb: after nothing, a bracket, a semicolon or EXPLAIN) or TABLE
+    names tables (after DROP, TRUNCATE: a list; after ALTER: one)."""
     s = _statement_tokens(samples.repartition(key), key, sql, keep)
+    # an inner generator would get a filter on the array's size below it, with a second lexer
+    some = F.lit(True) if outer else F.col("pos").isNotNull()
+    if not neighbours:
+        return s.select(key, *keep, "blank", F.inline_outer("toks")).where(some)
     s = s.withColumn("_ups", F.transform("toks", lambda x: x["up"]))
     s = s.withColumn("_kw", F.arrays_zip(F.col("_ups").alias("up"), _shifted("_ups", -1).alias("p1"), _shifted("_ups", -2).alias("p2")))
+    explained = lambda x: x["p1"].isin("ANALYZE", "VERBOSE", "EXTENDED") & x["p2"].isin("EXPLAIN", "ANALYZE")
     s = s.withColumn("_kw", F.transform("_kw", lambda x: F
                      .when((x["up"] == "FROM") & (x["p1"] == "DISTINCT") & x["p2"].isin("IS", "NOT"), F.lit("IS DISTINCT FROM"))
-                     .when((x["up"] == "UPDATE") & x["p1"].isNotNull() & ~x["p1"].isin(")", ";", "EXPLAIN"), F.lit("UPDATE OPTION"))
+                     .when((x["up"] == "ON") & (x["p1"] == "DISTINCT"), F.lit("DISTINCT ON"))
+                     .when((x["up"] == "UPDATE") & x["p1"].isNotNull() & ~x["p1"].isin(")", ";", "EXPLAIN")
+                           & ~F.coalesce(explained(x), F.lit(False)), F.lit("UPDATE OPTION"))
+                     .when((x["up"] == "TABLE") & (x["p1"].isin("DROP", "TRUNCATE") | ((x["p1"] == "TEMPORARY") & (x["p2"] == "DROP"))),
+                           F.lit("TABLE LIST"))
+                     .when((x["up"] == "TABLE") & (x["p1"] == "ALTER"), F.lit("TABLE NAME"))
                      .otherwise(x["up"])))
     s = s.withColumn("_p1", _shifted("_kw", -1)).withColumn("_p2", _shifted("_kw", -2))
-    cols = [F.col("toks").alias("t"), F.col("_kw").alias("kw"), F.col("_p1").alias("p1"), F.col("_p2").alias("p2")]
+    cols = [F.col("toks").alias("t"), F.col("_kw").alias("kw"), F.col("_p1").alias("p1"), F.col("_p2").alias("p2"),
+            _shifted("toks", -1).alias("b1")]
     for i in (1, 2, 3, 4):
         cols += [_shifted("toks", i).alias(f"a{i}"), _shifted("_kw", i).alias(f"k{i}")]
     s = s.withColumn("_z", F.arrays_zip(*cols))
-    explode = F.posexplode_outer if outer else F.posexplode
-    t = s.select(key, *keep, "blank", explode("_z").alias("_i", "_z"))
-    near = [F.col("_z.kw").alias("kw"), F.col("_z.p1").alias("p1"), F.col("_z.p2").alias("p2")]
-    for i in (1, 2, 3, 4):
-        near += [F.col(f"_z.a{i}.tok").alias(f"n{i}"), F.col(f"_z.k{i}").alias(f"n{i}_up"),
-                 F.coalesce(F.col(f"_z.a{i}.is_id"), F.lit(False)).alias(f"n{i}_id"), F.col(f"_z.a{i}.name").alias(f"n{i}_name")]
-    return t.select(key, *keep, "blank", "_i", *[F.col(f"_z.t.{c}").alias(c) for c in ("pos", "tok", "up", "is_id", "name", "delta")],
-                    *near)
+
+    def flat(z: Column, i: Column) -> Column:
+        near = [z["kw"].alias("kw"), z["p1"].alias("p1"), z["p2"].alias("p2"),
+                F.coalesce(z["b1"]["is_id"], F.lit(False)).alias("p1_id")]
+        for n in (1, 2, 3, 4):
+            a = z[f"a{n}"]
+            near += [a["tok"].alias(f"n{n}"), z[f"k{n}"].alias(f"n{n}_up"),
+                     F.coalesce(a["is_id"], F.lit(False)).alias(f"n{n}_id"), a["name"].alias(f"n{n}_name")]
+        return F.struct(i.alias("_i"), *[z["t"][c].alias(c) for c in ("pos", "tok", "up", "is_id", "name", "delta")], *near)
+    return s.select(key, *keep, "blank", F.inline_outer(F.transform("_z", flat))).where(some)
 
 
 def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
@@ -151,6 +173,7 @@ def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("clause", F.last(F.when(F.col("kw").isin(*CLAUSES), F.col("kw")), ignorenulls=True).over(upto))
     t = t.withColumn("sel_seen", F.coalesce(F.max(F.col("kw").isin("SELECT", "DELETE")).over(before), F.lit(False)))
+    t = t.withColumn("mut_seen", F.coalesce(F.max(F.col("kw").isin("DELETE", "UPDATE", "MERGE")).over(before), F.lit(False)))
     return t
 
 
@@ -183,11 +206,15 @@ def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
 
 
 def _tref_start() -> Column:
-    prev_ok = F.col("p1").isin(*TABLE_PREV) | ((F.col("p1") == ",") & F.col("clause").isin("FROM", "JOIN", "USING"))
-    need_sel = ~F.col("p1").isin("INTO", "UPDATE")
+    seen = F.col("sel_seen") | F.col("mut_seen")
+    prev_ok = (F.col("p1").isin("INTO", "UPDATE", "TRUNCATE", "TABLE LIST", "TABLE NAME")
+               | ((F.col("p1") == "EXISTS") & (F.col("p2") == "IF") & F.col("clause").isin("TABLE LIST", "TABLE NAME"))
+               | (F.col("p1").isin(*TABLE_PREV) & seen)
+               | ((F.col("p1") == "USING") & F.col("mut_seen"))
+               | ((F.col("p1") == ",") & F.col("clause").isin(*LISTS) & (seen | F.col("clause").isin("TABLE LIST"))))
     after = F.when((F.col("n1") == ".") & F.col("n2_id"), F.col("n3")).otherwise(F.col("n1"))
     call = F.coalesce(after == "(", F.lit(False)) & (F.col("p1") != "INTO")  # a table function; INTO t (columns) is none
-    return F.col("is_id") & prev_ok & (~need_sel | F.col("sel_seen")) & ~call
+    return F.col("is_id") & prev_ok & ~call
 
 
 def _tref_fields():
@@ -208,13 +235,19 @@ def table_refs(frame: DataFrame, key="sample_id") -> DataFrame:
     return frame.where(_tref_start()).select(key, "pos", *_tref_fields())
 
 
+def _cte_cond() -> Column:
+    return (F.col("is_id") & F.coalesce((F.col("n1_up") == "AS") & (F.col("n2") == "("), F.lit(False))
+            & F.coalesce(F.col("p1").isin("WITH", "RECURSIVE")
+                         | ((F.col("p1") == ",") & (F.col("depth") == 0) & ~F.col("sel_seen")), F.lit(False)))
+
+
+def _derived_cond() -> Column:
+    return (F.col("is_id") & F.coalesce(F.col("clause").isin("FROM", "JOIN", "USING", "UPDATE")
+                                        & ((F.col("p1") == ")") | ((F.col("p1") == "AS") & (F.col("p2") == ")"))), F.lit(False)))
+
+
 def _bound_cond() -> Column:
-    cte = (F.col("is_id") & (F.col("n1_up") == "AS") & (F.col("n2") == "(")
-           & ((F.col("p1").isin("WITH", "RECURSIVE"))
-              | ((F.col("p1") == ",") & (F.col("depth") == 0) & ~F.col("sel_seen"))))
-    derived = (F.col("is_id") & F.col("clause").isin("FROM", "JOIN")
-               & ((F.col("p1") == ")") | ((F.col("p1") == "AS") & (F.col("p2") == ")"))))
-    return cte | derived
+    return _cte_cond() | _derived_cond()
 
 
 def bound_names(frame: DataFrame, key="sample_id") -> DataFrame:
@@ -243,14 +276,14 @@ def column_refs(frame: DataFrame, key="sample_id") -> DataFrame:
     return frame.where(_cref_start()).select(key, "pos", *_cref_fields())
 
 
-def statement_summary(samples: DataFrame, key="sample_id", sql="output") -> DataFrame:
-    """One row per statement: its sample row, whether it is blank, syntax figures,
-    table references, resolved column references (J7) and bound names.  The
-    arrays are bounded by the statement's own token count.
+def statement_summary(samples: DataFrame, key="sample_id", sql="output", carry: bool = True) -> DataFrame:
+    """One row per statement: its sample row (empty without ``carry``), whether it
+    is blank, syntax figures, table references, resolved column references (J7)
+    and bound names.  The arrays are bounded by the statement's own token count.
 
     Store it (``session.persist_once``) before using it twice: lexing and the
     windows are behind it."""
-    row = F.struct(*[F.col(c) for c in samples.columns]).alias("_row")
+    row = F.struct(*[F.col(c) for c in (samples.columns if carry else [key])]).alias("_row")
     kept = samples.select(key, F.col(sql).alias("_sql"), row)
     # the sample's row rides on its first token only
     tokens = sql_tokens(kept, key, "_sql", keep=("_row",), outer=True)

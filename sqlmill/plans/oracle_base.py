@@ -37,7 +37,7 @@ D1 = f"""
 d1 as (
  select o_orderkey as sample_id, o_custkey % 20 as db_id, o_custkey % 7 as topic_id, o_orderkey as ord,
   concat('How many orders with priority ', o_orderpriority, ' for customer ', cast(o_custkey as varchar), '?') as input,
-  case o_orderkey % 16
+  case o_orderkey % 24
    when 0 then concat('SELECT COUNT(*) FROM orders WHERE o_custkey = ', cast(o_custkey as varchar), ';')
    when 1 then concat('SELECT c.c_name, SUM(o.o_totalprice) AS total FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE c.c_custkey = ', cast(o_custkey as varchar), ' GROUP BY c.c_name ORDER BY total DESC LIMIT 5;')
    when 2 then concat('SELECT o.o_missing FROM orders o WHERE o.o_orderkey = ', cast(o_orderkey as varchar))
@@ -53,7 +53,15 @@ d1 as (
    when 12 then concat('SELECT o_orderkey FROM orders WHERE o_custkey IS NOT DISTINCT FROM o_totalprice + ', cast(o_orderkey as varchar))
    when 13 then concat('INSERT INTO orders (o_orderkey, o_custkey) VALUES (', cast(o_orderkey as varchar), ', 1) ON DUPLICATE KEY UPDATE o_custkey = 2, o_totalprice = 3')
    when 14 then concat('SELECT o.o_orderkey FROM orders o WHERE o.o_custkey = ', cast(o_custkey as varchar), ' FOR UPDATE NOWAIT')
-   else concat('SELECT o.o_orderkey, g.value FROM orders o, generate_series(1, 3) g WHERE o.o_orderkey = ', cast(o_orderkey as varchar)) end as output
+   when 15 then concat('SELECT o.o_orderkey, g.value FROM orders o, generate_series(1, 3) g WHERE o.o_orderkey = ', cast(o_orderkey as varchar))
+   when 16 then concat('UPDATE orders o, customer c SET o.o_custkey = c.c_custkey WHERE o.o_orderkey = ', cast(o_orderkey as varchar))
+   when 17 then concat('EXPLAIN ANALYZE UPDATE no_orders SET o_custkey = ', cast(o_orderkey as varchar))
+   when 18 then concat('MERGE INTO orders USING no_source s ON orders.o_orderkey = s.o_orderkey WHEN MATCHED THEN UPDATE SET o_custkey = ', cast(o_orderkey as varchar))
+   when 19 then concat('DELETE FROM orders USING no_customers c WHERE orders.o_custkey = c.c_custkey AND c.c_custkey = ', cast(o_orderkey as varchar))
+   when 20 then concat('TRUNCATE TABLE no_table_', cast(o_orderkey as varchar))
+   when 21 then concat('DROP TABLE IF EXISTS orders, no_archive_', cast(o_orderkey as varchar))
+   when 22 then concat('SELECT o.o_orderkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey, no_list n WHERE o.o_orderkey = ', cast(o_orderkey as varchar))
+   else concat('SELECT o_orderkey, n_name, o_nowhere FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey = o_custkey AND n_nationkey = ', cast(o_orderkey as varchar), ')') end as output
  from orders)"""
 
 PAIRS = D1 + """,

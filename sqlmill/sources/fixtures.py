@@ -23,12 +23,12 @@ def _s(c) -> Column:
 # --- D1: one SQL sample per order --------------------------------------------
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample_id, db_id, topic_id, ord, input, output) — sixteen SQL shapes."""
+    """(sample_id, db_id, topic_id, ord, input, output) — twenty-four SQL shapes."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
               "o_orderpriority")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     ks, cs = _s(k), _s(c)
-    case = k % 16
+    case = k % 24
     out = (
         F.when(case == 0, F.concat(F.lit("SELECT COUNT(*) FROM orders WHERE o_custkey = "), cs, F.lit(";")))
         .when(case == 1, F.concat(
@@ -55,7 +55,15 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 13, F.concat(F.lit("INSERT INTO orders (o_orderkey, o_custkey) VALUES ("), ks,
                                    F.lit(", 1) ON DUPLICATE KEY UPDATE o_custkey = 2, o_totalprice = 3")))
         .when(case == 14, F.concat(F.lit("SELECT o.o_orderkey FROM orders o WHERE o.o_custkey = "), cs, F.lit(" FOR UPDATE NOWAIT")))
-        .otherwise(F.concat(F.lit("SELECT o.o_orderkey, g.value FROM orders o, generate_series(1, 3) g WHERE o.o_orderkey = "), ks))
+        .when(case == 15, F.concat(F.lit("SELECT o.o_orderkey, g.value FROM orders o, generate_series(1, 3) g WHERE o.o_orderkey = "), ks))
+        .when(case == 16, F.concat(F.lit("UPDATE orders o, customer c SET o.o_custkey = c.c_custkey WHERE o.o_orderkey = "), ks))
+        .when(case == 17, F.concat(F.lit("EXPLAIN ANALYZE UPDATE no_orders SET o_custkey = "), ks))
+        .when(case == 18, F.concat(F.lit("MERGE INTO orders USING no_source s ON orders.o_orderkey = s.o_orderkey WHEN MATCHED THEN UPDATE SET o_custkey = "), ks))
+        .when(case == 19, F.concat(F.lit("DELETE FROM orders USING no_customers c WHERE orders.o_custkey = c.c_custkey AND c.c_custkey = "), ks))
+        .when(case == 20, F.concat(F.lit("TRUNCATE TABLE no_table_"), ks))
+        .when(case == 21, F.concat(F.lit("DROP TABLE IF EXISTS orders, no_archive_"), ks))
+        .when(case == 22, F.concat(F.lit("SELECT o.o_orderkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey, no_list n WHERE o.o_orderkey = "), ks))
+        .otherwise(F.concat(F.lit("SELECT o_orderkey, n_name, o_nowhere FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey = o_custkey AND n_nationkey = "), ks, F.lit(")")))
     )
     return o.select(
         k.alias("sample_id"), (c % 20).alias("db_id"), (c % 7).alias("topic_id"), k.alias("ord"),

@@ -52,3 +52,10 @@ def test_no_cross_joins_or_row_udfs_anywhere(spark):
         if hits:
             bad[key] = hits
     assert bad == {}
+
+
+def test_statements_are_lexed_once(spark):
+    for key in ("sql_tokens", "check_syntax", "table_refs", "column_refs", "resolve_aliases"):
+        df = Q[key](spark, SF)
+        lexers = df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")
+        assert lexers == 1, (key, lexers)

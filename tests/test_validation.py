@@ -84,3 +84,31 @@ def test_execution_stage_and_own_rules(spark):
     out = {r["sample_id"]: (r["valid"], r["error_kind"]) for r in
            V.validate_samples(samples, cat, executed=executed, rules=(no_constants,)).collect()}
     assert out == {1: (False, "execution"), 2: (True, None), 3: (False, "missing_table"), 4: (False, "constant")}
+
+
+def test_every_table_of_a_statement_is_seen(spark):
+    sqls = [
+        "UPDATE orders o, nowhere n SET o.o_custkey = 1, n.a = 2",                                   # 0
+        "EXPLAIN ANALYZE UPDATE nowhere SET a = 1",                                                  # 1
+        "MERGE INTO orders USING nowhere s ON orders.o_orderkey = s.k WHEN MATCHED THEN DELETE",     # 2
+        "DELETE FROM orders USING customer c, nowhere WHERE o_custkey = c.c_custkey",                # 3
+        "TRUNCATE TABLE nowhere",                                                                    # 4
+        "DROP TABLE IF EXISTS orders, nowhere",                                                      # 5
+        "ALTER TABLE nowhere ADD COLUMN a INT, ADD COLUMN b INT",                                    # 6
+        "SELECT * FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey, nowhere",              # 7
+        "UPDATE orders SET o_custkey = 1 FROM nowhere n WHERE n.a = 2",                              # 8
+        "MERGE INTO orders USING (SELECT c_custkey FROM customer) s ON s.c_custkey = o_custkey WHEN MATCHED THEN UPDATE SET o_custkey = 1",  # 9
+        "SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey FROM orders",                          # 10
+        "SELECT CONVERT(c_name USING utf8), c_custkey FROM customer",                                # 11
+        "INSERT INTO orders SELECT * FROM orders JOIN customer ON o_custkey = c_custkey ON DUPLICATE KEY UPDATE o_custkey = 1, o_orderkey = 2",  # 12
+    ]
+    verdicts, refs = run(spark, sqls)
+    names = {i: [t for t, _ in refs.get(i, [])] for i in range(len(sqls))}
+    assert names[0] == ["orders", "nowhere"] and refs[0] == [("orders", "o"), ("nowhere", "n")]
+    assert names[1] == names[4] == names[6] == ["nowhere"]
+    assert names[2] == names[5] == names[8] == ["orders", "nowhere"]
+    assert names[3] == names[7] == ["orders", "customer", "nowhere"]
+    assert names[9] == ["orders", "customer"] and names[10] == ["orders"] and names[11] == ["customer"]
+    assert names[12] == ["orders", "orders", "customer"]
+    assert [v for v, _ in verdicts] == [False] * 9 + [True] * 4
+    assert {k for v, k in verdicts if not v} == {"missing_table"}
