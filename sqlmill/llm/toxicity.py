@@ -15,17 +15,23 @@ Landmarks, Nystroem map and SVM weights fold into one weight per subsequence,
 so scoring a unit takes time linear in its length, whole texts included.
 
 The fit uses at most ``SAMPLE`` labelled documents of each label, by hash.
+Tasks cut them into distinct sentences of units; the driver reads these one
+document at a time, numbers the units and keeps only numbers.  Landmarks touch
+few of the possible subsequences, so their weights are kept for those alone.
 
 Edge cases: a null or empty text has the score of a text without units; rows
-without an id or label teach nothing; when either label is missing from the
-training rows, every score is 0; an empty table gives no rows.
+without an id or label teach nothing; a repeated label row counts once, as toxic if any
+says so; rows that repeat a document teach again but their sentences are no
+further evidence; when either label is missing from the
+training rows, every score is 0; an empty table gives no rows; further columns
+are not read (``keep_clean`` returns them); very long texts are scored whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -33,7 +39,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import python_ready
 
@@ -96,13 +101,16 @@ def subsequences(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, flo
             yield own[same], shape[same], DECAY ** (a + b - 2)
 
 
-def folded(units: list[str], weights: np.ndarray) -> np.ndarray:
+def folded(units: list[str], weights: np.ndarray, index: np.ndarray | None = None) -> np.ndarray:
     """Sum over a unit's subsequences of their weights (one column per kernel
-    column), divided by the unit's own norm."""
+    column), divided by the unit's own norm.  With ``index``, the weights of
+    shape s stand in row ``index[s]``."""
     wide = weights.ndim == 2
     total = np.zeros((len(units), weights.shape[1]) if wide else len(units))
     norm = np.zeros(len(units))
     for own, shape, decay in subsequences(units):
+        if index is not None:
+            shape = index[shape]
         if wide:
             for k in range(0, len(own), 1 << 16):
                 part = own[k:k + (1 << 16)]
@@ -200,75 +208,107 @@ def _evidence(bad: int, n_bad: int, good: int, n_good: int) -> float:
     return float(2 * (out + (good * np.log(good / n_good / share) if good else 0.0)))
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model:
-    """A model from labelled texts."""
-    if len(set(labels)) < 2:
-        return Model(None)
+def sentences_of(text: str) -> list[str]:
+    """The distinct sentences of a text, as units between spaces."""
+    found = dict.fromkeys(" ".join(u for t in units_of(s) if (u := unit_of(t))) for s in _SENTENCE.split(text))
+    return [s for s in found if s]
+
+
+def landmark_columns(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Kernel weights of the landmarks (one column each) over the shapes that occur in any,
+    and each shape's row there (row 0 for all others)."""
+    found = [[(shape, decay) for _, shape, decay in subsequences([u])] for u in landmarks]
+    shapes = np.unique(np.concatenate([shape for f in found for shape, _ in f] or [np.zeros(0, np.int64)]))
+    index = np.zeros(SHAPES, np.int32)
+    index[shapes] = np.arange(1, len(shapes) + 1)
+    columns = np.zeros((len(shapes) + 1, len(landmarks)))
+    for k, f in enumerate(found):
+        for shape, decay in f:
+            np.add.at(columns[:, k], index[shape], decay)
+        columns[:, k] /= max(float(np.sqrt(sum(decay ** 2 * len(shape) for shape, decay in f))), 1e-9)
+    return columns, index
+
+
+def fit(docs: Iterable[tuple[list[str], int]], seed: int = 11) -> Model:
+    """A model from documents (distinct sentences, as of ``sentences_of``) and their labels."""
     rng = np.random.default_rng(seed)
-    docs = [[[u for t in units_of(s) if (u := unit_of(t))] for s in _SENTENCE.split(text)] for text in texts]
-    docs = [[s for s in d if s] for d in docs]
-    n = Counter(labels)
-    # documents of each label that hold a unit, and a run of four characters of it
-    seen: dict[int, Counter] = defaultdict(Counter)
-    parts: dict[int, Counter] = defaultdict(Counter)
-    told: set[tuple[str, ...]] = set()
-    for d, y in zip(docs, labels):
-        own = {u for s in d if tuple(s) not in told for u in s}  # copies of a sentence are no further evidence
-        told.update(map(tuple, d))
+    number: dict[str, int] = {}
+    gram_number: dict[str, int] = {}
+    grams_of: list[list[int]] = []
+    n = Counter()
+    # documents of each label that hold a unit, and a run of characters of it
+    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    parts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    told: set[bytes] = set()
+    own_units: list[np.ndarray] = []
+    labels: list[int] = []
+    for sentences, y in docs:
+        n[y] += 1
+        numbered = []
+        for sentence in sentences:
+            found = sentence.split(" ")
+            for u in found:
+                if u not in number:
+                    number[u] = len(number)
+                    grams_of.append([gram_number.setdefault(g, len(gram_number)) for g in _grams(u)])
+            numbered.append(np.array([number[u] for u in found], np.int32))
+        own = {u for s in numbered if s.tobytes() not in told for u in s.tolist()}  # copies of a sentence are no further evidence
+        told.update(s.tobytes() for s in numbered)
         seen[y].update(own)
-        parts[y].update({g for u in own for g in _grams(u)})
-    good = seen[0]
+        parts[y].update({g for u in own for g in grams_of[u]})
+        own_units.append(np.unique(np.concatenate(numbered)) if numbered else np.zeros(0, np.int32))
+        labels.append(y)
+    told.clear()
+    if not (n[0] and n[1]):
+        return Model(None)
+    units = list(number)
 
     @lru_cache(None)
-    def evidence(u: str) -> float:
-        return max(_evidence(parts[1][g], n[1], parts[0][g], n[0]) for g in _grams(u))
+    def evidence(u: int) -> float:
+        return max(_evidence(parts[1][g], n[1], parts[0][g], n[0]) for g in grams_of[u])
 
-    toxic = [sorted({u for s in d for u in s}) for d, y in zip(docs, labels) if y == 1 and any(d)]
+    toxic = [sorted(d.tolist(), key=units.__getitem__) for d, y in zip(own_units, labels) if y == 1 and len(d)]
 
     def worst_units(value, least: float) -> Counter:
         """The unit that marks each toxic document's worst sentence, where one stands out."""
         best = (max(d, key=value) for d in toxic)
-        return Counter(u for u in best if value(u) > least and evidence(u) > EVIDENCE)
+        return Counter(units[u] for u in best if value(u) > least and evidence(u) > EVIDENCE)
 
     chosen = worst_units(evidence, EVIDENCE)
     if not chosen:
         return Model(None)
-    clean = sorted(good)
-    common = [u for u, _ in good.most_common(4000)]
-    units = np.array(clean, object)
-    some = list(rng.choice(units, min(6000, len(units)), replace=False))
+    clean = sorted(units[u] for u in seen[0])
+    common = [units[u] for u, _ in sorted(seen[0].items(), key=lambda x: (-x[1], units[x[0]]))[:4000]]
+    some = [str(u) for u in rng.choice(np.array(clean, object), min(6000, len(clean)), replace=False)]
     landmarks = [u for u, _ in chosen.most_common(LANDMARKS // 2)]
     landmarks += [u for u in common[:LANDMARKS - len(landmarks)] if u not in landmarks]
-    columns = np.zeros((SHAPES, len(landmarks)))
-    for k, u in enumerate(landmarks):
-        for _, shape, decay in subsequences([u]):
-            np.add.at(columns[:, k], shape, decay)
-    norms = np.sqrt([sum(decay ** 2 * len(s) for _, s, decay in subsequences([u])) for u in landmarks])
-    columns /= np.maximum(norms, 1e-9)
-    values, vectors = np.linalg.eigh(folded(landmarks, columns))
+    columns, index = landmark_columns(landmarks)
+    values, vectors = np.linalg.eigh(folded(landmarks, columns, index))
     keep = values > 1e-6
     nystroem = vectors[:, keep] / np.sqrt(values[keep])
+
+    def scored(found: list[str]) -> np.ndarray:
+        return np.concatenate([model.of_units(found[k:k + 8192]) for k in range(0, len(found), 8192)] or [np.zeros(0)])
+
     hard: list[str] = []
     model = Model(None)
     for _ in range(ROUNDS):
         positives = list(chosen) + _variants(list(chosen), rng) + _variants(list(chosen), rng)
         negatives = list(dict.fromkeys(common + some + hard))
         negatives += _variants(common[:500] + hard[:500], rng)
-        x = folded(positives + negatives, columns) @ nystroem
+        x = folded(positives + negatives, columns, index) @ nystroem
         y = np.r_[np.ones(len(positives)), -np.ones(len(negatives))]
         times = np.sqrt(np.array([*chosen.values()], float))
         weight = np.r_[np.tile(times / times.sum(), 1), np.repeat(times, 2) / times.sum() / 4, np.repeat(times, 2) / times.sum() / 4,
                        np.full(len(negatives), 2 / len(negatives))] * len(y) / 4
         w = _svm(x, y, weight)
-        model = Model(columns @ (nystroem @ w[:-1]), float(w[-1]))
-        scores = np.concatenate([model.of_units(clean[k:k + 8192]) for k in range(0, len(clean), 8192)])
-        hard = list(dict.fromkeys([clean[i] for i in np.argsort(-scores)[:1500]] + hard))
+        model = Model((columns @ (nystroem @ w[:-1]))[index], float(w[-1]))
+        hard = list(dict.fromkeys([clean[i] for i in np.argsort(-scored(clean))[:1500]] + hard))
         # each toxic document's worst sentence names the units of the next round
-        flat = sorted({u for d in toxic for u in d})
-        of = dict(zip(flat, np.concatenate([model.of_units(flat[k:k + 8192]) for k in range(0, len(flat), 8192)]).tolist()))
-        chosen = worst_units(of.__getitem__, 0.0) or chosen
-    model.slope, model.shift = _logistic(model.worst(texts), np.array(labels, float))
-    model.memo.clear()
+        of = scored(units)
+        chosen = worst_units(lambda u: of[u], 0.0) or chosen
+    worst = np.array([of[d].max() if len(d) else model.bias for d in own_units])
+    model.slope, model.shift = _logistic(worst, np.array(labels, float))
     return model
 
 
@@ -286,12 +326,23 @@ def train(docs: DataFrame, labels: DataFrame, teaches: Column, sample: int = SAM
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(teaches)
     marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     present = docs.filter(F.col("text").isNotNull()).select("doc_id")
-    by_hash = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (marked.join(present, "doc_id", "left_semi").withColumn("k", F.row_number().over(by_hash))
-              .filter(F.col("k") <= sample).select("doc_id", "toxic"))
+    marked = marked.join(present, "doc_id", "left_semi")
+    # the least hashes of each label: each task sends at most ``sample`` ids
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = marked.filter("toxic = 0").orderBy(*by_hash).limit(sample).unionByName(
+        marked.filter("toxic = 1").orderBy(*by_hash).limit(sample))
+    python_ready(docs.sparkSession)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                part = batch.slice(k, 1)
+                found = pa.array([sentences_of(part.column(1)[0].as_py())], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(0), found, part.column(2)], ["doc_id", "sentences", "toxic"])
     rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in rows.collect())  # at most ``sample`` of each label
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    rows = rows.select(F.col("doc_id").cast("long"), "text", "toxic").mapInArrow(cut, "doc_id long, sentences array<string>, toxic int")
+    found = rows.orderBy("doc_id", F.xxhash64("sentences")).toLocalIterator()  # one part of the sample at a time
+    return fit((r["sentences"], r["toxic"]) for r in found)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
