@@ -63,7 +63,8 @@ def first_n(df: DataFrame, n: int, order="ord") -> DataFrame:
 # ------------------------------------------------------------------ text metrics
 
 def exact_match_col(pred="prediction", ref="reference") -> Column:
-    return normalize_sql(_c(pred)) == normalize_sql(_c(ref))
+    """Equal after normalisation; texts that are equal as they are need no lexing."""
+    return F.when(_c(pred) == _c(ref), F.lit(True)).otherwise(normalize_sql(_c(pred)) == normalize_sql(_c(ref)))
 
 
 def token_f1_col(pred="prediction", ref="reference") -> Column:
@@ -91,6 +92,11 @@ def with_token_f1(pairs: DataFrame, pred="prediction", ref="reference", out="f1"
     projection (the F1 formula uses every set several times; the optimizer keeps
     non-cheap expressions from being inlined into all of those uses)."""
     d = pairs.withColumns({"_pt": token_set(_c(pred)), "_rt": token_set(_c(ref))})
+    return _f1_of_sets(d, out)
+
+
+def _f1_of_sets(d: DataFrame, out: str) -> DataFrame:
+    """Token F1 of the token sets ``_pt`` and ``_rt``, which are dropped."""
     d = d.withColumns({"_np": F.size("_pt").cast("double"), "_nr": F.size("_rt").cast("double"),
                        "_cm": F.size(F.array_intersect("_pt", "_rt")).cast("double")})
     prec, rec = F.try_divide(F.col("_cm"), F.col("_np")), F.try_divide(F.col("_cm"), F.col("_nr"))
@@ -146,13 +152,30 @@ def avg_token_f1(pairs: DataFrame, group=("run_id",)) -> DataFrame:
         F.count(F.lit(1)).alias("total_samples"))
 
 
+def neighbour_f1(texts: DataFrame, key: str, text: str = "text", group=("run_id",)) -> DataFrame:
+    """E3 of each text against the one whose integer ``key`` is one higher.  A text is tokenised
+    once and its token set sent to both pairs it belongs to; no text is shuffled.  Keys are meant
+    to be unique: the sets of a repeated key meet in one row, which forms all their pairs."""
+    sets = texts.where(F.col(key).isNotNull()).select(*group, key, token_set(_c(text)).alias("_t"))
+    both = F.array(F.struct(F.col(key).alias("_pair"), F.lit(True).alias("_p")),
+                   F.struct((F.col(key) - 1).alias("_pair"), F.lit(False).alias("_p")))
+    sent = sets.select(*group, "_t", F.inline(both))
+    sides = sent.groupBy(*group, "_pair").agg(F.collect_list(F.when(F.col("_p"), F.struct("_t"))).alias("_ps"),
+                                              F.collect_list(F.when(~F.col("_p"), F.struct("_t"))).alias("_rs"))
+    # an inner generator would repeat the tokenising in a filter of its own
+    pairs = sides.where((F.size("_ps") > 0) & (F.size("_rs") > 0)).select(*group, F.explode_outer("_ps").alias("_a"), "_rs")
+    pairs = pairs.select(*group, F.col("_a._t").alias("_pt"), F.explode_outer("_rs").alias("_b")).select(*group, "_pt", F.col("_b._t").alias("_rt"))
+    return _f1_of_sets(pairs, "_f1").groupBy(*group).agg(
+        F.coalesce(F.avg("_f1"), F.lit(0.0)).alias("token_f1"), F.count(F.lit(1)).alias("total_samples"))
+
+
 # ------------------------------------------------------------------ result comparison
 
-def renumber(rows: DataFrame, keys=("query_id", "side"), order="row_idx") -> DataFrame:
+def renumber(rows: DataFrame, keys=("query_id", "side"), order="row_idx", bounds: list | None = None) -> DataFrame:
     """Dense 1-based row positions per (query, side) in ``order``.  Range-partitioned
     (``ordering.positions_within``), so one huge result set is numbered by many tasks."""
     from .ordering import positions_within
-    return positions_within(rows, keys, (order,), out="_pos").drop(order).withColumnRenamed("_pos", order)
+    return positions_within(rows, keys, (order,), out="_pos", bounds=bounds).drop(order).withColumnRenamed("_pos", order)
 
 
 def _canon_cells(cells: Column) -> Column:
@@ -172,11 +195,14 @@ def compare_results(rows: DataFrame, ordered: bool = True, query="query_id") ->
     has_nan = F.coalesce(F.exists(cells, lambda x: x == F.lit(NAN_MARK)), F.lit(False))
     base = rows.select(query, "side", "row_idx", cells.alias("cells"), has_nan.alias("nan"))
     if ordered:
-        base = renumber(base, keys=(query, "side"))
-        ref = base.where(F.col("side") == "ref").select(query, "row_idx", F.col("cells").alias("rc"),
-                                                         F.col("nan").alias("rn"))
-        pred = base.where(F.col("side") == "pred").select(query, "row_idx", F.col("cells").alias("pc"))
-        j = ref.join(pred, [query, "row_idx"], "full")
+        from .ordering import slice_bounds
+        bounds = slice_bounds(base, (query, "side"), ("row_idx",))
+        # without large results, one exchange on the query serves the numbering and both aggregates
+        base = renumber(base if bounds else base.repartition(query), keys=(query, "side"), bounds=bounds)
+        ref = F.col("side") == "ref"
+        j = base.groupBy(query, "row_idx").agg(
+            F.max(F.when(ref, F.col("cells"))).alias("rc"), F.max(F.when(F.col("side") == "pred", F.col("cells"))).alias("pc"),
+            F.max(F.when(ref, F.col("nan"))).alias("rn"))
         ok = F.coalesce((F.col("rc") == F.col("pc")) & ~F.col("rn"), F.lit(False))
         return j.groupBy(query).agg(
             F.bool_and(ok).alias("rows_equal"),

@@ -101,9 +101,15 @@ def _call_with_retries(fn: ModelFn, prompts: list, max_retries: int, base_wait:
 
 
 def must_be_json(answer) -> None:
-    """``accept`` for prompts that ask for JSON: some text of the answer must parse."""
+    """``accept`` for prompts that ask for JSON: the whole answer must parse, or else (N10's order)
+    its fenced part, or what lies between its first opening and last closing bracket."""
     import json
     text = str(answer).strip()
+    try:
+        json.loads(text)
+        return
+    except ValueError:
+        pass
     for mark in ("```json", "```"):
         if mark in text and "```" in text.split(mark, 1)[1]:
             json.loads(text.split(mark, 1)[1].split("```", 1)[0])

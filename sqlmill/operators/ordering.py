@@ -5,7 +5,8 @@ single run or query holds a third of the rows, that task does a third of the
 work.  Here the order values are cut into slices of about ``rows`` rows of the
 whole table (boundaries are sampled quantiles, taken once on the driver, so
 every task retry and every branch of the plan agrees on them); windows run per
-(group, slice), which spreads a hot group over many tasks.  A table with one
+(group, slice), which spreads a hot group over many tasks.  Where no group has
+more rows than a slice (one aggregate tells), plain windows do.  A table with one
 row per (group, slice) carries the prefix from earlier slices; joining it back
 on (group, slice) keeps that join balanced too.  The first ``order`` column
 must be numeric, and the rows must come out the same when they are read again
@@ -35,23 +36,33 @@ def _slice_of(value, bounds: list):
     return (block - 1) * _BLOCK + upto(inside)
 
 
-def _sliced(df: DataFrame, keys, order, rows: int):
+def slice_bounds(df: DataFrame, keys, order, rows: int = SLICE_ROWS) -> list:
+    """Ascending values of the first ``order`` column at which slices begin; none when no group
+    is larger than a slice.  One job, and a second one only for tables with a large group.  Callers
+    with several windows over one table pass the result to each."""
     keys, order = list(keys), list(order)
-    slices = min(MOST_SLICES, -(-df.count() // rows))
-    bounds = []
-    if slices > 1:
-        shares = [i / slices for i in range(1, slices)]
-        bounds = sorted(set(df.approxQuantile(order[0], shares, 0.25 / slices)))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    size = sizes.agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).first()
+    if (size["most"] or 0) <= rows:
+        return []
+    slices = min(MOST_SLICES, -(-size["total"] // rows))
+    return sorted(set(df.approxQuantile(order[0], [i / slices for i in range(1, slices)], 0.25 / slices)))
+
+
+def _sliced(df: DataFrame, keys, order, rows: int, bounds: list | None):
+    keys, order = list(keys), list(order)
+    bounds = slice_bounds(df, keys, order, rows) if bounds is None else bounds
     if not bounds:
         return None, keys, order
     return df.withColumn("_pid", F.coalesce(_slice_of(F.col(order[0]).cast("double"), bounds), F.lit(-1))), keys, order
 
 
-def positions_within(df: DataFrame, keys, order, out: str = "pos", rows: int = SLICE_ROWS) -> DataFrame:
+def positions_within(df: DataFrame, keys, order, out: str = "pos", rows: int = SLICE_ROWS,
+                     bounds: list | None = None) -> DataFrame:
     """Dense 1-based position of each row within its group, in ``order``
     (ties broken arbitrarily but consistently)."""
-    r, keys, order = _sliced(df, keys, order, rows)
-    if r is None:  # one slice holds the whole table
+    r, keys, order = _sliced(df, keys, order, rows, bounds)
+    if r is None:  # no group is larger than a slice
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     part = keys + ["_pid"]
@@ -68,12 +79,12 @@ def positions_within(df: DataFrame, keys, order, out: str = "pos", rows: int = S
 
 
 def running(df: DataFrame, keys, order, value: str, agg: str, out: str, inclusive: bool = True,
-            rows: int = SLICE_ROWS) -> DataFrame:
+            rows: int = SLICE_ROWS, bounds: list | None = None) -> DataFrame:
     """Running ``agg`` (min, max or sum) of ``value`` within each group in
     ``order``: over earlier rows and the current one (``inclusive``) or over
     earlier rows only (NULL when there are none)."""
     f = _AGG[agg]
-    r, keys, order = _sliced(df, keys, order, rows)
+    r, keys, order = _sliced(df, keys, order, rows, bounds)
     part = keys + ["_pid"] if r is not None else keys
     w = Window.partitionBy(*part).orderBy(*order)
     if r is None:

@@ -90,11 +90,12 @@ def early_stopping(history: DataFrame, patience: int = 3, run="run_id", epoch="e
     a run's history is ever built and no join on the run key is needed."""
     if min_delta:
         return _early_stopping_delta(history, patience, run, epoch, loss, min_delta)
-    from .ordering import running
-    h = running(history, [run], [epoch], loss, "min", "_best_before", inclusive=False)
+    from .ordering import running, slice_bounds
+    bounds = slice_bounds(history, [run], [epoch])
+    h = running(history, [run], [epoch], loss, "min", "_best_before", inclusive=False, bounds=bounds)
     h = h.withColumn("_impr", F.col(loss) < F.coalesce(F.col("_best_before"), F.lit(float("inf"))))
     h = h.withColumn("_ie", F.when(F.col("_impr"), F.col(epoch)))
-    h = running(h, [run], [epoch], "_ie", "max", "_last")
+    h = running(h, [run], [epoch], "_ie", "max", "_last", bounds=bounds)
     h = h.withColumn("_best", F.least(F.col(loss), F.col("_best_before")))
     h = h.withColumn("_counter", F.col(epoch) - F.coalesce(F.col("_last"), F.lit(0)))
     stopping = F.when(F.col("_counter") >= patience, F.col(epoch))

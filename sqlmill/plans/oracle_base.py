@@ -84,11 +84,11 @@ d2 as (
 D3 = """
 d3 as (
  select doc_id, case doc_id % 6
-  when 0 then concat('Sure.', chr(10), '```SQL', chr(10), ' SELECT ', cast(doc_id as varchar), ' ', chr(10), '```', chr(10), 'done')
-  when 1 then concat('```mysql', chr(10), 'SELECT ', cast(doc_id as varchar), chr(10), '```')
+  when 0 then concat('Sure.', chr(10), '```SQL', chr(10), ' SELECT ', cast(doc_id as varchar), ' ', text, ' ', chr(10), '```', chr(10), 'done')
+  when 1 then concat(text, chr(10), '```mysql', chr(10), 'SELECT ', cast(doc_id as varchar), ' ', text, chr(10), '```')
   when 2 then concat('Answer:', chr(10), '  select a', chr(10), '  from t;', chr(10), 'because ', text)
   when 3 then concat('SELECT a', chr(10), 'FROM t', chr(10), text)
-  when 4 then concat('```sql', chr(10), 'SELECT unclosed ', cast(doc_id as varchar))
+  when 4 then concat('```sql', chr(10), 'SELECT unclosed ', cast(doc_id as varchar), chr(10), text)
   else text end as model_text
  from documents)"""
 

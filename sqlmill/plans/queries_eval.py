@@ -112,19 +112,6 @@ def q_text_match_details(spark, sf_dir):
     return ev.text_match_details(fixtures.prediction_pairs(spark, sf_dir))
 
 
-def corpus_pairs(spark, sf_dir):
-    """Flagship pairs over whole texts: each chat's answer vs its question, and
-    each document vs the next document."""
-    conv = conversation_pairs(spark, sf_dir).select(
-        F.lit("conversations").alias("run_id"), F.col("conv_id").alias("ord"),
-        F.col("sql").alias("prediction"), F.col("question").alias("reference"))
-    d = table(spark, sf_dir, "documents", "doc_id", "text")
-    nxt = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("reference"))
-    docs = d.join(nxt, "doc_id").select(F.lit("documents").alias("run_id"), F.col("doc_id").alias("ord"),
-                                        F.col("text").alias("prediction"), "reference")
-    return conv.unionByName(docs)
-
-
 AVG_F1 = f"""with p as ({SHAREGPT_SQL}),
 x as (
  select 'conversations' as run_id, sql as prediction, question as reference from p
@@ -136,8 +123,12 @@ from x group by run_id"""
 
 @register("avg_token_f1", AVG_F1)
 def q_avg_token_f1(spark, sf_dir):
-    """Bench flagship: mean token F1 over whole chat and document texts."""
-    return ev.avg_token_f1(corpus_pairs(spark, sf_dir))
+    """Bench flagship: mean token F1 over whole texts: each chat's answer against its question, and
+    each document against the next one."""
+    chats = conversation_pairs(spark, sf_dir).select(
+        F.lit("conversations").alias("run_id"), F.col("sql").alias("prediction"), F.col("question").alias("reference"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("run_id", F.lit("documents"))
+    return ev.avg_token_f1(chats).unionByName(ev.neighbour_f1(docs, "doc_id"))
 
 
 # ---------------------------------------------------------------- J1 / F1 / F3 / V8

@@ -108,12 +108,12 @@ def model_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ks = _s(k)
     t = F.col("text")
     txt = (
-        F.when(k % 6 == 0, F.concat(F.lit("Sure." + NL + "```SQL" + NL + " SELECT "), ks,
+        F.when(k % 6 == 0, F.concat(F.lit("Sure." + NL + "```SQL" + NL + " SELECT "), ks, F.lit(" "), t,
                                     F.lit(" " + NL + "```" + NL + "done")))
-        .when(k % 6 == 1, F.concat(F.lit("```mysql" + NL + "SELECT "), ks, F.lit(NL + "```")))
+        .when(k % 6 == 1, F.concat(t, F.lit(NL + "```mysql" + NL + "SELECT "), ks, F.lit(" "), t, F.lit(NL + "```")))
         .when(k % 6 == 2, F.concat(F.lit("Answer:" + NL + "  select a" + NL + "  from t;" + NL + "because "), t))
         .when(k % 6 == 3, F.concat(F.lit("SELECT a" + NL + "FROM t" + NL), t))
-        .when(k % 6 == 4, F.concat(F.lit("```sql" + NL + "SELECT unclosed "), ks))
+        .when(k % 6 == 4, F.concat(F.lit("```sql" + NL + "SELECT unclosed "), ks, F.lit(NL), t))
         .otherwise(t)
     )
     return d.select(k.alias("doc_id"), txt.alias("model_text"))

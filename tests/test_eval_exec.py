@@ -138,6 +138,7 @@ def test_tries_are_counted_per_row():
     def json_at_last(prompts):
         flaky["n"] += 1
         return ["not json"] if flaky["n"] == 1 else ['```json\n{"a": 1}\n```']
+    G.must_be_json('{"topics":[{"reason":"use ```sql x``` here"}]}')  # valid as a whole, fences inside
     answers, errors, tries = G._call_with_retries(json_at_last, ["p"], 3, 0.0, accept=G.must_be_json)
     assert tries == [2] and errors == [None] and "```json" in answers[0]
     assert G._is_timeout(RuntimeError("Request timed out.")) and not G._is_timeout(ValueError("x"))
@@ -186,3 +187,26 @@ def test_extract_sql_is_linear_in_lines(spark):
         return time.time() - t0
     took(10)
     assert took(20_000) < 20 * max(took(2_000), 0.2)
+
+
+def test_slices_only_where_a_group_is_large(spark):
+    from pyspark.sql import functions as F
+    from sqlmill.operators import ordering
+    rows = spark.range(1000).select((F.col("id") % 10).alias("g"), F.col("id").alias("x"))
+    assert ordering.slice_bounds(rows, ["g"], ["x"], rows=100) == []
+    hot = rows.unionByName(spark.range(400).select(F.lit(3).cast("long").alias("g"), (F.col("id") * 3 + 5000).alias("x")))
+    bounds = ordering.slice_bounds(hot, ["g"], ["x"], rows=100)
+    assert len(bounds) > 5
+    a = ordering.positions_within(hot, ["g"], ["x"], rows=100).collect()
+    b = ordering.positions_within(hot, ["g"], ["x"], rows=100_000).collect()
+    assert sorted(a) == sorted(b)
+
+
+def test_neighbours_equal_the_joined_pairs(spark):
+    from pyspark.sql import functions as F
+    from sqlmill.operators import evaluation as ev
+    docs = spark.createDataFrame([(1, "a b c"), (2, "b c d"), (3, ""), (4, None), (5, "x y"), (6, "X"), (9, "z"), (None, "b")], "doc_id long, text string")
+    docs = docs.withColumn("run_id", F.lit("r"))
+    nxt = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("reference"))
+    joined = docs.join(nxt, "doc_id").withColumnRenamed("text", "prediction")
+    assert ev.neighbour_f1(docs, "doc_id").collect() == ev.avg_token_f1(joined).collect()
