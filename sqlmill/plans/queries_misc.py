@@ -16,8 +16,8 @@ from ..operators import training as TR
 from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources import files as S
-from ..sources import fixtures
-from .oracle_base import D1, D6, blank, q, strip
+from ..sources import fixtures, ordered
+from .oracle_base import D1, D6, PAIRS, blank, q, strip
 from .queries_eval import TEXT_METRICS
 from .queries_gen import render_sql
 from .queries_text import SHAREGPT_SQL, conversation_pairs
@@ -65,6 +65,48 @@ def q_scan_json_array(spark, sf_dir):
     return parse.parse_alpaca(S.scan_json_array(spark, path, schema))
 
 
+@register("scan_large_json_array", f"""with {D1} select sample_id as ord, input as instruction, input, output from d1""")
+def q_scan_large_json_array(spark, sf_dir):
+    """All samples as one JSON array in one file, read back by byte ranges."""
+    d = _d1(spark, sf_dir).select(F.col("sample_id").alias("ord"), F.col("input").alias("instruction"), "input", "output")
+    path = scratch_path(spark, "array")
+    S.write_json_arrays(d.coalesce(1), path, rows_per_file=1 << 40)
+    schema = T.StructType([T.StructField("ord", T.LongType())] + ALPACA_SCHEMA.fields)
+    return ordered.scan_large_json_array(spark, path, schema)
+
+
+def _in_order(rows, order, path):
+    W.write_in_order(rows, path, order)
+    return path
+
+
+@register("first_n_file_order", f"""with {D1} select row_number() over (order by ord) - 1 as ord, input, output from d1
+ order by d1.ord limit 1000""")
+def q_first_n_file_order(spark, sf_dir):
+    """Samples exported in order (K1) to several files; the first 1000 in file order."""
+    d = _d1(spark, sf_dir).select(F.col("ord").alias("_o"), "input", "output")
+    path = _in_order(d, "_o", scratch_path(spark, "ordered"))
+    return ordered.first_n_in_file_order(spark, path, "input string, output string", 1000)
+
+
+@register("export_in_order", f"""with {D1} select row_number() over (order by ord) - 1 as ord, input, output from d1""")
+def q_export_in_order(spark, sf_dir):
+    """K1 in generation order: every sample's place in the files, read in file order."""
+    d = _d1(spark, sf_dir).select(F.col("ord").alias("_o"), "input", "output")
+    path = _in_order(d, "_o", scratch_path(spark, "ordered"))
+    return S.with_file_order(S.scan_jsonl(spark, path, "input string, output string"))
+
+
+@register("zip_sources", f"""with {PAIRS} select row_number() over (order by ord) - 1 as ord, prediction, reference from pairs""")
+def q_zip_sources(spark, sf_dir):
+    """J1 without keys: predictions and references in files that are split differently, put side by side."""
+    p = fixtures.prediction_pairs(spark, sf_dir)
+    left = _in_order(p.select("ord", "prediction"), "ord", scratch_path(spark, "predictions"))
+    right = scratch_path(spark, "references")
+    W.write_in_order(p.select("ord", "reference"), right, "ord", parts=3)
+    return ordered.zip_in_file_order(S.scan_jsonl(spark, left, "prediction string"), S.scan_jsonl(spark, right, "reference string"))
+
+
 @register("write_samples", f"with {D1} select db_id, input, output from d1")
 def q_write_samples(spark, sf_dir):
     path = scratch_path(spark, "samples")
