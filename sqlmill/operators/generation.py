@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -29,10 +31,24 @@ def _is_timeout(e: Exception) -> bool:
     return isinstance(e, TimeoutError) or any(w in str(e).lower() for w in ("timeout", "timed out"))
 
 
-def _limited(fn: ModelFn, prompts: list, limit_s: float | None) -> list:
-    """``fn(prompts)`` with an optional time limit."""
+#: Call slots of this worker process, by their number.  They outlive a task: a call that ran out
+#: of time keeps its slot until it really ends.
+_SLOTS: dict[int, threading.Semaphore] = {}
+
+
+def _slots(n: int) -> threading.Semaphore:
+    return _SLOTS.setdefault(n, threading.Semaphore(n))
+
+
+def _limited(fn: ModelFn, prompts: list, limit_s: float | None, slots: threading.Semaphore | None = None) -> list:
+    """``fn(prompts)`` in one of the ``slots``, with an optional time limit.  Python cannot end a
+    running call, so a call beyond the limit holds its slot on and the next one waits for it."""
+    slots = slots or threading.Semaphore(1)
     if not limit_s:
-        return list(fn(prompts))
+        with slots:
+            return list(fn(prompts))
+    if not slots.acquire(timeout=limit_s):
+        raise TimeoutError(f"no call slot was free for {limit_s} s: earlier calls timed out and still run")
     box: dict = {}
 
     def run():
@@ -40,18 +56,20 @@ def _limited(fn: ModelFn, prompts: list, limit_s: float | None) -> list:
             box["out"] = list(fn(prompts))
         except Exception as e:  # noqa: BLE001 - handed to the caller
             box["error"] = e
+        finally:
+            slots.release()
     thread = threading.Thread(target=run, daemon=True)
     thread.start()
     thread.join(limit_s)
-    if thread.is_alive():
-        raise TimeoutError(f"model call timed out after {limit_s} s")
     if "error" in box:
         raise box["error"]
-    return box["out"]
+    if "out" in box:
+        return box["out"]
+    raise TimeoutError(f"model call timed out after {limit_s} s")
 
 
 def _call_with_retries(fn: ModelFn, prompts: list, max_retries: int, base_wait: float, accept=None,
-                       limit_s: float | None = None):
+                       limit_s: float | None = None, slots: threading.Semaphore | None = None):
     """One batch: (responses, errors, attempts), one of each per prompt.
 
     Every prompt has ``max_retries`` tries.  The batch is sent whole once; rows
@@ -68,7 +86,7 @@ def _call_with_retries(fn: ModelFn, prompts: list, max_retries: int, base_wait:
         for i in rows:
             tries[i] += 1
         try:
-            out = _limited(fn, [prompts[i] for i in rows], limit_s)
+            out = _limited(fn, [prompts[i] for i in rows], limit_s, slots)
             if len(out) != len(rows):
                 raise ValueError(f"model returned {len(out)} answers for {len(rows)} prompts")
         except Exception as e:  # noqa: BLE001 - the model is user code
@@ -123,14 +141,16 @@ def must_be_json(answer) -> None:
 
 def batch_inference(df: DataFrame, fn: ModelFn, prompt="prompt", keys=("id",), concurrency: int | None = None,
                     batch_size: int = 8, max_retries: int = 3, base_wait: float = 1.0, accept=None,
-                    limit_s: float | None = None) -> DataFrame:
+                    limit_s: float | None = None, window: int = 1) -> DataFrame:
     """G1: (keys…, response, error, attempts) for every prompt row.
 
-    Tasks call the model one batch at a time, so at most as many calls run at
-    once as tasks do.  ``concurrency`` bounds them further by gathering the
-    prompts into that many partitions; left out, the input's partitioning
-    stays.  ``accept(answer)`` may raise to have an answer tried again;
-    ``limit_s`` bounds one call.  Model output is not repeatable, so persist
+    A task has ``window`` calls in flight at most, one batch each, and returns
+    their answers in the order of its rows.  ``concurrency`` bounds the calls
+    of the whole job, however many partitions the prompts have: they are dealt
+    to ``concurrency // window`` tasks (so ``window`` is at most that bound);
+    left out, the input's partitioning stays.  ``accept(answer)`` may raise to
+    have an answer tried again; ``limit_s`` bounds the wait for one call, which
+    counts as in flight until it ends.  Model output is not repeatable, so persist
     the result (``sqlmill.session.persist_once``) before using it twice."""
     keys = list(keys)
     schema = T.StructType(
@@ -138,20 +158,30 @@ def batch_inference(df: DataFrame, fn: ModelFn, prompt="prompt", keys=("id",), c
         + [T.StructField("response", T.StringType()), T.StructField("error", T.StringType()),
            T.StructField("attempts", T.IntegerType())])
 
+    if window < 1 or (concurrency and window > concurrency):
+        raise ValueError(f"window must lie between 1 and concurrency, not {window}")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for s in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[s:s + batch_size]
-                res, errs, att = _call_with_retries(fn, chunk[prompt].tolist(), max_retries, base_wait, accept, limit_s)
-                out = chunk[keys].copy()
-                out["response"] = res
-                out["error"] = errs
-                out["attempts"] = att
-                yield out
+        slots = _slots(window)
+
+        def answered(chunk: pd.DataFrame) -> pd.DataFrame:
+            out = chunk[keys].copy()
+            out["response"], out["error"], out["attempts"] = _call_with_retries(
+                fn, chunk[prompt].tolist(), max_retries, base_wait, accept, limit_s, slots)
+            return out
+        chunks = (pdf.iloc[s:s + batch_size] for pdf in batches for s in range(0, len(pdf), batch_size))
+        with ThreadPoolExecutor(window) as pool:
+            waiting: deque = deque()
+            for chunk in chunks:
+                if len(waiting) == window:
+                    yield waiting.popleft().result()
+                waiting.append(pool.submit(answered, chunk))
+            while waiting:
+                yield waiting.popleft().result()
 
     ship_package(df.sparkSession)
     rows = df.select(*keys, prompt)
-    return (rows.repartition(concurrency) if concurrency else rows).mapInPandas(run, schema)
+    return (rows.repartition(concurrency // window) if concurrency else rows).mapInPandas(run, schema)
 
 
 def parse_samples(responses: DataFrame, keys=("topic_id",), response="response"):

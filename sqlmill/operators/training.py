@@ -81,8 +81,7 @@ def early_stopping(history: DataFrame, patience: int = 3, run="run_id", epoch="e
     than ``min_delta``; training stops at the first epoch that ends ``patience``
     consecutive non-improving epochs.  With ``min_delta`` above 0 the best loss
     is that of the last improving epoch, which depends on the order of all
-    earlier ones: those runs' histories are folded one by one in order, in
-    Python, one run per group (a run's epochs, not the table, bound it).
+    earlier ones (``_early_stopping_delta``).
 
     (run_id, stop_epoch [NULL = never], epochs_run, best_loss, best_epoch).
     Running minimum and "last improvement" are skew-safe running aggregates
@@ -108,21 +107,63 @@ def early_stopping(history: DataFrame, patience: int = 3, run="run_id", epoch="e
                     best["b"].alias("best_loss"), best["e"].alias("best_epoch"))
 
 
+#: Epochs of one slice of a run.
+SLICE_EPOCHS = 1 << 16
+
+
 def _early_stopping_delta(history: DataFrame, patience: int, run: str, epoch: str, loss: str, min_delta: float) -> DataFrame:
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        best, best_epoch, waited, stop, last = None, None, 0, None, None
-        for e, x in rows.sort_values(epoch)[[epoch, loss]].itertuples(index=False):
-            last = e
-            if best is None or x < best - min_delta:
-                best, best_epoch, waited = x, e, 0
-                continue
-            waited += 1
-            if waited >= patience:
-                stop = e
-                break
-        return pd.DataFrame({run: [rows[run].iloc[0]], "stop_epoch": pd.array([stop], "Int64"), "epochs_run": [last],
-                             "best_loss": [best], "best_epoch": [best_epoch]})
+    """Early stopping as a chain of pointers instead of a fold over a run.
+
+    An improving epoch points to the next one, the first later epoch below its
+    loss by more than ``min_delta``; training goes on only if that is at most
+    ``patience`` epochs away.  So a chain enters a slice of the run in one of its
+    first ``patience`` epochs, whatever came before: every slice (with the next
+    ``patience`` epochs behind it) finds by pointer doubling where each of these
+    entries leaves it, and a run's slices, ``patience`` rows each, are chained."""
+    import numpy as np
+
+    from .ordering import positions_within
+    width = max(SLICE_EPOCHS, 2 * patience)
+    h = positions_within(history.select(run, epoch, loss), [run], [epoch], out="_pos").withColumn("_pos", F.col("_pos") - 1)
+    own, place = F.floor(F.col("_pos") / width), F.col("_pos") % width
+    h = h.withColumn("_slice", F.explode(F.when((own > 0) & (place < patience), F.array(own, own - 1)).otherwise(F.array(own))))
     kinds = {f.name: f.dataType.simpleString() for f in history.schema.fields}
-    schema = (f"{run} {kinds[run]}, stop_epoch {kinds[epoch]}, epochs_run {kinds[epoch]}, best_loss {kinds[loss]}, "
-              f"best_epoch {kinds[epoch]}")
-    return history.select(run, epoch, loss).groupBy(run).applyInPandas(fold, schema)
+
+    def slice_ends(rows: pd.DataFrame) -> pd.DataFrame:
+        """Per entry: the entry of the next slice it leads to (NULL: none), or where training stops and with what."""
+        rows = rows.sort_values("_pos")
+        first = int(rows["_slice"].iloc[0]) * width
+        x, e = rows[loss].to_numpy(float), rows[epoch].to_numpy()
+        n, inside = len(rows), int((rows["_pos"] < first + width).sum())
+        to = np.arange(n)
+        for k in range(min(patience, n - 1), 0, -1):  # the nearest one is written last
+            at = np.arange(n - k)
+            better = x[at + k] < x[at] - min_delta
+            to[at[better]] = at[better] + k
+        to[inside:] = np.arange(inside, n)
+        while True:
+            further = to[to]
+            if (further == to).all():
+                break
+            to = further
+        out = []
+        for entry in range(min(patience, inside) if first else 1):
+            t = int(to[entry])
+            stops = t < inside and t + patience < n
+            out.append((rows[run].iloc[0], first // width, entry, t - inside if t >= inside else None, e[t + patience] if stops else None,
+                        e[t + patience] if stops else e[-1], x[t], e[t]))
+        return pd.DataFrame(out, columns=[run, "_slice", "_entry", "_exit", "stop_epoch", "epochs_run", "best_loss", "best_epoch"]).astype(
+            {"_exit": "Int64", "stop_epoch": "Int64"})
+
+    result = (f"stop_epoch {kinds[epoch]}, epochs_run {kinds[epoch]}, best_loss {kinds[loss]}, best_epoch {kinds[epoch]}")
+    ends = h.groupBy(run, "_slice").applyInPandas(slice_ends, f"{run} {kinds[run]}, _slice long, _entry int, _exit int, {result}")
+
+    def chain(rows: pd.DataFrame) -> pd.DataFrame:
+        steps = {(s, i): k for k, (s, i) in enumerate(zip(rows["_slice"], rows["_entry"]))}
+        s, i = 0, 0
+        while True:
+            row = rows.iloc[[steps[s, i]]]
+            if row["_exit"].isna().iloc[0]:
+                return row[[run, "stop_epoch", "epochs_run", "best_loss", "best_epoch"]].astype({"stop_epoch": "Int64"})
+            s, i = s + 1, int(row["_exit"].iloc[0])
+    return ends.groupBy(run).applyInPandas(chain, f"{run} {kinds[run]}, {result}")
