@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,15 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_LIMIT else df
 
 
+def tidy() -> None:
+    """Hands memory that a task has freed back to the system: Python workers outlive their tasks and
+    would hold the most that any of them needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc only
+        trim(0)
+
+
 def python_ready(spark: SparkSession) -> None:
     """Executors can import this package."""
     ship_package(spark)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import repeated as R
 from .bpe import Memo
-from .common import python_ready, small_side, stored
+from .common import python_ready, small_side, stored, tidy
 from .components import components
 
 WORDS = 5
@@ -54,7 +54,7 @@ VERIFY = 8
 #: Pairs verified in one group.
 GROUP_PAIRS = 2000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_word = Memo(xxhash.xxh3_64_intdigest, 500_000).__getitem__
+_word = Memo(xxhash.xxh3_64_intdigest, 100_000).__getitem__
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -95,6 +95,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([len(t) for t in tokens] + n.tolist(), pa.int64()),
                  pa.array(keys + [None] * len(common), pa.binary()),
                  pa.array([None] * rows + common.view(np.int64).tolist(), pa.int64())], ["doc_id", "n", "key", "token"])
+    tidy()
 
 
 def matches(counts: np.ndarray, n: int, unique: int) -> int:
@@ -148,6 +149,8 @@ def _verified(key, pairs: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         both = len(mine) + len(theirs) - len(np.unique(np.concatenate([mine, theirs])))
         union = p.n + n - both
         out.append((p.a, p.b, 1.0 - both / union, DENOMINATOR * both >= NUMERATOR * union))
+    sets.clear()
+    tidy()
     return pd.DataFrame(out, columns=["a", "b", "distance", "linked"])
 
 

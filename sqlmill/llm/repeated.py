@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: A token is heavy from this share of documents on, 1 / HEAVY, and this number of them.
 HEAVY, FLOOR = 512, 20_000
 #: Documents of one batch.
@@ -143,6 +145,7 @@ def _entries(tokens_of: Tokens, heavy, buckets: int, parts: int, sizes: bool, wi
                 rows.append((b, row(ENTRY, b, ids, short(every[at], width), named.tobytes())))
             plain = record([r for _, r in rows])
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *plain.columns], ["bucket", *_NAMES])
+        tidy()
     return run
 
 
@@ -178,6 +181,8 @@ def _found(parts: int, width: int, back: int):
             for p in np.flatnonzero(np.diff(ends)):
                 at = order[ends[p]:ends[p + 1]]
                 out.append(row(FOUND, p, docs[at].tobytes(), short(tokens[at], back), counts[at].tobytes() if back == 8 else b""))
+            del tokens, docs, counts, part, order
+        tidy()
         return frame(out)
     return run
 

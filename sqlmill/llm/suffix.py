@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import repeated as R
-from .common import python_ready, stored
+from .common import python_ready, stored, tidy
 
 LENGTH = 50
 GRAM = 24
@@ -246,6 +246,7 @@ def _texts(parts: int):
                 rows.append(R.row(TEXT, p, docs[own].tobytes(), pack(b"".join(data)),
                                   np.array([len(d) for d in data], np.int64).tobytes()))
             yield R.record(rows)
+        tidy()
     return run
 
 
@@ -329,6 +330,8 @@ def _pieces(heavy, buckets: int):
             rows.append((part % buckets, R.row(RANGE, part, np.array(ranges, np.int64).tobytes())))
         out = R.frame([r for _, r in rows])
         out.insert(0, "bucket", np.array([b for b, _ in rows], np.int32))
+        rows.clear()
+        tidy()
         return out
     return run
 
@@ -449,6 +452,8 @@ def _resolved(rows: pd.DataFrame) -> pd.DataFrame:
         found = np.stack([t["doc"][piece], start + first, start + end], 1)
         for p in np.unique(parts[piece]):
             out.append(R.row(RANGE, p, np.ascontiguousarray(found[parts[piece] == p]).tobytes()))
+        del pieces, piece, first, end, start, found
+    tidy()
     return R.frame(out)
 
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_ready
+from .common import python_ready, tidy
 
 #: Labelled documents of each label that the model is fitted on.
 SAMPLE = 1500
@@ -55,7 +55,7 @@ THRESHOLD = 0.3
 #: Least likelihood ratio by which a unit marks a sentence as toxic (the labels hold errors).
 EVIDENCE = 12.0
 #: Units a worker remembers the scores of.
-MEMO = 500_000
+MEMO = 150_000
 _OPEN, _SHUT = CODES - 2, CODES - 1
 _MARKS = re.compile(r"[\W_]+")
 _SPELLED = re.compile(r"(?<!\S)\w(?:\s\w){2,}(?!\S)")
@@ -356,6 +356,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.slice(k, 512)
                 found = shared.value.score(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
+        shared.value.memo.clear()
+        tidy()
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
 
 
@@ -370,4 +372,6 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
                 yield part.filter(pa.array(shared.value.score(part.column(at).to_pylist()) < threshold))
+        shared.value.memo.clear()
+        tidy()
     return docs.mapInArrow(run, docs.schema)
