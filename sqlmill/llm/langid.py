@@ -6,40 +6,43 @@ a forward pass computes; a text's is the product over its words.  The piece
 probabilities are fitted by expectation maximisation (forward-backward) on
 the whole texts of at most ``SAMPLE`` documents per language, taken by hash.
 
-Words are maximal runs of letters in lower case; runs over ``LONGEST`` letters
-are cut into several.  The language with the highest posterior (all languages
+Words are maximal runs of letters (Unicode category L) in lower case, of any
+length: in runs over ``LONGEST`` letters the forward pass goes letter by letter
+in logarithms and carries only the values that a piece can still reach back to.
+The language with the highest posterior (all languages
 alike beforehand) wins, ties to the smaller name; its posterior is the score.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, as
 is every text when no language could be learned; rows with a null language or
-text teach nothing; ids may be null or repeat; an empty table gives no rows.
+text teach nothing, nor do rows without an id; ids may repeat, each row is
+scored by itself; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import python_ready
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Documents per language that the model is fitted on.
 SAMPLE = 400
+#: Words over this many letters are scored one by one, letter by letter.
 LONGEST = 40
 ROUNDS = 4
 #: Added to each piece's expected count.
 PRIOR = 0.01
 #: Pieces of text a worker remembers the scores of.
 MEMO = 400_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -52,16 +55,12 @@ def vocabulary(path: str) -> list[str]:
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if re.fullmatch(r"▁?[^\W\d_]*", p) and p)
+    return sorted(p for p in pieces if regex.fullmatch(r"▁?\p{L}*", p) and p)
 
 
 def words_of(text: str) -> list[str]:
-    """Words with the mark that begins them; long ones in several parts."""
-    out = []
-    for w in _LETTERS.findall(text.lower()):
-        w = "▁" + w
-        out += [w] if len(w) <= LONGEST else [w[i:i + LONGEST] for i in range(0, len(w), LONGEST)]
-    return out
+    """Words with the mark that begins them."""
+    return ["▁" + w for w in _LETTERS.findall(text.lower())]
 
 
 @dataclass
@@ -107,14 +106,63 @@ class Model:
         ends = alpha[[len(w) for w in words], np.arange(len(words))]
         return alpha, ends
 
+    def starting(self, word: str, i: int) -> list[tuple[int, int]]:
+        """Length and row of every piece that starts at letter ``i``."""
+        n = len(self.pieces)
+        found = [(1, self.index.get(word[i], n))]
+        for j in range(i + 2, len(word) + 1):
+            p = self.index.get(word[i:j])
+            if p is None:
+                break
+            if p >= 0:
+                found.append((j - i, p))
+        return found
+
+    def logs(self) -> np.ndarray:
+        with np.errstate(divide="ignore"):
+            return np.log(self.probability)
+
+    def long_score(self, word: str, logs: np.ndarray) -> np.ndarray:
+        """Log probability of one word of any length; only the next ``longest`` forward values are held."""
+        none = np.full(len(self.languages), -np.inf)
+        ahead = deque([np.zeros(len(self.languages))] + [none] * self.longest)
+        for i in range(len(word)):
+            here = ahead.popleft()
+            ahead.append(none)
+            for m, p in self.starting(word, i):
+                ahead[m - 1] = np.logaddexp(ahead[m - 1], here + logs[p])
+        return ahead[0]
+
+    def long_counts(self, word: str, logs: np.ndarray, times: np.ndarray, expected: np.ndarray) -> None:
+        """Adds the expected uses of each piece in one word, ``times`` of it by language (forward-backward)."""
+        n, found = len(word), [self.starting(word, i) for i in range(len(word))]
+        alpha = np.full((n + 1, len(self.languages)), -np.inf)
+        beta = alpha.copy()
+        alpha[0] = beta[n] = 0
+        for i in range(n):
+            for m, p in found[i]:
+                alpha[i + m] = np.logaddexp(alpha[i + m], alpha[i] + logs[p])
+        for i in range(n - 1, -1, -1):
+            for m, p in found[i]:
+                beta[i] = np.logaddexp(beta[i], logs[p] + beta[i + m])
+        used = times > 0
+        for i in range(n):
+            for m, p in found[i]:
+                expected[p, used] += times[used] * np.exp(alpha[i, used] + logs[p, used] + beta[i + m, used] - alpha[n, used])
+
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
         out = np.zeros((len(words), len(self.languages)))
-        order = sorted(range(len(words)), key=lambda k: len(words[k]))
+        order = sorted((k for k in range(len(words)) if len(words[k]) <= LONGEST), key=lambda k: len(words[k]))
         for k in range(0, len(order), 4096):
             own = order[k:k + 4096]
             part = [words[i] for i in own]
             out[own] = np.log(np.maximum(self.forward(part, self.lattice(part))[1], 1e-300))
+        if len(order) < len(words):
+            logs = self.logs()
+            for k, w in enumerate(words):
+                if len(w) > LONGEST:
+                    out[k] = self.long_score(w, logs)
         return out
 
 
@@ -129,7 +177,8 @@ def fit(counts: dict[tuple[str, str], int], pieces: list[str], rounds: int = ROU
     rows = len(pieces) + 2
     model = Model(languages, pieces, np.full((rows, len(languages)), 1 / rows))
     model.probability[-1] = 0
-    parts = [range(k, min(k + 8192, len(words))) for k in range(0, len(words), 8192)]
+    short = sum(len(w) <= LONGEST for w in words)  # words go by their length
+    parts = [range(k, min(k + 8192, short)) for k in range(0, short, 8192)]
     lattices = [model.lattice([words[i] for i in p]) for p in parts]
     for _ in range(rounds):
         expected = np.zeros((rows, len(languages)))
@@ -146,6 +195,9 @@ def fit(counts: dict[tuple[str, str], int], pieces: list[str], rounds: int = ROU
                     use = alpha[i] * p * beta[i + m + 1] * share
                     for c in range(len(languages)):
                         expected[:, c] += np.bincount(at[:, i, m], use[:, c], rows)
+        logs = model.logs()
+        for k in range(short, len(words)):
+            model.long_counts(words[k], logs, n[k], expected)
         expected[-1] = 0
         expected[:-1] += PRIOR
         model.probability = expected / expected.sum(0)
@@ -165,9 +217,13 @@ def train(docs: DataFrame, teaches: Column, sample: int = SAMPLE, vocab_path: st
     """A model from rows where ``teaches`` holds."""
     python_ready(docs.sparkSession)
     usable = docs.filter(teaches & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    by_hash = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= sample)
-    texts = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    # the least hashes of each language: one limited ordering each, so that no language meets in one task
+    languages = [r["lang"] for r in usable.select("lang").distinct().orderBy("lang").collect()]
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = usable.select("doc_id").limit(0)
+    for lang in languages:
+        chosen = chosen.unionByName(usable.filter(F.col("lang") == lang).select("doc_id").orderBy(*by_hash).limit(sample))
+    texts = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
     counts = texts.select("lang", "text").mapInArrow(_count, "lang string, word string, n long")
     rows = counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
     return fit({(r["lang"], r["word"]): r["n"] for r in rows}, vocabulary(vocab_path or vocabulary_path()))
