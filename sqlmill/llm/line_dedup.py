@@ -1,7 +1,7 @@
 """Line dedup with overlapping three-line windows.
 
-Lines are the parts of a text between ``\\n``.  Every three consecutive lines
-that are not all blank form a window, identified by a 128-bit hash.  Of equal
+Lines are the parts of a text between ``\\n``.  Every three consecutive lines,
+blank ones included, form a window, identified by a 128-bit hash.  Of equal
 windows in the whole corpus the first by (doc_id, position) stays; the lines
 that later occurrences cover are removed, overlapping ones merged into spans.
 
@@ -9,10 +9,12 @@ Plan: windows are exploded once and written; the first occurrence per hash is
 a partial aggregate, so a window in a third of all documents sends one row per
 task; a shuffled join (split by AQE where skewed) marks later occurrences.
 
-Edge cases: a null text counts as empty (one empty line); texts under three
-lines have no window; rows without an id stay whole and remove nothing; rows
-that repeat an id count as one document, and each loses lines of its own text
-only; further columns are left alone.
+Edge cases: a null text counts as empty (one empty line, and ``''`` as text);
+texts under three lines have no window; rows without an id stay whole and remove
+nothing; rows that repeat an id count as one document, and each loses lines of
+its own text only; an empty table gives no rows; further columns come along,
+whatever their names.  A text's lines are an array of its row, so a very long
+text is bounded by the row itself.
 """
 
 from __future__ import annotations
@@ -26,8 +28,7 @@ _HASHED = """
 transform(sequence(0, size(lines) - 3), i -> struct(
     i as pos,
     xxhash64(lines[i], lines[i + 1], lines[i + 2]) as h1,
-    xxhash64('second', lines[i], lines[i + 1], lines[i + 2]) as h2,
-    trim(concat(lines[i], lines[i + 1], lines[i + 2])) = '' as blank))
+    xxhash64('second', lines[i], lines[i + 1], lines[i + 2]) as h2))
 """
 #: Lines before the first covered span, between spans, and after the last one.
 _KEPT = """
@@ -42,7 +43,7 @@ def windows(docs: DataFrame) -> DataFrame:
     """``doc_id, key, pos, h1, h2`` of each window; ``key`` tells the texts of an id apart."""
     lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("key"), F.split("text", "\n").alias("lines"))
     lines = lines.filter(F.size("lines") >= 3)
-    return lines.select("doc_id", "key", F.inline(F.expr(_HASHED))).filter("not blank").drop("blank")
+    return lines.select("doc_id", "key", F.inline(F.expr(_HASHED)))
 
 
 def covered_lines(docs: DataFrame) -> DataFrame:
@@ -59,14 +60,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` reduced to the kept lines, plus ``n_lines,
     n_removed, n_spans`` (which replace columns of these names)."""
     cov = covered_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_cov_id"), F.col("key").alias("_cov_key"), F.col("cov").alias("_cov"))
-    same = (docs["doc_id"] == cov["_cov_id"]) & (F.xxhash64(docs["text"]) == cov["_cov_key"])
-    out = docs.join(cov, same, "left").drop("_cov_id", "_cov_key")
-    out = out.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    out = out.withColumn("_cov", F.coalesce("_cov", F.array().cast("array<int>")))
+    # the row travels as one struct, so that no column of it can clash with a helper
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    text = F.coalesce("_row.text", F.lit(""))
+    same = (F.col("_row.doc_id") == F.col("_cov_id")) & (F.xxhash64("_row.text") == F.col("_cov_key"))
+    out = rows.join(cov, same, "left").select("_row", F.split(text, "\n").alias("_lines"), F.coalesce("_cov", F.array().cast("array<int>")).alias("_cov"))
     out = (out.withColumn("_first", F.expr("filter(_cov, (x, i) -> i = 0 or _cov[i - 1] < x - 1)"))
            .withColumn("_last", F.expr("filter(_cov, (x, i) -> i = size(_cov) - 1 or _cov[i + 1] > x + 1)")))
-    return (out.withColumn("n_lines", F.size("_lines").cast("long"))
-            .withColumn("n_removed", F.size("_cov").cast("long"))
-            .withColumn("n_spans", F.size("_first").cast("long"))
-            .withColumn("text", F.when(F.size("_cov") == 0, F.col("text")).otherwise(F.array_join(F.expr(_KEPT), "\n")))
-            .drop("_lines", "_cov", "_first", "_last"))
+    made = {"n_lines": F.size("_lines").cast("long"), "n_removed": F.size("_cov").cast("long"), "n_spans": F.size("_first").cast("long"),
+            "text": F.when(F.size("_cov") == 0, text).otherwise(F.array_join(F.expr(_KEPT), "\n"))}
+    kept = [made[c].alias(c) if c in made else F.col("_row")[c].alias(c) for c in docs.columns]
+    return out.select(*kept, *[v.alias(c) for c, v in made.items() if c not in docs.columns])

@@ -23,8 +23,7 @@ def register(name: str, oracle: str | None = None):
 @register("op1_line_dedup", oracle="""
 with l as (select doc_id, text, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 w as (select doc_id, unnest(range(0, len(lines) - 2)) as pos, lines from l where len(lines) >= 3),
-h as (select doc_id, pos, [lines[pos + 1], lines[pos + 2], lines[pos + 3]] as win from w
-      where trim(lines[pos + 1] || lines[pos + 2] || lines[pos + 3], ' ') <> ''),
+h as (select doc_id, pos, [lines[pos + 1], lines[pos + 2], lines[pos + 3]] as win from w),
 o as (select doc_id, pos, row_number() over (partition by win order by doc_id, pos) as rn from h),
 c as (select distinct doc_id, pos + unnest([0, 1, 2]) as j from o where rn > 1),
 e as (select doc_id, unnest(range(0, len(lines))) as j, lines from l),
