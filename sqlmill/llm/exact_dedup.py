@@ -14,7 +14,7 @@ are read again for the byte comparison, and they are pre-aggregated by
 Edge cases: a null text counts as empty, empty texts form one group, rows that
 repeat an id with the same text are copies of each other (all of them carry
 ``kept`` of that id; ``drop_copies`` leaves one), an empty table gives an empty result, further columns
-are ignored here.
+are ignored here (``drop_copies`` returns them whatever their names); a very long text is one value of its row.
 """
 
 from __future__ import annotations
@@ -75,6 +75,8 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, one row per group of equal texts."""
     kept = dedup_rows(docs, id_col, text_col).filter("kept").select("doc_id", "text_sha256").distinct()
-    marked = docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
-    same = marked[id_col].eqNullSafe(kept["doc_id"]) & (marked["_sha"] == kept["text_sha256"])
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, "_sha"]).drop("_sha")
+    # the row travels as one struct, so that no column of it can clash with a helper
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.sha2(normalised(F.col(text_col)), 256).alias("_key"))
+    rows = rows.withColumn("_id", F.col("_row")[id_col])
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_sha256"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["_id", "_key"]).select("_row.*")

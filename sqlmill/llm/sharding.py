@@ -14,7 +14,9 @@ literal table of that bounded size.  A shard's order is cut into ``CELLS``
 ranges of its random key, so that slots are numbered in 16 * 1024 pieces.
 
 Edge cases: null ids and texts are rows like others, repeated rows each get a
-slot, an empty table gives no rows, fewer rows than shards leave shards empty.
+slot, an empty table gives no rows, fewer rows than shards leave shards empty;
+texts of any length travel once; further columns come along whatever their
+names, but columns named ``shard`` and ``slot`` are replaced.
 """
 
 from __future__ import annotations
@@ -90,6 +92,9 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> list[list
 def shuffle_to_shards(rows: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
     """``rows`` with all columns plus ``shard`` and ``slot`` (gapless from 0)."""
     spark = rows.sparkSession
+    # the row travels as one struct, so that no column of it can clash with a helper
+    names = [c for c in rows.columns if c not in ("shard", "slot")]
+    rows = rows.select(F.struct(F.lit(0).alias("_"), *[F.col(c) for c in names]).alias("_row"))
     at = stored(rows.withColumn("_p", F.expr(f"spark_partition_id() % {PARTITIONS}"))
                 .withColumn("_n", F.monotonically_increasing_id())
                 .withColumn("_k1", F.xxhash64(F.lit(seed), F.col("_n")))
@@ -109,8 +114,7 @@ def shuffle_to_shards(rows: DataFrame, shards: int = 16, seed: int = 7) -> DataF
     offsets = sizes.select("shard", "_cell", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     inside = W.partitionBy("shard", "_cell").orderBy("_k2", "_n")
     return (sent.withColumn("_rn", F.row_number().over(inside)).join(F.broadcast(offsets), ["shard", "_cell"])
-            .withColumn("slot", (F.col("_offset") + F.col("_rn") - 1).cast("long"))
-            .drop("_p", "_n", "_k1", "_k2", "_cell", "_rn", "_offset"))
+            .select(*[F.col("_row")[c].alias(c) for c in names], "shard", (F.col("_offset") + F.col("_rn") - 1).cast("long").alias("slot")))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = 7) -> None:

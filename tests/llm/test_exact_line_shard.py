@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from llm_helpers import by_id, make  # noqa: F401
-from sqlmill.llm import exact_dedup, line_dedup, sharding
+from sqlmill.llm import exact_dedup, line_dedup, queries, sharding
 
 ROWS = [(1, "a b"), (2, "ab"), (3, "a\tb "), (4, None), (5, ""), (6, " \n"), (7, "x" * 300_000), (8, "x" * 300_000), (9, "é é")]
 
@@ -37,9 +37,39 @@ def test_lines_remove_later_windows(make):
     assert out[1] == (text, 0, 0)
     assert out[2] == ("z\ny", 3, 1)
     assert out[3] == ("", 3, 1)
-    assert out[4] == (None, 0, 0) and out[5] == ("", 0, 0)
+    assert out[4] == ("", 0, 0) and out[5] == ("", 0, 0)
     assert out[None] == (text, 0, 0)
-    assert out[6][1] == 0  # blank windows are no windows
+    assert out[6] == ("", 6, 1)  # seven blank lines: four later windows cover all but the first line
+
+
+def test_columns_that_clash_come_along(make):
+    docs = make([(1, "a\nb\nc"), (2, "a\nb\nc\nd"), (3, None)])
+    for name in ("_lines", "_cov", "_row", "key", "pos", "h1"):
+        docs = docs.withColumn(name, F.lit(name))
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns + ["n_lines", "n_removed", "n_spans"]
+    assert all(r[c] == c for r in out.collect() for c in docs.columns[5:])
+    odd = docs
+    for name in ("_p", "_n", "_k1", "_k2", "_cell", "_rn", "_offset", "shard"):
+        odd = odd.withColumn(name, F.lit(name))
+    shards = sharding.shuffle_to_shards(odd)
+    assert shards.columns == [c for c in odd.columns if c != "shard"] + ["shard", "slot"]
+    assert all(r["_p"] == "_p" and r["shard"] in range(16) for r in shards.collect())
+    assert exact_dedup.drop_copies(make([(1, "a")]).withColumn("_sha", F.lit("mine"))).first()["_sha"] == "mine"
+
+
+def test_shard_query_holds_its_contract(spark):
+    import zlib
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = queries.op6_sharding(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        data = (docs[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 1, zlib.crc32(data), "rows", None)
+    counts = Counter(r["shard"] for r in rows)
+    assert set(counts) == set(range(16)) and max(counts.values()) - min(counts.values()) <= 1
+    for s in counts:
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(counts[s]))
 
 
 def test_lines_merge_overlapping_windows_and_long_texts(make):

@@ -28,6 +28,39 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(np.exp(model.score([word])[0]), [every(word, 0), every(word, 1)])
 
 
+def test_long_words_equal_the_plain_forward_sum(monkeypatch):
+    pieces = ["▁a", "▁ab", "a", "ab", "abc", "b", "c", "▁"]
+    rng = np.random.default_rng(1)
+    model = langid.Model(["x", "y"], pieces, np.vstack([rng.random((9, 2)) / 3, [[0, 0]]]))
+    word = "▁" + "".join(rng.choice(list("abcz"), 10_000))
+    plain, scale = [np.ones(2)], np.zeros(2)  # the plain sum, kept in range
+    for end in range(1, len(word) + 1):
+        total = np.zeros(2)
+        for m in range(1, min(3, end) + 1):
+            p = pieces.index(word[end - m:end]) if word[end - m:end] in pieces else (8 if m == 1 else None)
+            if p is not None:
+                total += plain[-m] * model.probability[p]
+        plain.append(total)
+        scale += np.log(total)
+        plain = [x / total for x in plain[-4:]]
+    assert np.allclose(model.score([word])[0], scale + np.log(plain[-1]))
+    # both ways agree on words of any length, in scoring and in the fit
+    words = ["▁" + "".join(rng.choice(list("abcz"), n)) for n in (1, 5, 30, 60)]
+    counts = {("x", w): k + 1 for k, w in enumerate(words)} | {("y", w): 9 - k for k, w in enumerate(words)}
+    both = []
+    for longest in (3, 200):
+        monkeypatch.setattr(langid, "LONGEST", longest)
+        both.append((model.score(words), langid.fit(counts, pieces).probability))
+    assert np.allclose(both[0][0], both[1][0]) and np.allclose(both[0][1], both[1][1])
+
+
+def test_number_signs_are_no_letters(make):
+    docs = make([(i, "the cat and the dog " * 3, "en") for i in range(9)] + [(20 + i, "der Hund und die " * 3, "de") for i in range(9)])
+    model = langid.train(docs, F.lit(True))
+    out = by_id(langid.predict(make([(1, "½ ² ①"), (2, "Ⅷ"), (3, "½ the")]), model), "lang_pred", "score")
+    assert out[1] == out[2] == ("und", 0.0) and out[3][0] == "en"
+
+
 def test_language_of_held_out_documents(spark):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
     rows = queries.op7_language_id(spark, LARGER).collect()
