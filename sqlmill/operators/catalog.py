@@ -226,6 +226,15 @@ def cards_json(cards: DataFrame, db="db_id") -> DataFrame:
     return g.select(db, F.to_json(F.map_from_entries("t")).alias("cards_json"))
 
 
+def catalog_json(catalog: DataFrame, db="db_id") -> DataFrame:
+    """K6: per database, the catalog document {table: {columns, primary_keys, foreign_keys}}, tables by name."""
+    entry = F.struct("columns", "primary_keys", "foreign_keys")
+    by_name = lambda a, b: (F.when(a["table_name"] < b["table_name"], -1)
+                            .when(a["table_name"] > b["table_name"], 1).otherwise(0))
+    g = catalog.groupBy(db).agg(F.array_sort(F.collect_list(F.struct("table_name", entry.alias("entry"))), by_name).alias("t"))
+    return g.select(db, F.to_json(F.map_from_entries("t")).alias("catalog_json"))
+
+
 # ------------------------------------------------------------------ DDL
 
 def table_ddl(catalog: DataFrame, db="db_id") -> DataFrame:

@@ -102,3 +102,13 @@ def topic_targets(allocated: DataFrame, key=("plan_id", "ord")) -> DataFrame:
     """F8: per topic the integer target ``round_half_even(count)``; zero targets are skipped."""
     tgt = F.bround("count", 0).cast("bigint")
     return allocated.select(*key, tgt.alias("target")).where(F.col("target") != 0)
+
+
+def plan_json(valid: DataFrame, allocated: DataFrame, key="plan_id") -> DataFrame:
+    """K6: per plan, the plan document {"topics": [{name, tables, reason, count, dialect}]} with the allocated
+    counts (whole numbers, as the training targets are), topics in the plan's order."""
+    counts = allocated.select(key, "ord", F.bround("count", 0).cast("bigint").alias("_count"))
+    t = valid.join(counts, [key, "ord"])
+    topic = F.struct("name", "tables", "reason", F.col("_count").alias("count"), "dialect")
+    g = t.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("ord", topic.alias("topic")))).alias("_t"))
+    return g.select(key, F.to_json(F.struct(F.transform("_t", lambda x: x["topic"]).alias("topics"))).alias("plan_json"))

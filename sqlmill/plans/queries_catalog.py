@@ -158,3 +158,20 @@ from card group by db_id"""
 @register("cards_json", CARDS_JSON_SQL)
 def q_cards_json(spark, sf_dir):
     return cat.cards_json(cat.table_cards(assembled(spark, sf_dir)))
+
+
+CATALOG_JSON_SQL = BASE + """,
+ccols as (select db_id, table_name, list(struct_pack(name := column_name, type := data_type, column_type := column_type, nullable := is_nullable = 'YES',
+   key := column_key, comment := column_comment, position := ordinal_position) order by ordinal_position) as columns from catalog_columns group by all),
+cfk as (select db_id, table_name, map_from_entries(list(struct_pack(k := column_name, v := concat(ref_table, '.', ref_column)) order by column_name)) as fks
+  from catalog_fk group by all),
+centry as (select c.db_id, c.table_name, struct_pack(columns := c.columns, primary_keys := coalesce(pks.pkl, []::varchar[]),
+   foreign_keys := coalesce(cfk.fks, map_from_entries([]::struct(k varchar, v varchar)[]))) as entry
+  from ccols c left join pks using (db_id, table_name) left join cfk using (db_id, table_name))
+select db_id, to_json(map_from_entries(list(struct_pack(k := table_name, v := entry) order by table_name)))::varchar as catalog_json
+from centry group by db_id"""
+
+
+@register("catalog_json", CATALOG_JSON_SQL)
+def q_catalog_json(spark, sf_dir):
+    return cat.catalog_json(assembled(spark, sf_dir))

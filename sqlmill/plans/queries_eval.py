@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.sqltext import (FENCE_ANY_RE2, FENCE_SQL_RE2, extract_sql, limit_probe_sql,
                                  normalize_sql, select_gate)
 from ..operators import evaluation as ev
+from ..operators.execution import canonical_cell
 from ..sources import fixtures
 from ..sources.tables import table
 from .oracle_base import (D3, D5, KW_LIST, LEX_LIT, PAIRS, WS_RE, q, strip, tokens)
@@ -306,3 +307,23 @@ def q_eval_summary(spark, sf_dir):
     text = ev.text_metrics(fixtures.prediction_pairs(spark, sf_dir))
     d = details_df(spark, sf_dir).withColumn("run_id", F.col("query_id") % 20)
     return ev.eval_summary(text, ev.execution_rates(d))
+
+
+@register("compare_typed_cells", """
+select l_orderkey as query_id, l_orderkey % 3 <> 0 and bool_and(l_quantity = floor(l_quantity)) as rows_equal, count(*) as n_ref, count(*) as n_pred
+from lineitem group by l_orderkey""")
+def q_compare_typed_cells(spark, sf_dir):
+    """J10 on typed cells: each order's lines against the same values in other types (numbers are equal by
+    value across types, a date is never equal to its text, which every third order has)."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag", "l_shipdate")
+
+    def side(name: str, **columns):
+        typed = li.select(*[c.alias(n) for n, c in columns.items()])
+        cells = F.array(*[canonical_cell(F.col(f.name), f.dataType) for f in typed.schema.fields if f.name != "query_id"])
+        return typed.select("query_id", F.lit(name).alias("side"), F.lit(0).cast("bigint").alias("row_idx"), cells.alias("cells"))
+    key, day = F.col("l_orderkey"), F.col("l_shipdate").cast("date")
+    ref = side("ref", query_id=key, k=key, q=F.col("l_quantity"), f=F.col("l_returnflag"), d=day)
+    same = side("pred", query_id=key, k=key.cast("decimal(20,2)"), q=F.col("l_quantity").cast("int"), f=F.col("l_returnflag"), d=day)
+    text = side("pred", query_id=key, k=key.cast("double"), q=F.col("l_quantity").cast("decimal(10,1)"), f=F.col("l_returnflag"), d=day.cast("string"))
+    rows = ref.unionByName(same.where("query_id % 3 <> 0")).unionByName(text.where("query_id % 3 = 0"))
+    return ev.compare_results(rows, ordered=False)

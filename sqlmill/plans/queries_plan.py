@@ -123,3 +123,15 @@ def q_allocate_samples(spark, sf_dir):
 select plan_id, ord, round_even(count, 0)::bigint as target from final where round_even(count, 0) <> 0""")
 def q_topic_targets(spark, sf_dir):
     return P.topic_targets(allocation(spark, sf_dir))
+
+
+@register("plan_json", f"""with recursive {ALLOC},
+doc as (select final.plan_id, final.ord, struct_pack(name := d.name, tables := v.tables, reason := concat('r', cast(d.ord as varchar)),
+   count := round_even(final.count, 0)::bigint, dialect := 'mysql') as topic
+  from final join valid v using (plan_id, ord)
+  join (select plan_id, ord, name, row_number() over (partition by plan_id order by ord) - 1 as place from d4) d
+    on d.plan_id = final.plan_id and d.place = final.ord)
+select plan_id, concat('{{"topics":', to_json(list(topic order by ord))::varchar, '}}') as plan_json from doc group by plan_id""")
+def q_plan_json(spark, sf_dir):
+    r, v, _ = _valid(spark, sf_dir)
+    return P.plan_json(v, P.allocate_samples(v, r.select("plan_id", "total")))
