@@ -24,7 +24,6 @@ import struct
 import tempfile
 import unicodedata
 import uuid
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -82,25 +81,27 @@ class Vocabulary:
             self.merged.append(vocab[a + b])
         self.rank_of = self.rank.get
         self.none = len(self.merged)
+        #: Rank of each pair of bytes, the first of them times 256 more.
+        self.byte_rank = [self.rank_of(a << 20 | b, self.none) for a in self.first for b in self.first]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the lowest-ranked pair first, leftmost among equals."""
         if len(word) > 48:
             return self._merge_long(word)
-        ids = [self.first[b] for b in word]
-        rank_of, none, merged = self.rank_of, self.none, self.merged
-        ranks = [rank_of(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
+        first, byte_rank, rank_of, none, merged = self.first, self.byte_rank, self.rank_of, self.none, self.merged
+        ids = [first[b] for b in word]
+        ranks = [byte_rank[a << 8 | b] for a, b in zip(word, word[1:])]
         while ranks:
             best = min(ranks)
             if best == none:
                 break
             i = ranks.index(best)
-            ids[i:i + 2] = [merged[best]]
-            del ranks[i]
+            ids[i] = joined = merged[best]
+            del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank_of(ids[i - 1] << 20 | ids[i], none)
+                ranks[i - 1] = rank_of(ids[i - 1] << 20 | joined, none)
             if i < len(ranks):
-                ranks[i] = rank_of(ids[i] << 20 | ids[i + 1], none)
+                ranks[i] = rank_of(joined << 20 | ids[i + 1], none)
         return ids
 
     def _merge_long(self, word: bytes) -> list[int]:
@@ -209,32 +210,59 @@ def minimal_automaton(words: list[bytes]) -> list[tuple[bool, dict[int, int]]]:
     return states
 
 
+def displaced(rows: list[dict[int, int]]) -> tuple[list[int], int]:
+    """A base for each state's row of arcs, so that base + label is a place of its own for every arc
+    (widest rows first, each at the next free fit behind the last of its width), and the number of places."""
+    bases = [0] * len(rows)
+    taken = bytearray(1 << 16)
+    low, width = 0, 0
+    for state in sorted(range(len(rows)), key=lambda s: -len(rows[s])):
+        labels = sorted(rows[state])
+        if not labels:
+            continue
+        if len(labels) != width:
+            low, width = 0, len(labels)
+        while taken[low]:
+            low += 1
+        at = max(low - labels[0], 0)
+        while True:
+            if at + 512 > len(taken):
+                taken.extend(bytes(len(taken)))
+            if not any(taken[at + c] for c in labels):
+                break
+            at = taken.find(0, at + labels[0] + 1) - labels[0]
+            if at < 0:
+                at = len(taken) - labels[0]
+        for c in labels:
+            taken[at + c] = 1
+        bases[state], low = at, at + labels[0]
+    return bases, max(bases, default=0) + 256
+
+
 def write_lexicon(path: str, entries: dict[bytes, list[int]]) -> None:
-    """One file of arrays: first arc of each state, arc labels, targets and
-    outputs, final marks, then the ids by word number."""
+    """One file of arrays: each state's base, the arcs' owners (state + 1), targets and outputs by
+    place, the ids' starts by word number, the ids, and the states' final marks."""
     words = sorted(w for w in entries if w)
     states = minimal_automaton(words)
+    bases, places = displaced([arcs for _, arcs in states])
+    owners, targets, outputs = [0] * places, [0] * places, [0] * places
     below: list[int] = []
-    first, labels, targets, outputs, final = [0], bytearray(), [], [], bytearray()
-    for is_final, arcs in states:
+    for state, (is_final, arcs) in enumerate(states):
         n = int(is_final)
         for label in sorted(arcs):
-            labels.append(label)
-            targets.append(arcs[label])
-            outputs.append(n)
+            k = bases[state] + label
+            owners[k], targets[k], outputs[k] = state + 1, arcs[label], n
             n += below[arcs[label]]
         below.append(n)
-        first.append(len(labels))
-        final.append(is_final)
     at, ids = [0], []
     for w in words:
         ids += entries[w]
         at.append(len(ids))
     with open(path, "wb") as f:
-        f.write(struct.pack("<4I", len(states), len(labels), len(words), len(ids)))
-        for numbers in (first, targets, outputs, at, ids):
+        f.write(struct.pack("<4I", len(states), places, len(words), len(ids)))
+        for numbers in (bases, owners, targets, outputs, at, ids):
             f.write(struct.pack(f"<{len(numbers)}I", *numbers))
-        f.write(bytes(labels) + bytes(final))
+        f.write(bytes(final for final, _ in states))
 
 
 class Lexicon:
@@ -243,7 +271,7 @@ class Lexicon:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.map = memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-        n_states, n_arcs, n_words, n_ids = struct.unpack("<4I", self.map[:16])
+        n_states, places, n_words, n_ids = struct.unpack("<4I", self.map[:16])
         at = 16
 
         def numbers(n):
@@ -252,22 +280,22 @@ class Lexicon:
             at += 4 * n
             return part
 
-        self.first, self.targets, self.outputs = numbers(n_states + 1), numbers(n_arcs), numbers(n_arcs)
+        self.bases, self.owners, self.targets, self.outputs = numbers(n_states), numbers(places), numbers(places), numbers(places)
         self.at = numbers(n_words + 1)
         self.ids_from, at = at, at + 4 * n_ids
-        self.labels, self.final = self.map[at:at + n_arcs], self.map[at + n_arcs:]
+        self.final = self.map[at:]
         self.start = n_states - 1
 
     def ids(self, word: bytes) -> bytes | None:
         """Ids as little-endian numbers, or None for a word it lacks."""
         state, number = self.start, 0
+        bases, owners, targets, outputs = self.bases, self.owners, self.targets, self.outputs
         for b in word:
-            low, high = self.first[state], self.first[state + 1]
-            k = bisect_left(self.labels, b, low, high)
-            if k == high or self.labels[k] != b:
+            k = bases[state] + b
+            if owners[k] != state + 1:
                 return None
-            number += self.outputs[k]
-            state = self.targets[k]
+            number += outputs[k]
+            state = targets[k]
         if not self.final[state]:
             return None
         return bytes(self.map[self.ids_from + 4 * self.at[number]:self.ids_from + 4 * self.at[number + 1]])
