@@ -19,7 +19,14 @@ Most lists then lie in one component.  Only documents that stayed outside the
 component of a lead are compared with other components that met the same lead,
 unless the triangle inequality of the Jaccard distance (with the verified
 distances to the lead) rules a link out.  So no link between components is
-missed.
+missed.  Everywhere, a pair is ruled out that cannot share enough: tokens of one
+document alone are in no intersection, so two documents share at most the lesser
+number of their other tokens.  Near copies that differ by edits of their own
+fall to this before any pair is made: a document leaves a list in which even the
+smallest other one would be too large for what it can share.  A pair that is
+left must pass the parity maps of its tokens: where they differ, the sets do, so
+their differing bits and both documents' own tokens bound the symmetric
+difference from below.  Only pairs that pass all this are verified.
 
 Edge cases: a null text, or one without words, has an empty set and links
 with nothing; rows without an id have no component; rows that repeat an id
@@ -53,6 +60,8 @@ MOST_MATCHES = 8
 VERIFY = 8
 #: Pairs verified in one group.
 GROUP_PAIRS = 2000
+#: Bits of the parity map of a document's shared tokens.
+BITS = 2048
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _word = Memo(xxhash.xxh3_64_intdigest, 100_000).__getitem__
 
@@ -133,8 +142,14 @@ def _survivors(rows: pd.DataFrame) -> pd.DataFrame:
             unique = max(size - len(t), 0)
             m = matches(c, size, unique)
             prefix = t[:size - least_overlap(size) + m - unique]
-            out.append((int(docs[d]), size, m, unique, prefix.view(np.int64), np.sort(t).tobytes()))
-    return pd.DataFrame(out, columns=["doc", "n", "m", "u", "prefix", "tokens"])
+            out.append((int(docs[d]), size, m, unique, prefix.view(np.int64), np.sort(t).tobytes(), parity(t)))
+    return pd.DataFrame(out, columns=["doc", "n", "m", "u", "prefix", "tokens", "bits"])
+
+
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """One bit per place that an odd number of tokens falls on, as 64-bit numbers."""
+    odd = np.bincount((R.mixed(tokens) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _verified(key, pairs: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
@@ -154,6 +169,17 @@ def _verified(key, pairs: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b", "distance", "linked"])
 
 
+def may_link(n: str, shared: str, other_n: str, other_shared: str) -> str:
+    """Whether the tokens that two documents do not hold alone suffice for a link (columns: sizes and these numbers)."""
+    return f"{DENOMINATOR + NUMERATOR} * least({shared}, {other_shared}) >= {NUMERATOR} * ({n} + {other_n})"
+
+
+def maps_may_link() -> str:
+    """Whether the least symmetric difference of x and y, by their parity maps, allows a link."""
+    differ = "aggregate(zip_with(x_bits, y_bits, (p, q) -> bit_count(p ^ q)), 0, (total, k) -> total + k)"
+    return f"{DENOMINATOR + NUMERATOR} * (x_n + y_n - x_alone - y_alone - {differ}) >= {2 * NUMERATOR} * (x_n + y_n)"
+
+
 def verify(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """``a, b, distance, linked`` of stored pairs (no distance where the prefixes rule a link out); a document
     in many pairs is spread over groups."""
@@ -195,17 +221,18 @@ def linked(docs: DataFrame) -> DataFrame:
     buckets = max(1, -(-total["tokens"] // R.BUCKET_TOKENS))
     packed = R.repeated(reps, shingle_sets, heavy, buckets, buckets, sizes=True)
     sets = stored(packed.groupBy("key").applyInPandas(
-        _survivors, "doc long, n long, m int, u int, prefix array<long>, tokens binary"), "jaccard-survivors")
+        _survivors, "doc long, n long, m int, u int, prefix array<long>, tokens binary, bits array<long>"), "jaccard-survivors")
 
     # stars: every document of a token's list with the list's lead, the one with the fewest tokens of its own
     # (of many copies that is the least edited one, to which most others are near)
     lists = sets.select("doc", "n", F.explode("prefix").alias("token"), "u")
     leads = lists.groupBy("token").agg(F.min(F.struct("u", "doc", "n")).alias("s"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    leads = leads.select("token", F.col("s.doc").alias("lead"), F.col("s.n").alias("lead_n"))
-    met = stored(lists.join(leads, "token").groupBy("doc", "lead").agg(F.first("n").alias("n"), F.first("lead_n").alias("lead_n")),
-                 "jaccard-met")
-    fits = f"{DENOMINATOR} * least(n, lead_n) >= {NUMERATOR} * greatest(n, lead_n)"
-    stars = met.filter("doc != lead").filter(fits).select(F.greatest("doc", "lead").alias("a"), F.least("doc", "lead").alias("b")).distinct()
+    leads = leads.select("token", F.col("s.doc").alias("lead"), F.col("s.n").alias("lead_n"), (F.col("s.n") - F.col("s.u")).alias("lead_most"))
+    met = stored(lists.join(leads, "token").groupBy("doc", "lead").agg(
+        F.first("n").alias("n"), F.first(F.col("n") - F.col("u")).alias("most"), F.first("lead_n").alias("lead_n"),
+        F.first("lead_most").alias("lead_most")), "jaccard-met")
+    stars = (met.filter("doc != lead").filter(may_link("n", "most", "lead_n", "lead_most"))
+             .select(F.greatest("doc", "lead").alias("a"), F.least("doc", "lead").alias("b")).distinct())
     near = verify(stored(stars, "jaccard-stars"), sets, "jaccard-near")
     labels = components(near.filter("linked").select("a", "b"), "jaccard-first")
 
@@ -220,12 +247,17 @@ def linked(docs: DataFrame) -> DataFrame:
     high = F.when(F.col("doc") == F.col("lead"), 0.0).otherwise(F.coalesce("distance", F.lit(1.0)))
     placed = stored(met.join(label, "doc", "left").join(lead_label, "lead", "left")
                     .withColumn("a", F.greatest("doc", "lead")).withColumn("b", F.least("doc", "lead")).join(far, ["a", "b"], "left")
-                    .select("doc", "lead", "n", F.coalesce("own", "doc").alias("own"), F.coalesce("lead_own", "lead").alias("lead_own"),
+                    .select("doc", "lead", "n", F.col("most").alias("shared"), F.coalesce("own", "doc").alias("own"), F.coalesce("lead_own", "lead").alias("lead_own"),
                             low.alias("low"), high.alias("high")), "jaccard-placed")
-    x = placed.filter("own != lead_own").select("lead", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "own", "low", "high")])
-    y = placed.filter("doc != lead").select("lead", *[F.col(c).alias(f"y_{c}") for c in ("doc", "n", "own", "low", "high")])
-    may = (f"x_own != y_own and {DENOMINATOR} * least(x_n, y_n) >= {NUMERATOR} * greatest(x_n, y_n) "
-           f"and x_low - y_high <= {most} + 1e-9 and y_low - x_high <= {most} + 1e-9")
+    # the least size in a lead's list: documents that could not share enough even with that leave the list
+    least = placed.groupBy("lead").agg(F.min("n").alias("least"))
+    placed = placed.join(least, "lead").filter(f"{DENOMINATOR + NUMERATOR} * shared >= {NUMERATOR} * (n + least)")
+    held = ("doc", "n", "shared", "own", "low", "high", "bits", "alone")
+    placed = stored(placed.join(sets.select("doc", "bits", F.col("u").alias("alone")), "doc"), "jaccard-lists")
+    x = placed.filter("own != lead_own").select("lead", *[F.col(c).alias(f"x_{c}") for c in held])
+    y = placed.filter("doc != lead").select("lead", *[F.col(c).alias(f"y_{c}") for c in held])
+    may = (f"x_own != y_own and {may_link('x_n', 'x_shared', 'y_n', 'y_shared')} "
+           f"and x_low - y_high <= {most} + 1e-9 and y_low - x_high <= {most} + 1e-9 and {maps_may_link()}")
     pairs = (x.join(y, "lead").filter(may).select(F.greatest("x_doc", "y_doc").alias("a"), F.least("x_doc", "y_doc").alias("b"))
              .distinct().join(near.select("a", "b"), ["a", "b"], "left_anti"))
     more = verify(stored(pairs, "jaccard-more"), sets, "jaccard-rest")

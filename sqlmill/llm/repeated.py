@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,20 +136,29 @@ def _entries(tokens_of: Tokens, heavy, buckets: int, parts: int, sizes: bool, wi
             bucket = (mixed(every) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            table = docs.tobytes()
+            table = steps(docs)
             for b in np.flatnonzero(np.diff(ends)):
                 at = order[ends[b]:ends[b + 1]]
                 ids, named = table, who[at]
                 if len(at) < len(docs):  # only ids in use, so that their share doesn't grow with the buckets
                     used, place = np.unique(named, return_inverse=True)
-                    ids, named = docs[used].tobytes(), place.astype(np.uint16)
-                rows.append((b, row(ENTRY, b, ids, short(every[at], width), named.tobytes())))
+                    ids, named = steps(docs[used]), place.astype(np.uint16)
+                rows.append((b, row(ENTRY, b, ids, short(every[at], width), steps(named))))
             plain = record([r for _, r in rows])
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *plain.columns], ["bucket", *_NAMES])
         tidy()
     return run
 
 
+def steps(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed differences: ids of a batch and places in it mostly go up by little."""
+    return zstandard.ZstdCompressor(1, write_checksum=False).compress(np.diff(numbers, prepend=numbers.dtype.type(0)).tobytes())
+
+
+def summed(data: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind), dtype=kind)
+
+
 def short(tokens: np.ndarray, width: int) -> bytes:
     """The lower ``width`` bytes of each token."""
     return tokens.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
@@ -166,8 +176,7 @@ def _found(parts: int, width: int, back: int):
         entries = rows[rows["kind"] == ENTRY]
         if len(entries):
             tokens = np.concatenate([long(t, width) for t in entries["tokens"]])
-            docs = np.concatenate([np.frombuffer(d, np.int64)[np.frombuffer(w, np.uint16)]
-                                   for d, w in zip(entries["docs"], entries["numbers"])])
+            docs = np.concatenate([summed(d, np.int64)[summed(w, np.uint16)] for d, w in zip(entries["docs"], entries["numbers"])])
             order = np.argsort(tokens, kind="stable")
             tokens, docs = tokens[order], docs[order]
             heads = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])

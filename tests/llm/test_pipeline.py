@@ -9,9 +9,9 @@ from test_tokens import checked
 
 def test_registered():
     names = E.queries()
-    assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "ngram_jaccard", "suffix_array", "packing"]
-    assert set(queries.ORACLE) == {f for f in queries.QUERIES if f.split("_")[0] in ("op1", "op3", "op8", "op9", "op10")}
+    assert set(queries.ORACLE) == {f for f in queries.QUERIES if f.split("_")[0] in ("op1", "op3", "op8", "op9", "op10", "op11", "op13")}
 
 
 def test_stages_on_their_own_input(spark, tmp_path):

@@ -117,6 +117,31 @@ def test_jaccard_equals_brute_force(make, seed, monkeypatch):
     assert by_id(jaccard.linked(docs), "n_shingles", "component_id") == brute_components(rows)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_jaccard_with_heavy_tokens_and_many_buckets(make, seed, monkeypatch):
+    monkeypatch.setattr(jaccard.R, "FLOOR", 4)  # tokens of two documents are heavy then
+    monkeypatch.setattr(jaccard.R, "BUCKET_TOKENS", 60)
+    rows = near_copies(seed, 150)
+    assert by_id(jaccard.linked(make(rows).repartition(3)), "n_shingles", "component_id") == brute_components(rows)
+
+
+def test_jaccard_of_one_large_family_makes_few_pairs(make, spark, monkeypatch):
+    """Copies with edits of their own: those far from the lead leave its list before pairs are made."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for k in rng.sample(range(120), rng.choice([1, 2, 3, 9, 12])):
+            text[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(text)))
+    made = []
+    plain = jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda pairs, sets, name: made.append(pairs.count()) or plain(pairs, sets, name))
+    assert by_id(jaccard.linked(make(rows)), "n_shingles", "component_id") == brute_components(rows)
+    assert sum(made) < 3 * len(rows)
+
+
 def test_jaccard_keeps_one_of_each_group(make):
     text = " ".join(f"w{i}" for i in range(40))
     docs = make([(3, text), (1, text + " more"), (2, "other words"), (None, text), (4, None), (4, None)]).withColumn("rep", F.lit(0))
