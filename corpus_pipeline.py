@@ -7,7 +7,8 @@ as the next one's input, so a lost executor costs at most a stage's tasks.
 Toxicity drops documents scored at or above the operator's threshold (rows
 without a text are scored like empty ones).  Exact dedup and the Jaccard join
 keep one document per group.  Suffix-array dedup removes bytes that smaller ids
-hold too; ``n_chars`` follows the text.  Packing returns the pieces.
+hold too; ``n_chars`` follows the text.  Packing returns the pieces.  When a
+stage's output is written, the tables it was made from are deleted.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sqlmill.llm import exact_dedup, jaccard, packing, suffix, toxicity
-from sqlmill.llm.common import stored, table
+from sqlmill.llm.common import table
+from sqlmill.session import drop_scratch, scratch_path, scratch_tables
 
 
 def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +57,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = scratch_tables(spark)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"llm-pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        drop_scratch(spark, keep=(*before, path))
     return docs

@@ -81,6 +81,11 @@ def drop_scratch(spark: SparkSession, keep: tuple = ()) -> None:
     _SCRATCH[spark.sparkContext.applicationId] = left
 
 
+def scratch_tables(spark: SparkSession) -> tuple:
+    """The stored intermediate tables of this application that are still there."""
+    return tuple(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder for one output."""
     base = shared_dir(spark).rstrip("/")
