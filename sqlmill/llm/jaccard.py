@@ -31,7 +31,8 @@ difference from below.  Only pairs that pass all this are verified.
 Edge cases: a null text, or one without words, has an empty set and links
 with nothing; rows without an id have no component; rows that repeat an id
 count as one document, which holds the shingles of all its texts; an empty
-table gives no rows.
+table gives no rows; further columns are not read (``keep_one`` returns them,
+whatever their names); a very long text is one set, held by one task.
 """
 
 from __future__ import annotations

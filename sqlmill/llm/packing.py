@@ -14,7 +14,8 @@ that a length that a third of all rows share is spread over ``BUCKETS`` tasks.
 
 Edge cases: a null or empty text is the single id 0; ids of rows may be null
 or repeat (each row is packed); an empty table gives no rows; further columns
-are left out.  Sequences are padded to ``LENGTH`` by whoever writes them.
+are left out; a very long text is tokenised as one value of its row and cut into
+as many pieces as it needs.  Sequences are padded to ``LENGTH`` by whoever writes them.
 """
 
 from __future__ import annotations

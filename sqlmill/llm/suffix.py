@@ -25,7 +25,8 @@ by their own bytes instead, one by one, so no gram fills a bucket.
 Edge cases: a null text counts as empty; texts under ``LENGTH`` bytes stay
 whole; rows without an id stay whole and remove nothing; rows that repeat an id
 are one document in two pieces, each judged by its own text; an empty table
-gives no rows.
+gives no rows; further columns are not read (``without_repeats`` returns them);
+a very long text lies in one part, so a part may be as large as it.
 """
 
 from __future__ import annotations
