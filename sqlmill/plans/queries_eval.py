@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import extend
 from ..functions.sqltext import (FENCE_ANY_RE2, FENCE_SQL_RE2, extract_sql, limit_probe_sql,
                                  normalize_sql, select_gate)
 from ..operators import evaluation as ev
@@ -327,3 +328,16 @@ def q_compare_typed_cells(spark, sf_dir):
     text = side("pred", query_id=key, k=key.cast("double"), q=F.col("l_quantity").cast("decimal(10,1)"), f=F.col("l_returnflag"), d=day.cast("string"))
     rows = ref.unionByName(same.where("query_id % 3 <> 0")).unionByName(text.where("query_id % 3 = 0"))
     return ev.compare_results(rows, ordered=False)
+
+
+@register("sql_functions", f"""with {PAIRS} select ord as sample_id, {norm_sql('prediction')} as normalized, {_probe_sql('prediction')} as probe_sql,
+ {f1_sql('prediction', 'reference')} as f1, concat('Q: ', question, chr(10), 'A: ', reference) as prompt,
+ case when contains(upper(prediction), 'SELECT *') then 'name the columns' end as message from pairs""")
+def q_sql_functions(spark, sf_dir):
+    """N9, V8, E2, a prompt template and a validation rule, all called from SQL."""
+    extend.register_functions(spark)
+    extend.register_template(spark, "example_prompt", "Q: {question}\nA: {reference}")
+    extend.register_rule(spark, "no_star", "contains(upper(sql), 'SELECT *')", "name the columns")
+    return spark.sql("""select ord as sample_id, normalize_sql(prediction) as normalized, limit_probe_sql(prediction) as probe_sql,
+        token_f1(prediction, reference) as f1, example_prompt(question, reference) as prompt, no_star(prediction) as message
+        from {pairs}""", pairs=fixtures.prediction_pairs(spark, sf_dir))
