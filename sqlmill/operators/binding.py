@@ -22,7 +22,7 @@ and column aliases of derived tables are not followed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import validation as V
@@ -39,55 +39,83 @@ ENDS = (",", "FROM", ")", ";", "UNION", "EXCEPT", "INTERSECT", "WHERE", "ORDER",
 # --- end of fixed values ------------------------------------------------------
 
 
-def blocks(tokens: DataFrame, key="sample_id") -> DataFrame:
-    """The token frame with each token's bracket (``slo``, ``shi``) and block (``lo``, ``hi``), as token numbers."""
-    t = V.token_frame(tokens, key)
-    scope = [key, "_k", "scope"]
-    upto = Window.partitionBy(*scope).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("block", F.count(F.when(F.col("kw").isin("SELECT", ";"), F.lit(1))).over(upto))
-    own, whole = Window.partitionBy(*scope, "block"), Window.partitionBy(*scope)
-    first = F.col("block") == 0
-    for name, pick in (("lo", F.min), ("hi", F.max)):
-        t = t.withColumn(f"s{name}", pick("_i").over(whole))
-        t = t.withColumn(name, F.when(first, F.col(f"s{name}")).otherwise(pick("_i").over(own)))
-    return t
-
-
-def _alias_place() -> Column:
+#: A token's bracket and block, as token numbers.
+_SPOT = {"slo": "int", "shi": "int", "lo": "int", "hi": "int"}
+
+
+def blocks(frame: DataFrame) -> DataFrame:
+    """The statement frame (``validation.statement_frame``) with an array ``spots``:
+    each token's bracket (``slo``, ``shi``) and block (``lo``, ``hi``), as token numbers.
+
+    A level's tokens are passed twice: forwards, which numbers blocks and carries
+    the least and greatest token number so far, and backwards, where the last
+    token of a bracket or block gives its figures to those before it."""
+    def onward(p: Column, x: Column, new: Column) -> list:
+        new = new | (p["scope"] != x["scope"])
+        starts = F.when(x["kw"].isin("SELECT", ";"), 1).otherwise(0)
+        block = F.when(new, F.lit(0)).otherwise(p["block"]) + starts
+        both = {"s": ~new, "": ~new & (starts == 0)}
+        ends = [pick(x["_i"], F.when(old, p[f"{s}{name}"]))
+                for s, old in both.items() for name, pick in (("lo", F.least), ("hi", F.greatest))]
+        return [x["scope"], block.cast("bigint"), *ends]
+
+    def back(p: Column, s: Column, new: Column) -> list:
+        same = ~new & (p["scope"] == s["scope"])
+        own = same & (p["block"] == s["block"])
+        return [s["scope"], s["block"], *[F.when(cond, p[n]).otherwise(s[n]) for n, cond in zip(_SPOT, (same, same, own, own))]]
+
+    def spots(s: Column) -> Column:
+        bracket = s["block"] == 0  # before the first SELECT the block is the whole bracket
+        spot = [s["slo"], s["shi"], F.when(bracket, s["slo"]).otherwise(s["lo"]), F.when(bracket, s["shi"]).otherwise(s["hi"])]
+        return F.struct(*[c.alias(n) for n, c in zip(_SPOT, spot)])
+    fields = {"scope": "bigint", "block": "bigint", **_SPOT}
+    rows = F.transform("toks", lambda x: F.struct(*[x[n].alias(n) for n in ("cum", "scope", "kw", "_i")]))
+    f = V.by_level(frame, rows, "_to", fields, onward)
+    rows = F.transform("_to", lambda s: F.struct(s["_c"].alias("cum"), *[s[n].alias(n) for n in fields]))
+    f = V.by_level(f, rows, "_back", fields, back, backwards=True)
+    return f.withColumn("spots", F.transform("_back", spots)).drop("_to", "_back")
+
+
+def _alias_place(c=F.col) -> Column:
     """A name right after a value, a table or AS names it."""
-    p1 = F.coalesce("p1", F.lit(""))
-    return F.col("p1_id") | p1.isin("AS", ")", "END") | p1.rlike("^['0-9]")
+    p1 = F.coalesce(c("p1"), F.lit(""))
+    return c("p1_id") | p1.isin("AS", ")", "END") | p1.rlike("^['0-9]")
 
 
-def _reference() -> Column:
-    near = F.coalesce("n1", F.lit(""))
-    no_name = F.col("kw").isin(*V.VERBS, *V.CLAUSES, *WORDS, "IS DISTINCT FROM", "DISTINCT ON")
-    unit = (F.coalesce("p1", F.lit("")) == "(") & F.coalesce(F.col("n1_up") == "FROM", F.lit(False))  # EXTRACT(YEAR FROM …)
-    return (F.col("is_id") & ~F.coalesce(V._tref_start(), F.lit(False)) & ~_alias_place() & (F.coalesce("p1", F.lit("")) != ".")
-            & ~near.isin(".", "(") & ~near.startswith("'") & ~no_name & ~unit & ~V._cte_cond())
+def _reference(c=F.col) -> Column:
+    near = F.coalesce(c("n1"), F.lit(""))
+    no_name = c("kw").isin(*V.VERBS, *V.CLAUSES, *WORDS, "IS DISTINCT FROM", "DISTINCT ON")
+    unit = (F.coalesce(c("p1"), F.lit("")) == "(") & F.coalesce(c("n1_up") == "FROM", F.lit(False))  # EXTRACT(YEAR FROM …)
+    return (c("is_id") & ~F.coalesce(V._tref_start(c), F.lit(False)) & ~_alias_place(c) & (F.coalesce(c("p1"), F.lit("")) != ".")
+            & ~near.isin(".", "(") & ~near.startswith("'") & ~no_name & ~unit & ~V._cte_cond(c))
 
 
 def binding_summary(samples: DataFrame, key="sample_id", sql="output", db="db_id") -> DataFrame:
     """One row per statement: brackets, table references, derived tables, WITH names, outputs, stars and bare names."""
-    t = blocks(V.sql_tokens(samples.select(key, db, sql), key, sql, keep=(db,)), key)
-    spot = [F.col(c) for c in ("_i", "slo", "lo", "hi")]
+    t = blocks(V.statement_frame(samples.select(key, db, sql), key, sql, keep=(db,)))
     bare = lambda c: F.regexp_replace(F.lower(c), '^["`]|["`]$', "")
-    derived, select = V._derived_cond(), F.col("clause") == "SELECT"
+    select = lambda c: c("clause") == "SELECT"
+    spot = lambda y, c: [c("_i").alias("_i"), *[y[n].alias(n) for n in ("slo", "lo", "hi")]]
     fields = {
-        "brackets": (F.col("tok") == "(", [F.col("_i").alias("lo"), F.col("shi").alias("hi"), (F.col("p1") == "LATERAL").alias("lateral"),
-                                           (F.col("p1") == "USING").alias("joins")]),
-        "trefs": (V._tref_start(), spot + list(V._tref_fields())),
-        "derived": (derived, spot + ["name", F.when(F.col("p1") == ")", F.col("_i") - 2).otherwise(F.col("_i") - 3).alias("ends")]),
-        "ctes": (V._cte_cond(), ["_i", "name", (F.col("_i") + 2).alias("opens")]),
-        "outs": (F.col("is_id") & select & (F.col("n1").isNull() | F.col("n1_up").isin(*ENDS)),
-                 spot + ["name", _alias_place().alias("is_alias")]),
-        "stars": ((F.col("tok") == "*") & select & F.col("p1").isin("SELECT", "DISTINCT", "ALL", ",", "."),
-                  spot + [F.when(F.col("p1") == ".", bare(F.col("p2"))).alias("qualifier")]),
-        "names": (_reference(), spot + ["pos", "name"]),
+        "brackets": (lambda c: c("tok") == "(",
+                     lambda y, c: [c("_i").alias("lo"), y["shi"].alias("hi"), (c("p1") == "LATERAL").alias("lateral"),
+                                   (c("p1") == "USING").alias("joins")]),
+        "trefs": (V._tref_start, lambda y, c: spot(y, c) + list(V._tref_fields(c))),
+        "derived": (V._derived_cond, lambda y, c: spot(y, c) + [
+            c("name").alias("name"), F.when(c("p1") == ")", c("_i") - 2).otherwise(c("_i") - 3).alias("ends")]),
+        "ctes": (V._cte_cond, lambda y, c: [c("_i").alias("_i"), c("name").alias("name"), (c("_i") + 2).alias("opens")]),
+        "outs": (lambda c: c("is_id") & select(c) & (c("n1").isNull() | c("n1_up").isin(*ENDS)),
+                 lambda y, c: spot(y, c) + [c("name").alias("name"), _alias_place(c).alias("is_alias")]),
+        "stars": (lambda c: (c("tok") == "*") & select(c) & c("p1").isin("SELECT", "DISTINCT", "ALL", ",", "."),
+                  lambda y, c: spot(y, c) + [F.when(c("p1") == ".", bare(c("p2"))).alias("qualifier")]),
+        "names": (_reference, lambda y, c: spot(y, c) + [c("pos").alias("pos"), c("name").alias("name")]),
     }
-    g = t.groupBy(key).agg(F.first(db).alias(db), F.min_by("up", "pos").alias("verb"),
-                           *[F.sort_array(F.collect_list(F.when(cond, F.struct(*cols)))).alias(n) for n, (cond, cols) in fields.items()])
-    return g.where(F.col("verb").isin(*VERBS))
+
+    def array(cond, cols) -> Column:
+        chosen = F.filter(F.arrays_zip("toks", "spots"), lambda z: cond(z["toks"].getField))
+        return F.sort_array(F.transform(chosen, lambda z: F.struct(*cols(z["spots"], z["toks"].getField))))
+    g = t.select(key, db, F.get("toks", F.lit(0))["up"].alias("verb"), *[array(*f).alias(n) for n, f in fields.items()])
+    return V.fenced(g, key, db).where(F.col("verb").isin(*VERBS))
 
 
 #: Relations with the interval they are visible in and, for derived tables and WITH names, their body's bracket.

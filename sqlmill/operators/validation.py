@@ -1,13 +1,14 @@
 """Validation of generated SQL against database catalogs.
 
 Re-aim of a per-row grammar parser as a token table: each statement is lexed
-once (a built-in regex), its token array gets the neighbours by shifting, and
-is exploded into one row per token.  Depth, bracket scope and clause are
-windows over ``sample_id``; samples are hash-partitioned by it once, before
-the explode, and everything up to the per-statement summary reuses that
-partitioning.  The summary holds the sample's row, syntax figures and
-references, so that verdicts need no second look at samples or tokens: only
-distinct names meet the catalog, and the few missing ones join back.
+once (a built-in regex) and stays one row, its tokens being an array.  Token
+neighbours are places of that array; bracket depth, scope and clause are
+carried along it (``carried``), so that no token is ever sorted, shuffled or
+spilled.  Samples are hash-partitioned by their key once; statements that share
+a key are taken as one, their tokens ordered by position.  The summary holds
+the sample's row, syntax figures and references, so that verdicts need no
+second look at samples or tokens: only distinct names meet the catalog, and the
+few missing ones join back.
 
 Rules (weaker than a grammar — documented limits):
 
@@ -72,16 +73,11 @@ def _msg(template: str, **cols: Column) -> Column:
 _WORD = r"^[\p{L}\p{N}_]+$"
 
 
-def _statement_tokens(samples: DataFrame, key, sql, keep=()) -> DataFrame:
-    """(key, keep…, blank, toks): the significant tokens of each statement as one
-    array of (pos, tok, up, is_id, name, delta); empty for blank statements.
-    Every array has its own projection, so nothing is computed twice."""
-    s = samples.select(key, *keep, is_blank(sql).alias("blank"),
-                       F.coalesce(sql_lex(py_strip(sql)), F.array().cast("array<string>")).alias("toks"))
-    s = s.withColumn("toks", F.transform("toks", lambda x, i: F.struct(i.cast("bigint").alias("pos"), x.alias("tok"))))
+def _lexed(text: Column) -> Column:
+    """The significant tokens of one text: array of (pos, tok, up, is_id, name, delta)."""
+    tokens = F.transform(sql_lex(text), lambda x, i: F.struct(i.cast("bigint").alias("pos"), x.alias("tok")))
     # drop whitespace runs and comments (no other token starts with whitespace)
-    s = s.withColumn("toks", F.filter("toks", lambda x: ~(x["tok"].rlike("^" + WS_CLASS) | x["tok"].startswith("--")
-                                                          | x["tok"].startswith("/*"))))
+    tokens = F.filter(tokens, lambda x: ~(x["tok"].rlike("^" + WS_CLASS) | x["tok"].startswith("--") | x["tok"].startswith("/*")))
 
     def features(x: Column) -> Column:
         t = x["tok"]
@@ -94,96 +90,176 @@ def _statement_tokens(samples: DataFrame, key, sql, keep=()) -> DataFrame:
         return F.struct(x["pos"].alias("pos"), t.alias("tok"), up.alias("up"), is_id.alias("is_id"), name.alias("name"),
                         delta.alias("delta"))
 
-    return s.withColumn("toks", F.transform("toks", features))
+    return F.transform(tokens, features)
+
+
+#: Elements of one piece of ``carried``.
+PIECE = 64
+
+
+def carried(array: str, zero: Column, step) -> Column:
+    """Runs along an array column: element i of the result is ``step(element i - 1
+    of the result, element i of the array)``, the one before the first being
+    ``zero`` (of the result's type).
+
+    What grows by one element is copied each time, so elements should be small,
+    and the array goes by pieces: their elements are appended one by one, then
+    the piece as a whole."""
+    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), F.lit(PIECE)),
+                         lambda s: F.slice(array, s + 1, F.lit(PIECE)))
+    append = lambda now, x: F.concat(now, F.transform(F.slice(now, -1, 1), lambda p: step(p, x)))
+    # every piece starts with the last element before it
+    run = lambda done, piece: F.aggregate(piece, F.slice(F.element_at(done, -1), -1, 1), append)
+    done = F.aggregate(pieces, F.array(F.array(zero)), lambda done, piece: F.concat(done, F.array(run(done, piece))))
+    return F.flatten(F.transform(F.slice(done, 2, F.greatest(F.size(done) - 1, F.lit(0))), lambda piece: F.slice(piece, 2, F.lit(PIECE))))
+
+
+def fenced(df: DataFrame, *keys) -> DataFrame:
+    """The same rows, the columns other than ``keys`` made by a generator of one row
+    each.  A filter is not pushed below a generator, where it would compute the
+    arrays it reads once more, step by step."""
+    return df.select(*keys, F.inline_outer(F.array(F.struct(*[c for c in df.columns if c not in keys]))))
+
+
+def by_level(frame: DataFrame, rows: Column, out: str, fields, step, backwards: bool = False) -> DataFrame:
+    """Adds the array ``out`` of structs with ``fields`` (name to type), one per
+    element of ``rows`` (structs with the bracket level ``cum``), carried from
+    element to element of the same level: ``step(fields before, row, new level)``
+    lists them; all are NULL before the first.  Rows are put in order of their
+    level for that, then back."""
+    turn = -1 if backwards else 1
+    f = frame.withColumn(out, F.sort_array(F.transform(rows, lambda x, i: F.struct(x["cum"].alias("_c"), (i * turn).alias("_i"), x.alias("_x")))))
+    zero = F.struct(*[F.lit(None).cast(typ).alias(n) for n, typ in {"_i": "int", "_c": "bigint", **fields}.items()])
+
+    def go(p: Column, y: Column) -> Column:
+        new = F.coalesce(p["_c"] != y["_c"], F.lit(True))
+        return F.struct(y["_i"].alias("_i"), y["_c"].alias("_c"), *[c.alias(n) for n, c in zip(fields, step(p, y["_x"], new))])
+    f = f.withColumn(out, carried(out, zero, go))
+    return f.withColumn(out, F.sort_array(out, asc=not backwards))
+
+
+#: What a token row has of its statement's tokens.
+_OWN = ("pos", "tok", "up", "is_id", "name", "delta", "kw")
+_NEAR = ("p1", "p2", "p1_id") + tuple(f"n{n}{s}" for n in (1, 2, 3, 4) for s in ("", "_up", "_id", "_name"))
+_SCOPE = {"scope": "bigint", "clause": "string", "sel_seen": "boolean", "mut_seen": "boolean"}
+_UPTO = {"sel": "boolean", "mut": "boolean"}
+
+
+def _one_per_key(samples: DataFrame, key, sql, keep) -> DataFrame:
+    """(key, keep…, blank, _texts): a row per key with the stripped texts of its
+    samples (in order of their texts); ``keep`` is the first one's."""
+    s = samples.select(key, *keep, F.col(sql).alias("_sql")).repartition(key)
+    w = Window.partitionBy(key).orderBy("_sql")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    s = s.withColumn("_texts", F.collect_list(F.coalesce("_sql", F.lit(""))).over(every)).withColumn("_nth", F.row_number().over(w))
+    s = s.where("_nth = 1")
+    return s.select(key, *keep, F.exists("_texts", is_blank).alias("blank"), F.transform("_texts", py_strip).alias("_texts"))
+
+
+def _kw(a: Column, x: Column, i: Column) -> Column:
+    p1, p2 = F.get(a, i - 1)["up"], F.get(a, i - 2)["up"]
+    explained = F.coalesce(p1.isin("ANALYZE", "VERBOSE", "EXTENDED") & p2.isin("EXPLAIN", "ANALYZE"), F.lit(False))
+    return (F.when((x["up"] == "FROM") & (p1 == "DISTINCT") & p2.isin("IS", "NOT"), F.lit("IS DISTINCT FROM"))
+            .when((x["up"] == "ON") & (p1 == "DISTINCT"), F.lit("DISTINCT ON"))
+            .when((x["up"] == "UPDATE") & p1.isNotNull() & ~p1.isin(")", ";", "EXPLAIN") & ~explained, F.lit("UPDATE OPTION"))
+            .when((x["up"] == "TABLE") & (p1.isin("DROP", "TRUNCATE") | ((p1 == "TEMPORARY") & (p2 == "DROP"))), F.lit("TABLE LIST"))
+            .when((x["up"] == "TABLE") & (p1 == "ALTER"), F.lit("TABLE NAME"))
+            .otherwise(x["up"]))
+
+
+def _near(a: Column, x: Column, i: Column) -> Column:
+    at = lambda by: F.get(a, i + by)
+    near = [at(-1)["kw"].alias("p1"), at(-2)["kw"].alias("p2"), F.coalesce(at(-1)["is_id"], F.lit(False)).alias("p1_id")]
+    for n in (1, 2, 3, 4):
+        near += [at(n)["tok"].alias(f"n{n}"), at(n)["kw"].alias(f"n{n}_up"), F.coalesce(at(n)["is_id"], F.lit(False)).alias(f"n{n}_id"),
+                 at(n)["name"].alias(f"n{n}_name")]
+    return F.struct(*[x[c].alias(c) for c in ("pos",)], i.alias("_i"), *[x[c].alias(c) for c in _OWN[1:]], *near)
+
+
+def statement_frame(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",)) -> DataFrame:
+    """(key, keep…, blank, toks): one row per statement, ``toks`` being its
+    significant tokens (no whitespace, no comments) in order, each with its
+    features, its neighbours, bracket depth, scope, clause and 'SELECT seen'
+    flags.  Empty for blank statements.
 
+    ``kw`` is the upper-cased token, except where a clause word is none (FROM in
+    IS [NOT] DISTINCT FROM, ON in DISTINCT ON, and UPDATE other than a
+    statement's verb: after nothing, a bracket, a semicolon or EXPLAIN) or TABLE
+    names tables (after DROP, TRUNCATE: a list; after ALTER: one).
 
-def _shifted(array: str, by: int) -> Column:
-    """The array moved by ``by`` places: element i is element i + by (NULL outside)."""
-    if by > 0:
-        return F.slice(array, by + 1, F.greatest(F.size(array) - by, F.lit(0)))
-    return F.slice(F.concat(F.array_repeat(F.lit(None), -by), F.col(array)), 1, F.size(array))
+    Tokens at depth d inside the n-th bracket that opened level d share scope
+    (d, n).  A '(' is placed in the scope it opens (level ``cum``); its own
+    clause/scope values are never read and it is never a clause word, so this
+    changes nothing else."""
+    s = _one_per_key(samples, key, sql, keep)
+    toks = F.transform("_texts", _lexed)
+    toks = F.transform(toks, lambda a: F.transform(a, lambda x, i: F.struct(*[x[c].alias(c) for c in _OWN[:-1]], _kw(a, x, i).alias("kw"))))
+    toks = F.transform(toks, lambda a: F.transform(a, lambda x, i: _near(a, x, i)))
+    s = s.select(key, *keep, "blank", (F.size("_texts") > 1).alias("_shared"), F.flatten(toks).alias("toks"))
+    s = s.withColumn("toks", F.when(F.col("_shared"), F.sort_array("toks")).otherwise(F.col("toks"))).drop("_shared")
+    s = s.withColumn("_cum", F.transform("toks", lambda x: x["delta"].cast("bigint")))
+    s = s.withColumn("_cum", carried("_cum", F.lit(0).cast("bigint"), lambda p, x: p + x))
+
+    def scope(p: Column, x: Column, new: Column) -> list:
+        """A level starts anew with each '(' that opens it; ``sel`` and ``mut`` count the token itself."""
+        opens = x["tok"] == "("
+        here = lambda c: F.when(~(new | opens), c)
+        word = F.when(x["kw"].isin(*CLAUSES), x["kw"])
+        sel, mut = F.coalesce(here(p["sel"]), F.lit(False)), F.coalesce(here(p["mut"]), F.lit(False))
+        return [(F.when(new, F.lit(0)).otherwise(p["scope"]) + F.when(opens, 1).otherwise(0)).cast("bigint"),
+                F.coalesce(word, here(p["clause"])), sel, mut,
+                sel | x["kw"].isin("SELECT", "DELETE"), mut | x["kw"].isin("DELETE", "UPDATE", "MERGE")]
+
+    def flat(z: Column) -> Column:
+        x, cum = z["toks"], z["_cum"]
+        return F.struct(*[x[c].alias(c) for c in ("_i",) + _OWN + _NEAR], cum.alias("cum"),
+                        (cum - F.when(x["tok"] == "(", 1).otherwise(0)).alias("depth"), *[z["_s"][c].alias(c) for c in _SCOPE])
+    rows = F.transform(F.arrays_zip("toks", "_cum"), lambda z: F.struct(
+        z["_cum"].alias("cum"), z["toks"]["tok"].alias("tok"), z["toks"]["kw"].alias("kw")))
+    s = by_level(s, rows, "_s", _SCOPE | _UPTO, scope)
+    s = s.withColumn("toks", F.transform(F.arrays_zip("toks", "_cum", "_s"), flat)).drop("_cum", "_s")
+    return fenced(s, key, *keep)
 
 
 def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",), outer: bool = False,
                neighbours: bool = True) -> DataFrame:
     """V1: one row per significant token (no whitespace, no comments) with its
-    position, features and, with ``neighbours``, the tokens around it.
-    Neighbours come from shifting the token array before it is exploded, so no
-    window is needed for them.  Blank statements produce no tokens (one empty
-    row with ``outer``).  The struct array is taken apart by ``inline``: fields
-    read from an exploded struct would be pushed below it, each with a lexer of
-    its own.
-
-    ``kw`` is the upper-cased token, except where a clause word is none (FROM in
-    IS [NOT] DISTINCT FROM, ON in DISTINCT ON, and UPDATE other than a
-    statement's verb: after nothing, a bracket, a semicolon or EXPLAIN) or TABLE
-    names tables (after DROP, TRUNCATE: a list; after ALTER: one)."""
-    s = _statement_tokens(samples.repartition(key), key, sql, keep)
+    position, features and, with ``neighbours``, all that ``statement_frame``
+    knows of it; a statement's first row then has its syntax figures.
+    Blank statements produce no tokens (one empty row with ``outer``).  The
+    struct array is taken apart by ``inline``: fields read from an exploded
+    struct would be pushed below it, each with a lexer of its own."""
     # an inner generator would get a filter on the array's size below it, with a second lexer
     some = F.lit(True) if outer else F.col("pos").isNotNull()
     if not neighbours:
-        return s.select(key, *keep, "blank", F.inline_outer("toks")).where(some)
-    s = s.withColumn("_ups", F.transform("toks", lambda x: x["up"]))
-    s = s.withColumn("_kw", F.arrays_zip(F.col("_ups").alias("up"), _shifted("_ups", -1).alias("p1"), _shifted("_ups", -2).alias("p2")))
-    explained = lambda x: x["p1"].isin("ANALYZE", "VERBOSE", "EXTENDED") & x["p2"].isin("EXPLAIN", "ANALYZE")
-    s = s.withColumn("_kw", F.transform("_kw", lambda x: F
-                     .when((x["up"] == "FROM") & (x["p1"] == "DISTINCT") & x["p2"].isin("IS", "NOT"), F.lit("IS DISTINCT FROM"))
-                     .when((x["up"] == "ON") & (x["p1"] == "DISTINCT"), F.lit("DISTINCT ON"))
-                     .when((x["up"] == "UPDATE") & x["p1"].isNotNull() & ~x["p1"].isin(")", ";", "EXPLAIN")
-                           & ~F.coalesce(explained(x), F.lit(False)), F.lit("UPDATE OPTION"))
-                     .when((x["up"] == "TABLE") & (x["p1"].isin("DROP", "TRUNCATE") | ((x["p1"] == "TEMPORARY") & (x["p2"] == "DROP"))),
-                           F.lit("TABLE LIST"))
-                     .when((x["up"] == "TABLE") & (x["p1"] == "ALTER"), F.lit("TABLE NAME"))
-                     .otherwise(x["up"])))
-    s = s.withColumn("_p1", _shifted("_kw", -1)).withColumn("_p2", _shifted("_kw", -2))
-    cols = [F.col("toks").alias("t"), F.col("_kw").alias("kw"), F.col("_p1").alias("p1"), F.col("_p2").alias("p2"),
-            _shifted("toks", -1).alias("b1")]
-    for i in (1, 2, 3, 4):
-        cols += [_shifted("toks", i).alias(f"a{i}"), _shifted("_kw", i).alias(f"k{i}")]
-    s = s.withColumn("_z", F.arrays_zip(*cols))
-
-    def flat(z: Column, i: Column) -> Column:
-        near = [z["kw"].alias("kw"), z["p1"].alias("p1"), z["p2"].alias("p2"),
-                F.coalesce(z["b1"]["is_id"], F.lit(False)).alias("p1_id")]
-        for n in (1, 2, 3, 4):
-            a = z[f"a{n}"]
-            near += [a["tok"].alias(f"n{n}"), z[f"k{n}"].alias(f"n{n}_up"),
-                     F.coalesce(a["is_id"], F.lit(False)).alias(f"n{n}_id"), a["name"].alias(f"n{n}_name")]
-        return F.struct(i.alias("_i"), *[z["t"][c].alias(c) for c in ("pos", "tok", "up", "is_id", "name", "delta")], *near)
-    return s.select(key, *keep, "blank", F.inline_outer(F.transform("_z", flat))).where(some)
+        s = samples.repartition(key).select(key, *keep, is_blank(sql).alias("blank"), F.coalesce(F.col(sql), F.lit("")).alias("_sql"))
+        return s.select(key, *keep, "blank", F.inline_outer(_lexed(py_strip("_sql")))).where(some)
+    s = statement_frame(samples, key, sql, keep)
+    figures = F.struct(*[c.alias(n) for n, c in _syntax_figures().items()])
+    s = s.withColumn("_z", F.transform("toks", lambda x, i: F.struct(
+        *[x[c].alias(c) for c in ("_i",) + _OWN + _NEAR + ("cum", "depth") + tuple(_SCOPE)], (i == 0).alias("_first"))))
+    s = s.select(key, *keep, "blank", figures.alias("_syntax"), "_z")
+    return s.select(key, *keep, "blank", "_syntax", F.inline_outer("_z")).where(some).withColumn(
+        "syntax", F.when(F.col("_first"), F.col("_syntax"))).drop("_syntax", "_first")
 
 
 def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
-    """Adds depth, bracket scope, clause and 'SELECT seen' flags.
+    """The tokens with the level of their scope (``_k``).  Depth, bracket scope,
+    clause and 'SELECT seen' flags come along with the tokens: ``sql_tokens`` has
+    carried them through the statement, so that its tokens need no windows here."""
+    return tokens.withColumn("_k", F.col("cum"))
 
-    Three window passes: running depth; the bracket scope; clause and 'SELECT
-    seen' per scope.  Tokens at depth d inside the n-th bracket that opened
-    level d share scope (d, n).  A '(' is placed in the scope it opens; its own
-    clause/scope values are never read and it is never a clause word, so this
-    changes nothing else."""
-    w = Window.partitionBy(key).orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = tokens.withColumn("cum", F.sum("delta").over(run))
-    t = t.withColumn("depth", F.col("cum") - F.when(F.col("tok") == "(", 1).otherwise(0))
-    t = t.withColumn("_k", F.when(F.col("tok") == "(", F.col("depth") + 1).otherwise(F.col("depth")))
-    wk = Window.partitionBy(key, "_k").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("scope", F.count(F.when(F.col("tok") == "(", F.lit(1))).over(wk))
-    wc = Window.partitionBy(key, "_k", "scope").orderBy("pos")
-    upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("clause", F.last(F.when(F.col("kw").isin(*CLAUSES), F.col("kw")), ignorenulls=True).over(upto))
-    t = t.withColumn("sel_seen", F.coalesce(F.max(F.col("kw").isin("SELECT", "DELETE")).over(before), F.lit(False)))
-    t = t.withColumn("mut_seen", F.coalesce(F.max(F.col("kw").isin("DELETE", "UPDATE", "MERGE")).over(before), F.lit(False)))
-    return t
-
-
-def _syntax_aggs():
-    return [F.min_by("up", "pos").alias("first"),
-            F.min("cum").alias("min_cum"),
-            F.max_by("cum", "pos").alias("final_cum"),
-            F.max_by("up", F.when(F.col("tok") != ";", F.col("pos"))).alias("last"),
-            F.min(F.when(F.col("tok").isin("'", '"', "`"), F.col("pos"))).alias("quote_pos"),
-            F.min(F.when((F.col("kw") == "SELECT") & (F.col("n1_up") == "FROM"), F.col("pos"))).alias("sf_pos")]
+
+def _syntax_figures() -> dict:
+    """What the syntax rules need of ``toks``; NULL without tokens."""
+    t = F.col("toks")
+    first_of = lambda cond: F.get(F.transform(F.filter(t, cond), lambda x: x["pos"]), F.lit(0))
+    back = F.filter(t, lambda x: x["tok"] != ";")
+    return {"first": F.get(t, F.lit(0))["up"], "min_cum": F.array_min(F.transform(t, lambda x: x["cum"])),
+            "final_cum": F.get(t, F.size(t) - 1)["cum"],
+            "last": F.get(back, F.size(back) - 1)["up"],
+            "quote_pos": first_of(lambda x: x["tok"].isin("'", '"', "`")),
+            "sf_pos": first_of(lambda x: (x["kw"] == "SELECT") & (x["n1_up"] == "FROM"))}
 
 
 def _problem() -> Column:
@@ -202,30 +278,31 @@ def _syntax_errors(g: DataFrame, key) -> DataFrame:
 
 def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
     """V2: (sample_id, stage, pos, kind, message) for the first syntax problem found per rule."""
-    return _syntax_errors(frame.groupBy(key).agg(*_syntax_aggs()), key)
+    return _syntax_errors(frame.where(F.col("syntax").isNotNull()).select(key, "syntax.*"), key)
 
 
-def _tref_start() -> Column:
-    seen = F.col("sel_seen") | F.col("mut_seen")
-    prev_ok = (F.col("p1").isin("INTO", "UPDATE", "TRUNCATE", "TABLE LIST", "TABLE NAME")
-               | ((F.col("p1") == "EXISTS") & (F.col("p2") == "IF") & F.col("clause").isin("TABLE LIST", "TABLE NAME"))
-               | (F.col("p1").isin(*TABLE_PREV) & seen)
-               | ((F.col("p1") == "USING") & F.col("mut_seen"))
-               | ((F.col("p1") == ",") & F.col("clause").isin(*LISTS) & (seen | F.col("clause").isin("TABLE LIST"))))
-    after = F.when((F.col("n1") == ".") & F.col("n2_id"), F.col("n3")).otherwise(F.col("n1"))
-    call = F.coalesce(after == "(", F.lit(False)) & (F.col("p1") != "INTO")  # a table function; INTO t (columns) is none
-    return F.col("is_id") & prev_ok & ~call
+#: Conditions and fields of a token; ``c`` gives its fields by name.
+def _tref_start(c=F.col) -> Column:
+    seen = c("sel_seen") | c("mut_seen")
+    prev_ok = (c("p1").isin("INTO", "UPDATE", "TRUNCATE", "TABLE LIST", "TABLE NAME")
+               | ((c("p1") == "EXISTS") & (c("p2") == "IF") & c("clause").isin("TABLE LIST", "TABLE NAME"))
+               | (c("p1").isin(*TABLE_PREV) & seen)
+               | ((c("p1") == "USING") & c("mut_seen"))
+               | ((c("p1") == ",") & c("clause").isin(*LISTS) & (seen | c("clause").isin("TABLE LIST"))))
+    after = F.when((c("n1") == ".") & c("n2_id"), c("n3")).otherwise(c("n1"))
+    call = F.coalesce(after == "(", F.lit(False)) & (c("p1") != "INTO")  # a table function; INTO t (columns) is none
+    return c("is_id") & prev_ok & ~call
 
 
-def _tref_fields():
-    qualified = (F.col("n1") == ".") & F.col("n2_id")
-    table = F.when(qualified, F.col("n2_name")).otherwise(F.col("name"))
+def _tref_fields(c=F.col):
+    qualified = (c("n1") == ".") & c("n2_id")
+    table = F.when(qualified, c("n2_name")).otherwise(c("name"))
     # token after the name, then the one after that (for AS)
-    a1_up = F.when(qualified, F.col("n3_up")).otherwise(F.col("n1_up"))
-    a1_id = F.when(qualified, F.col("n3_id")).otherwise(F.col("n1_id"))
-    a1_name = F.when(qualified, F.col("n3_name")).otherwise(F.col("n1_name"))
-    a2_id = F.when(qualified, F.col("n4_id")).otherwise(F.col("n2_id"))
-    a2_name = F.when(qualified, F.col("n4_name")).otherwise(F.col("n2_name"))
+    a1_up = F.when(qualified, c("n3_up")).otherwise(c("n1_up"))
+    a1_id = F.when(qualified, c("n3_id")).otherwise(c("n1_id"))
+    a1_name = F.when(qualified, c("n3_name")).otherwise(c("n1_name"))
+    a2_id = F.when(qualified, c("n4_id")).otherwise(c("n2_id"))
+    a2_name = F.when(qualified, c("n4_name")).otherwise(c("n2_name"))
     alias = F.when(a1_up == "AS", F.when(a2_id, a2_name)).when(a1_id, a1_name)
     return table.alias("table_name"), alias.alias("alias")
 
@@ -235,19 +312,19 @@ def table_refs(frame: DataFrame, key="sample_id") -> DataFrame:
     return frame.where(_tref_start()).select(key, "pos", *_tref_fields())
 
 
-def _cte_cond() -> Column:
-    return (F.col("is_id") & F.coalesce((F.col("n1_up") == "AS") & (F.col("n2") == "("), F.lit(False))
-            & F.coalesce(F.col("p1").isin("WITH", "RECURSIVE")
-                         | ((F.col("p1") == ",") & (F.col("depth") == 0) & ~F.col("sel_seen")), F.lit(False)))
+def _cte_cond(c=F.col) -> Column:
+    return (c("is_id") & F.coalesce((c("n1_up") == "AS") & (c("n2") == "("), F.lit(False))
+            & F.coalesce(c("p1").isin("WITH", "RECURSIVE")
+                         | ((c("p1") == ",") & (c("depth") == 0) & ~c("sel_seen")), F.lit(False)))
 
 
-def _derived_cond() -> Column:
-    return (F.col("is_id") & F.coalesce(F.col("clause").isin("FROM", "JOIN", "USING", "UPDATE")
-                                        & ((F.col("p1") == ")") | ((F.col("p1") == "AS") & (F.col("p2") == ")"))), F.lit(False)))
+def _derived_cond(c=F.col) -> Column:
+    return (c("is_id") & F.coalesce(c("clause").isin("FROM", "JOIN", "USING", "UPDATE")
+                                  & ((c("p1") == ")") | ((c("p1") == "AS") & (c("p2") == ")"))), F.lit(False)))
 
 
-def _bound_cond() -> Column:
-    return _cte_cond() | _derived_cond()
+def _bound_cond(c=F.col) -> Column:
+    return _cte_cond(c) | _derived_cond(c)
 
 
 def bound_names(frame: DataFrame, key="sample_id") -> DataFrame:
@@ -255,19 +332,19 @@ def bound_names(frame: DataFrame, key="sample_id") -> DataFrame:
     return frame.where(_bound_cond()).select(key, F.col("name").alias("bound")).distinct()
 
 
-def _cref_start() -> Column:
-    two = (F.col("n1") == ".") & (F.col("n2_id") | (F.col("n2") == "*"))
-    call = F.coalesce(F.col("n3") == "(", F.lit(False))  # q.f(…) is a function
-    return (F.col("is_id") & two & ~call & (F.coalesce(F.col("p1"), F.lit("")) != ".")
-            & ~F.coalesce(_tref_start(), F.lit(False)))
+def _cref_start(c=F.col) -> Column:
+    two = (c("n1") == ".") & (c("n2_id") | (c("n2") == "*"))
+    call = F.coalesce(c("n3") == "(", F.lit(False))  # q.f(…) is a function
+    return (c("is_id") & two & ~call & (F.coalesce(c("p1"), F.lit("")) != ".")
+            & ~F.coalesce(_tref_start(c), F.lit(False)))
 
 
-def _cref_fields():
-    three = (F.col("n3") == ".") & (F.col("n4_id") | (F.col("n4") == "*"))
-    qual = F.when(three & F.col("n2_id"), F.col("n2_name")).otherwise(F.col("name"))
-    col = F.when(three & F.col("n2_id"), F.when(F.col("n4") == "*", F.lit("*")).otherwise(F.col("n4_name"))) \
-        .otherwise(F.when(F.col("n2") == "*", F.lit("*")).otherwise(F.col("n2_name")))
-    return qual.alias("qualifier"), col.alias("column_name")
+def _cref_fields(c=F.col):
+    three = (c("n3") == ".") & (c("n4_id") | (c("n4") == "*"))
+    qual = F.when(three & c("n2_id"), c("n2_name")).otherwise(c("name"))
+    column = F.when(three & c("n2_id"), F.when(c("n4") == "*", F.lit("*")).otherwise(c("n4_name"))) \
+        .otherwise(F.when(c("n2") == "*", F.lit("*")).otherwise(c("n2_name")))
+    return qual.alias("qualifier"), column.alias("column_name")
 
 
 def column_refs(frame: DataFrame, key="sample_id") -> DataFrame:
@@ -284,17 +361,19 @@ def statement_summary(samples: DataFrame, key="sample_id", sql="output", carry:
     Store it (``session.persist_once``) before using it twice: lexing and the
     windows are behind it."""
     row = F.struct(*[F.col(c) for c in (samples.columns if carry else [key])]).alias("_row")
-    kept = samples.select(key, F.col(sql).alias("_sql"), row)
-    # the sample's row rides on its first token only
-    tokens = sql_tokens(kept, key, "_sql", keep=("_row",), outer=True)
-    tokens = tokens.withColumn("_row", F.when(F.coalesce(F.col("_i"), F.lit(0)) == 0, F.col("_row")))
-    t_ref = F.when(_tref_start(), F.struct(F.col("pos"), *_tref_fields()))
-    c_ref = F.when(_cref_start(), F.struct(F.col("pos"), *_cref_fields()))
-    g = token_frame(tokens, key).groupBy(key).agg(
-        F.first("_row", ignorenulls=True).alias("_row"), F.max("blank").alias("blank"), F.count("tok").alias("n_tokens"),
-        *_syntax_aggs(), F.sort_array(F.collect_list(t_ref)).alias("trefs"), F.sort_array(F.collect_list(c_ref)).alias("crefs"),
-        F.collect_set(F.when(_bound_cond(), F.col("name"))).alias("bound"))
-    return g.withColumn("crefs", F.expr(_RESOLVED))
+    f = statement_frame(samples.select(key, F.col(sql).alias("_sql"), row), key, "_sql", keep=("_row",))
+    # statements that share a key end at the same place, at several levels: here the highest counts
+    figures = _syntax_figures() | {"final_cum": F.array_max(F.transform("toks", lambda x: F.struct(x["pos"], x["cum"])))["cum"]}
+    g = f.select(key, "_row", "blank", F.size("toks").cast("bigint").alias("n_tokens"), *[c.alias(n) for n, c in figures.items()],
+                 F.sort_array(picked(_tref_start, lambda x: F.struct(x["pos"].alias("pos"), *_tref_fields(x.getField)))).alias("trefs"),
+                 F.sort_array(picked(_cref_start, lambda x: F.struct(x["pos"].alias("pos"), *_cref_fields(x.getField)))).alias("crefs"),
+                 F.array_distinct(picked(_bound_cond, lambda x: x["name"])).alias("bound"))
+    return fenced(g, key).withColumn("crefs", F.expr(_RESOLVED))
+
+
+def picked(cond, value) -> Column:
+    """``value`` of the tokens in ``toks`` that meet ``cond``."""
+    return F.transform(F.filter("toks", lambda x: cond(x.getField)), value)
 
 
 #: J7 inside a statement: the last alias (or bare table name) that a qualifier
