@@ -24,6 +24,8 @@ _AGG = {"min": F.min, "max": F.max, "sum": F.sum}
 #: Rows of the whole table in one slice, and the most slices.
 SLICE_ROWS = 1 << 16
 MOST_SLICES = 4096
+#: Rows that a task is meant to sort, where their number is known.
+TASK_ROWS = 1 << 18
 _BLOCK = 64
 
 
@@ -36,16 +38,30 @@ def _slice_of(value, bounds: list):
     return (block - 1) * _BLOCK + upto(inside)
 
 
-def slice_bounds(df: DataFrame, keys, order, rows: int = SLICE_ROWS) -> list:
-    """Ascending values of the first ``order`` column at which slices begin; none when no group
-    is larger than a slice.  One job, and a second one only for tables with a large group.  Callers
-    with several windows over one table pass the result to each."""
-    keys, order = list(keys), list(order)
+def spread(df: DataFrame, keys, parts: int) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``parts`` tasks at least: Spark's own number of partitions
+    does not grow with a table, so that a task's rows would."""
+    if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(*keys)
+    return df.repartition(parts, *keys)
+
+
+def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
+    """Rows of the largest group and of the whole table (one job)."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     size = sizes.agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).first()
-    if (size["most"] or 0) <= rows:
+    return size["most"] or 0, size["total"] or 0
+
+
+def slice_bounds(df: DataFrame, keys, order, rows: int = SLICE_ROWS, sizes: tuple | None = None) -> list:
+    """Ascending values of the first ``order`` column at which slices begin; none when no group
+    is larger than a slice.  One job (none with the ``group_sizes`` given), and a second one only for
+    tables with a large group.  Callers with several windows over one table pass the result to each."""
+    keys, order = list(keys), list(order)
+    most, total = sizes or group_sizes(df, keys)
+    if most <= rows:
         return []
-    slices = min(MOST_SLICES, -(-size["total"] // rows))
+    slices = min(MOST_SLICES, -(-total // rows))
     return sorted(set(df.approxQuantile(order[0], [i / slices for i in range(1, slices)], 0.25 / slices)))
 
 
@@ -54,7 +70,8 @@ def _sliced(df: DataFrame, keys, order, rows: int, bounds: list | None):
     bounds = slice_bounds(df, keys, order, rows) if bounds is None else bounds
     if not bounds:
         return None, keys, order
-    return df.withColumn("_pid", F.coalesce(_slice_of(F.col(order[0]).cast("double"), bounds), F.lit(-1))), keys, order
+    r = df.withColumn("_pid", F.coalesce(_slice_of(F.col(order[0]).cast("double"), bounds), F.lit(-1)))
+    return spread(r, keys + ["_pid"], len(bounds) + 1), keys, order
 
 
 def positions_within(df: DataFrame, keys, order, out: str = "pos", rows: int = SLICE_ROWS,

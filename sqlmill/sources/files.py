@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import mimetypes
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import persist_once
+from ..session import persist_once, ship_package
 
 # fixed values: image types that Python's table may lack
 MORE_IMAGE_TYPES = {".webp": "image/webp", ".avif": "image/avif", ".heic": "image/heic", ".heif": "image/heif",
@@ -67,20 +69,24 @@ def with_file_order(df: DataFrame, ord_col: str = "ord") -> DataFrame:
 
 def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
     """Write files that hold one JSON array each (the shape S2 reads), of at most
-    ``rows_per_file`` rows.  A file's first line opens its array, so rows stay
-    rows of text and no task joins them."""
-    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"), F.monotonically_increasing_id().alias("_m"))
-    js = persist_once(js, df.sparkSession, "json-rows")
-    place = F.row_number().over(Window.partitionBy("_p").orderBy("_m"))
-    numbered = js.withColumn("_p", F.shiftright("_m", 33)).withColumn("_n", place)
-    numbered = numbered.withColumn("_file", F.concat_ws("-", "_p", F.floor((F.col("_n") - 1) / rows_per_file)))
-    last = numbered.groupBy("_file").agg(F.max("_n").alias("_last"))
-    lines = numbered.join(last, "_file").select(
-        "_file", "_n", F.concat(F.when((F.col("_n") - 1) % rows_per_file == 0, F.lit("[")).otherwise(F.lit("")), "j",
-                                F.when(F.col("_n") == F.col("_last"), F.lit("]")).otherwise(F.lit(","))).alias("value"))
-    parts = max(1, last.count())
-    (lines.repartition(parts, "_file").sortWithinPartitions("_file", "_n").select("value", "_file")
-     .write.mode("overwrite").partitionBy("_file").text(path))
+    ``rows_per_file`` rows of one partition in its order.  A file's first line opens
+    its array and its last one closes it, so rows stay rows of text: they stream
+    into their files, and no task joins, sorts or holds them."""
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, held = 0, None  # what closes a row shows when the next one is there
+        for batch in batches:
+            out = []
+            for row in batch.column(0).to_pylist():
+                if held is not None:
+                    out.append(held + ("]" if n % rows_per_file == 0 else ","))
+                held = "[" + row if n % rows_per_file == 0 else row
+                n += 1
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held + "]"], pa.string())], ["value"])
+    ship_package(df.sparkSession)
+    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    js.mapInArrow(lines, "value string").write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def b64(col) -> F.Column:

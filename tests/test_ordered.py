@@ -41,6 +41,31 @@ def test_large_array_equals_the_whole_file_read(spark, tmp_path, small_splits, i
     assert got == rows
 
 
+def test_blocks_within_a_range(spark, tmp_path, monkeypatch):
+    """One range, cut into blocks that its elements cross, of strings and brackets that blocks start in."""
+    monkeypatch.setattr(O, "BLOCK_PIECES", 3)
+    rows = elements(200)
+    (tmp_path / "big.json").write_text(json.dumps(rows))
+    (tmp_path / "small.json").write_text('[{"id": 900}]')
+    df = O.scan_large_json_array(spark, str(tmp_path), SCHEMA, ord_col="at")
+    got = [json.loads(json.dumps(r.asDict(recursive=True))) for r in df.orderBy("at").drop("at").collect()]
+    assert got == rows + [{"id": 900, "text": None, "sub": None}]
+    assert O._pieces(spark, str(tmp_path)).select("_f", "_b", "_k").distinct().count() > 50
+
+
+def test_array_files_are_streamed(spark, tmp_path):
+    df = spark.range(0, 25, 1, 1).select("id", F.concat(F.lit('"]\n,'), "id").alias("text"))
+    for n, files in ((10, 3), (5, 5), (25, 1), (1 << 40, 1)):
+        path = str(tmp_path / f"a{n}")
+        S.write_json_arrays(df, path, n)
+        found = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+        read = [json.load(open(os.path.join(path, f))) for f in found]
+        assert len(read) == files and max(map(len, read)) <= n
+        assert [tuple(r.values()) for a in read for r in a] == [tuple(r) for r in df.collect()]
+    S.write_json_arrays(df.limit(0), str(tmp_path / "none"))
+    assert S.scan_json_array(spark, str(tmp_path / "none"), "id long").count() == 0
+
+
 def test_arrays_without_elements_and_several_files(spark, tmp_path):
     (tmp_path / "a.json").write_text("[]")
     (tmp_path / "b.json").write_text(' [ {"id": 1} ] ')
