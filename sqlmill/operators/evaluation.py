@@ -195,10 +195,15 @@ def compare_results(rows: DataFrame, ordered: bool = True, query="query_id") ->
     has_nan = F.coalesce(F.exists(cells, lambda x: x == F.lit(NAN_MARK)), F.lit(False))
     base = rows.select(query, "side", "row_idx", cells.alias("cells"), has_nan.alias("nan"))
     if ordered:
-        from .ordering import slice_bounds
-        bounds = slice_bounds(base, (query, "side"), ("row_idx",))
-        # without large results, one exchange on the query serves the numbering and both aggregates
-        base = renumber(base if bounds else base.repartition(query), keys=(query, "side"), bounds=bounds)
+        from . import ordering
+        sizes = ordering.group_sizes(base, (query, "side"))
+        bounds = ordering.slice_bounds(base, (query, "side"), ("row_idx",), sizes=sizes)
+        # without large results, one exchange on the query serves the numbering and both aggregates;
+        # its tasks grow in number, not in size
+        parts = -(-sizes[1] // ordering.TASK_ROWS)
+        base = renumber(base if bounds else ordering.spread(base, [query], parts), keys=(query, "side"), bounds=bounds)
+        if bounds:
+            base = ordering.spread(base, [query, "row_idx"], parts)
         ref = F.col("side") == "ref"
         j = base.groupBy(query, "row_idx").agg(
             F.max(F.when(ref, F.col("cells"))).alias("rc"), F.max(F.when(F.col("side") == "pred", F.col("cells"))).alias("pc"),

@@ -157,8 +157,10 @@ def result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     By ``query_id % 5``: 0 and 4 equal, 1 reordered, 2 changed cell, 3 missing row.
     """
+    from ..operators.ordering import TASK_ROWS, spread
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_returnflag", "l_linenumber")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_returnflag")
+    li = spread(li, ["l_orderkey"], -(-li.count() // TASK_ROWS))
     r = li.withColumn("rn", F.row_number().over(w))
     q = F.col("l_orderkey")
     ref = r.select(q.alias("query_id"), F.lit("ref").alias("side"), F.col("rn").cast("bigint").alias("row_idx"),
