@@ -38,6 +38,8 @@ def tokenize_with(df: DataFrame, fn: Callable[[list], list], text="prompt", out=
 
 #: fixed value: longest training row, in tokens
 MAX_LENGTH = 2048
+#: Rows with token arrays that a task is meant to sort (three arrays of the longest: 24 KB a row).
+WIDE_ROWS = 1 << 12
 
 
 def training_rows(df: DataFrame, max_length: int = MAX_LENGTH, ids="token_ids") -> DataFrame:
@@ -51,17 +53,20 @@ def training_rows(df: DataFrame, max_length: int = MAX_LENGTH, ids="token_ids")
 
 def batch_ids(df: DataFrame, batch_size: int, ord_col="ord") -> DataFrame:
     """Batches of exactly ``batch_size`` rows in order (the last may be
-    shorter): by dense position, as gaps in ``ord_col`` are no rows."""
+    shorter): by dense position, as gaps in ``ord_col`` are no rows.  Rows may
+    hold token arrays, so a task numbers few of them."""
     from .ordering import positions_within
-    dense = positions_within(df, [], [ord_col], out="_pos")
+    dense = positions_within(df, [], [ord_col], out="_pos", rows=WIDE_ROWS)
     return dense.withColumn("batch", F.floor((F.col("_pos") - 1) / batch_size).cast("bigint")).drop("_pos")
 
 
 def pad_batches(df: DataFrame, pad_id: int = 0, batch="batch") -> DataFrame:
     """R2: right-pad every row to its batch's longest row (labels with -100).
-    A batch is ``batch_size`` rows, so the window is small."""
+    A batch is ``batch_size`` rows, so the window is small; the rows are counted
+    (reading no token) for enough tasks."""
+    from .ordering import spread
     w = Window.partitionBy(batch)
-    d = df.withColumn("_n", F.max(F.size("input_ids")).over(w) - F.size("input_ids"))
+    d = spread(df, [batch], -(-df.select(batch).count() // WIDE_ROWS)).withColumn("_n", F.max(F.size("input_ids")).over(w) - F.size("input_ids"))
     pad = lambda v: F.array_repeat(F.lit(v), F.col("_n").cast("int"))
     return (d.withColumn("input_ids", F.concat("input_ids", pad(pad_id)))
              .withColumn("attention_mask", F.concat("attention_mask", pad(0)))

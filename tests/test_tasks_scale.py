@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from sqlmill.operators import evaluation as ev
 from sqlmill.operators import ordering
+from sqlmill.operators import training as TR
 
 
 def _partitions(df):
@@ -29,3 +30,16 @@ def test_slices_are_tasks_of_their_own(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     parts = len(ordering.slice_bounds(df, ["g"], ["o"], 20)) + 1
     assert parts > 50 and f", {parts}), REPARTITION_BY_NUM" in plan
+
+
+def test_batches_of_wide_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(TR, "WIDE_ROWS", 20)
+    ids = F.transform(F.sequence(F.lit(0), (F.col("id") % 5).cast("int")), lambda x: x + 7)
+    df = TR.training_rows(spark.range(1999).select((F.col("id") * 3).alias("ord"), ids.alias("token_ids")))
+    out = TR.pad_batches(TR.batch_ids(df, 8))
+    assert _partitions(out) == 100
+    got = {r["ord"] // 3: r for r in out.collect()}
+    for i in range(1999):
+        longest = max(j % 5 + 1 for j in range(i // 8 * 8, min(1999, i // 8 * 8 + 8)))
+        assert got[i]["batch"] == i // 8 and got[i]["n_pad"] == longest - (i % 5 + 1)
+        assert got[i]["labels"] == got[i]["token_ids"] + [TR.LABEL_PAD] * got[i]["n_pad"]
