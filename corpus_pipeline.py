@@ -63,4 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         drop_scratch(spark, keep=(*before, path))
+        # the driver's heap shrinks again, and Spark's cleaner deletes the stage's shuffles and broadcasts
+        spark._jvm.System.gc()
     return docs

@@ -29,6 +29,7 @@ are not read (``keep_clean`` returns them); very long texts are scored whole.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -56,6 +57,8 @@ THRESHOLD = 0.3
 EVIDENCE = 12.0
 #: Units a worker remembers the scores of.
 MEMO = 150_000
+#: Kernel columns that are summed at a time.
+COLUMNS = 8
 _OPEN, _SHUT = CODES - 2, CODES - 1
 _MARKS = re.compile(r"[\W_]+")
 _SPELLED = re.compile(r"(?<!\S)\w(?:\s\w){2,}(?!\S)")
@@ -113,9 +116,10 @@ def folded(units: list[str], weights: np.ndarray, index: np.ndarray | None = Non
             shape = index[shape]
         if wide:
             for k in range(0, len(own), 1 << 16):
-                part = own[k:k + (1 << 16)]
+                part, at = own[k:k + (1 << 16)], shape[k:k + (1 << 16)]
                 heads = np.flatnonzero(np.diff(part, prepend=-1))
-                total[part[heads]] += decay * np.add.reduceat(weights[shape[k:k + (1 << 16)]], heads, axis=0)
+                for c in range(0, weights.shape[1], COLUMNS):  # the driver holds few columns of a block at once
+                    total[part[heads], c:c + COLUMNS] += decay * np.add.reduceat(weights[:, c:c + COLUMNS][at], heads, axis=0)
         else:
             total += np.bincount(own, decay * weights[shape], len(units))
         norm += decay ** 2 * np.bincount(own, minlength=len(units))
@@ -342,7 +346,10 @@ def train(docs: DataFrame, labels: DataFrame, teaches: Column, sample: int = SAM
     rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
     rows = rows.select(F.col("doc_id").cast("long"), "text", "toxic").mapInArrow(cut, "doc_id long, sentences array<string>, toxic int")
     found = rows.orderBy("doc_id", F.xxhash64("sentences")).toLocalIterator()  # one part of the sample at a time
-    return fit((r["sentences"], r["toxic"]) for r in found)
+    model = fit((r["sentences"], r["toxic"]) for r in found)
+    gc.collect()
+    tidy()  # the driver needs no more of what the fit held
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
