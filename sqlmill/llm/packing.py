@@ -20,38 +20,52 @@ as many pieces as it needs.  Sequences are padded to ``LENGTH`` by whoever write
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from types import SimpleNamespace
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from . import bpe
-from .common import python_ready, stored
+from .common import python_ready, stored, tidy
 
 LENGTH = 1024
 #: Rests are cut at multiples of this many ids.
 GRAIN = 512
 #: Parts in which the pieces of one length are ranked.
 BUCKETS = 64
+#: Pieces and words that a worker remembers; further ones are encoded again.
+MEMO, WORD_MEMO = 200_000, 10_000
 
 
 class LibraryEncoder(bpe.Encoder):
-    """Whole texts as ids, each new word by the ``tokenizers`` library's own model."""
+    """Whole texts as ids, each new word by the ``tokenizers`` library's own model.
 
-    def __init__(self, path: str):
+    It outlives its task in the worker, so it holds the library's tables alone, and a piece that
+    is one word once."""
+
+    def __init__(self, path: str, memo: int = MEMO, word_memo: int = WORD_MEMO):
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path).model
-        self.letter = bpe.byte_letters().__getitem__
-        super().__init__(bpe.vocabulary(path))
+        whole = Tokenizer.from_file(path)
+        self.model = whole.model
+        self.letters = dict(enumerate(bpe.byte_letters()))
+        special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
+        super().__init__(SimpleNamespace(special=special), memo=memo)
+        self.word = bpe.Memo(self._word, word_memo).__getitem__
 
     def _word(self, word: bytes) -> bytes:
-        return np.array([t.id for t in self.model.tokenize("".join(map(self.letter, word)))], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        words = bpe.words_of(bpe.uncut(piece))
+        return self._word(words[0]) if len(words) == 1 else b"".join(map(self.word, words))
 
 
 @lru_cache(1)
@@ -85,6 +99,7 @@ def _pieces(path: str, length: int, with_ids: bool):
                     del rows["ids"]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in rows.items()], list(rows))
+            tidy()
     return run
 
 

@@ -116,6 +116,20 @@ def test_packing_edge_cases(make):
     assert packing.pack_documents(make([(1, "x")]).limit(0)).count() == 0
 
 
+def test_packing_encoder_holds_little():
+    """It stays in the worker: no tables beside the library's, a piece of one word once, bounded memos."""
+    path = bpe.vocabulary_path()
+    coder = packing.LibraryEncoder(path, memo=4, word_memo=2)
+    assert not hasattr(coder.vocab, "tokens")
+    pieces, words = coder.piece.__self__, coder.word.__self__
+    assert coder.piece("beta") and not words
+    library = Tokenizer.from_file(path)
+    for text in ("alpha beta beta, gamma.\ndelta", f"é{bpe.END} x  y", "Ā ß 12345 \U0001f600 zz'll", ""):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids
+    assert len(pieces) <= 4 and len(words) <= 2
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_patterns_use_each_piece_once(seed):
     rng = random.Random(seed)
