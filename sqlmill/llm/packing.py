@@ -20,6 +20,7 @@ as many pieces as it needs.  Sequences are padded to ``LENGTH`` by whoever write
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections import defaultdict
@@ -41,14 +42,17 @@ GRAIN = 512
 #: Parts in which the pieces of one length are ranked.
 BUCKETS = 64
 #: Pieces and words that a worker remembers; further ones are encoded again.
-MEMO, WORD_MEMO = 200_000, 10_000
+MEMO, WORD_MEMO = 250_000, 10_000
+#: Marks at the end of a piece, a word of their own after letters.
+MARKS = ".,;:!?"
+_LETTERS = re.compile(f"[{bpe._LETTER}]+").fullmatch
 
 
 class LibraryEncoder(bpe.Encoder):
     """Whole texts as ids, each new word by the ``tokenizers`` library's own model.
 
     It outlives its task in the worker, so it holds the library's tables alone, and a piece that
-    is one word once."""
+    is one word once.  A word with marks behind it takes the ids of the word."""
 
     def __init__(self, path: str, memo: int = MEMO, word_memo: int = WORD_MEMO):
         from tokenizers import Tokenizer
@@ -60,10 +64,18 @@ class LibraryEncoder(bpe.Encoder):
         self.word = bpe.Memo(self._word, word_memo).__getitem__
 
     def _word(self, word: bytes) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.letters))]
+        return self._spelled(word.decode("latin-1").translate(self.letters))
+
+    def _spelled(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
+        stem = piece.rstrip(MARKS)
+        if stem.isalpha() and (stem.isascii() or _LETTERS(stem)):  # most pieces: no need to look for words
+            if len(stem) < len(piece):
+                return self.piece(stem) + self.word(piece[len(stem):].encode())
+            return self._spelled(self.letters[0x20] + stem) if stem.isascii() else self._word(b" " + stem.encode())
         words = bpe.words_of(bpe.uncut(piece))
         return self._word(words[0]) if len(words) == 1 else b"".join(map(self.word, words))
 

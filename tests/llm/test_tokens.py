@@ -130,6 +130,29 @@ def test_packing_encoder_holds_little():
     assert len(pieces) <= 4 and len(words) <= 2
 
 
+def test_packing_encoder_tokenises_a_word_once():
+    """A word is remembered whatever marks follow it; ids are the library's."""
+    class Counting:
+        def __init__(self, model):
+            self.model, self.asked = model, []
+
+        def tokenize(self, word):
+            self.asked.append(word)
+            return self.model.tokenize(word)
+
+    coder = packing.LibraryEncoder(PATH)
+    coder.model = Counting(coder.model)
+    text = "x beta beta, beta. beta?! élan élan; élan."
+    assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids(text)
+    assert sum(w.endswith(("beta", "lan")) for w in coder.model.asked) == 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("abs  .,!?;'1\n\té日ǅªʰɐ\x85\xa0 ́"), max_size=30))
+def test_packing_encoder_equals_library(text):
+    assert np.frombuffer(packing.library_encoder(PATH).encode(text), "<u4").tolist() == ids(text)
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_patterns_use_each_piece_once(seed):
     rng = random.Random(seed)
