@@ -98,6 +98,12 @@ def sql_lex(col) -> Column:
     return F.regexp_extract_all(_c(col), F.lit(SQL_LEXER), 0)
 
 
+def sql_pieces(col) -> Column:
+    """``sql_lex`` of a stripped text, each run of whitespace being the end of the
+    token before it: half as many elements."""
+    return F.regexp_extract_all(_c(col), F.lit(f"(?:{SQL_LEXER}){WS_CLASS}*+"), 0)
+
+
 def is_comment_token(t: Column) -> Column:
     return t.startswith("--") | t.startswith("/*")
 

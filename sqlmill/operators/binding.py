@@ -22,10 +22,15 @@ and column aliases of derived tables are not followed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import validation as V
+from .walk import ints, structs
 
 # --- fixed values -------------------------------------------------------------
 #: Statements whose bare names are looked up.
@@ -39,82 +44,60 @@ ENDS = (",", "FROM", ")", ";", "UNION", "EXCEPT", "INTERSECT", "WHERE", "ORDER",
 # --- end of fixed values ------------------------------------------------------
 
 
-#: A token's bracket and block, as token numbers.
-_SPOT = {"slo": "int", "shi": "int", "lo": "int", "hi": "int"}
-
-
-def blocks(frame: DataFrame) -> DataFrame:
-    """The statement frame (``validation.statement_frame``) with an array ``spots``:
-    each token's bracket (``slo``, ``shi``) and block (``lo``, ``hi``), as token numbers.
-
-    A level's tokens are passed twice: forwards, which numbers blocks and carries
-    the least and greatest token number so far, and backwards, where the last
-    token of a bracket or block gives its figures to those before it."""
-    def onward(p: Column, x: Column, new: Column) -> list:
-        new = new | (p["scope"] != x["scope"])
-        starts = F.when(x["kw"].isin("SELECT", ";"), 1).otherwise(0)
-        block = F.when(new, F.lit(0)).otherwise(p["block"]) + starts
-        both = {"s": ~new, "": ~new & (starts == 0)}
-        ends = [pick(x["_i"], F.when(old, p[f"{s}{name}"]))
-                for s, old in both.items() for name, pick in (("lo", F.least), ("hi", F.greatest))]
-        return [x["scope"], block.cast("bigint"), *ends]
-
-    def back(p: Column, s: Column, new: Column) -> list:
-        same = ~new & (p["scope"] == s["scope"])
-        own = same & (p["block"] == s["block"])
-        return [s["scope"], s["block"], *[F.when(cond, p[n]).otherwise(s[n]) for n, cond in zip(_SPOT, (same, same, own, own))]]
-
-    def spots(s: Column) -> Column:
-        bracket = s["block"] == 0  # before the first SELECT the block is the whole bracket
-        spot = [s["slo"], s["shi"], F.when(bracket, s["slo"]).otherwise(s["lo"]), F.when(bracket, s["shi"]).otherwise(s["hi"])]
-        return F.struct(*[c.alias(n) for n, c in zip(_SPOT, spot)])
-    fields = {"scope": "bigint", "block": "bigint", **_SPOT}
-    rows = F.transform("toks", lambda x: F.struct(*[x[n].alias(n) for n in ("cum", "scope", "kw", "_i")]))
-    f = V.by_level(frame, rows, "_to", fields, onward)
-    rows = F.transform("_to", lambda s: F.struct(s["_c"].alias("cum"), *[s[n].alias(n) for n in fields]))
-    f = V.by_level(f, rows, "_back", fields, back, backwards=True)
-    return f.withColumn("spots", F.transform("_back", spots)).drop("_to", "_back")
-
-
-def _alias_place(c=F.col) -> Column:
+def _alias_place(w: V.Rules) -> np.ndarray:
     """A name right after a value, a table or AS names it."""
-    p1 = F.coalesce(c("p1"), F.lit(""))
-    return c("p1_id") | p1.isin("AS", ")", "END") | p1.rlike("^['0-9]")
-
-
-def _reference(c=F.col) -> Column:
-    near = F.coalesce(c("n1"), F.lit(""))
-    no_name = c("kw").isin(*V.VERBS, *V.CLAUSES, *WORDS, "IS DISTINCT FROM", "DISTINCT ON")
-    unit = (F.coalesce(c("p1"), F.lit("")) == "(") & F.coalesce(c("n1_up") == "FROM", F.lit(False))  # EXTRACT(YEAR FROM …)
-    return (c("is_id") & ~F.coalesce(V._tref_start(c), F.lit(False)) & ~_alias_place(c) & (F.coalesce(c("p1"), F.lit("")) != ".")
-            & ~near.isin(".", "(") & ~near.startswith("'") & ~no_name & ~unit & ~V._cte_cond(c))
+    return w.is_id[w.near(-1)] | w.p(1, "AS", ")", "END") | w.literal(w.near(-1))
+
+
+def _reference(w: V.Rules) -> np.ndarray:
+    no_name = w.among(w.kw[:-1], *V.VERBS, *V.CLAUSES, *WORDS, "IS DISTINCT FROM", "DISTINCT ON")
+    unit = w.p(1, "(") & w.among(w.kw[w.near(1)], "FROM")  # EXTRACT(YEAR FROM …)
+    return (w.is_id[:-1] & ~w.is_tref & ~_alias_place(w) & ~w.p(1, ".")
+            & ~w.next_is(1, ".", "(") & ~w.quote(w.near(1)) & ~no_name & ~unit & ~w.is_cte)
+
+
+_SPOT = "_i:int,slo:int,lo:int,hi:int"
+_FOUND = {
+    "brackets": "lo:int,hi:int,lateral:boolean,joins:boolean", "trefs": f"{_SPOT},table_name:string,alias:string",
+    "derived": f"{_SPOT},name:string,ends:int", "ctes": "_i:int,name:string,opens:int",
+    "outs": f"{_SPOT},name:string,is_alias:boolean", "stars": f"{_SPOT},qualifier:string", "names": f"{_SPOT},pos:bigint,name:string"}
+
+
+def _bindings(w: V.Rules) -> list:
+    """The first word and the arrays of ``_FOUND``, per statement."""
+    b, select = w.blocks(), w.among(w.clause, "SELECT")
+    before = w.kw[w.near(-1)]
+    ends_item = (w.near(1) == w.n) | w.among(w.kw[w.near(1)], *ENDS)
+
+    def spot(at: np.ndarray) -> dict:
+        return {"_i": ints(w.i[at]), **{n: ints(b[n][at]) for n in ("slo", "lo", "hi")}}
+
+    def after(at: np.ndarray, word: str) -> pa.Array:
+        return pa.array(w.among(before, word)[at], mask=before[at] < 0)
+
+    def qualifier(at: np.ndarray) -> pa.Array:
+        words = w.word(np.where(w.p(1, "."), w.kw[w.near(-2)], -1)[at]).to_pylist()
+        return pa.array([None if x is None else re.sub('^["`]|["`]$', "", x.lower()) for x in words], pa.string())
+    found = {
+        "brackets": (w.among(w.up[:-1], "("), lambda at: {"lo": ints(w.i[at]), "hi": ints(b["shi"][at]), "lateral": after(at, "LATERAL"),
+                                                          "joins": after(at, "USING")}),
+        "trefs": (w.is_tref, lambda at: spot(at) | w.tref_fields(at)),
+        "derived": (w.is_derived, lambda at: spot(at) | {"name": w.names(at), "ends": ints(w.i[at] - np.where(w.p(1, ")")[at], 2, 3))}),
+        "ctes": (w.is_cte, lambda at: {"_i": ints(w.i[at]), "name": w.names(at), "opens": ints(w.i[at] + 2)}),
+        "outs": (w.is_id[:-1] & select & ends_item, lambda at: spot(at) | {"name": w.names(at), "is_alias": _alias_place(w)[at]}),
+        "stars": (w.among(w.up[:-1], "*") & select & w.p(1, "SELECT", "DISTINCT", "ALL", ",", "."),
+                  lambda at: spot(at) | {"qualifier": qualifier(at)}),
+        "names": (_reference(w), lambda at: spot(at) | {"pos": w.pos[at], "name": w.names(at)}),
+    }
+    places = {n: np.flatnonzero(cond) for n, (cond, _) in found.items()}
+    return [w.words_of(w.offsets[w.some])] + [w.lists(places[n], structs(**fields(places[n]))) for n, (_, fields) in found.items()]
 
 
 def binding_summary(samples: DataFrame, key="sample_id", sql="output", db="db_id") -> DataFrame:
     """One row per statement: brackets, table references, derived tables, WITH names, outputs, stars and bare names."""
-    t = blocks(V.statement_frame(samples.select(key, db, sql), key, sql, keep=(db,)))
-    bare = lambda c: F.regexp_replace(F.lower(c), '^["`]|["`]$', "")
-    select = lambda c: c("clause") == "SELECT"
-    spot = lambda y, c: [c("_i").alias("_i"), *[y[n].alias(n) for n in ("slo", "lo", "hi")]]
-    fields = {
-        "brackets": (lambda c: c("tok") == "(",
-                     lambda y, c: [c("_i").alias("lo"), y["shi"].alias("hi"), (c("p1") == "LATERAL").alias("lateral"),
-                                   (c("p1") == "USING").alias("joins")]),
-        "trefs": (V._tref_start, lambda y, c: spot(y, c) + list(V._tref_fields(c))),
-        "derived": (V._derived_cond, lambda y, c: spot(y, c) + [
-            c("name").alias("name"), F.when(c("p1") == ")", c("_i") - 2).otherwise(c("_i") - 3).alias("ends")]),
-        "ctes": (V._cte_cond, lambda y, c: [c("_i").alias("_i"), c("name").alias("name"), (c("_i") + 2).alias("opens")]),
-        "outs": (lambda c: c("is_id") & select(c) & (c("n1").isNull() | c("n1_up").isin(*ENDS)),
-                 lambda y, c: spot(y, c) + [c("name").alias("name"), _alias_place(c).alias("is_alias")]),
-        "stars": (lambda c: (c("tok") == "*") & select(c) & c("p1").isin("SELECT", "DISTINCT", "ALL", ",", "."),
-                  lambda y, c: spot(y, c) + [F.when(c("p1") == ".", bare(c("p2"))).alias("qualifier")]),
-        "names": (_reference, lambda y, c: spot(y, c) + [c("pos").alias("pos"), c("name").alias("name")]),
-    }
-
-    def array(cond, cols) -> Column:
-        chosen = F.filter(F.arrays_zip("toks", "spots"), lambda z: cond(z["toks"].getField))
-        return F.sort_array(F.transform(chosen, lambda z: F.struct(*cols(z["spots"], z["toks"].getField))))
-    g = t.select(key, db, F.get("toks", F.lit(0))["up"].alias("verb"), *[array(*f).alias(n) for n, f in fields.items()])
+    made = "verb string, " + ", ".join(f"{n} array<struct<{f}>>" for n, f in _FOUND.items())
+    t = V.statement_frame(samples.select(key, db, sql), made, _bindings, key, sql, keep=(db,))
+    g = t.select(key, db, "verb", *[F.sort_array(n).alias(n) for n in _FOUND])
     return V.fenced(g, key, db).where(F.col("verb").isin(*VERBS))
 
 

@@ -2,8 +2,8 @@
 
 Re-aim of a per-row grammar parser as a token table: each statement is lexed
 once (a built-in regex) and stays one row, its tokens being an array.  Token
-neighbours are places of that array; bracket depth, scope and clause are
-carried along it (``carried``), so that no token is ever sorted, shuffled or
+neighbours, bracket depth, scope and clause of a whole batch of statements are
+worked out together (``walk``), so that no token is ever sorted, shuffled or
 spilled.  Samples are hash-partitioned by their key once; statements that share
 a key are taken as one, their tokens ordered by position.  The summary holds
 the sample's row, syntax figures and references, so that verdicts need no
@@ -34,10 +34,15 @@ Rules (weaker than a grammar — documented limits):
 
 from __future__ import annotations
 
+from functools import cached_property
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import SQL_KEYWORDS, WS_CLASS, is_blank, py_strip, sql_lex
+from ..functions.text import SQL_KEYWORDS, WS_CLASS, is_blank, py_strip, sql_lex, sql_pieces
+from .walk import Walk, ints, structs, walked
 
 # --- fixed values ------------------------------------------------------------
 VERBS = ("SELECT", "WITH", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTER", "REPLACE",
@@ -93,27 +98,6 @@ def _lexed(text: Column) -> Column:
     return F.transform(tokens, features)
 
 
-#: Elements of one piece of ``carried``.
-PIECE = 64
-
-
-def carried(array: str, zero: Column, step) -> Column:
-    """Runs along an array column: element i of the result is ``step(element i - 1
-    of the result, element i of the array)``, the one before the first being
-    ``zero`` (of the result's type).
-
-    What grows by one element is copied each time, so elements should be small,
-    and the array goes by pieces: their elements are appended one by one, then
-    the piece as a whole."""
-    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), F.lit(PIECE)),
-                         lambda s: F.slice(array, s + 1, F.lit(PIECE)))
-    append = lambda now, x: F.concat(now, F.transform(F.slice(now, -1, 1), lambda p: step(p, x)))
-    # every piece starts with the last element before it
-    run = lambda done, piece: F.aggregate(piece, F.slice(F.element_at(done, -1), -1, 1), append)
-    done = F.aggregate(pieces, F.array(F.array(zero)), lambda done, piece: F.concat(done, F.array(run(done, piece))))
-    return F.flatten(F.transform(F.slice(done, 2, F.greatest(F.size(done) - 1, F.lit(0))), lambda piece: F.slice(piece, 2, F.lit(PIECE))))
-
-
 def fenced(df: DataFrame, *keys) -> DataFrame:
     """The same rows, the columns other than ``keys`` made by a generator of one row
     each.  A filter is not pushed below a generator, where it would compute the
@@ -121,28 +105,131 @@ def fenced(df: DataFrame, *keys) -> DataFrame:
     return df.select(*keys, F.inline_outer(F.array(F.struct(*[c for c in df.columns if c not in keys]))))
 
 
-def by_level(frame: DataFrame, rows: Column, out: str, fields, step, backwards: bool = False) -> DataFrame:
-    """Adds the array ``out`` of structs with ``fields`` (name to type), one per
-    element of ``rows`` (structs with the bracket level ``cum``), carried from
-    element to element of the same level: ``step(fields before, row, new level)``
-    lists them; all are NULL before the first.  Rows are put in order of their
-    level for that, then back."""
-    turn = -1 if backwards else 1
-    f = frame.withColumn(out, F.sort_array(F.transform(rows, lambda x, i: F.struct(x["cum"].alias("_c"), (i * turn).alias("_i"), x.alias("_x")))))
-    zero = F.struct(*[F.lit(None).cast(typ).alias(n) for n, typ in {"_i": "int", "_c": "bigint", **fields}.items()])
-
-    def go(p: Column, y: Column) -> Column:
-        new = F.coalesce(p["_c"] != y["_c"], F.lit(True))
-        return F.struct(y["_i"].alias("_i"), y["_c"].alias("_c"), *[c.alias(n) for n, c in zip(fields, step(p, y["_x"], new))])
-    f = f.withColumn(out, carried(out, zero, go))
-    return f.withColumn(out, F.sort_array(out, asc=not backwards))
-
-
-#: What a token row has of its statement's tokens.
-_OWN = ("pos", "tok", "up", "is_id", "name", "delta", "kw")
-_NEAR = ("p1", "p2", "p1_id") + tuple(f"n{n}{s}" for n in (1, 2, 3, 4) for s in ("", "_up", "_id", "_name"))
-_SCOPE = {"scope": "bigint", "clause": "string", "sel_seen": "boolean", "mut_seen": "boolean"}
-_UPTO = {"sel": "boolean", "mut": "boolean"}
+class Rules(Walk):
+    """The tokens of a batch of statements with what the rules say of each: its clause
+    and what its scope has seen, and whether it starts a reference or names a relation."""
+
+    @cached_property
+    def clause(self) -> np.ndarray:
+        return self.clause_of(CLAUSES)
+
+    @cached_property
+    def sel_seen(self) -> np.ndarray:
+        return self.seen("SELECT", "DELETE")
+
+    @cached_property
+    def mut_seen(self) -> np.ndarray:
+        return self.seen("DELETE", "UPDATE", "MERGE")
+
+    def p(self, by: int, *words: str) -> np.ndarray:
+        """Whether the token ``by`` before is one of ``words``, as a clause word."""
+        return self.among(self.kw[self.near(-by)], *words)
+
+    def next_is(self, by: int, *words: str) -> np.ndarray:
+        return self.among(self.up[self.near(by)], *words)
+
+    @cached_property
+    def dotted(self) -> np.ndarray:
+        return self.next_is(1, ".") & self.is_id[self.near(2)]
+
+    @cached_property
+    def is_tref(self) -> np.ndarray:
+        """V3: the token starts a table reference."""
+        seen = self.sel_seen | self.mut_seen
+        lists = self.among(self.clause, "TABLE LIST")
+        prev_ok = (self.p(1, "INTO", "UPDATE", "TRUNCATE", "TABLE LIST", "TABLE NAME")
+                   | (self.p(1, "EXISTS") & self.p(2, "IF") & self.among(self.clause, "TABLE LIST", "TABLE NAME"))
+                   | (self.p(1, *TABLE_PREV) & seen)
+                   | (self.p(1, "USING") & self.mut_seen)
+                   | (self.p(1, ",") & self.among(self.clause, *LISTS) & (seen | lists)))
+        after = np.where(self.dotted, self.near(3), self.near(1))
+        call = self.among(self.up[after], "(") & ~self.p(1, "INTO")  # a table function; INTO t (columns) is none
+        return self.is_id[:-1] & prev_ok & ~call
+
+    def tref_fields(self, at: np.ndarray) -> dict:
+        q, near = self.dotted[at], lambda by: self.near(by)[at]
+        # token after the name, then the one after that (for AS)
+        a1, a2 = np.where(q, near(3), near(1)), np.where(q, near(4), near(2))
+        alias = np.where(self.among(self.kw[a1], "AS"), np.where(self.is_id[a2], a2, self.n), np.where(self.is_id[a1], a1, self.n))
+        return {"table_name": self.names(np.where(q, near(2), at)), "alias": self.names(alias)}
+
+    @cached_property
+    def is_cref(self) -> np.ndarray:
+        """V4: the token starts a column reference."""
+        two = self.next_is(1, ".") & (self.is_id[self.near(2)] | self.next_is(2, "*"))
+        call = self.next_is(3, "(")  # q.f(…) is a function
+        return self.is_id[:-1] & two & ~call & ~self.p(1, ".") & ~self.is_tref
+
+    def cref_fields(self, at: np.ndarray) -> dict:
+        n2, n4 = self.near(2)[at], self.near(4)[at]
+        three = (self.next_is(3, ".") & (self.is_id[self.near(4)] | self.next_is(4, "*")))[at] & self.is_id[n2]
+        return {"qualifier": self.names(np.where(three, n2, at)), "column_name": self.names(np.where(three, n4, n2))}
+
+    @cached_property
+    def is_cte(self) -> np.ndarray:
+        return (self.is_id[:-1] & self.among(self.kw[self.near(1)], "AS") & self.next_is(2, "(")
+                & (self.p(1, "WITH", "RECURSIVE") | (self.p(1, ",") & (self.depth == 0) & ~self.sel_seen)))
+
+    @cached_property
+    def is_derived(self) -> np.ndarray:
+        return (self.is_id[:-1] & self.among(self.clause, "FROM", "JOIN", "USING", "UPDATE")
+                & (self.p(1, ")") | (self.p(1, "AS") & self.p(2, ")"))))
+
+    def figures(self) -> dict:
+        """What the syntax rules need, per statement; null without tokens."""
+        ends = self.offsets[1:][self.some] - 1
+        first_pos = lambda at: self.numbers(np.append(self.pos, 0)[at], at == self.n)
+        return {"first": self.words_of(self.offsets[self.some]),
+                "min_cum": self.numbers(np.minimum.reduceat(self.cum, self.offsets[self.some]) if self.n else ends),
+                "final_cum": self.numbers(self.cum[ends]),
+                "last": self.words_of(self.last_place(~self.among(self.up[:-1], ";"))),
+                "quote_pos": first_pos(self.first_place(self.among(self.up[:-1], "'", '"', "`"))),
+                "sf_pos": first_pos(self.first_place(self.among(self.kw[:-1], "SELECT") & self.among(self.kw[self.near(1)], "FROM")))}
+
+    def highest_at_end(self) -> pa.Array:
+        """Statements that share a key end at the same place, at several levels: the highest of them."""
+        ends = self.offsets[1:][self.some] - 1
+        if not self.n:
+            return self.numbers(ends)
+        last = np.repeat(self.pos[ends], np.diff(self.offsets)[self.some])
+        return self.numbers(np.maximum.reduceat(np.where(self.pos == last, self.cum, self.cum.min()), self.offsets[self.some]))
+
+
+_FIGURES = "first string, min_cum bigint, final_cum bigint, last string, quote_pos bigint, sf_pos bigint"
+_TREF, _CREF = "table_name string, alias string", "qualifier string, column_name string"
+
+
+def _own_figures(w: Rules) -> pa.Array:
+    """A statement's syntax figures at its first token."""
+    owner = np.full(w.n, -1)
+    owner[w.offsets[w.some]] = w.some
+    return structs(**w.figures()).take(pa.array(owner, pa.int64(), mask=owner < 0))
+
+
+def _where(cond: np.ndarray, fields) -> pa.Array:
+    """The structs ``fields`` of the tokens with ``cond``; null for the others."""
+    at = np.flatnonzero(cond)
+    nth = np.cumsum(cond) - 1
+    return structs(**fields(at)).take(pa.array(nth, pa.int64(), mask=~cond))
+
+
+#: What a token row can have: type, and how a batch's values are made.
+TOKEN = {
+    "_i": ("int", lambda w: ints(w.i)), "pos": ("bigint", lambda w: pa.array(w.pos)), "tok": ("string", lambda w: w.texts(w.near(0))),
+    "up": ("string", lambda w: w.word(w.up[:-1])), "is_id": ("boolean", lambda w: pa.array(w.is_id[:-1])),
+    "name": ("string", lambda w: w.names(w.near(0))), "delta": ("int", lambda w: ints(w.delta)),
+    "kw": ("string", lambda w: w.word(w.kw[:-1])), "p1": ("string", lambda w: w.word(w.kw[w.near(-1)])),
+    "p2": ("string", lambda w: w.word(w.kw[w.near(-2)])), "p1_id": ("boolean", lambda w: pa.array(w.is_id[w.near(-1)])),
+    **{f"n{k}{s}": (t, (lambda f, k: lambda w: f(w, w.near(k)))(f, k)) for k in (1, 2, 3, 4) for s, t, f in (
+        ("", "string", lambda w, at: w.texts(at)), ("_up", "string", lambda w, at: w.word(w.kw[at])),
+        ("_id", "boolean", lambda w, at: pa.array(w.is_id[at])), ("_name", "string", lambda w, at: w.names(at)))},
+    "cum": ("bigint", lambda w: pa.array(w.cum)), "depth": ("bigint", lambda w: pa.array(w.depth)),
+    "scope": ("bigint", lambda w: pa.array(w.scope)), "clause": ("string", lambda w: w.word(w.clause)),
+    "sel_seen": ("boolean", lambda w: pa.array(w.sel_seen)), "mut_seen": ("boolean", lambda w: pa.array(w.mut_seen)),
+    "tref": (f"struct<{_TREF}>", lambda w: _where(w.is_tref, w.tref_fields)),
+    "cref": (f"struct<{_CREF}>", lambda w: _where(w.is_cref, w.cref_fields)),
+    "binds": ("boolean", lambda w: pa.array(w.is_cte | w.is_derived)), "syntax": (f"struct<{_FIGURES}>", _own_figures),
+}
 
 
 def _one_per_key(samples: DataFrame, key, sql, keep) -> DataFrame:
@@ -156,31 +243,11 @@ def _one_per_key(samples: DataFrame, key, sql, keep) -> DataFrame:
     return s.select(key, *keep, F.exists("_texts", is_blank).alias("blank"), F.transform("_texts", py_strip).alias("_texts"))
 
 
-def _kw(a: Column, x: Column, i: Column) -> Column:
-    p1, p2 = F.get(a, i - 1)["up"], F.get(a, i - 2)["up"]
-    explained = F.coalesce(p1.isin("ANALYZE", "VERBOSE", "EXTENDED") & p2.isin("EXPLAIN", "ANALYZE"), F.lit(False))
-    return (F.when((x["up"] == "FROM") & (p1 == "DISTINCT") & p2.isin("IS", "NOT"), F.lit("IS DISTINCT FROM"))
-            .when((x["up"] == "ON") & (p1 == "DISTINCT"), F.lit("DISTINCT ON"))
-            .when((x["up"] == "UPDATE") & p1.isNotNull() & ~p1.isin(")", ";", "EXPLAIN") & ~explained, F.lit("UPDATE OPTION"))
-            .when((x["up"] == "TABLE") & (p1.isin("DROP", "TRUNCATE") | ((p1 == "TEMPORARY") & (p2 == "DROP"))), F.lit("TABLE LIST"))
-            .when((x["up"] == "TABLE") & (p1 == "ALTER"), F.lit("TABLE NAME"))
-            .otherwise(x["up"]))
-
-
-def _near(a: Column, x: Column, i: Column) -> Column:
-    at = lambda by: F.get(a, i + by)
-    near = [at(-1)["kw"].alias("p1"), at(-2)["kw"].alias("p2"), F.coalesce(at(-1)["is_id"], F.lit(False)).alias("p1_id")]
-    for n in (1, 2, 3, 4):
-        near += [at(n)["tok"].alias(f"n{n}"), at(n)["kw"].alias(f"n{n}_up"), F.coalesce(at(n)["is_id"], F.lit(False)).alias(f"n{n}_id"),
-                 at(n)["name"].alias(f"n{n}_name")]
-    return F.struct(*[x[c].alias(c) for c in ("pos",)], i.alias("_i"), *[x[c].alias(c) for c in _OWN[1:]], *near)
-
-
-def statement_frame(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",)) -> DataFrame:
-    """(key, keep…, blank, toks): one row per statement, ``toks`` being its
-    significant tokens (no whitespace, no comments) in order, each with its
-    features, its neighbours, bracket depth, scope, clause and 'SELECT seen'
-    flags.  Empty for blank statements.
+def statement_frame(samples: DataFrame, made: str, columns, key="sample_id", sql="output", keep=("db_id",)) -> DataFrame:
+    """(key, keep…, blank, made…): one row per statement with what ``columns`` makes
+    of its significant tokens (no whitespace, no comments; none for blank ones), a
+    list of Arrow columns from the :class:`Rules` of a batch; ``made`` has their
+    names and types.
 
     ``kw`` is the upper-cased token, except where a clause word is none (FROM in
     IS [NOT] DISTINCT FROM, ON in DISTINCT ON, and UPDATE other than a
@@ -192,55 +259,27 @@ def statement_frame(samples: DataFrame, key="sample_id", sql="output", keep=("db
     clause/scope values are never read and it is never a clause word, so this
     changes nothing else."""
     s = _one_per_key(samples, key, sql, keep)
-    toks = F.transform("_texts", _lexed)
-    toks = F.transform(toks, lambda a: F.transform(a, lambda x, i: F.struct(*[x[c].alias(c) for c in _OWN[:-1]], _kw(a, x, i).alias("kw"))))
-    toks = F.transform(toks, lambda a: F.transform(a, lambda x, i: _near(a, x, i)))
-    s = s.select(key, *keep, "blank", (F.size("_texts") > 1).alias("_shared"), F.flatten(toks).alias("toks"))
-    s = s.withColumn("toks", F.when(F.col("_shared"), F.sort_array("toks")).otherwise(F.col("toks"))).drop("_shared")
-    s = s.withColumn("_cum", F.transform("toks", lambda x: x["delta"].cast("bigint")))
-    s = s.withColumn("_cum", carried("_cum", F.lit(0).cast("bigint"), lambda p, x: p + x))
-
-    def scope(p: Column, x: Column, new: Column) -> list:
-        """A level starts anew with each '(' that opens it; ``sel`` and ``mut`` count the token itself."""
-        opens = x["tok"] == "("
-        here = lambda c: F.when(~(new | opens), c)
-        word = F.when(x["kw"].isin(*CLAUSES), x["kw"])
-        sel, mut = F.coalesce(here(p["sel"]), F.lit(False)), F.coalesce(here(p["mut"]), F.lit(False))
-        return [(F.when(new, F.lit(0)).otherwise(p["scope"]) + F.when(opens, 1).otherwise(0)).cast("bigint"),
-                F.coalesce(word, here(p["clause"])), sel, mut,
-                sel | x["kw"].isin("SELECT", "DELETE"), mut | x["kw"].isin("DELETE", "UPDATE", "MERGE")]
-
-    def flat(z: Column) -> Column:
-        x, cum = z["toks"], z["_cum"]
-        return F.struct(*[x[c].alias(c) for c in ("_i",) + _OWN + _NEAR], cum.alias("cum"),
-                        (cum - F.when(x["tok"] == "(", 1).otherwise(0)).alias("depth"), *[z["_s"][c].alias(c) for c in _SCOPE])
-    rows = F.transform(F.arrays_zip("toks", "_cum"), lambda z: F.struct(
-        z["_cum"].alias("cum"), z["toks"]["tok"].alias("tok"), z["toks"]["kw"].alias("kw")))
-    s = by_level(s, rows, "_s", _SCOPE | _UPTO, scope)
-    s = s.withColumn("toks", F.transform(F.arrays_zip("toks", "_cum", "_s"), flat)).drop("_cum", "_s")
-    return fenced(s, key, *keep)
+    return walked(s.select(key, *keep, "blank", F.transform("_texts", sql_pieces).alias("_lexed")), made, lambda lexed: columns(Rules(lexed)))
 
 
 def sql_tokens(samples: DataFrame, key="sample_id", sql="output", keep=("db_id",), outer: bool = False,
-               neighbours: bool = True) -> DataFrame:
+               neighbours: bool = True, fields=tuple(TOKEN)) -> DataFrame:
     """V1: one row per significant token (no whitespace, no comments) with its
-    position, features and, with ``neighbours``, all that ``statement_frame``
-    knows of it; a statement's first row then has its syntax figures.
-    Blank statements produce no tokens (one empty row with ``outer``).  The
-    struct array is taken apart by ``inline``: fields read from an exploded
-    struct would be pushed below it, each with a lexer of its own."""
-    # an inner generator would get a filter on the array's size below it, with a second lexer
-    some = F.lit(True) if outer else F.col("pos").isNotNull()
+    position, features and, with ``neighbours``, all that ``Rules`` knows of it
+    (``TOKEN``; ``fields`` names what is needed of that, besides the position and
+    level); a statement's first row then has its syntax figures.
+    Blank statements produce no tokens (one empty row with ``outer``)."""
     if not neighbours:
+        # an inner generator would get a filter on the array's size below it, with a second lexer
+        some = F.lit(True) if outer else F.col("pos").isNotNull()
         s = samples.repartition(key).select(key, *keep, is_blank(sql).alias("blank"), F.coalesce(F.col(sql), F.lit("")).alias("_sql"))
         return s.select(key, *keep, "blank", F.inline_outer(_lexed(py_strip("_sql")))).where(some)
-    s = statement_frame(samples, key, sql, keep)
-    figures = F.struct(*[c.alias(n) for n, c in _syntax_figures().items()])
-    s = s.withColumn("_z", F.transform("toks", lambda x, i: F.struct(
-        *[x[c].alias(c) for c in ("_i",) + _OWN + _NEAR + ("cum", "depth") + tuple(_SCOPE)], (i == 0).alias("_first"))))
-    s = s.select(key, *keep, "blank", figures.alias("_syntax"), "_z")
-    return s.select(key, *keep, "blank", "_syntax", F.inline_outer("_z")).where(some).withColumn(
-        "syntax", F.when(F.col("_first"), F.col("_syntax"))).drop("_syntax", "_first")
+    fields = [f for f in TOKEN if f in fields or f in ("pos", "cum")]
+
+    def tokens(w: Rules) -> list:
+        return [w.lists(w.near(0), structs(**{f: TOKEN[f][1](w) for f in fields}))]
+    s = statement_frame(samples, f"toks array<struct<{','.join(f'{f}:{TOKEN[f][0]}' for f in fields)}>>", tokens, key, sql, keep)
+    return s.select(key, *keep, "blank", (F.inline_outer if outer else F.inline)("toks"))
 
 
 def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
@@ -250,18 +289,6 @@ def token_frame(tokens: DataFrame, key="sample_id") -> DataFrame:
     return tokens.withColumn("_k", F.col("cum"))
 
 
-def _syntax_figures() -> dict:
-    """What the syntax rules need of ``toks``; NULL without tokens."""
-    t = F.col("toks")
-    first_of = lambda cond: F.get(F.transform(F.filter(t, cond), lambda x: x["pos"]), F.lit(0))
-    back = F.filter(t, lambda x: x["tok"] != ";")
-    return {"first": F.get(t, F.lit(0))["up"], "min_cum": F.array_min(F.transform(t, lambda x: x["cum"])),
-            "final_cum": F.get(t, F.size(t) - 1)["cum"],
-            "last": F.get(back, F.size(back) - 1)["up"],
-            "quote_pos": first_of(lambda x: x["tok"].isin("'", '"', "`")),
-            "sf_pos": first_of(lambda x: (x["kw"] == "SELECT") & (x["n1_up"] == "FROM"))}
-
-
 def _problem() -> Column:
     return (F.when(~F.col("first").isin(*VERBS), F.concat(F.lit("unknown statement start "), F.col("first")))
             .when((F.col("min_cum") < 0) | (F.col("final_cum") != 0), F.lit("unbalanced parentheses"))
@@ -281,76 +308,27 @@ def check_syntax(frame: DataFrame, key="sample_id") -> DataFrame:
     return _syntax_errors(frame.where(F.col("syntax").isNotNull()).select(key, "syntax.*"), key)
 
 
-#: Conditions and fields of a token; ``c`` gives its fields by name.
-def _tref_start(c=F.col) -> Column:
-    seen = c("sel_seen") | c("mut_seen")
-    prev_ok = (c("p1").isin("INTO", "UPDATE", "TRUNCATE", "TABLE LIST", "TABLE NAME")
-               | ((c("p1") == "EXISTS") & (c("p2") == "IF") & c("clause").isin("TABLE LIST", "TABLE NAME"))
-               | (c("p1").isin(*TABLE_PREV) & seen)
-               | ((c("p1") == "USING") & c("mut_seen"))
-               | ((c("p1") == ",") & c("clause").isin(*LISTS) & (seen | c("clause").isin("TABLE LIST"))))
-    after = F.when((c("n1") == ".") & c("n2_id"), c("n3")).otherwise(c("n1"))
-    call = F.coalesce(after == "(", F.lit(False)) & (c("p1") != "INTO")  # a table function; INTO t (columns) is none
-    return c("is_id") & prev_ok & ~call
-
-
-def _tref_fields(c=F.col):
-    qualified = (c("n1") == ".") & c("n2_id")
-    table = F.when(qualified, c("n2_name")).otherwise(c("name"))
-    # token after the name, then the one after that (for AS)
-    a1_up = F.when(qualified, c("n3_up")).otherwise(c("n1_up"))
-    a1_id = F.when(qualified, c("n3_id")).otherwise(c("n1_id"))
-    a1_name = F.when(qualified, c("n3_name")).otherwise(c("n1_name"))
-    a2_id = F.when(qualified, c("n4_id")).otherwise(c("n2_id"))
-    a2_name = F.when(qualified, c("n4_name")).otherwise(c("n2_name"))
-    alias = F.when(a1_up == "AS", F.when(a2_id, a2_name)).when(a1_id, a1_name)
-    return table.alias("table_name"), alias.alias("alias")
-
-
 def table_refs(frame: DataFrame, key="sample_id") -> DataFrame:
     """V3: (sample_id, pos, table_name, alias) — names lower-cased, quotes removed."""
-    return frame.where(_tref_start()).select(key, "pos", *_tref_fields())
-
-
-def _cte_cond(c=F.col) -> Column:
-    return (c("is_id") & F.coalesce((c("n1_up") == "AS") & (c("n2") == "("), F.lit(False))
-            & F.coalesce(c("p1").isin("WITH", "RECURSIVE")
-                         | ((c("p1") == ",") & (c("depth") == 0) & ~c("sel_seen")), F.lit(False)))
-
-
-def _derived_cond(c=F.col) -> Column:
-    return (c("is_id") & F.coalesce(c("clause").isin("FROM", "JOIN", "USING", "UPDATE")
-                                  & ((c("p1") == ")") | ((c("p1") == "AS") & (c("p2") == ")"))), F.lit(False)))
-
-
-def _bound_cond(c=F.col) -> Column:
-    return _cte_cond(c) | _derived_cond(c)
+    return frame.where(F.col("tref").isNotNull()).select(key, "pos", "tref.*")
 
 
 def bound_names(frame: DataFrame, key="sample_id") -> DataFrame:
     """Names bound inside the statement: WITH names and derived-table aliases."""
-    return frame.where(_bound_cond()).select(key, F.col("name").alias("bound")).distinct()
-
-
-def _cref_start(c=F.col) -> Column:
-    two = (c("n1") == ".") & (c("n2_id") | (c("n2") == "*"))
-    call = F.coalesce(c("n3") == "(", F.lit(False))  # q.f(…) is a function
-    return (c("is_id") & two & ~call & (F.coalesce(c("p1"), F.lit("")) != ".")
-            & ~F.coalesce(_tref_start(c), F.lit(False)))
-
-
-def _cref_fields(c=F.col):
-    three = (c("n3") == ".") & (c("n4_id") | (c("n4") == "*"))
-    qual = F.when(three & c("n2_id"), c("n2_name")).otherwise(c("name"))
-    column = F.when(three & c("n2_id"), F.when(c("n4") == "*", F.lit("*")).otherwise(c("n4_name"))) \
-        .otherwise(F.when(c("n2") == "*", F.lit("*")).otherwise(c("n2_name")))
-    return qual.alias("qualifier"), column.alias("column_name")
+    return frame.where("binds").select(key, F.col("name").alias("bound")).distinct()
 
 
 def column_refs(frame: DataFrame, key="sample_id") -> DataFrame:
     """V4: (sample_id, pos, qualifier, column_name) for ``q.c`` and ``q.*``
     outside table references; ``db.t.c`` uses ``t`` as the qualifier."""
-    return frame.where(_cref_start()).select(key, "pos", *_cref_fields())
+    return frame.where(F.col("cref").isNotNull()).select(key, "pos", "cref.*")
+
+
+def _summarised(w: Rules) -> list:
+    trefs, crefs, bound = (np.flatnonzero(x) for x in (w.is_tref, w.is_cref, w.is_cte | w.is_derived))
+    return [pa.array(np.diff(w.offsets)), *(w.figures() | {"final_cum": w.highest_at_end()}).values(),
+            w.lists(trefs, structs(pos=w.pos[trefs], **w.tref_fields(trefs))),
+            w.lists(crefs, structs(pos=w.pos[crefs], **w.cref_fields(crefs))), w.lists(bound, w.names(bound))]
 
 
 def statement_summary(samples: DataFrame, key="sample_id", sql="output", carry: bool = True) -> DataFrame:
@@ -361,21 +339,13 @@ def statement_summary(samples: DataFrame, key="sample_id", sql="output", carry:
     Store it (``session.persist_once``) before using it twice: lexing and the
     windows are behind it."""
     row = F.struct(*[F.col(c) for c in (samples.columns if carry else [key])]).alias("_row")
-    f = statement_frame(samples.select(key, F.col(sql).alias("_sql"), row), key, "_sql", keep=("_row",))
-    # statements that share a key end at the same place, at several levels: here the highest counts
-    figures = _syntax_figures() | {"final_cum": F.array_max(F.transform("toks", lambda x: F.struct(x["pos"], x["cum"])))["cum"]}
-    g = f.select(key, "_row", "blank", F.size("toks").cast("bigint").alias("n_tokens"), *[c.alias(n) for n, c in figures.items()],
-                 F.sort_array(picked(_tref_start, lambda x: F.struct(x["pos"].alias("pos"), *_tref_fields(x.getField)))).alias("trefs"),
-                 F.sort_array(picked(_cref_start, lambda x: F.struct(x["pos"].alias("pos"), *_cref_fields(x.getField)))).alias("crefs"),
-                 F.array_distinct(picked(_bound_cond, lambda x: x["name"])).alias("bound"))
+    made = (f"n_tokens bigint, {_FIGURES}, trefs array<struct<pos:bigint,{_TREF}>>, "
+            f"crefs array<struct<pos:bigint,{_CREF}>>, bound array<string>")
+    g = statement_frame(samples.select(key, F.col(sql).alias("_sql"), row), made, _summarised, key, "_sql", keep=("_row",))
+    g = g.withColumns({"trefs": F.sort_array("trefs"), "crefs": F.sort_array("crefs"), "bound": F.array_distinct("bound")})
     return fenced(g, key).withColumn("crefs", F.expr(_RESOLVED))
 
 
-def picked(cond, value) -> Column:
-    """``value`` of the tokens in ``toks`` that meet ``cond``."""
-    return F.transform(F.filter("toks", lambda x: cond(x.getField)), value)
-
-
 #: J7 inside a statement: the last alias (or bare table name) that a qualifier
 #: is bound to, else the qualifier itself.
 _RESOLVED = """

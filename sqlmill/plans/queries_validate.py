@@ -116,8 +116,8 @@ verdict as (select d1.*, e.kind is null as valid, e.kind as error_kind, e.messag
 {final}"""
 
 
-def _frame(spark, sf_dir):
-    return V.token_frame(V.sql_tokens(fixtures.samples(spark, sf_dir)))
+def _frame(spark, sf_dir, *fields):
+    return V.token_frame(V.sql_tokens(fixtures.samples(spark, sf_dir), fields=fields))
 
 
 @register("sql_tokens", validation_sql("select sample_id, pos, tok as token from fr"))
@@ -128,17 +128,17 @@ def q_sql_tokens(spark, sf_dir):
 
 @register("check_syntax", validation_sql("select sample_id, concat('语法错误: ', problem) as message from synp where problem is not null"))
 def q_check_syntax(spark, sf_dir):
-    return V.check_syntax(_frame(spark, sf_dir)).select("sample_id", "message")
+    return V.check_syntax(_frame(spark, sf_dir, "syntax")).select("sample_id", "message")
 
 
 @register("table_refs", validation_sql("select sample_id, pos, table_name, alias from tr"))
 def q_table_refs(spark, sf_dir):
-    return V.table_refs(_frame(spark, sf_dir))
+    return V.table_refs(_frame(spark, sf_dir, "tref"))
 
 
 @register("column_refs", validation_sql("select sample_id, pos, qualifier, column_name from cr"))
 def q_column_refs(spark, sf_dir):
-    return V.column_refs(_frame(spark, sf_dir))
+    return V.column_refs(_frame(spark, sf_dir, "cref"))
 
 
 def _summary(spark, sf_dir):
